@@ -61,10 +61,11 @@ class ForestConfig:
 class SkewConfig:
     """A key with more than ``rows_per_task`` rows is spread over several tasks of a join.
 
-    ``tracked`` bounds the sketch: every key above about 5 / ``tracked`` of all rows is found.
-    ``max_keys`` bounds the list that reaches the driver and is broadcast.
+    Keys are counted on so many rows that such a key shows up about ``seen_rows`` times. The count only chooses the
+    plan; the joins use every row. ``max_keys`` bounds the list that reaches the driver and is broadcast.
     """
 
     rows_per_task: int = 5_000_000
-    tracked: int = 100_000
+    seen_rows: int = 1_000
     max_keys: int = 10_000
+    seed: int = 42

@@ -50,7 +50,9 @@ def parse_events(
     if strict:
         bad = bad | F.col(f"data.{_CORRUPT}").isNotNull() | F.col(f"data.{key}").isNull()
     extra = ["kafka_timestamp"] if "kafka_timestamp" in bronze.columns else []
-    parsed = bronze.select(F.col(value).alias("json_value"), *extra, data.alias("data"))
+    # As the output of a generator the parsed record is computed once per row; as a plain column the optimizer would
+    # repeat the parse in the filter and in every test of it.
+    parsed = bronze.select(F.col(value).alias("json_value"), *extra, F.explode(F.array(data)).alias("data"))
     valid = parsed.filter(~bad).select(*[f"data.{name}" for name in schema.names], *extra)
     if time_column:
         event_time = to_event_time(time_column)

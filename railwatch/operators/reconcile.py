@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from dataclasses import dataclass
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -62,6 +62,21 @@ def measure_skew(txns: DataFrame, settlements: DataFrame, cfg: SkewConfig = Skew
     )
 
 
+def read_for_join(
+    read: Callable[[bool], tuple[DataFrame, DataFrame]], cfg: SkewConfig = SkewConfig()
+) -> tuple[DataFrame, DataFrame, ReconSkew]:
+    """Transactions, settlements and their skew.
+
+    ``read`` gets whether to add row positions; they are read only when there are hot ids to spread by them.
+    """
+    txns, settlements = read(False)
+    skew = measure_skew(txns, settlements, cfg)
+    if not (skew.txn_hot or skew.settlement_hot):
+        return txns, settlements, skew
+    txns, settlements = read(True)
+    return txns, settlements, replace(skew, txn_salt=(ROW_POSITION,), settlement_salt=(ROW_POSITION,))
+
+
 def successful(txns: DataFrame) -> DataFrame:
     return txns.filter(F.col("status") == "success")
 

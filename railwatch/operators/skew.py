@@ -1,8 +1,8 @@
 """Joins on keys of which a few may hold a large share of all rows.
 
 AQE splits large partitions of a sort-merge join, but not on the side an outer join preserves nothing of, nor in a
-full outer join. Here the hot keys are found first, by a mergeable sketch over the key column alone; only their rows
-are spread over several tasks. Without hot keys the join is the plain one.
+full outer join. Here the hot keys are found first, by a pass over the key column alone; only their rows are spread
+over several tasks. Without hot keys the join is the plain one.
 """
 
 from __future__ import annotations
@@ -27,13 +27,13 @@ class HotKey(NamedTuple):
 def find_hot_keys(df: DataFrame, key: str, cfg: SkewConfig = SkewConfig()) -> list[HotKey]:
     """Keys with more rows than one task should take; null counts as a key. Runs one job over the key column.
 
-    The list holds at most ``cfg.max_keys`` keys however large the table is.
+    The counts are estimates from a share of the rows; keys close to the limit may go either way, which costs time
+    at most. The list holds at most ``cfg.max_keys`` keys however large the table is.
     """
-    sketch = F.expr(f"approx_top_k(`{key}`, {cfg.max_keys}, {cfg.tracked})")
-    row = df.agg(sketch.alias("top"), F.count(F.lit(1)).alias("rows"), F.count(key).alias("keyed")).first()
-    hot = [HotKey(e["item"], e["count"]) for e in row["top"] or [] if e["count"] > cfg.rows_per_task and e["item"] is not None]
-    nulls = row["rows"] - row["keyed"]
-    return hot + ([HotKey(None, nulls)] if nulls > cfg.rows_per_task else [])
+    share = min(1.0, cfg.seen_rows / cfg.rows_per_task)
+    counted = df.select(key).sample(share, seed=cfg.seed).groupBy(key).agg(F.count(F.lit(1)).alias("seen"))
+    hot = counted.filter(F.col("seen") > cfg.rows_per_task * share).orderBy(F.desc("seen")).limit(cfg.max_keys)
+    return [HotKey(row[key], round(row["seen"] / share)) for row in hot.collect()]
 
 
 def skew_join(

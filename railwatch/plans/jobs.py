@@ -9,7 +9,7 @@ from railwatch.config import BANK_METHODS, AttributionConfig, ReconConfig, SkewC
 from railwatch.operators import attribution, marts, quality
 from railwatch.operators.health import bank_health, latest_snapshot
 from railwatch.operators.parse import TRANSACTIONS, parse_topic, staged_transactions
-from railwatch.operators.reconcile import enrich_payments, measure_skew, mismatch_log
+from railwatch.operators.reconcile import enrich_payments, mismatch_log, read_for_join
 from railwatch.sources.tables import (
     append_log,
     export_csv,
@@ -31,13 +31,21 @@ def type_transactions(spark: SparkSession, root: str, fmt: str = "parquet") -> i
     return write_mart(typed, f"{root}/typed_transactions", fmt, partition_by="event_date")
 
 
+def _payments(spark: SparkSession, root: str, fmt: str, cfg: SkewConfig):
+    return read_for_join(
+        lambda position: (
+            read_table(spark, f"{root}/typed_transactions", fmt, row_position=position),
+            read_table(spark, f"{root}/silver_settlements", fmt, row_position=position),
+        ),
+        cfg,
+    )
+
+
 def build_marts(
     spark: SparkSession, root: str, cfg: ReconConfig = ReconConfig(), skew: SkewConfig = SkewConfig(), fmt: str = "parquet"
 ) -> dict[str, int]:
     """Writes the marts from the typed tables and gives the rows of each. A mart without input is left out."""
-    txns = read_table(spark, f"{root}/typed_transactions", fmt, row_position=fmt == "parquet")
-    settlements = read_table(spark, f"{root}/silver_settlements", fmt, row_position=fmt == "parquet")
-    hot = measure_skew(txns, settlements, skew)
+    txns, settlements, hot = _payments(spark, root, fmt, skew)
     found = {
         "mart_ops_dashboard_metrics": marts.mart_ops(txns),
         "mart_settlement_reconciliation": marts.mart_recon(txns, settlements, cfg, skew=hot),
@@ -70,9 +78,8 @@ def run_reconciliation(
     fmt: str = "parquet",
 ) -> None:
     """Appends all mismatches to the log."""
-    txns = read_table(spark, f"{root}/typed_transactions", fmt, row_position=fmt == "parquet")
-    settlements = read_table(spark, f"{root}/silver_settlements", fmt, row_position=fmt == "parquet")
-    log = mismatch_log(txns, settlements, cfg, as_of=as_of, skew=measure_skew(txns, settlements, skew))
+    txns, settlements, hot = _payments(spark, root, fmt, skew)
+    log = mismatch_log(txns, settlements, cfg, as_of=as_of, skew=hot)
     append_log(log, f"{root}/gold_settlement_mismatches", fmt)
 
 

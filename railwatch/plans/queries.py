@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from railwatch import schemas
-from railwatch.config import BANK_METHODS, ForestConfig, MonitorConfig, ReconConfig, WindowConfig
+from railwatch.config import BANK_METHODS, ForestConfig, MonitorConfig, WindowConfig
 from railwatch.operators import anomaly, attribution, health, marts, monitor, quality, readside, reconcile
 from railwatch.operators.parse import TRANSACTIONS, EventSpec, parse_events, parse_topic, staged_transactions
 from railwatch.plans import tables
@@ -25,6 +25,7 @@ from railwatch.sources.tables import (
     read_table,
     scratch_path,
     sql_table,
+    store,
     write_mart,
 )
 from railwatch.streaming.pipelines import Sink, finish, reconcile_stream, silver_windows, start_pipeline
@@ -60,8 +61,12 @@ def _rounded(df: DataFrame, digits: int, *columns: str) -> DataFrame:
 
 
 def _recon_inputs(spark: SparkSession, sf_dir: str):
-    txns, settlements = tables.order_transactions(spark, sf_dir), tables.lineitem_settlements(spark, sf_dir)
-    return txns, settlements, reconcile.measure_skew(txns, settlements)
+    return reconcile.read_for_join(
+        lambda position: (
+            tables.order_transactions(spark, sf_dir, position),
+            tables.lineitem_settlements(spark, sf_dir, position),
+        )
+    )
 
 
 # --- parsing -------------------------------------------------------------------------------------------------
@@ -224,7 +229,7 @@ def mismatch_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _ops_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return marts.mart_ops(tables.order_transactions(spark, sf_dir, category=True))
+    return marts.mart_ops(tables.categorised_transactions(spark, sf_dir))
 
 
 def _recon_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -419,7 +424,7 @@ def window_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def iforest_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    features = _features(spark, sf_dir)
+    features = store(_features(spark, sf_dir), "features")
     model = anomaly.fit_iforest(features, "window_start")
     return anomaly.score_iforest(features, model).withColumns({"window_start": _plain("window_start"), "window_end": _plain("window_end")})
 
@@ -427,7 +432,8 @@ def iforest_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def iforest_evaluate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Held-out windows as they are, and once more with a bank outage planted; the model has seen neither."""
-    train, held_out = anomaly.hash_split(_features(spark, sf_dir), "window_start", held_out=0.2)
+    features = store(_features(spark, sf_dir), "features")
+    train, held_out = anomaly.hash_split(features, "window_start", held_out=0.2)
     planted = held_out.withColumns(
         {
             "success_rate_pct": F.col("success_rate_pct") * 0.5,

@@ -60,14 +60,19 @@ def event_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return as_transactions(table(spark, sf_dir, "events"))
 
 
-def order_transactions(spark: SparkSession, sf_dir: str, category: bool = False) -> DataFrame:
-    """Orders as transactions; ``category`` joins the customer's segment and leaves out the row position."""
-    orders = table(spark, sf_dir, "orders", row_position=not category)
-    extra = [F.lit(None).cast("string").alias("merchant_category"), F.col(ROW_POSITION)]
-    if category:
-        customer = table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
-        orders = orders.join(customer, F.col("o_custkey") == F.col("c_custkey"))
-        extra = [F.col("c_mktsegment").alias("merchant_category")]
+def order_transactions(spark: SparkSession, sf_dir: str, row_position: bool = False) -> DataFrame:
+    """Orders as transactions, without the merchant category."""
+    return _as_orders(table(spark, sf_dir, "orders", row_position), [ROW_POSITION] if row_position else [])
+
+
+def categorised_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as transactions, with the customer's segment as merchant category."""
+    customer = table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
+    orders = table(spark, sf_dir, "orders").join(customer, F.col("o_custkey") == F.col("c_custkey"))
+    return _as_orders(orders, [F.col("c_mktsegment").alias("merchant_category")])
+
+
+def _as_orders(orders: DataFrame, extra: list) -> DataFrame:
     return orders.select(
         F.col("o_orderkey").cast("string").alias("transaction_id"),
         F.concat(F.lit("merchant_"), (F.col("o_custkey") % 100).cast("string")).alias("merchant_id"),
@@ -81,9 +86,9 @@ def order_transactions(spark: SparkSession, sf_dir: str, category: bool = False)
     )
 
 
-def lineitem_settlements(spark: SparkSession, sf_dir: str) -> DataFrame:
+def lineitem_settlements(spark: SparkSession, sf_dir: str, row_position: bool = False) -> DataFrame:
     """Line items as settlements: a fifth of the line numbers failed and carries 0, the rest the order's amount."""
-    lines = table(spark, sf_dir, "lineitem", row_position=True)
+    lines = table(spark, sf_dir, "lineitem", row_position)
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", "o_custkey")
     failed = F.col("l_linenumber") % 5 == 0
     return lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
@@ -94,7 +99,7 @@ def lineitem_settlements(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(failed, "failed").otherwise("settled").alias("settlement_status"),
         (F.col("l_quantity") * 10).cast("int").alias("delay_seconds"),
         F.col("l_shipdate").alias("event_time"),
-        ROW_POSITION,
+        *([ROW_POSITION] if row_position else []),
     )
 
 
