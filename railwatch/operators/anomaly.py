@@ -12,15 +12,20 @@ from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+import railwatch
 from railwatch.config import ForestConfig
 from railwatch.functions import count_where
 from railwatch.operators.health import FEATURES
 
+# The functions below travel to the executors with the job, so that those need no copy of the package.
+cloudpickle.register_pickle_by_value(railwatch)
+
 _NODE_SCHEMA = "tree_id int, node_id int, feature int, split double, rows int, depth int"
 _LEAF = -1
 _SCORE_DIGITS = 6

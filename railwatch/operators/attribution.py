@@ -11,6 +11,9 @@ from railwatch.functions import as_of_time, complement_pct, count_where, csv_lis
 # The four classifications.
 SHARED_RAIL, PLATFORM, BANK, HEALTHY = "NPCI_SIDE_ISSUE", "PLATFORM_SIDE_ISSUE", "BANK_SIDE_ISSUE", "HEALTHY"
 
+# Fixed value: text of an alert, with classification, banks and time.
+ALERT_TEXT = ":rotating_light: *%s* detected\nAffected: %s\nTime: %s"
+
 
 def attribute_failures(
     snapshot: DataFrame, cfg: AttributionConfig = AttributionConfig(), *, by: str | None = None, as_of=None
@@ -52,14 +55,8 @@ def bank_history(silver: DataFrame, cfg: AttributionConfig = AttributionConfig()
 
 def alert_feed(events: DataFrame) -> DataFrame:
     """The events to alert on, with the text of the alert."""
-    message = F.concat(
-        F.lit(":rotating_light: *"),
-        F.col("classification"),
-        F.lit("* detected\nAffected: "),
-        F.replace("affected_banks", F.lit(","), F.lit(", ")),
-        F.lit("\nTime: "),
-        F.col("detected_at"),
-    )
+    banks = F.replace("affected_banks", F.lit(","), F.lit(", "))
+    message = F.format_string(ALERT_TEXT, "classification", banks, "detected_at")
     return events.filter(F.col("classification") != HEALTHY).select(
         "classification", "affected_banks", "detected_at", message.alias("message")
     )

@@ -24,12 +24,8 @@ def lag_severity(lags: DataFrame, cfg: MonitorConfig = MonitorConfig()) -> DataF
 
 
 def lag_alerts(severities: DataFrame) -> DataFrame:
-    message = F.when(
-        F.col("severity") == "CRITICAL",
-        F.concat(F.lit("CRITICAL lag on "), "group_id", F.lit(": "), F.col("total_lag").cast("string"), F.lit(" messages")),
-    ).otherwise(
-        F.concat(F.lit("Elevated lag on "), "group_id", F.lit(": "), F.col("total_lag").cast("string"), F.lit(" messages"))
-    )
+    urgency = F.when(F.col("severity") == "CRITICAL", "CRITICAL").otherwise("Elevated")
+    message = F.format_string("%s lag on %s: %d messages", urgency, "group_id", "total_lag")
     return severities.filter(F.col("severity").isin("ALERT", "CRITICAL")).withColumn("message", message)
 
 

@@ -52,14 +52,13 @@ NO_SKEW = ReconSkew()
 
 
 def measure_skew(txns: DataFrame, settlements: DataFrame, cfg: SkewConfig = SkewConfig()) -> ReconSkew:
-    """Looks for hot ids of successful transactions and of settlements; runs one small job over each side.
+    """Looks for hot ids of successful transactions and of settlements, in one job over the two columns.
 
     Tables read with ``row_position`` are spread by it, so that copies of one row part too.
     """
     salt = lambda df: (ROW_POSITION,) if ROW_POSITION in df.columns else ()
-    return ReconSkew(
-        find_hot_keys(successful(txns), _KEY, cfg), find_hot_keys(settlements, _KEY, cfg), salt(txns), salt(settlements), cfg
-    )
+    txn_hot, settlement_hot = find_hot_keys(_KEY, successful(txns), settlements, cfg=cfg)
+    return ReconSkew(txn_hot, settlement_hot, salt(txns), salt(settlements), cfg)
 
 
 def read_for_join(

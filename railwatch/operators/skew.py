@@ -8,6 +8,7 @@ over several tasks. Without hot keys the join is the plain one.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame
@@ -24,16 +25,23 @@ class HotKey(NamedTuple):
     rows: int
 
 
-def find_hot_keys(df: DataFrame, key: str, cfg: SkewConfig = SkewConfig()) -> list[HotKey]:
-    """Keys with more rows than one task should take; null counts as a key. Runs one job over the key column.
+def find_hot_keys(key: str, *tables: DataFrame, cfg: SkewConfig = SkewConfig()) -> list[list[HotKey]]:
+    """For each table the keys with more rows than one task should take; null counts as a key.
 
-    The counts are estimates from a share of the rows; keys close to the limit may go either way, which costs time
-    at most. The list holds at most ``cfg.max_keys`` keys however large the table is.
+    Runs one job over the key columns. The counts are estimates from a share of the rows; keys close to the limit may
+    go either way, which costs time at most. All lists together hold at most ``cfg.max_keys`` keys, the hottest,
+    however large the tables are.
     """
     share = min(1.0, cfg.seen_rows / cfg.rows_per_task)
-    counted = df.select(key).sample(share, seed=cfg.seed).groupBy(key).agg(F.count(F.lit(1)).alias("seen"))
+    sampled = [
+        df.select(F.col(key).alias("key"), F.lit(i).alias("table")).sample(share, seed=cfg.seed) for i, df in enumerate(tables)
+    ]
+    counted = reduce(DataFrame.unionByName, sampled).groupBy("table", "key").agg(F.count(F.lit(1)).alias("seen"))
     hot = counted.filter(F.col("seen") > cfg.rows_per_task * share).orderBy(F.desc("seen")).limit(cfg.max_keys)
-    return [HotKey(row[key], round(row["seen"] / share)) for row in hot.collect()]
+    found: list[list[HotKey]] = [[] for _ in tables]
+    for row in hot.collect():
+        found[row["table"]].append(HotKey(row["key"], round(row["seen"] / share)))
+    return found
 
 
 def skew_join(

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pandas as pd
 import pytest
@@ -51,6 +53,29 @@ def test_planted_trouble_is_found(windows, model):
     assert result.recall > 0.85 and result.precision > 0.6
 
 
+def test_scores_equal_a_walk_through_the_nodes(windows, model):
+    """Brute force: one row, one tree, one node at a time."""
+    nodes = {(n.tree_id, n.node_id): n for n in model.nodes.collect()}
+    trees = {t for t, _ in nodes}
+    assert len(trees) == 100
+    # Every inner node has both children, and they share its rows.
+    for (tree, node), n in nodes.items():
+        if n.feature >= 0:
+            assert nodes[tree, 2 * node].rows + nodes[tree, 2 * node + 1].rows == n.rows
+            assert min(nodes[tree, 2 * node].rows, nodes[tree, 2 * node + 1].rows) > 0
+    harmonic = lambda n: math.log(n) + 0.5772156649015329
+    expected_path = lambda n: 0.0 if n <= 1 else 1.0 if n == 2 else 2 * harmonic(n - 1) - 2 * (n - 1) / n
+    for row in anomaly.anomaly_scores(windows.filter("id % 500 = 3"), model).collect():
+        total = 0.0
+        for tree in trees:
+            node = 1
+            while nodes[tree, node].feature >= 0:
+                n = nodes[tree, node]
+                node = 2 * node + (row[FEATURES[n.feature]] > n.split)
+            total += nodes[tree, node].depth + expected_path(nodes[tree, node].rows)
+        assert row.score == pytest.approx(2 ** (-total / len(trees) / expected_path(256)), abs=1e-6)
+
+
 def test_same_scores_for_any_partitioning(windows):
     cfg = ForestConfig(trees=20, sample_size=64)
     normal = windows.filter("kind = 'normal'")

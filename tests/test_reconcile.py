@@ -139,13 +139,10 @@ def skewed(spark, folder):
 
 def test_hot_keys_are_found(spark, folder):
     txns, settlements = skewed(spark, folder)(False)
-    assert {k.key: k.rows for k in find_hot_keys(txns, "transaction_id", SMALL)} == {
-        "hot": 100,
-        "only_t": 60,
-        None: 50,
-        "failed_hot": 60,
-    }
-    assert find_hot_keys(settlements, "transaction_id") == []
+    hot_txns, hot_settlements = find_hot_keys("transaction_id", txns, settlements, cfg=SMALL)
+    assert dict(hot_txns) == {"hot": 100, "only_t": 60, None: 50, "failed_hot": 60}
+    assert dict(hot_settlements) == {"hot": 90, "only_s": 60, "failed_hot": 40, None: 50}
+    assert find_hot_keys("transaction_id", txns, settlements) == [[], []]
 
 
 @pytest.mark.parametrize("how", ["inner", "left", "full", "left_anti", "left_semi"])
@@ -155,8 +152,8 @@ def test_skew_join_equals_the_plain_join(spark, folder, how, position):
     salt = ["row_position"] if position else []
     left = left.select("transaction_id", "amount_inr", *salt)
     right = right.select("transaction_id", "settlement_id", "settled_amount_inr", *salt)
-    hot = dict(left_hot=find_hot_keys(left, "transaction_id", SMALL), right_hot=find_hot_keys(right, "transaction_id", SMALL))
-    got = skew_join(left, right, "transaction_id", how, **hot, left_salt=salt, right_salt=salt, cfg=SMALL)
+    left_hot, right_hot = find_hot_keys("transaction_id", left, right, cfg=SMALL)
+    got = skew_join(left, right, "transaction_id", how, left_hot=left_hot, right_hot=right_hot, left_salt=salt, right_salt=salt, cfg=SMALL)
     expected = left.drop(*salt).join(right.drop(*salt), "transaction_id", how)
     assert got.columns == expected.columns
     assert rows(got) == rows(expected)
@@ -169,7 +166,7 @@ def test_hot_key_is_spread_over_tasks(spark, folder):
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        hot = find_hot_keys(right, "transaction_id", SMALL)
+        (hot,) = find_hot_keys("transaction_id", right, cfg=SMALL)
         one = left.select("transaction_id").filter("transaction_id = 'hot'").limit(1)
         joined = skew_join(one, right, "transaction_id", "left", right_hot=hot, right_salt=salt, cfg=SMALL)
         tasks = joined.groupBy(F.spark_partition_id()).count().collect()
