@@ -25,7 +25,10 @@ DLQ_TABLES = ("dlq_transactions", "dlq_settlements")
 
 
 def type_transactions(spark: SparkSession, root: str, fmt: str = "parquet") -> int:
-    """Bronze JSON to typed rows, by date. Parsed once here; jobs on it prune columns and dates at the scan."""
+    """Bronze JSON to typed rows, by date, for a table the stream did not write.
+
+    Parsed once here; jobs on the typed rows prune columns and dates at the scan.
+    """
     bronze = read_table(spark, f"{root}/bronze_transactions", fmt)
     typed = staged_transactions(parse_topic(bronze, TRANSACTIONS).valid)
     return write_mart(typed, f"{root}/typed_transactions", fmt, partition_by="event_date")

@@ -306,6 +306,8 @@ ORACLES: dict[str, str] = {
         from events where not {_IS_BAD}""",
     "stream_silver_windows": f"""with {_EVENT_TXN}, good as ({_WELL_FORMED}), {_sliding("good")}
         select * from silver where window_end <= (select max(event_time) - interval 60 second from good)""",
+    "stream_typed_rows": f"""with {_EVENT_TXN}, good as ({_WELL_FORMED} and event_date >= date '2024-01-16'),
+        mart as ({_OPS_MART.format("good")}) {_ROUNDED_OPS}""",
     "stream_recon_join": f"""with t as (
           select cast(o_orderkey as varchar) as transaction_id, 'merchant_' || (o_custkey % 100) as merchant_id,
             o_totalprice as amount_inr, o_orderdate as txn_time from orders where o_orderstatus = 'O'),

@@ -28,7 +28,7 @@ from railwatch.sources.tables import (
     store,
     write_mart,
 )
-from railwatch.streaming.pipelines import Sink, finish, reconcile_stream, silver_windows, start_pipeline
+from railwatch.streaming.pipelines import ROWS, WINDOWS_AND_ROWS, Output, Sink, finish, reconcile_stream, silver_windows, start_pipeline
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -450,9 +450,9 @@ def iforest_evaluate(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- streams -------------------------------------------------------------------------------------------------
 
 
-def _run_stream(spark: SparkSession, name: str, raw: DataFrame, spec: EventSpec, *silver) -> str:
+def _run_stream(spark: SparkSession, name: str, raw: DataFrame, spec: EventSpec, outputs=ROWS) -> str:
     root = scratch_path(spark, name)
-    finish(start_pipeline(raw, spec, Sink(f"{root}/tables", f"{root}/checkpoints", once=True), *silver))
+    finish(start_pipeline(raw, spec, Sink(f"{root}/tables", f"{root}/checkpoints", once=True), outputs))
     return f"{root}/tables"
 
 
@@ -480,10 +480,19 @@ def stream_silver_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def stream_silver_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = decode_envelope(tables.raw_transactions(tables.table_stream(spark, sf_dir, "events")))
-    out = _run_stream(spark, "windows", raw, TRANSACTIONS, silver_windows)
+    out = _run_stream(spark, "windows", raw, TRANSACTIONS, {"silver": Output(silver_windows)})
     return _flat(read_table(spark, f"{out}/silver_transactions"))
 
 
+@query
+def stream_typed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Typed transactions by date, written by the stream; the ops mart of some days reads only those."""
+    raw = decode_envelope(tables.raw_transactions(tables.table_stream(spark, sf_dir, "events")))
+    out = _run_stream(spark, "typed", raw, TRANSACTIONS, {"typed": WINDOWS_AND_ROWS["typed"]})
+    days = read_table(spark, f"{out}/typed_transactions").filter(F.col("event_date") >= F.lit("2024-01-16").cast("date"))
+    return _rounded(marts.mart_ops(days), 2, "total_volume_inr")
+
+
 @query
 def stream_recon_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = tables.table_stream(spark, sf_dir, "orders").select(

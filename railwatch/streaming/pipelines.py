@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,7 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from railwatch.config import WindowConfig
 from railwatch.operators.health import window_health
-from railwatch.operators.parse import EventSpec, parse_topic
+from railwatch.operators.parse import EventSpec, parse_topic, staged_transactions
 
 
 @dataclass(frozen=True)
@@ -24,8 +25,10 @@ class Sink:
     once: bool = False
     interval: str | None = None
 
-    def start(self, df: DataFrame, name: str) -> StreamingQuery:
+    def start(self, df: DataFrame, name: str, partition_by: str | None = None) -> StreamingQuery:
         writer = df.writeStream.format(self.fmt).outputMode("append").queryName(name)
+        if partition_by:
+            writer = writer.partitionBy(partition_by)
         writer = writer.option("checkpointLocation", f"{self.checkpoints}/{name}")
         if self.once:
             writer = writer.trigger(availableNow=True)
@@ -48,25 +51,34 @@ def silver_rows(valid: DataFrame) -> DataFrame:
     return valid.drop("event_date")
 
 
+class Output(NamedTuple):
+    """A table made of the typed rows."""
+
+    make: Callable[[DataFrame], DataFrame]
+    partition_by: str | None = None
+
+
+ROWS = {"silver": Output(silver_rows)}
+# Windows for the health of methods; typed rows by date for joins and marts, which windows are too coarse for.
+WINDOWS_AND_ROWS = {"silver": Output(silver_windows), "typed": Output(staged_transactions, "event_date")}
+
+
 def start_pipeline(
-    raw: DataFrame,
-    spec: EventSpec,
-    sink: Sink,
-    silver: Callable[[DataFrame], DataFrame] = silver_rows,
-    *,
-    strict: bool = True,
+    raw: DataFrame, spec: EventSpec, sink: Sink, outputs: dict[str, Output] = ROWS, *, strict: bool = True
 ) -> list[StreamingQuery]:
-    """Starts bronze, dead-letter and silver queries over one raw stream.
+    """Starts a bronze query, a dead-letter query and one query per output over one raw stream.
 
-    The three are independent: each reads the source itself and restarts from its own checkpoint, so that one
-    failing sink holds up no other.
+    They are independent: each reads the source itself and restarts from its own checkpoint, so that one failing sink
+    holds up no other.
     """
     parsed = parse_topic(raw, spec, strict)
-    return [
+    queries = [
         sink.start(raw.select("key", "value", "kafka_timestamp"), f"bronze_{spec.topic}"),
         sink.start(parsed.dlq, f"dlq_{spec.topic}"),
-        sink.start(silver(parsed.valid), f"silver_{spec.topic}"),
     ]
+    for name, output in outputs.items():
+        queries.append(sink.start(output.make(parsed.valid), f"{name}_{spec.topic}", output.partition_by))
+    return queries
 
 
 def finish(queries: list[StreamingQuery]) -> None:

@@ -10,11 +10,11 @@ from railwatch import schemas
 from railwatch.config import WindowConfig
 from railwatch.operators.health import closed_windows, window_health
 from railwatch.operators.monitor import lag_severity, stream_staleness
-from railwatch.operators.parse import EVENT_SPECS, PAYOUTS, SETTLEMENTS, TRANSACTIONS, parse_topic
+from railwatch.operators.parse import EVENT_SPECS, PAYOUTS, SETTLEMENTS, TRANSACTIONS, parse_topic, staged_transactions
 from railwatch.sources.progress import checkpoint_times, lag_from_progress
 from railwatch.sources.streams import event_stream
 from railwatch.sources.tables import read_table
-from railwatch.streaming.pipelines import Sink, finish, progress_rows, reconcile_stream, silver_windows, start_pipeline
+from railwatch.streaming.pipelines import WINDOWS_AND_ROWS, Sink, finish, progress_rows, reconcile_stream, start_pipeline
 from tests.helpers import at, rows
 
 
@@ -36,9 +36,9 @@ def drop(spark, folder, values):
     spark.createDataFrame(data, schemas.BRONZE).coalesce(1).write.mode("append").parquet(f"{folder}/in")
 
 
-def run(spark, folder, spec=TRANSACTIONS, *silver):
+def run(spark, folder, spec=TRANSACTIONS, *outputs):
     raw = event_stream(spark, spec.topic, "parquet", path=f"{folder}/in", schema=schemas.BRONZE, max_per_trigger=1)
-    queries = start_pipeline(raw, spec, Sink(f"{folder}/out", f"{folder}/checkpoints", once=True), *silver)
+    queries = start_pipeline(raw, spec, Sink(f"{folder}/out", f"{folder}/checkpoints", once=True), *outputs)
     finish(queries)
     return queries
 
@@ -51,7 +51,7 @@ def test_one_source_feeds_bronze_dead_letters_and_windows(spark, folder):
     good = [transaction(i, at("10:00:00") + timedelta(seconds=13 * i)) for i in range(60)]
     bad = ["{", "[1]", None, "{}"]
     drop(spark, folder, good + bad + [transaction(99, None)])
-    run(spark, folder, TRANSACTIONS, silver_windows)
+    run(spark, folder, TRANSACTIONS, WINDOWS_AND_ROWS)
 
     assert table(spark, folder, "bronze_transactions").count() == 65
     assert table(spark, folder, "dlq_transactions").count() == 4
@@ -61,6 +61,8 @@ def test_one_source_feeds_bronze_dead_letters_and_windows(spark, folder):
     got = table(spark, folder, "silver_transactions")
     assert got.count() > 0
     assert rows(got.select(*expected.columns)) == rows(expected)
+    staged = staged_transactions(typed)
+    assert rows(table(spark, folder, "typed_transactions").select(*staged.columns)) == rows(staged)
 
 
 @pytest.mark.parametrize("spec", [SETTLEMENTS, PAYOUTS])
@@ -90,7 +92,7 @@ def test_late_events(spark, folder):
     batches = [[("a", "10:00:30")], [("b", "10:20:00")], [("c", "10:19:10")], [("late", "10:00:40"), ("d", "10:20:30")], [("e", "10:40:00")]]
     for batch in batches:
         drop(spark, folder, [transaction(1, at(t), payment_method=m) for m, t in batch])
-        run(spark, folder, TRANSACTIONS, silver_windows)
+        run(spark, folder, TRANSACTIONS, WINDOWS_AND_ROWS)
     got = table(spark, folder, "silver_transactions").groupBy("payment_method").agg(F.count("*").alias("windows"), F.max("total_transactions").alias("n"))
     assert rows(got) == [("a", 5, 1), ("b", 5, 1), ("c", 5, 1), ("d", 5, 1)]
 
