@@ -35,7 +35,8 @@ def count_where(condition: Column) -> Column:
 
 
 def rate_pct(part: Column | str, total: Column | str) -> Column:
-    return _col(part) / _col(total) * 100
+    """The rate in percent, null where the total is 0."""
+    return F.try_divide(_col(part), _col(total)) * 100
 
 
 def safe_rate_pct(part: Column | str, total: Column | str) -> Column:

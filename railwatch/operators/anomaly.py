@@ -48,7 +48,7 @@ def _unit_hash(*columns) -> Column:
 
 def hash_sample(df: DataFrame, key: str, n: int, seed: int = 42) -> DataFrame:
     """The ``n`` rows first in the order of a seeded hash of the key: the same rows in every run."""
-    return df.orderBy(F.xxhash64(F.col(key), F.lit(seed)), key).limit(n)
+    return df.orderBy(F.md5(F.concat_ws(":", F.col(key).cast("string"), F.lit(seed))), key).limit(n)
 
 
 def hash_split(df: DataFrame, key: str, held_out: float, seed: int = 42) -> tuple[DataFrame, DataFrame]:
@@ -62,12 +62,12 @@ def _tree_samples(df: DataFrame, key: str, features: Sequence[str], rows: int, c
 
     A row becomes a candidate of a tree with a chance that gives about twice the sample; only candidates are
     shuffled, and copies of a key are combined before that. On very large input one cheap hash first keeps a pool of
-    64 times the rows all trees need, so that the hash per tree runs on the pool only.
+    16 times the rows all trees need, so that the hash per tree runs on the pool only.
     """
     need = cfg.sample_size * cfg.trees
     id_text = F.col(key).cast("string")
     pool = df.select(id_text.alias("row_key"), *[F.col(f).cast("double").alias(f) for f in features]).na.drop()
-    share = min(1.0, 64 * need / max(rows, 1))
+    share = min(1.0, 16 * need / max(rows, 1))
     if share < 1.0:
         pool = pool.filter(_unit_hash(F.col("row_key"), F.lit(cfg.seed), F.lit("pool")) < share)
     chance = min(1.0, 2 * cfg.sample_size / max(rows * share, 1))

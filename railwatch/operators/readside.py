@@ -27,13 +27,14 @@ def kpi_ops(mart: DataFrame) -> DataFrame:
 def kpi_by_method(mart: DataFrame, weighted: bool = False) -> DataFrame:
     """Totals per payment method with the band of the success rate.
 
-    Latency is the mean of the mart rows' means; ``weighted`` weighs each by its transactions.
+    Latency is the mean of the mart rows' means; ``weighted`` weighs each by its transactions. Here and below, rows
+    without the grouping value are left out.
     """
     latency = F.avg("avg_response_time_ms")
     if weighted:
         known = F.when(F.col("avg_response_time_ms").isNotNull(), F.col("total_transactions"))
         latency = F.sum(F.col("avg_response_time_ms") * known) / F.sum(known)
-    totals = mart.groupBy("payment_method").agg(
+    totals = mart.filter(F.col("payment_method").isNotNull()).groupBy("payment_method").agg(
         F.sum("total_transactions").alias("total_transactions"),
         F.sum("success_count").alias("success_count"),
         latency.alias("avg_response_time_ms"),
@@ -43,7 +44,8 @@ def kpi_by_method(mart: DataFrame, weighted: bool = False) -> DataFrame:
 
 
 def volume_by(mart: DataFrame, column: str = "merchant_category") -> DataFrame:
-    return mart.groupBy(column).agg(F.sum("total_volume_inr").alias("total_volume_inr"))
+    """Volume per value of a column, 0 where all amounts are unknown."""
+    return mart.filter(F.col(column).isNotNull()).groupBy(column).agg(_total("total_volume_inr").alias("total_volume_inr"))
 
 
 def health_pivot(mart: DataFrame, dates: list[date] | None = None, prefix: str = "upi_") -> DataFrame:
@@ -72,7 +74,8 @@ def kpi_settlement(mart: DataFrame) -> DataFrame:
 
 def top_merchants(mart: DataFrame, n: int = 15) -> DataFrame:
     """The merchants with the largest discrepancy; one whose amounts are all unknown counts as 0."""
-    totals = mart.groupBy("merchant_id").agg(_total("amount_discrepancy").alias("amount_discrepancy"))
+    known = mart.filter(F.col("merchant_id").isNotNull())
+    totals = known.groupBy("merchant_id").agg(_total("amount_discrepancy").alias("amount_discrepancy"))
     return totals.orderBy(F.desc("amount_discrepancy"), "merchant_id").limit(n)
 
 

@@ -176,6 +176,34 @@ _PIVOT_DAYS = ", ".join(
 
 _WELL_FORMED = "select * from etxn where event_id % 17 not in (0, 1, 2)"
 
+_WINDOW_FEATURES = f"""with {_EVENT_TXN},
+        counted as (
+          select window_start, payment_method, count(*) as n, count(*) filter (where status = 'success') as good,
+            count(*) filter (where status = 'timeout') as late, sum(response_time_ms) as latency
+          from (select *, time_bucket(interval 15 minute, event_time) - k * interval 15 minute as window_start
+                from etxn, range(0, 4) as r(k))
+          group by 1, 2),
+        fleet as (
+          select window_start, sum(n) as n, sum(good) / sum(n) * 100 as success_rate_pct,
+            sum(latency) / sum(n) as avg_response_time_ms, sum(late) / sum(n) * 100 as timeout_rate_pct,
+            coalesce(max(100 - good / n * 100) filter (where payment_method like 'upi%'), 0) as max_single_bank_failure_rate
+          from counted group by 1),
+        baseline as (
+          select *, avg(n) over past as mean, stddev_samp(n) over past as spread from fleet
+          window past as (order by window_start range between interval 6 hour preceding and interval 1 second preceding))
+        select window_start, window_start + interval 1 hour as window_end, success_rate_pct, avg_response_time_ms,
+          round(case when spread > 0 then (n - mean) / spread else 0 end, 4) as volume_zscore, timeout_rate_pct,
+          max_single_bank_failure_rate
+        from baseline"""
+
+_PAYOUT_MART = """select cast(l_shipdate as date) as event_date, l_returnflag as platform,
+          l_linestatus as recipient_type, count(*) as total_payouts,
+          cast(count(*) filter (where l_quantity > 40) as bigint) as delayed_count,
+          cast(count(*) filter (where not l_quantity > 40) as bigint) as paid_count,
+          round(sum(l_extendedprice), 2) as total_payout_volume_inr,
+          avg(cast(floor(l_quantity * 10) as integer)) as avg_delay_minutes
+        from lineitem group by 1, 2, 3"""
+
 ORACLES: dict[str, str] = {
     "json_parse_typed": f"with {_EVENT_TXN} select * exclude (event_id) from ({_WELL_FORMED})",
     "dlq_split": f"""select case when {_IS_BAD} then 'dlq' else 'valid' end as route,
@@ -227,13 +255,7 @@ ORACLES: dict[str, str] = {
     "mart_ops_metrics": f"{_OPS} {_ROUNDED_OPS}",
     "mart_settlement_recon": f"{_RECON_MART} select * from mart",
     "mart_settlement_recon_rows": f"{_RECON_MART} select * from mart",
-    "mart_payout_health": """select cast(l_shipdate as date) as event_date, l_returnflag as platform,
-          l_linestatus as recipient_type, count(*) as total_payouts,
-          cast(count(*) filter (where l_quantity > 40) as bigint) as delayed_count,
-          cast(count(*) filter (where not l_quantity > 40) as bigint) as paid_count,
-          round(sum(l_extendedprice), 2) as total_payout_volume_inr,
-          avg(cast(floor(l_quantity * 10) as integer)) as avg_delay_minutes
-        from lineitem group by 1, 2, 3""",
+    "mart_payout_health": _PAYOUT_MART,
     "kpi_ops": f"""{_OPS} select cast(sum(total_transactions) as bigint) as total_transactions,
           cast(sum(success_count) as bigint) as success_count, round(sum(total_volume_inr), 2) as total_volume_inr,
           sum(success_count) / sum(total_transactions) * 100 as success_rate_pct from mart""",
@@ -281,25 +303,9 @@ ORACLES: dict[str, str] = {
           || group_id || ': ' || total_lag || ' messages' as message
         from severities where severity in ('ALERT', 'CRITICAL')""",
     "checkpoint_staleness": _STALE,
-    "window_features": f"""with {_EVENT_TXN},
-        counted as (
-          select window_start, payment_method, count(*) as n, count(*) filter (where status = 'success') as good,
-            count(*) filter (where status = 'timeout') as late, sum(response_time_ms) as latency
-          from (select *, time_bucket(interval 15 minute, event_time) - k * interval 15 minute as window_start
-                from etxn, range(0, 4) as r(k))
-          group by 1, 2),
-        fleet as (
-          select window_start, sum(n) as n, sum(good) / sum(n) * 100 as success_rate_pct,
-            sum(latency) / sum(n) as avg_response_time_ms, sum(late) / sum(n) * 100 as timeout_rate_pct,
-            coalesce(max(100 - good / n * 100) filter (where payment_method like 'upi%'), 0) as max_single_bank_failure_rate
-          from counted group by 1),
-        baseline as (
-          select *, avg(n) over past as mean, stddev_samp(n) over past as spread from fleet
-          window past as (order by window_start range between interval 6 hour preceding and interval 1 second preceding))
-        select window_start, window_start + interval 1 hour as window_end, success_rate_pct, avg_response_time_ms,
-          round(case when spread > 0 then (n - mean) / spread else 0 end, 4) as volume_zscore, timeout_rate_pct,
-          max_single_bank_failure_rate
-        from baseline""",
+    "window_features": _WINDOW_FEATURES,
+    "window_sample": f"""select * from ({_WINDOW_FEATURES})
+        order by md5(cast(window_start as varchar) || ':42'), window_start limit 1000""",
     "stream_bronze": "select cast(event_id as varchar) as key, ts as kafka_timestamp from events",
     "stream_dlq": f"select {_BAD_JSON} as json_value, ts as kafka_timestamp from events where {_IS_BAD}",
     "stream_silver_rows": f"""select cast(regexp_extract(props, '[0-9]+') as integer) as k, ts as kafka_timestamp
@@ -308,6 +314,7 @@ ORACLES: dict[str, str] = {
         select * from silver where window_end <= (select max(event_time) - interval 60 second from good)""",
     "stream_typed_rows": f"""with {_EVENT_TXN}, good as ({_WELL_FORMED} and event_date >= date '2024-01-16'),
         mart as ({_OPS_MART.format("good")}) {_ROUNDED_OPS}""",
+    "stream_payout_mart": _PAYOUT_MART,
     "stream_recon_join": f"""with t as (
           select cast(o_orderkey as varchar) as transaction_id, 'merchant_' || (o_custkey % 100) as merchant_id,
             o_totalprice as amount_inr, o_orderdate as txn_time from orders where o_orderstatus = 'O'),

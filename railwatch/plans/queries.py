@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from railwatch import schemas
 from railwatch.config import BANK_METHODS, ForestConfig, MonitorConfig, WindowConfig
 from railwatch.operators import anomaly, attribution, health, marts, monitor, quality, readside, reconcile
-from railwatch.operators.parse import TRANSACTIONS, EventSpec, parse_events, parse_topic, staged_transactions
+from railwatch.operators.parse import PAYOUTS, TRANSACTIONS, EventSpec, parse_events, parse_topic, staged_transactions
 from railwatch.plans import tables
 from railwatch.plans.jobs import register_payment_views
 from railwatch.sources import progress
@@ -422,6 +422,13 @@ def window_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return features.withColumns({"window_start": _plain("window_start"), "window_end": _plain("window_end")})
 
 
+@query
+def window_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A thousand windows, the same in every run."""
+    sample = _rounded(anomaly.hash_sample(_features(spark, sf_dir), "window_start", 1000), 4, "volume_zscore")
+    return sample.withColumns({"window_start": _plain("window_start"), "window_end": _plain("window_end")})
+
+
 @query
 def iforest_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     features = store(_features(spark, sf_dir), "features")
@@ -493,6 +500,14 @@ def stream_typed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(marts.mart_ops(days), 2, "total_volume_inr")
 
 
+@query
+def stream_payout_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The payout mart from the table its stream writes."""
+    raw = tables.raw_payouts(tables.table_stream(spark, sf_dir, "lineitem"))
+    out = _run_stream(spark, "payouts", raw, PAYOUTS)
+    return _rounded(marts.mart_payout(read_table(spark, f"{out}/silver_payouts")), 2, "total_payout_volume_inr")
+
+
 @query
 def stream_recon_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = tables.table_stream(spark, sf_dir, "orders").select(

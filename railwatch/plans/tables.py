@@ -144,6 +144,23 @@ def raw_props(events: DataFrame) -> DataFrame:
     )
 
 
+def raw_payouts(lines: DataFrame) -> DataFrame:
+    """Line items as raw payout JSON."""
+    time = F.date_format("l_shipdate", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx")
+    event = F.struct(
+        F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("payout_id"),
+        F.col("l_returnflag").alias("platform"),
+        F.col("l_linestatus").alias("recipient_type"),
+        F.col("l_extendedprice").alias("payout_amount_inr"),
+        F.when(F.col("l_quantity") > 40, "delayed").otherwise("paid").alias("payout_status"),
+        (F.col("l_quantity") * 10).cast("int").alias("delay_minutes"),
+        time.alias("expected_payout_time"),
+    )
+    return lines.select(
+        event["payout_id"].alias("key"), F.to_json(event).alias("value"), F.col("l_shipdate").cast("timestamp").alias("kafka_timestamp")
+    )
+
+
 def table_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A given table as a file stream. The source wants a pattern, not the name of one file."""
     schema = table(spark, sf_dir, name).schema

@@ -47,6 +47,7 @@ MART = [
     ("upi_hdfc", "mobility", 10, 9, 1, 100.0, 300.0),
     ("upi_hdfc", "ecommerce", 30, 30, 0, 50.0, 500.0),
     ("gpay", "mobility", 10, 5, 0, None, None),
+    ("gpay", "transit", 0, 0, 0, None, None),
 ]
 
 
@@ -59,7 +60,15 @@ def test_kpis(spark):
         ("upi_hdfc", 40, 39, 400.0, 97.5, "green"),
     ]
     assert {r[0]: r.avg_response_time_ms for r in readside.kpi_by_method(mart, weighted=True).collect()} == {"gpay": None, "upi_hdfc": 450.0}
-    assert rows(readside.volume_by(mart)) == [("ecommerce", 50.0), ("mobility", 100.0)]
+    assert rows(readside.volume_by(mart)) == [("ecommerce", 50.0), ("mobility", 100.0), ("transit", 0.0)]
+
+
+def test_rows_without_the_grouping_value_are_left_out(spark):
+    mart = ops_mart(spark, (None, None, 10, 9, 1, 100.0, 300.0), ("gpay", "mobility", 0, 0, 0, None, None))
+    assert rows(readside.kpi_by_method(mart)) == [("gpay", 0, 0, None, None, "red")]
+    assert rows(readside.volume_by(mart)) == [("mobility", 0.0)]
+    assert readside.kpi_ops(mart).first()[:] == (10, 9, 100.0, 90.0)
+    assert rows(readside.top_merchants(recon_mart(spark, (None, 1, 0, 5.0), ("m", 1, 0, 1.0)))) == [("m", 1.0)]
 
 
 def test_kpis_of_empty_marts(spark):
