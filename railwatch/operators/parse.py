@@ -18,9 +18,9 @@ class EventSpec(NamedTuple):
     """What the pipeline must know of one topic."""
 
     topic: str
-    schema: StructType
+    schema: StructType | str
     key: str
-    time_column: str
+    time_column: str | None
 
 
 TRANSACTIONS = EventSpec("transactions", schemas.TRANSACTION, "transaction_id", "timestamp")
@@ -35,14 +35,24 @@ class Parsed(NamedTuple):
 
 
 def parse_events(
-    bronze: DataFrame, schema: StructType, key: str, time_column: str | None = None, *, value: str = "value", strict: bool = True
+    bronze: DataFrame,
+    schema: StructType | str,
+    key: str,
+    time_column: str | None = None,
+    *,
+    value: str = "value",
+    strict: bool = True,
 ) -> Parsed:
     """Splits raw rows into typed valid rows and malformed ones. Works on batches and streams.
 
+    ``schema`` is a struct type or its DDL text.
+
     A permissive parse turns broken JSON into a struct of nulls, so a null test on the struct alone misses it.
     ``strict`` also sends a row to the dead letters when the parser reports it corrupt or its key is null;
     ``strict=False`` keeps only the null test.
     """
+    if isinstance(schema, str):
+        schema = StructType.fromDDL(schema)
     # A record that does not fit the schema lands in its last field as text.
     full = schemas.plus(schema, **{_CORRUPT: "string"})
     data = F.from_json(value, full, {"columnNameOfCorruptRecord": _CORRUPT})

@@ -29,7 +29,8 @@ def between(column: str, low: float | None = None, high: float | None = None) ->
         raise ValueError("give at least one bound")
     tests = [F.col(column) < low] if low is not None else []
     tests += [F.col(column) > high] if high is not None else []
-    return Check(f"{column} is in [{'-' if low is None else low}, {'-' if high is None else high}]", reduce(Column.__or__, tests))
+    bounds = ", ".join("-" if bound is None else str(bound) for bound in (low, high))
+    return Check(f"{column} is in [{bounds}]", reduce(Column.__or__, tests))
 
 
 def at_most(column: str, limit: str) -> Check:

@@ -188,10 +188,19 @@ def mismatch_log(
     whose settlement has no id counts as a transaction without settlement.
     """
     t = successful(txns).select(
-        _KEY, F.col("merchant_id").alias("txn_merchant"), "amount_inr", "event_time", F.lit(True).alias("in_txns"), *skew.txn_salt
+        _KEY,
+        F.col("merchant_id").alias("txn_merchant"),
+        "amount_inr",
+        "event_time",
+        F.lit(True).alias("in_txns"),
+        *skew.txn_salt,
     )
     s = settlements.select(
-        _KEY, F.col("merchant_id").alias("settlement_merchant"), "settlement_id", "settled_amount_inr", *skew.settlement_salt
+        _KEY,
+        F.col("merchant_id").alias("settlement_merchant"),
+        "settlement_id",
+        "settled_amount_inr",
+        *skew.settlement_salt,
     )
     pairs = skew_join(t, s, _KEY, "full", **skew.txns_left())
     in_txns, settled = F.col("in_txns").isNotNull(), F.col("settlement_id").isNotNull()

@@ -6,7 +6,6 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from railwatch import schemas
 from railwatch.config import BANK_METHODS, ForestConfig, MonitorConfig, WindowConfig
@@ -28,14 +27,23 @@ from railwatch.sources.tables import (
     store,
     write_mart,
 )
-from railwatch.streaming.pipelines import ROWS, WINDOWS_AND_ROWS, Output, Sink, finish, reconcile_stream, silver_windows, start_pipeline
+from railwatch.streaming.pipelines import (
+    ROWS,
+    WINDOWS_AND_ROWS,
+    Output,
+    Sink,
+    finish,
+    reconcile_stream,
+    silver_windows,
+    start_pipeline,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 AS_OF = "2024-02-01 00:00:00"
 HOURLY = WindowConfig(length="1 hour", slide="15 minutes")
-PROPS = EventSpec("events", T.StructType([T.StructField("k", T.IntegerType())]), "k", "ts")
+PROPS = EventSpec("events", "k INT", "k", None)
 STREAM_DELAY_DAYS = 365
 
 
@@ -51,8 +59,11 @@ def _plain(c: str) -> Column:
 
 def _flat(df: DataFrame) -> DataFrame:
     """Bounds of ``window`` as two columns."""
-    bounds = [F.col("window.start").cast("timestamp_ntz").alias("window_start"), F.col("window.end").cast("timestamp_ntz").alias("window_end")]
-    return df.select(*bounds, *[c for c in df.columns if c != "window"])
+    return df.select(
+        F.col("window.start").cast("timestamp_ntz").alias("window_start"),
+        F.col("window.end").cast("timestamp_ntz").alias("window_end"),
+        *[c for c in df.columns if c != "window"],
+    )
 
 
 def _rounded(df: DataFrame, digits: int, *columns: str) -> DataFrame:
@@ -95,10 +106,9 @@ def dlq_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every raw record on exactly one of the two branches."""
     bronze = tables.raw_props(tables.table(spark, sf_dir, "events"))
     valid, dlq = parse_events(bronze, PROPS.schema, PROPS.key)
-    typed = valid.select(F.lit("valid").alias("route"), "k", F.lit(None).cast("string").alias("json_value"), _plain("kafka_timestamp"))
-    return typed.unionByName(
-        dlq.select(F.lit("dlq").alias("route"), F.lit(None).cast("int").alias("k"), "json_value", _plain("kafka_timestamp"))
-    )
+    typed = valid.select(F.lit("valid").alias("route"), "k", _plain("kafka_timestamp"))
+    malformed = dlq.select(F.lit("dlq").alias("route"), "json_value", _plain("kafka_timestamp"))
+    return typed.unionByName(malformed, allowMissingColumns=True)
 
 
 @query
@@ -204,7 +214,8 @@ def settlement_delayed(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def orphan_settlements(spark: SparkSession, sf_dir: str) -> DataFrame:
     txns, settlements, skew = _recon_inputs(spark, sf_dir)
-    return reconcile.orphans(txns, settlements, skew=skew).select("settlement_id", "transaction_id", "merchant_id", "settled_amount_inr")
+    found = reconcile.orphans(txns, settlements, skew=skew)
+    return found.select("settlement_id", "transaction_id", "merchant_id", "settled_amount_inr")
 
 
 @query
@@ -355,8 +366,10 @@ def dq_ops_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def dq_recon_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The suite of the mart, and a check the data violates: without settlements the sum is missing."""
-    checks = quality.recon_mart_checks() + [quality.not_null("total_settled_amount"), quality.between("amount_discrepancy", None, 0)]
-    return quality.run_checks(_rounded(_recon_mart(spark, sf_dir), 2, *_RECON_SUMS), "mart_settlement_reconciliation", checks)
+    checks = quality.recon_mart_checks()
+    checks += [quality.not_null("total_settled_amount"), quality.between("amount_discrepancy", None, 0)]
+    mart = _rounded(_recon_mart(spark, sf_dir), 2, *_RECON_SUMS)
+    return quality.run_checks(mart, "mart_settlement_reconciliation", checks)
 
 
 @query
@@ -385,9 +398,15 @@ def missing_table_read(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def lag_severity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Consumer-group listings made of line items: one group per part, with headings and unreadable ones among them."""
-    listing = F.concat_ws("   ", "l_returnflag", "l_linenumber", "l_orderkey", F.col("l_orderkey") + F.col("l_quantity").cast("int"), F.col("l_quantity").cast("int"))
-    line = F.when(F.col("l_partkey") % 50 == 0, None).when(F.col("l_linenumber") == 7, "TOPIC PARTITION CURRENT-OFFSET LOG-END-OFFSET LAG").otherwise(listing)
-    lines = tables.table(spark, sf_dir, "lineitem").select(F.concat(F.lit("part-"), "l_partkey").alias("group_id"), line.alias("line"))
+    lag = F.col("l_quantity").cast("int")
+    listing = F.concat_ws("   ", "l_returnflag", "l_linenumber", "l_orderkey", F.col("l_orderkey") + lag, lag)
+    line = (
+        F.when(F.col("l_partkey") % 50 == 0, None)
+        .when(F.col("l_linenumber") == 7, "TOPIC PARTITION CURRENT-OFFSET LOG-END-OFFSET LAG")
+        .otherwise(listing)
+    )
+    group = F.concat(F.lit("part-"), "l_partkey")
+    lines = tables.table(spark, sf_dir, "lineitem").select(group.alias("group_id"), line.alias("line"))
     return monitor.lag_severity(progress.lag_from_listing(lines), MonitorConfig(lag_alert=600, lag_critical=800))
 
 
@@ -399,7 +418,8 @@ def lag_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _staleness(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each user is a stream that should make progress, each purchase is progress of it."""
     events = tables.table(spark, sf_dir, "events").withColumn("stream_name", F.concat(F.lit("user-"), "user_id"))
-    done = events.filter(F.col("event_type") == "purchase").select("stream_name", F.col("ts").cast("timestamp").alias("progress_time"))
+    purchases = events.filter(F.col("event_type") == "purchase")
+    done = purchases.select("stream_name", F.col("ts").cast("timestamp").alias("progress_time"))
     streams = events.select("stream_name").distinct()
     return monitor.stream_staleness(streams, done, as_of=AS_OF, cfg=MonitorConfig(stale_minutes=14400))
 
@@ -433,7 +453,8 @@ def window_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
 def iforest_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     features = store(_features(spark, sf_dir), "features")
     model = anomaly.fit_iforest(features, "window_start")
-    return anomaly.score_iforest(features, model).withColumns({"window_start": _plain("window_start"), "window_end": _plain("window_end")})
+    scored = anomaly.score_iforest(features, model)
+    return scored.withColumns({"window_start": _plain("window_start"), "window_end": _plain("window_end")})
 
 
 @query
@@ -473,14 +494,14 @@ def stream_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def stream_dlq(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = tables.raw_props(tables.table_stream(spark, sf_dir, "events"))
-    out = _run_stream(spark, "dlq", raw, PROPS._replace(time_column=None))
+    out = _run_stream(spark, "dlq", raw, PROPS)
     return read_table(spark, f"{out}/dlq_events").select("json_value", _plain("kafka_timestamp"))
 
 
 @query
 def stream_silver_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = tables.raw_props(tables.table_stream(spark, sf_dir, "events"))
-    out = _run_stream(spark, "silver", raw, PROPS._replace(time_column=None))
+    out = _run_stream(spark, "silver", raw, PROPS)
     return read_table(spark, f"{out}/silver_events").select("k", _plain("kafka_timestamp"))
 
 

@@ -120,9 +120,8 @@ def raw_transactions(events: DataFrame) -> DataFrame:
     fields = [c for c in txn.columns if c not in ("event_time", "event_date")]
     body = F.to_json(F.struct(*fields))
     kind = F.col("transaction_id").cast("bigint") % 17
-    value = (
-        F.when(kind == 0, F.substring(body, F.lit(1), F.length(body) - 1)).when(kind == 1, "{}").when(kind == 2, "[1]").otherwise(body)
-    )
+    cut_off = F.substring(body, F.lit(1), F.length(body) - 1)
+    value = F.when(kind == 0, cut_off).when(kind == 1, "{}").when(kind == 2, "[1]").otherwise(body)
     return txn.select(
         F.col("transaction_id").cast("binary").alias("key"),
         value.cast("binary").alias("value"),
@@ -140,7 +139,9 @@ def raw_props(events: DataFrame) -> DataFrame:
         .otherwise(F.col("props"))
     )
     return events.select(
-        F.col("event_id").cast("string").alias("key"), value.alias("value"), F.col("ts").cast("timestamp").alias("kafka_timestamp")
+        F.col("event_id").cast("string").alias("key"),
+        value.alias("value"),
+        F.col("ts").cast("timestamp").alias("kafka_timestamp"),
     )
 
 
@@ -157,7 +158,9 @@ def raw_payouts(lines: DataFrame) -> DataFrame:
         time.alias("expected_payout_time"),
     )
     return lines.select(
-        event["payout_id"].alias("key"), F.to_json(event).alias("value"), F.col("l_shipdate").cast("timestamp").alias("kafka_timestamp")
+        event["payout_id"].alias("key"),
+        F.to_json(event).alias("value"),
+        F.col("l_shipdate").cast("timestamp").alias("kafka_timestamp"),
     )
 
 

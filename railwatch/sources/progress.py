@@ -23,7 +23,8 @@ def checkpoint_times(spark: SparkSession, checkpoints: dict[str, str]) -> DataFr
     for name, path in checkpoints.items():
         files = read_if_present(spark, f"{path}/offsets", "binaryFile")
         if files is not None:
-            found.append(files.select(F.lit(name).alias("stream_name"), F.col("modificationTime").alias("progress_time")))
+            time = F.col("modificationTime").alias("progress_time")
+            found.append(files.select(F.lit(name).alias("stream_name"), time))
     if not found:
         return spark.createDataFrame([], "stream_name string, progress_time timestamp")
     return reduce(DataFrame.unionByName, found)
@@ -49,5 +50,8 @@ def lag_from_progress(progress: DataFrame) -> DataFrame:
         F.from_json("source.endOffset", offsets).alias("read"),
         F.explode(F.from_json("source.latestOffset", offsets)).alias("topic", "latest"),
     )
-    partitions = topics.select("group_id", F.try_element_at("read", F.col("topic")).alias("read"), F.explode("latest").alias("part", "end"))
-    return partitions.select("group_id", (F.col("end") - F.coalesce(F.try_element_at("read", F.col("part")), F.lit(0))).alias("lag"))
+    partitions = topics.select(
+        "group_id", F.try_element_at("read", F.col("topic")).alias("read"), F.explode("latest").alias("part", "end")
+    )
+    start = F.coalesce(F.try_element_at("read", F.col("part")), F.lit(0))
+    return partitions.select("group_id", (F.col("end") - start).alias("lag"))

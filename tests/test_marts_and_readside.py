@@ -79,10 +79,8 @@ def test_kpis_of_empty_marts(spark):
 
 def test_pivot_fills_gaps(spark):
     other = date(2024, 1, 2)
-    mart = spark.createDataFrame(
-        [(DAY, "upi_hdfc", "a", 1, 3, 0, 1.0, 1.0), (other, "upi_axis", "a", 1, 4, 0, 1.0, 1.0), (DAY, "gpay", "a", 1, 9, 0, 1.0, 1.0), (DAY, None, "a", 1, 9, 0, 1.0, 1.0)],
-        schemas.MART_OPS,
-    )
+    cells = [(DAY, "upi_hdfc", 3), (other, "upi_axis", 4), (DAY, "gpay", 9), (DAY, None, 9)]
+    mart = spark.createDataFrame([(day, m, "a", 1, n, 0, 1.0, 1.0) for day, m, n in cells], schemas.MART_OPS)
     expected = [("upi_axis", 0, 4), ("upi_hdfc", 3, 0)]
     assert rows(readside.health_pivot(mart)) == expected
     assert rows(readside.health_pivot(mart, [DAY, other])) == expected

@@ -5,7 +5,15 @@ import json
 import pytest
 
 from railwatch import schemas
-from railwatch.operators.parse import EVENT_SPECS, SETTLEMENTS, TRANSACTIONS, parse_events, parse_topic, staged_settlements, staged_transactions
+from railwatch.operators.parse import (
+    EVENT_SPECS,
+    SETTLEMENTS,
+    TRANSACTIONS,
+    parse_events,
+    parse_topic,
+    staged_settlements,
+    staged_transactions,
+)
 from railwatch.sources.streams import decode_envelope
 from tests.helpers import at, rows
 
@@ -46,6 +54,12 @@ def test_dead_letters_keep_the_text_as_it_came(spark):
     assert sorted(map(str, (r.json_value for r in dlq.collect()))) == sorted(map(str, bad))
 
 
+def test_schema_as_ddl_text(spark):
+    table = bronze(spark, [t for t, _ in CASES.values()])
+    by_type, by_text = parse_events(table, SCHEMA, "a"), parse_events(table, "a INT, b STRING, t STRING", "a")
+    assert rows(by_text.valid) == rows(by_type.valid) and rows(by_text.dlq) == rows(by_type.dlq)
+
+
 def test_lenient_routing_only_tests_for_null(spark):
     valid, dlq = parse_events(bronze(spark, [t for t, _ in CASES.values()]), SCHEMA, "a", strict=False)
     assert dlq.count() == 2

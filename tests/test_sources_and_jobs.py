@@ -11,7 +11,7 @@ from railwatch.operators.health import window_health
 from railwatch.plans import jobs
 from railwatch.sources.streams import event_stream
 from railwatch.sources.tables import append_log, export_csv, read_log, read_table, report_rows, scratch_path, sql_table, store, write_mart
-from tests.helpers import at, rows, settlement
+from tests.helpers import SILVER, at, rows, settlement
 
 
 def test_overwrite_replaces_schema_and_counts(spark, folder):
@@ -23,7 +23,8 @@ def test_overwrite_replaces_schema_and_counts(spark, folder):
 
 def test_partitioned_write_prunes(spark, folder):
     path = f"{folder}/typed"
-    assert write_mart(spark.range(100).selectExpr("id", "date_add(date'2024-01-01', CAST(id % 4 AS int)) AS event_date"), path, partition_by="event_date") == 100
+    dated = spark.range(100).selectExpr("id", "date_add(date'2024-01-01', CAST(id % 4 AS int)) AS event_date")
+    assert write_mart(dated, path, partition_by="event_date") == 100
     day = read_table(spark, path).filter("event_date = date'2024-01-02'")
     plan = day._jdf.queryExecution().executedPlan().toString()
     assert "event_date" in plan.split("PartitionFilters: [")[1].split("]")[0]
@@ -107,8 +108,8 @@ def test_jobs_from_bronze_to_marts(spark, folder):
     assert rows(read_table(spark, f"{folder}/mart_correlation_summary")) == [("BANK_SIDE_ISSUE", "upi_hdfc", "2024-01-01T11:00:00.000000+00:00")]
 
     jobs.run_reconciliation(spark, folder, as_of=at("2024-01-02 00:00:00"))
-    found = {(r.mismatch_type, r.n) for r in read_table(spark, f"{folder}/gold_settlement_mismatches").groupBy("mismatch_type").count().toDF("mismatch_type", "n").collect()}
-    assert found == {("SETTLEMENT_DELAYED", 18), ("ORPHAN_SETTLEMENT", 1), ("AMOUNT_MISMATCH", 1)}
+    counts = read_table(spark, f"{folder}/gold_settlement_mismatches").groupBy("mismatch_type").count()
+    assert set(map(tuple, counts.collect())) == {("SETTLEMENT_DELAYED", 18), ("ORPHAN_SETTLEMENT", 1), ("AMOUNT_MISMATCH", 1)}
 
     results, dlq = jobs.run_quality(spark, folder)
     assert results.filter("success").count() == results.count() == 10
@@ -118,6 +119,6 @@ def test_jobs_from_bronze_to_marts(spark, folder):
 
 
 def test_attribution_without_windows_logs_nothing(spark, folder):
-    spark.createDataFrame([], "window struct<start: timestamp, end: timestamp>, payment_method string, total_transactions bigint, success_rate_pct double, avg_response_time_ms double, timeout_rate_pct double").write.parquet(f"{folder}/silver_transactions")
+    spark.createDataFrame([], SILVER).write.parquet(f"{folder}/silver_transactions")
     jobs.run_attribution(spark, folder)
     assert read_table(spark, f"{folder}/gold_correlation_events").count() == 0

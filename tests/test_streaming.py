@@ -89,11 +89,18 @@ def test_restart_resumes_without_repeating(spark, folder):
 
 def test_late_events(spark, folder):
     """Within the watermark a late event counts; far behind it, and one batch after it moved on, it is dropped."""
-    batches = [[("a", "10:00:30")], [("b", "10:20:00")], [("c", "10:19:10")], [("late", "10:00:40"), ("d", "10:20:30")], [("e", "10:40:00")]]
+    batches = [
+        [("a", "10:00:30")],
+        [("b", "10:20:00")],
+        [("c", "10:19:10")],
+        [("late", "10:00:40"), ("d", "10:20:30")],
+        [("e", "10:40:00")],
+    ]
     for batch in batches:
         drop(spark, folder, [transaction(1, at(t), payment_method=m) for m, t in batch])
         run(spark, folder, TRANSACTIONS, WINDOWS_AND_ROWS)
-    got = table(spark, folder, "silver_transactions").groupBy("payment_method").agg(F.count("*").alias("windows"), F.max("total_transactions").alias("n"))
+    silver = table(spark, folder, "silver_transactions")
+    got = silver.groupBy("payment_method").agg(F.count("*").alias("windows"), F.max("total_transactions").alias("n"))
     assert rows(got) == [("a", 5, 1), ("b", 5, 1), ("c", 5, 1), ("d", 5, 1)]
 
 
@@ -112,13 +119,25 @@ def test_checkpoints_and_progress_tell_the_health_of_streams(spark, folder):
 
 
 def test_stream_join_gives_matches_and_overdue_transactions(spark, folder):
-    txns = [("t1", "m", 10.0, "success", at("10:00:00")), ("t2", "m", 20.0, "success", at("10:00:00")), ("t3", "m", 5.0, "failed", at("10:00:00")), ("t4", "m", 7.0, "success", at("11:59:00"))]
-    settled = [("s1", "t1", 10.0, at("10:20:00")), ("s2", "t2", 20.0, at("10:31:00")), ("s3", "t3", 5.0, at("10:01:00")), ("s9", "t9", 1.0, at("12:00:00"))]
+    txns = [
+        ("t1", "m", 10.0, "success", at("10:00:00")),
+        ("t2", "m", 20.0, "success", at("10:00:00")),
+        ("t3", "m", 5.0, "failed", at("10:00:00")),
+        ("t4", "m", 7.0, "success", at("11:59:00")),
+    ]
+    settled = [
+        ("s1", "t1", 10.0, at("10:20:00")),
+        ("s2", "t2", 20.0, at("10:31:00")),
+        ("s3", "t3", 5.0, at("10:01:00")),
+        ("s9", "t9", 1.0, at("12:00:00")),
+    ]
     t_schema = "transaction_id string, merchant_id string, amount_inr double, status string, event_time timestamp"
     s_schema = "settlement_id string, transaction_id string, settled_amount_inr double, event_time timestamp"
     spark.createDataFrame(txns, t_schema).write.parquet(f"{folder}/t")
     spark.createDataFrame(settled, s_schema).write.parquet(f"{folder}/s")
-    joined = reconcile_stream(spark.readStream.schema(t_schema).parquet(f"{folder}/t"), spark.readStream.schema(s_schema).parquet(f"{folder}/s"))
+    joined = reconcile_stream(
+        spark.readStream.schema(t_schema).parquet(f"{folder}/t"), spark.readStream.schema(s_schema).parquet(f"{folder}/s")
+    )
     finish([Sink(f"{folder}/out", f"{folder}/checkpoints", once=True).start(joined, "joined")])
     got = {(r.transaction_id, r.settlement_id) for r in table(spark, folder, "joined").collect()}
     assert got == {("t1", "s1"), ("t2", None)}
