@@ -1,7 +1,8 @@
 """Times every query at BENCH_SF_DIR on local[BENCH_CPUS] and prints one JSON line.
 
-A query is timed from the call to its last row, written to nowhere, after one untimed run of all of them: the first
-run of a process mostly measures class loading and compilation. BENCH_QUERIES (comma-separated) picks some.
+A query is timed from the call to its last row, written to nowhere. Before, all of them run once untimed on the
+smallest tables at hand, as the first run of a process mostly measures class loading and compilation. BENCH_QUERIES
+(comma-separated) picks some.
 """
 
 from __future__ import annotations
@@ -29,12 +30,12 @@ def main() -> None:
     )
     spark.sparkContext.setLogLevel("ERROR")
     seconds = {}
-    for timed in (False, True):
+    smallest = Path(sf_dir).parent / "sf0.001"
+    for folder in (str(smallest if smallest.exists() else sf_dir), sf_dir):
         for name in names:
             start = time.perf_counter()
-            QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
-            if timed:
-                seconds[name] = round(time.perf_counter() - start, 3)
+            QUERIES[name](spark, folder).write.format("noop").mode("overwrite").save()
+            seconds[name] = round(time.perf_counter() - start, 3)
     spark.stop()
     print(
         json.dumps(
