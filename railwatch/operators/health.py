@@ -16,7 +16,10 @@ SUCCESS, TIMEOUT = "success", "timeout"
 
 
 def _seconds(duration: str) -> int:
-    return int(pd.Timedelta(duration).total_seconds())
+    seconds = pd.Timedelta(duration).total_seconds()
+    if seconds < 1 or seconds != int(seconds):
+        raise ValueError(f"not whole seconds: {duration}")
+    return int(seconds)
 
 
 def _measures() -> list[Column]:

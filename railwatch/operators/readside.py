@@ -9,6 +9,11 @@ from pyspark.sql import functions as F
 
 from railwatch.functions import band, display_or_none, rate_pct, safe_rate_pct
 
+# Texts of the reports.
+OPS_TEXT = "Total transactions: %d, success rate: %s%%, total volume: ₹%s"
+SETTLEMENT_TEXT = "Total settled: %d, delayed: %d (%s%%), amount discrepancy: ₹%s"
+EVENT_TEXT = "%s: %s (banks: %s)"
+
 
 def _total(c: str) -> Column:
     return F.coalesce(F.sum(c), F.lit(0))
@@ -87,42 +92,18 @@ def recent(df: DataFrame, time_column: str = "detected_at", n: int | None = None
 
 def ops_summary(kpi: DataFrame) -> DataFrame:
     """The one-line text of ``kpi_ops``."""
-    return kpi.select(
-        F.concat(
-            F.lit("Total transactions: "),
-            F.col("total_transactions").cast("string"),
-            F.lit(", success rate: "),
-            F.format_number("success_rate_pct", 2),
-            F.lit("%, total volume: ₹"),
-            F.format_number("total_volume_inr", 0),
-        ).alias("summary")
-    )
+    rate, volume = F.format_number("success_rate_pct", 2), F.format_number("total_volume_inr", 0)
+    return kpi.select(F.format_string(OPS_TEXT, "total_transactions", rate, volume).alias("summary"))
 
 
 def settlement_summary(kpi: DataFrame) -> DataFrame:
     """The one-line text of ``kpi_settlement``."""
-    return kpi.select(
-        F.concat(
-            F.lit("Total settled: "),
-            F.col("total_settled_transactions").cast("string"),
-            F.lit(", delayed: "),
-            F.col("delayed_count").cast("string"),
-            F.lit(" ("),
-            F.format_number("delay_rate_pct", 1),
-            F.lit("%), amount discrepancy: ₹"),
-            F.format_number("amount_discrepancy", 0),
-        ).alias("summary")
-    )
+    rate, gap = F.format_number("delay_rate_pct", 1), F.format_number("amount_discrepancy", 0)
+    text = F.format_string(SETTLEMENT_TEXT, "total_settled_transactions", "delayed_count", rate, gap)
+    return kpi.select(text.alias("summary"))
 
 
 def event_lines(events: DataFrame) -> DataFrame:
     """One line of text per classification event."""
-    line = F.concat(
-        F.col("detected_at"),
-        F.lit(": "),
-        F.col("classification"),
-        F.lit(" (banks: "),
-        display_or_none("affected_banks"),
-        F.lit(")"),
-    )
+    line = F.format_string(EVENT_TEXT, "detected_at", "classification", display_or_none("affected_banks"))
     return events.select("detected_at", line.alias("line"))

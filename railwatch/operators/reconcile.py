@@ -13,8 +13,9 @@ from railwatch.functions import as_of_time, iso_text, number_text
 from railwatch.operators.skew import HotKey, find_hot_keys, skew_join
 from railwatch.sources.tables import ROW_POSITION
 
-# The types of mismatch.
+# The types of mismatch and the text of the detail of each.
 DELAYED, ORPHAN, AMOUNT = "SETTLEMENT_DELAYED", "ORPHAN_SETTLEMENT", "AMOUNT_MISMATCH"
+DELAYED_TEXT, ORPHAN_TEXT, AMOUNT_TEXT = "amount_inr=%s", "settlement_id=%s", "txn=%s settled=%s"
 
 _KEY = "transaction_id"
 
@@ -210,11 +211,9 @@ def mismatch_log(
         .when(settled & amounts_differ(cfg), AMOUNT)
     )
     detail = (
-        F.when(F.col("mismatch_type") == DELAYED, F.concat(F.lit("amount_inr="), number_text("amount_inr")))
-        .when(F.col("mismatch_type") == ORPHAN, F.concat(F.lit("settlement_id="), F.coalesce("settlement_id", F.lit("None"))))
-        .otherwise(
-            F.concat(F.lit("txn="), number_text("amount_inr"), F.lit(" settled="), number_text("settled_amount_inr"))
-        )
+        F.when(F.col("mismatch_type") == DELAYED, F.format_string(DELAYED_TEXT, number_text("amount_inr")))
+        .when(F.col("mismatch_type") == ORPHAN, F.format_string(ORPHAN_TEXT, F.coalesce("settlement_id", F.lit("None"))))
+        .otherwise(F.format_string(AMOUNT_TEXT, number_text("amount_inr"), number_text("settled_amount_inr")))
     )
     return (
         pairs.withColumn("mismatch_type", kind)

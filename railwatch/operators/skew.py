@@ -64,6 +64,8 @@ def skew_join(
     key is on the other side and has partners under another salt. So ``left_hot`` and ``right_hot`` must have
     been found in the very rows of ``left`` and ``right``.
     """
+    if how not in ("inner", "left", "full", "left_semi", "left_anti"):
+        raise ValueError(f"no such join here: {how}")
     if how in ("left_semi", "left_anti"):
         if right_hot:
             right, right_salt = right.select(on).distinct(), ()

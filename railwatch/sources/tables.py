@@ -93,7 +93,7 @@ def report_rows(spark: SparkSession, report: str, generated_at: str) -> DataFram
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path in the folder all executors share, as named by the session."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if base is None:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")

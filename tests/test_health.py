@@ -48,6 +48,12 @@ def test_tumbling_windows(spark):
     assert got.select(F.countDistinct("window")).first()[0] == 6
 
 
+@pytest.mark.parametrize("length", ["500 milliseconds", "90500 milliseconds", "0 seconds"])
+def test_windows_are_whole_seconds(spark, length):
+    with pytest.raises(ValueError):
+        window_health(txn(spark, {}), WindowConfig(length))
+
+
 def test_rows_without_event_time_are_in_no_window(spark):
     txns = txn(spark, dict(event_time=None), dict(transaction_id="1"))
     assert window_health(txns).agg(F.sum("total_transactions")).first()[0] == 5

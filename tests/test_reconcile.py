@@ -159,6 +159,11 @@ def test_skew_join_equals_the_plain_join(spark, folder, how, position):
     assert rows(got) == rows(expected)
 
 
+def test_other_joins_are_refused(spark):
+    with pytest.raises(ValueError):
+        skew_join(spark.range(1), spark.range(1), "id", "right")
+
+
 def test_hot_key_is_spread_over_tasks(spark, folder):
     left, right = skewed(spark, folder)(True)
     salt = ["row_position"]
