@@ -6,7 +6,7 @@ tree, or one batch of rows to score. The model is a table of at most ``trees * 2
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 from math import ceil, log2
 from typing import NamedTuple
 
@@ -15,7 +15,6 @@ import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 import railwatch
@@ -154,32 +153,29 @@ def _dense(nodes: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 def anomaly_scores(df: DataFrame, model: Forest) -> DataFrame:
     """Adds ``score`` in (0, 1], higher for rows that are isolated sooner; null where a feature is missing.
 
-    The node table is sent to the executors once; rows stay where they are.
+    The node table is sent to the executors once; rows stay where they are, and only features go through Python.
     """
-    spark = df.sparkSession
-    arrays = spark.sparkContext.broadcast(_dense(model.nodes.toPandas()))
-    features, scale = list(model.features), float(_mean_path(model.sample_size)) or 1.0
+    arrays = df.sparkSession.sparkContext.broadcast(_dense(model.nodes.toPandas()))
+    scale = float(_mean_path(model.sample_size)) or 1.0
 
-    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    @F.pandas_udf("double")
+    def score(rows: pd.DataFrame) -> pd.Series:
         feature, split, path = arrays.value
         tree = np.arange(len(feature))[None, :]
-        for batch in batches:
-            x = batch[features].to_numpy(dtype=float)
-            row = np.arange(len(x))[:, None]
-            node = np.ones((len(x), len(feature)), dtype=int)
-            while True:
-                f = feature[tree, node]
-                inner = f != _LEAF
-                if not inner.any():
-                    break
-                right = x[row, np.where(inner, f, 0)] > split[tree, node]
-                node = np.where(inner, 2 * node + right, node)
-            mean = path[tree, node].mean(axis=1)
-            scores = np.round(np.power(2.0, -mean / scale), _SCORE_DIGITS)
-            yield batch.assign(score=np.where(np.isnan(x).any(axis=1), None, scores).astype(object))
-
-    schema = T.StructType(df.schema.fields + [T.StructField("score", T.DoubleType())])
-    return df.mapInPandas(score, schema)
+        x = rows.to_numpy(dtype=float)
+        row = np.arange(len(x))[:, None]
+        node = np.ones((len(x), len(feature)), dtype=int)
+        while True:
+            f = feature[tree, node]
+            inner = f != _LEAF
+            if not inner.any():
+                break
+            right = x[row, np.where(inner, f, 0)] > split[tree, node]
+            node = np.where(inner, 2 * node + right, node)
+        scores = np.round(np.power(2.0, -path[tree, node].mean(axis=1) / scale), _SCORE_DIGITS)
+        return pd.Series(np.where(np.isnan(x).any(axis=1), np.nan, scores))
+
+    return df.withColumn("score", score(F.struct(*[F.col(f).cast("double") for f in model.features])))
 
 
 def score_iforest(df: DataFrame, model: Forest) -> DataFrame:
