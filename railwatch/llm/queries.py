@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from railwatch.llm import bpe, exact_dedup
+from railwatch.llm import bpe, exact_dedup, quality
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -55,3 +55,11 @@ def tokenizer_path() -> str:
 @query
 def op2_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_documents(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
+@query
+def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = quality.fit(docs, table(spark, sf_dir, "labels"), ~held_out(5, 0))
+    scored = quality.score_documents(docs, model)
+    return scored.select("doc_id", held_out(5, 0), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
