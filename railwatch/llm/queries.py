@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from railwatch.llm import bpe, exact_dedup, quality
+from railwatch.llm import bpe, exact_dedup, langid, quality
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -63,3 +63,10 @@ def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = quality.fit(docs, table(spark, sf_dir, "labels"), ~held_out(5, 0))
     scored = quality.score_documents(docs, model)
     return scored.select("doc_id", held_out(5, 0), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+@query
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    net = langid.fit(docs, ~held_out(4, 2))
+    return langid.identify(docs, net).select("doc_id", held_out(4, 2), "lang_pred", "score")
