@@ -8,7 +8,8 @@ is content with probability over a half is kept.
 The potentials are smoothed counts over a bounded sample of labelled pages (``SAMPLE_PAGES``, the first ones by a hash
 of the id). Pages label themselves where they use landmarks: what stands in ``article`` or ``main`` is content, unless
 it also stands in a landmark of another purpose. The landmarks themselves get counts beforehand (``PRIOR``), so that
-ones the sample lacks are known too. The ordinary features of an element together may not outweigh an edge (``CLIP``).
+ones the sample lacks are known too. The ordinary features of an element together may not outweigh an edge, and hardly speak against content (``CLIP``):
+a list in an article is no menu because the sample knows lists from menus.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ from pyspark.sql import functions as F
 
 SAMPLE_PAGES = 600
 PRIOR = 2000.0
-CLIP = 1.5
+CLIP = (-0.1, 1.5)
 LANDMARK_CLIP = 12.0
 # Element names of the HTML standard.
 CONTENT_TAGS = frozenset("article main".split())
@@ -186,7 +187,7 @@ class Model:
 
     def node_odds(self, seen: list[str]) -> float:
         ordinary = sum(self.odds.get(f, 0.0) for f in seen if _landmark(f) is None)
-        return min(max(ordinary, -CLIP), CLIP) + sum(self.odds.get(f, 0.0) for f in seen if _landmark(f) is not None)
+        return min(max(ordinary, CLIP[0]), CLIP[1]) + sum(self.odds.get(f, 0.0) for f in seen if _landmark(f) is not None)
 
 
 def train(pages: Iterator[str]) -> Counter:
