@@ -134,9 +134,11 @@ def fit(docs: DataFrame, usable: Column, rows: int = SAMPLE_ROWS) -> Network:
     """A network from the rows with text and lang for which ``usable`` (over doc_id) holds; without any, it knows no
     language. About ``rows`` rows per language, all where there are fewer."""
     labelled = docs.where(usable & F.col("text").isNotNull() & F.col("lang").isNotNull())
-    sizes = labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("rows_of_lang"))
-    share = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) * F.col("rows_of_lang") < F.lit(rows << 20)
-    got = labelled.join(sizes, "lang").where(share).select("lang", "text").mapInArrow(_sample_windows, "lang string, window binary")
+    # One number per language comes to the driver, so that no text is shuffled for the choice.
+    chance = {r.lang: min(1.0, rows / r["count"]) for r in labelled.groupBy("lang").count().collect()}
+    of_lang = F.create_map(*[F.lit(x) for pair in sorted(chance.items()) for x in pair]) if chance else F.create_map()
+    chosen = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < F.try_element_at(of_lang, "lang") * (1 << 20) if chance else F.lit(False)
+    got = labelled.where(chosen).select("lang", "text").mapInArrow(_sample_windows, "lang string, window binary")
     got = got.toArrow()
     names = np.array(got.column("lang").to_pylist(), object)
     raw = got.column("window").to_pylist()

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from railwatch.llm import bpe, exact_dedup, html_text, langid, quality
+from railwatch.llm import bpe, decontaminate, exact_dedup, html_text, langid, quality
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -76,3 +76,8 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
     return html_text.extract_pages(pages, html_text.fit(pages))
+
+
+@query
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

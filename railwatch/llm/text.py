@@ -107,12 +107,9 @@ def run_hashes(values: np.ndarray, length: int, seed: int = 0) -> np.ndarray:
     if n <= 0:
         return np.zeros(0, np.uint64)
     out = np.zeros(n, np.uint64)
-    factor = np.uint64(1 + 2 * seed) * _MULTIPLIER | np.uint64(1)
-    power = np.uint64(1)
-    with np.errstate(over="ignore"):
-        for k in range(length):
-            out += values[k : k + n] * power
-            power = power * factor
+    factor = (1 + 2 * seed) * int(_MULTIPLIER) | 1
+    for k in range(length):
+        out += values[k : k + n] * np.uint64(pow(factor, k, 1 << 64))
     return mix(out)
 
 
