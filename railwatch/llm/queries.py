@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from railwatch.llm import bpe, decontaminate, exact_dedup, html_text, langid, quality
+from railwatch.llm import bpe, decontaminate, exact_dedup, html_text, langid, quality, repeated_windows
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -81,3 +81,8 @@ def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_windows.remove_repeats(table(spark, sf_dir, "documents"))
