@@ -5,7 +5,7 @@ Every element of a page is a binary variable: content or not. Its node potential
 from each child to its parent, in order of falling depth, and one back down give the exact marginals; text whose element
 is content with probability over a half is kept.
 
-The potentials are smoothed counts over a bounded sample of labelled pages (``SAMPLE_PAGES``, the first ones by a hash
+The potentials are smoothed counts over a bounded sample of labelled pages (about ``SAMPLE_PAGES``, drawn by a hash
 of the id). Pages label themselves where they use landmarks: what stands in ``article`` or ``main`` is content, unless
 it also stands in a landmark of another purpose. The landmarks themselves get counts beforehand (``PRIOR``), so that
 ones the sample lacks are known too. The ordinary features of an element together may not outweigh an edge, and hardly speak against content (``CLIP``):
@@ -261,8 +261,9 @@ def _extract_batches(batches: Iterator[pa.RecordBatch], model: Model, keep: list
 
 
 def fit(pages: DataFrame, rows: int = SAMPLE_PAGES) -> Model:
-    """A model from at most ``rows`` pages; without any, it knows the landmarks alone."""
-    sample = pages.where(F.col("html").isNotNull()).orderBy(F.xxhash64("page_id"), "page_id").limit(rows)
+    """A model from about ``rows`` pages; without any, it knows the landmarks alone."""
+    there = pages.where(F.col("html").isNotNull())
+    sample = there.where(F.pmod(F.xxhash64("page_id"), F.lit(1 << 20)) * max(1, there.count()) < rows << 20)
     counts = sample.select("html").mapInArrow(_count_batches, "kind string, name string, a int, b int, n long")
     total = counts.groupBy("kind", "name", "a", "b").agg(F.sum("n").alias("n")).collect()
     out: Counter = Counter()
