@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from railwatch.llm import bpe, chosen_path, decontaminate, exact_dedup, html_text, langid, quality, repeated_windows
+from railwatch.llm import bpe, chosen_path, decontaminate, exact_dedup, html_text, langid, quality, repeated_bytes, repeated_windows
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -91,3 +91,8 @@ def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chosen_path.similar_documents(table(spark, sf_dir, "documents")).drop("row")
+
+
+@query
+def op7_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_bytes.remove_repeats(table(spark, sf_dir, "documents"))
