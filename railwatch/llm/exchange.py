@@ -12,6 +12,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -31,14 +32,17 @@ def blocks(docs: DataFrame, n: int) -> DataFrame:
     return ids.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(n)).cast("int"))
 
 
-def in_blocks(blocked: DataFrame, n: int, work: Callable, schema: str, **answers: DataFrame) -> DataFrame:
-    """``work(documents, answers)`` for each block, giving record batches: its documents (a table of doc_id and text,
-    rows in any order) and, by name, its answers by slice."""
-    rows = blocked.select("block", "doc_id", "text", F.lit(None).cast("string").alias("kind"), F.lit(None).cast("int").alias("slice"), F.lit(None).cast("binary").alias("payload"))
+def in_blocks(
+    blocked: DataFrame, n: int, work: Callable, schema: str, extra: tuple[str, ...] = (), **answers: DataFrame
+) -> DataFrame:
+    """``work(documents, answers)`` for each block, giving record batches: its documents (a table of block, doc_id, text
+    and the ``extra`` columns, rows in any order) and, by name, its answers by slice."""
+    keep, asked_before = ["block", "doc_id", "text", *extra], bool(answers)
+    rows = blocked.select(*keep)
     for kind, df in answers.items():
-        rows = rows.unionAll(
-            df.select("block", F.lit(None).cast("long").alias("doc_id"), F.lit(None).cast("string").alias("text"), F.lit(kind).alias("kind"), "slice", "payload")
-        )
+        rows = rows.unionByName(df.select("block", F.lit(kind).alias("kind"), "slice", "payload"), allowMissingColumns=True)
+    if not answers:
+        rows = rows.withColumn("kind", F.lit(None).cast("string"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         got = [b for b in batches if b.num_rows]
@@ -47,9 +51,11 @@ def in_blocks(blocked: DataFrame, n: int, work: Callable, schema: str, **answers
         table = pa.Table.from_batches(got)
         is_answer = table.column("kind").is_valid()
         told: dict[str, dict[int, bytes]] = {}
-        for kind, part, payload in zip(*(table.filter(is_answer).column(c).to_pylist() for c in ("kind", "slice", "payload")), strict=True):
-            told.setdefault(kind, {})[part] = payload
-        docs = table.filter(pa.compute.invert(is_answer)).select(["block", "doc_id", "text"]).combine_chunks()
+        if asked_before:
+            told_rows = table.filter(is_answer)
+            for kind, part, payload in zip(*(told_rows.column(c).to_pylist() for c in ("kind", "slice", "payload")), strict=True):
+                told.setdefault(kind, {})[part] = payload
+        docs = table.filter(pc.invert(is_answer)).select(keep).combine_chunks()
         if docs.num_rows:
             yield from work(docs, told)
 

@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from railwatch.llm import bpe, chosen_path, decontaminate, exact_dedup, html_text, langid, quality, repeated_bytes, repeated_windows
+from railwatch.llm import bpe, chosen_path, context_mixing, decontaminate, exact_dedup, html_text, langid, quality, repeated_bytes
+from railwatch.llm import repeated_windows
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -96,3 +97,10 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op7_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeated_bytes.remove_repeats(table(spark, sf_dir, "documents"))
+
+
+@query
+def op4_context_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    scored = context_mixing.score_documents(docs, learn=~held_out(10, 0), group=F.col("lang"))
+    return scored.withColumn("held_out", held_out(10, 0))
