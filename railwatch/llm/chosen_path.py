@@ -232,7 +232,8 @@ def _verify(cell: pa.Table, side: np.ndarray | None, similarity: float, words: i
 def similar_documents(docs: DataFrame, similarity: float = SIMILARITY, words: int = WORDS, recall: float = TARGET_RECALL) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text; others are ignored): doc_id, class_id (the smallest doc_id among the
     documents it is linked to over any number of links, its own if none), n_links (rows of other documents at the
-    similarity or above, copies each counted), group_id (smallest doc_id with an equal set), row.
+    similarity or above, copies each counted), group_id (smallest doc_id with an equal set), row (its place in the table),
+    class_row (the place of the class's first document).
 
     The set of a document is its runs of ``words`` words, all its words together if it has fewer; a text without words
     (empty or null) has no links, not even to another one. A missing doc_id comes after all others; repeated rows count
@@ -246,7 +247,11 @@ def similar_documents(docs: DataFrame, similarity: float = SIMILARITY, words: in
     own = F.when(F.col("size") == 0, F.col("row"))
     keyed = rows.withColumn("own", F.coalesce(own, F.lit(-1)))
     key = ["one", "two", "size", "own"]
-    nodes = keyed.groupBy(*key).agg(F.min("row").alias("node"), F.count(F.lit(1)).alias("copies"), F.min("doc_id").alias("group_id"))
+
+    def first_of(doc: str, row: str) -> Column:
+        return F.struct(F.isnull(doc).alias("missing"), F.col(doc).alias("doc_id"), F.col(row).alias("row"))
+
+    nodes = keyed.groupBy(*key).agg(F.min("row").alias("node"), F.count(F.lit(1)).alias("copies"), F.min(first_of("doc_id", "row")).alias("lead"))
     nodes = store(nodes, "nodes")
     known = nodes.where("size > 0").join(rows.select(F.col("row").alias("node"), "doc_id", "text_hash", "sketch"), "node")
     known = store(known.select("node", "copies", "doc_id", "text_hash", "sketch"), "known")
@@ -283,8 +288,23 @@ def similar_documents(docs: DataFrame, similarity: float = SIMILARITY, words: in
 
     of_node = nodes.join(links, "node", "left").join(classes, "node", "left")
     of_node = of_node.withColumn("component", F.coalesce("component", "node"))
-    least = of_node.groupBy("component").agg(F.min("group_id").alias("class_id"))
-    of_node = of_node.join(least, "component").select(*key, "class_id", "group_id", "copies", F.coalesce("links", F.lit(0)).alias("links"))
+    least = of_node.groupBy("component").agg(F.min("lead").alias("first"))
+    of_node = of_node.join(least, "component").select(
+        *key,
+        F.col("first.doc_id").alias("class_id"),
+        F.col("first.row").alias("class_row"),
+        F.col("lead.doc_id").alias("group_id"),
+        "copies",
+        F.coalesce("links", F.lit(0)).alias("links"),
+    )
     out = keyed.join(of_node, key)
     linked = F.when(F.col("size") > 0, F.col("links") + F.col("copies") - 1).otherwise(0)
-    return out.select("doc_id", "class_id", linked.cast("long").alias("n_links"), "group_id", "row")
+    return out.select("doc_id", "class_id", linked.cast("long").alias("n_links"), "group_id", "row", "class_row")
+
+
+def keep_one_per_class(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """The first document of each class (by doc_id, then place), with all columns; ``docs`` must be a stored table, as
+    it is read again."""
+    found = similar_documents(docs, similarity).where(F.col("row") != F.col("class_row")).select(F.col("row").alias("__row"))
+    places = docs.withColumn("__row", F.monotonically_increasing_id())
+    return places.join(found, "__row", "left_anti").select(*[f"`{c}`" for c in docs.columns])

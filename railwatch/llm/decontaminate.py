@@ -247,29 +247,50 @@ def _search_batches(batches: Iterator[pa.RecordBatch], shared, threshold: float,
             )
 
 
+def _indexes(items: DataFrame, index_bytes: int) -> Iterator[Index]:
+    items = items.where(F.length(F.trim("text")) > 0).select(F.col("item_id").cast("long").alias("item_id"), "text")
+    total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    shards = -(-total // index_bytes) or 1
+    for shard in range(shards):
+        part = items.where(F.pmod(F.xxhash64("text"), F.lit(shards)) == shard).collect()
+        yield Index([r.item_id for r in part], [r.text for r in part])
+
+
 def contaminated(
     docs: DataFrame, items: DataFrame, threshold: float = 0.7, overlap: float = 0.5, index_bytes: int = 32 << 20
 ) -> DataFrame:
     """Pairs of a document and a test item it holds: doc_id, item_id, score, question_overlap, answer_overlap.
 
-    Every passage of every document is searched. The index is sent to all executors, so it is built over at most
+    Every passage of every document is searched. The index is sent to all executors, so it is built over about
     ``index_bytes`` of items; more items make more indexes, each searched by all passages. Null and empty texts on either
     side match nothing, an empty table gives no rows; items with the same text are each reported; other columns are
     ignored. A document that is there twice is reported twice.
     """
-    spark = docs.sparkSession
-    items = items.where(F.length(F.trim("text")) > 0).select(F.col("item_id").cast("long").alias("item_id"), "text")
-    total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    shards = -(-total // index_bytes) or 1
     work = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     found = None
-    for shard in range(shards):
-        part = items.where(F.pmod(F.xxhash64("text"), F.lit(shards)) == shard).collect()
-        index = Index([r.item_id for r in part], [r.text for r in part])
-        shared = spark.sparkContext.broadcast(index)
+    for index in _indexes(items, index_bytes):
+        shared = docs.sparkSession.sparkContext.broadcast(index)
         hits = work.mapInArrow(
             partial(_search_batches, shared=shared, threshold=threshold, overlap=overlap),
             "doc_id long, item_id long, score double, question_overlap double, answer_overlap double",
         )
         found = hits if found is None else found.unionAll(hits)
     return found
+
+
+def _clean_batches(batches: Iterator[pa.RecordBatch], shared, threshold: float, overlap: float) -> Iterator[pa.RecordBatch]:
+    for whole in batches:
+        for batch in T.pieces(whole):
+            clean = np.ones(batch.num_rows, bool)
+            clean[[row[0] for row in search_texts(shared.value, *T.utf8(batch.column("text")), threshold, overlap)]] = False
+            yield batch.filter(pa.array(clean))
+
+
+def drop_contaminated(
+    docs: DataFrame, items: DataFrame, threshold: float = 0.7, overlap: float = 0.5, index_bytes: int = 32 << 20
+) -> DataFrame:
+    """The rows of ``docs`` that hold no test item, with all their columns."""
+    for index in _indexes(items, index_bytes):
+        shared = docs.sparkSession.sparkContext.broadcast(index)
+        docs = docs.mapInArrow(partial(_clean_batches, shared=shared, threshold=threshold, overlap=overlap), docs.schema)
+    return docs

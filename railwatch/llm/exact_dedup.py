@@ -144,7 +144,7 @@ def exact_duplicates(docs: DataFrame, rows_per_task: int = 100_000, fan_in: int
 
 
 def drop_exact_duplicates(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that stay, with their columns."""
+    """The rows of ``docs`` that stay, with their columns; ``docs`` must be a stored table, as it is read again."""
+    gone = exact_duplicates(docs).where("not kept").select(F.col("row").alias("__row"))
     places = docs.withColumn("__row", F.monotonically_increasing_id())
-    kept = exact_duplicates(docs).where("kept").select(F.col("row").alias("__row"))
-    return places.join(kept, "__row", "left_semi").select(*[f"`{c}`" for c in docs.columns])
+    return places.join(gone, "__row", "left_anti").select(*[f"`{c}`" for c in docs.columns])

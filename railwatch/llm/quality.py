@@ -161,3 +161,15 @@ def score_documents(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc
     types = {f.name: f.dataType.simpleString() for f in work.schema.fields}
     schema = ", ".join(f"`{c}` {types[c]}" for c in keep) + ", score double"
     return work.mapInArrow(partial(_score_batches, shared=shared, offset=model.offset, keep=list(keep)), schema)
+
+
+def _keep_batches(batches: Iterator[pa.RecordBatch], shared, offset: float, least: float) -> Iterator[pa.RecordBatch]:
+    for whole in batches:
+        for batch in T.pieces(whole):
+            yield batch.filter(pa.array(scores(*T.utf8(batch.column("text")), shared.value, offset) >= least))
+
+
+def keep_good(docs: DataFrame, model: Model, least: float = 0.3) -> DataFrame:
+    """The rows of ``docs`` whose score is ``least`` or more, with all their columns."""
+    shared = docs.sparkSession.sparkContext.broadcast(model.bucket_logits().astype(np.float32))
+    return docs.mapInArrow(partial(_keep_batches, shared=shared, offset=model.offset, least=least), docs.schema)

@@ -91,7 +91,7 @@ def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return chosen_path.similar_documents(table(spark, sf_dir, "documents")).drop("row")
+    return chosen_path.similar_documents(table(spark, sf_dir, "documents")).drop("row", "class_row")
 
 
 @query
