@@ -34,6 +34,7 @@ TARGET_RECALL = 0.9999
 LEVELS = 4
 SMALL = 4096
 CHUNK = 128
+SKETCH_CHUNK = 512
 # Sketches of a pair at the threshold agree in fewer places about once in 10^9 pairs.
 SKETCH_AGREES = 28
 _ORDERS = np.random.default_rng(11).integers(1, 1 << 63, PLACES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -267,7 +268,7 @@ def similar_documents(docs: DataFrame, similarity: float = SIMILARITY, words: in
         last = level == LEVELS - 1 or sizes.where(F.col("members") > SMALL).isEmpty()
         ready = sizes if last else sizes.where(F.col("members") <= SMALL)
         members = buckets.join(ready, "path").join(leads, "node")
-        found = in_cells(members, "path", F.col("members"), _compare_sketches, "a long, b long")
+        found = in_cells(members, "path", F.col("members"), _compare_sketches, "a long, b long", SKETCH_CHUNK)
         proposed = proposed.unionAll(store(found, "proposed"))
         if last:
             break
