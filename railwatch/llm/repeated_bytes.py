@@ -28,6 +28,9 @@ from railwatch.sources.tables import store
 LENGTH = 50
 PIECE = 16
 _LAST = np.iinfo(np.int64).max
+# Places hold several 64-bit numbers each while a block is worked on.
+BLOCK_BYTES = 4 << 20
+CHUNK_BYTES = 1 << 20
 
 
 def _smallest(h: np.ndarray, n: int) -> np.ndarray:
@@ -51,7 +54,7 @@ class _Stretches:
         rows, first, size, least = [], [], [], []
         start, n = 0, len(self.doc)
         while start < n:
-            end = max(start + 1, int(np.searchsorted(self.at, self.at[start] + T.CHUNK_BYTES, "right")) - 1)
+            end = max(start + 1, int(np.searchsorted(self.at, self.at[start] + CHUNK_BYTES, "right")) - 1)
             a, b = int(self.at[start]), int(self.at[end])
             if b - a >= length:
                 at = np.arange(b - a - PIECE + 1)
@@ -140,7 +143,7 @@ class _Strings:
         start = 0
         while start < len(first):
             # Stretches are in text order; some at a time keep temporary arrays small.
-            end = max(start + 1, int(np.searchsorted(first, first[start] + T.CHUNK_BYTES, "right")))
+            end = max(start + 1, int(np.searchsorted(first, first[start] + CHUNK_BYTES, "right")))
             a, b = int(first[start]), int(after[start:end].max())
             part = slice(start, end)
             one[part] = T.span_hashes(s.data[a:b], first[part] - a, after[part] - a)
@@ -253,7 +256,7 @@ def _remove(docs: pa.Table, told: dict, length: int, slices: int, full: bool) ->
 
 
 def remove_repeats(
-    docs: DataFrame, length: int = LENGTH, full: bool = False, block_bytes: int = X.BLOCK_BYTES, shard_bytes: int = 1 << 20
+    docs: DataFrame, length: int = LENGTH, full: bool = False, block_bytes: int = BLOCK_BYTES, shard_bytes: int = 1 << 20
 ) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_bytes, n_removed, n_spans, kept_sha256, and the kept bytes with ``full``.
 
