@@ -39,32 +39,33 @@ def _units(depth: int) -> list[int]:
 
 def _number(keys: np.ndarray) -> np.ndarray:
     """Class numbers from 0 on of ascending keys."""
-    new = np.ones(len(keys), np.int64)
+    new = np.ones(len(keys), bool)
     new[1:] = keys[1:] != keys[:-1]
-    return np.cumsum(new) - 1
+    return np.cumsum(new, dtype=np.int32) - np.int32(1)
 
 
 def _beyond(rank: np.ndarray, classes: np.ndarray) -> np.ndarray:
     """Classes of suffixes by rank, 0 for what is past the end, others from 1 on."""
-    return np.where(rank < 0, 0, classes[rank] + 1)
+    return np.where(rank < 0, np.int32(0), classes[rank] + np.int32(1))
 
 
 def transform(data: np.ndarray, at: np.ndarray, first_string: int, depth: int) -> Transform:
     """Of the strings that the offsets cut the bytes into; they are numbered from ``first_string`` on."""
     size = np.diff(at)
-    string = np.repeat(np.arange(len(size)), size)
-    left = at[string + 1] - np.arange(len(data))
+    string = np.repeat(np.arange(len(size), dtype=np.int32), size)
+    every = np.arange(len(data), dtype=np.int32)
+    left = at[1:].astype(np.int32)[string] - every
     padded = np.concatenate([data.astype(np.uint64) + np.uint64(1), np.zeros(UNIT, np.uint64)])
     symbols = np.zeros(len(data), np.uint64)
     for k in range(UNIT):
         symbols = symbols << _BITS | np.where(k < left, padded[k : k + len(data)], 0)
 
     def further(units: int) -> np.ndarray:
-        return np.where(left > units * UNIT, np.arange(len(data)) + units * UNIT, -1)
+        return np.where(left > units * UNIT, every + np.int32(units * UNIT), np.int32(-1))
 
     def classes(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         order = np.argsort(keys)
-        out = np.empty(len(keys), np.int64)
+        out = np.empty(len(keys), np.int32)
         out[order] = _number(keys[order])
         return out, order
 
@@ -78,11 +79,13 @@ def transform(data: np.ndarray, at: np.ndarray, first_string: int, depth: int) -
     for k in parts[1:]:
         same, order = classes(same * n + _beyond(further(done), of[k]))
         done += k
-    rank = np.empty(len(data), np.int64)
-    rank[order] = np.arange(len(data))
+    rank = np.empty(len(data), np.int32)
+    rank[order] = every
     on = further(1)[order]
-    place = np.arange(len(data)) - at[string]
-    return Transform(symbols[order], np.where(on < 0, -1, rank[on]), string[order] + first_string, place[order], same[order])
+    place = every - at[:-1].astype(np.int32)[string]
+    return Transform(
+        symbols[order], np.where(on < 0, np.int32(-1), rank[on]), string[order] + np.int32(first_string), place[order], same[order]
+    )
 
 
 def merge(a: Transform, b: Transform, depth: int) -> Transform:
@@ -93,9 +96,10 @@ def merge(a: Transform, b: Transform, depth: int) -> Transform:
     def interleave(keys_a: np.ndarray, keys_b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Places of both in the merged order, and their classes."""
         at_b = np.searchsorted(keys_a, keys_b, "right") + np.arange(nb)
+        at_b = at_b.astype(np.int32)
         is_b = np.zeros(na + nb, bool)
         is_b[at_b] = True
-        at_a = np.flatnonzero(~is_b)
+        at_a = np.flatnonzero(~is_b).astype(np.int32)
         keys = np.empty(na + nb, keys_a.dtype)
         keys[at_a], keys[at_b] = keys_a, keys_b
         number = _number(keys)
@@ -103,7 +107,7 @@ def merge(a: Transform, b: Transform, depth: int) -> Transform:
 
     def on(t: Transform, steps: np.ndarray) -> np.ndarray:
         """Applies twice as many steps."""
-        return np.where(steps < 0, -1, steps[steps])
+        return np.where(steps < 0, np.int32(-1), steps[steps])
 
     at_a, at_b, ca, cb = interleave(a.symbols, b.symbols)
     of, step = {1: (ca, cb)}, {1: (a.further, b.further)}
@@ -117,20 +121,21 @@ def merge(a: Transform, b: Transform, depth: int) -> Transform:
     for k in parts[1:]:
         at_a, at_b, ca, cb = interleave(ca * n + _beyond(sa, of[k][0]), cb * n + _beyond(sb, of[k][1]))
         ka, kb = step[k]
-        sa, sb = np.where(sa < 0, -1, ka[sa]), np.where(sb < 0, -1, kb[sb])
+        sa, sb = np.where(sa < 0, np.int32(-1), ka[sa]), np.where(sb < 0, np.int32(-1), kb[sb])
 
     def woven(x: np.ndarray, y: np.ndarray) -> np.ndarray:
         out = np.empty(na + nb, x.dtype)
         out[at_a], out[at_b] = x, y
         return out
 
-    further = woven(np.where(a.further < 0, -1, at_a[a.further]), np.where(b.further < 0, -1, at_b[b.further]))
+    none = np.int32(-1)
+    further = woven(np.where(a.further < 0, none, at_a[a.further]), np.where(b.further < 0, none, at_b[b.further]))
     return Transform(
         woven(a.symbols, b.symbols), further, woven(a.string, b.string), woven(a.place, b.place), woven(ca, cb)
     )
 
 
-def merge_all(data: np.ndarray, at: np.ndarray, depth: int, shard_bytes: int = 1 << 20) -> Transform:
+def merge_all(data: np.ndarray, at: np.ndarray, depth: int, shard_bytes: int = 1 << 19) -> Transform:
     """Transforms of shards of about ``shard_bytes``, merged two by two."""
     cuts = [0]
     while cuts[-1] < len(at) - 1:

@@ -31,6 +31,7 @@ _LAST = np.iinfo(np.int64).max
 # Places hold several 64-bit numbers each while a block is worked on.
 BLOCK_BYTES = 4 << 20
 CHUNK_BYTES = 1 << 20
+SLICES_PER_BLOCK = 3
 
 
 def _smallest(h: np.ndarray, n: int) -> np.ndarray:
@@ -256,7 +257,7 @@ def _remove(docs: pa.Table, told: dict, length: int, slices: int, full: bool) ->
 
 
 def remove_repeats(
-    docs: DataFrame, length: int = LENGTH, full: bool = False, block_bytes: int = BLOCK_BYTES, shard_bytes: int = 1 << 20
+    docs: DataFrame, length: int = LENGTH, full: bool = False, block_bytes: int = BLOCK_BYTES, shard_bytes: int = 1 << 19
 ) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_bytes, n_removed, n_spans, kept_sha256, and the kept bytes with ``full``.
 
@@ -274,12 +275,14 @@ def remove_repeats(
     later = ids.join(firsts, "digest").where("doc_id > first").groupBy("block").agg(F.collect_set("doc_id").alias("ids"))
     later = later.select("block", F.lit(0).alias("slice"), F.concat_ws(" ", F.col("ids").cast("array<string>")).cast("binary").alias("payload"))
     copies = store(later, "copies")
-    ask = {"length": length, "slices": n}
+    # A slice holds its transforms in memory, at about a hundred bytes for each of its strings' bytes.
+    slices = SLICES_PER_BLOCK * n
+    ask = {"length": length, "slices": slices}
     schema = "block int, slice int, cells binary, several binary"
     asked = X.in_blocks(blocked, n, partial(_ask_minimizers, **ask), schema, copies=copies)
-    minimizers = store(X.in_slices(asked, n, _answer_minimizers), "minimizers")
+    minimizers = store(X.in_slices(asked, slices, _answer_minimizers), "minimizers")
     schema = "block int, slice int, data binary, size binary, one binary, two binary, doc binary"
     asked = X.in_blocks(blocked, n, partial(_ask_strings, **ask), schema, copies=copies, minimizers=minimizers)
-    strings = store(X.in_slices(asked, n, partial(_answer_strings, length=length, shard_bytes=shard_bytes)), "strings")
+    strings = store(X.in_slices(asked, slices, partial(_answer_strings, length=length, shard_bytes=shard_bytes)), "strings")
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * full
     return X.in_blocks(blocked, n, partial(_remove, full=full, **ask), schema, copies=copies, minimizers=minimizers, strings=strings)
