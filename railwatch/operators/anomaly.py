@@ -56,26 +56,27 @@ def hash_split(df: DataFrame, key: str, held_out: float, seed: int = 42) -> tupl
     return df.filter(part >= held_out), df.filter(part < held_out)
 
 
-def _tree_samples(df: DataFrame, key: str, features: Sequence[str], rows: int, cfg: ForestConfig) -> DataFrame:
-    """At most ``sample_size`` rows for each tree, drawn independently by hash.
+def _complete(df: DataFrame, key: str, features: Sequence[str]) -> DataFrame:
+    """Rows that have all features, with the key as text."""
+    return df.select(F.col(key).cast("string").alias("row_key"), *[F.col(f).cast("double").alias(f) for f in features]).na.drop()
 
-    A row becomes a candidate of a tree with a chance that gives about twice the sample; only candidates are
-    shuffled, and copies of a key are combined before that. On very large input one cheap hash first keeps a pool of
-    16 times the rows all trees need, so that the hash per tree runs on the pool only.
+
+def _tree_samples(complete: DataFrame, need: int, chance: float, cfg: ForestConfig) -> DataFrame:
+    """For each tree the ``need`` rows of smallest hash, if so many have a hash below ``chance``.
+
+    Only the trees that draw a row make a copy of it; copies of a key are combined before they are counted.
     """
-    need = cfg.sample_size * cfg.trees
-    id_text = F.col(key).cast("string")
-    pool = df.select(id_text.alias("row_key"), *[F.col(f).cast("double").alias(f) for f in features]).na.drop()
-    share = min(1.0, 16 * need / max(rows, 1))
-    if share < 1.0:
-        pool = pool.filter(_unit_hash(F.col("row_key"), F.lit(cfg.seed), F.lit("pool")) < share)
-    chance = min(1.0, 2 * cfg.sample_size / max(rows * share, 1))
-    candidates = pool.withColumn("tree_id", F.explode(F.sequence(F.lit(0), F.lit(cfg.trees - 1)))).withColumn(
-        "draw", _unit_hash(F.col("row_key"), F.col("tree_id"), F.lit(cfg.seed))
+    draws = F.filter(
+        F.transform(
+            F.sequence(F.lit(0), F.lit(cfg.trees - 1)),
+            lambda t: F.struct(t.alias("tree_id"), _unit_hash(F.col("row_key"), t, F.lit(cfg.seed)).alias("draw")),
+        ),
+        lambda d: d["draw"] < chance,
     )
-    candidates = candidates.filter(F.col("draw") < chance).dropDuplicates(["tree_id", "row_key"])
+    candidates = complete.withColumn("drawn", F.explode(draws)).select("*", "drawn.*").drop("drawn")
+    candidates = candidates.dropDuplicates(["tree_id", "row_key"])
     order = Window.partitionBy("tree_id").orderBy("draw", "row_key")
-    return candidates.withColumn("n", F.row_number().over(order)).filter(F.col("n") <= cfg.sample_size)
+    return candidates.withColumn("n", F.row_number().over(order)).filter(F.col("n") <= need)
 
 
 def _grow_tree(sample: pd.DataFrame, features: Sequence[str], cfg: ForestConfig) -> pd.DataFrame:
@@ -117,15 +118,25 @@ def fit_iforest(
     ``key`` identifies a row. The threshold is the score that ``contamination`` of the training rows exceed.
     """
     spark = df.sparkSession
-    rows = df.count()
+    complete = _complete(df, key, features)
+    # Rows that can be drawn: complete ones, each key once.
+    rows = complete.agg(F.count_distinct("row_key")).first()[0]
     if rows == 0:
         raise ValueError("no rows to fit")
-    samples = _tree_samples(df, key, features, rows, cfg)
-    names = tuple(features)
-    grown = samples.groupBy("tree_id").applyInPandas(lambda s: _grow_tree(s, names, cfg), _NODE_SCHEMA)
-    # The one collect: nodes of the model, bounded by trees and sample size, not by the data.
-    nodes = spark.createDataFrame(grown.toPandas(), schema=_NODE_SCHEMA)
-    model = Forest(nodes, names, min(cfg.sample_size, rows), 0.0)
+    names, need = tuple(features), min(cfg.sample_size, rows)
+    # Six standard deviations more than needed; should a tree still come short, all draw again with twice the chance.
+    chance = min(1.0, (need + 6 * need**0.5 + 20) / rows)
+    while True:
+        samples = _tree_samples(complete, need, chance, cfg)
+        grown = samples.groupBy("tree_id").applyInPandas(lambda s: _grow_tree(s, names, cfg), _NODE_SCHEMA)
+        # The one collect: nodes of the model, bounded by trees and sample size, not by the data.
+        found = grown.toPandas()
+        roots = found.loc[found["node_id"] == 1, "rows"]
+        if chance == 1.0 or (len(roots) == cfg.trees and (roots == need).all()):
+            break
+        chance = min(1.0, 2 * chance)
+    nodes = spark.createDataFrame(found, schema=_NODE_SCHEMA)
+    model = Forest(nodes, names, need, 0.0)
     scores = anomaly_scores(df, model).select("score")
     return model._replace(threshold=_score_threshold(scores, cfg.contamination))
 

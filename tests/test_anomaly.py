@@ -11,26 +11,21 @@ from railwatch.config import ForestConfig
 from railwatch.operators import anomaly
 from railwatch.operators.health import FEATURES
 
-# Mean and spread of each feature, for normal windows and four kinds of trouble.
-NORMAL = [(95.5, 1.2), (650, 120), (0, 1), (0.5, 0.3), (4, 1.5)]
-TROUBLE = {
-    "bank outage": [(70, 5), (700, 150), (0, 1), (1, 0.5), (35, 5)],
-    "slow platform": [(88, 3), (4500, 800), (0, 1), (8, 2), (8, 2)],
-    "volume": [(94, 2), (700, 150), (4, 1), (0.7, 0.3), (5, 1.5)],
-    "shared rail": [(65, 6), (900, 200), (0, 1), (2, 0.8), (28, 6)],
-}
-
-
-def draw(shape, n, seed):
-    rng = np.random.default_rng(seed)
-    return pd.DataFrame({f: rng.normal(mean, spread, n) for f, (mean, spread) in zip(FEATURES, shape)})
+# Made up for these tests: quiet windows vary by a tenth of a unit around 10; trouble moves some features.
+QUIET, SPREAD = 10.0, 0.1
+TROUBLE = {f"{name} and its neighbour": [i, i - 1] for i, name in enumerate(FEATURES)} | {"all": list(range(len(FEATURES)))}
 
 
 @pytest.fixture(scope="module")
 def windows(spark):
-    normal = draw(NORMAL, 4000, 1).assign(kind="normal")
-    bad = [draw(shape, 75, 2 + i).assign(kind=kind) for i, (kind, shape) in enumerate(TROUBLE.items())]
-    data = pd.concat([normal, *bad], ignore_index=True)
+    random = np.random.default_rng(1)
+    parts = [("normal", [], 4000), *((kind, moved, 60) for kind, moved in TROUBLE.items())]
+    frames = []
+    for kind, moved, n in parts:
+        values = random.normal(QUIET, SPREAD, (n, len(FEATURES)))
+        values[:, moved] += 40 * SPREAD
+        frames.append(pd.DataFrame(values, columns=list(FEATURES)).assign(kind=kind))
+    data = pd.concat(frames, ignore_index=True)
     data["id"] = data.index.astype(str)
     return spark.createDataFrame(data).cache()
 
@@ -87,19 +82,28 @@ def test_same_scores_for_any_partitioning(windows):
     assert scores[0] == scores[1]
 
 
-def test_tree_samples_are_bounded_also_with_copies(spark):
+def test_tree_samples_are_exact_also_with_copies(spark):
     copies = spark.range(3000).selectExpr("IF(id < 1000, 0, id) AS id", "CAST(id % 10 AS double) AS x")
     cfg = ForestConfig(trees=10, sample_size=50)
-    samples = anomaly._tree_samples(copies, "id", ["x"], 3000, cfg)
+    samples = anomaly._tree_samples(anomaly._complete(copies, "id", ["x"]), 50, 1.0, cfg)
     assert {r["count"] for r in samples.groupBy("tree_id").count().collect()} == {50}
     assert samples.groupBy("tree_id", "row_key").count().filter("count > 1").count() == 0
-
-
-def test_large_input_goes_through_the_pool(spark):
-    cfg = ForestConfig(trees=4, sample_size=8)
-    many = spark.range(50_000).selectExpr("id", "CAST(id AS double) AS x")
-    samples = anomaly._tree_samples(many, "id", ["x"], 50_000, cfg)
-    assert {r["count"] for r in samples.groupBy("tree_id").count().collect()} == {8}
+    # Drawing fewer candidates changes none of the rows.
+    some = anomaly._tree_samples(anomaly._complete(copies, "id", ["x"]), 50, 0.06, cfg)
+    rows = lambda df: sorted((r.tree_id, r.row_key) for r in df.collect())
+    assert rows(some) == rows(samples)
+
+
+@pytest.mark.parametrize("missing", [0.0, 0.95])
+def test_each_tree_has_its_rows_whatever_is_missing(spark, missing):
+    rows = 20_000
+    data = spark.range(rows).selectExpr("id", f"IF(id % 100 < {missing * 100}, NULL, CAST(hash(id) AS double)) AS x")
+    for sample_size in (256, 5000):
+        cfg = ForestConfig(trees=8, sample_size=sample_size)
+        model = anomaly.fit_iforest(data, "id", ["x"], cfg)
+        need = min(sample_size, round(rows * (1 - missing)))
+        assert model.sample_size == need
+        assert [r.rows for r in model.nodes.filter("node_id = 1").collect()] == [need] * 8
 
 
 def test_missing_features_and_constant_data(spark):
