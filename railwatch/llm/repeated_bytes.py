@@ -82,7 +82,8 @@ class _Stretches:
             start = end
         empty = np.zeros(0, np.int64)
         self.row, self.first, self.size = (np.concatenate(x) if x else empty for x in (rows, first, size))
-        self.least = np.concatenate(least) if least else np.zeros(0, np.uint64)
+        # The smallest of many hashes is small: mixed once more, it is spread evenly over slices.
+        self.least = T.mix(np.concatenate(least) + np.uint64(1)) if least else np.zeros(0, np.uint64)
 
     def cells(self, slices: int) -> np.ndarray:
         """Slice of the minimizer (upper half) and its low 32 bits."""
