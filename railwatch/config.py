@@ -21,6 +21,9 @@ SUCCESS_BANDS = ((95.0, "green"), (90.0, "yellow"))
 LOWEST_BAND = "red"
 
 
+# The defaults of the thresholds below.
+
+
 @dataclass(frozen=True)
 class AttributionConfig:
     failure_rate_pct: float = 20.0
@@ -62,10 +65,9 @@ class SkewConfig:
     """A key with more than ``rows_per_task`` rows is spread over several tasks of a join.
 
     Keys are counted on so many rows that such a key shows up about ``seen_rows`` times. The count only chooses the
-    plan; the joins use every row. ``max_keys`` bounds the list that reaches the driver and is broadcast.
+    plan; the joins use every row. The list that reaches the driver has at most a key per ``rows_per_task`` rows.
     """
 
     rows_per_task: int = 5_000_000
     seen_rows: int = 1_000
-    max_keys: int = 10_000
     seed: int = 42

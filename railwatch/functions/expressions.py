@@ -62,10 +62,13 @@ def display_or_none(c: Column | str) -> Column:
 
 
 def number_text(c: Column | str) -> Column:
-    """A double as plain decimal text (``1.0``, ``12345678.5``), never with an exponent; null as ``None``."""
+    """A double as its shortest exact text, plain from 0.0001 up to 10^16 (``1.0``, ``12345678.5``); null as ``None``."""
     c = _col(c)
-    plain = F.regexp_replace(c.try_cast("decimal(38,10)").cast("string"), r"(\.\d+?)0+$", "$1")
-    return F.coalesce(plain, c.cast("string"), F.lit("None"))
+    text = c.cast("string")
+    # Spark writes an exponent outside of 0.001 to 10^7.
+    plain = F.regexp_replace(text.try_cast("decimal(38,21)").cast("string"), r"(\.\d+?)0+$", "$1")
+    in_range = (F.abs(c) >= 1e-4) & (F.abs(c) < 1e16)
+    return F.coalesce(F.when(in_range & text.contains("E"), plain), text, F.lit("None"))
 
 
 def band(rate: Column | str, bands=SUCCESS_BANDS, lowest: str = LOWEST_BAND) -> Column:

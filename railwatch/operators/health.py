@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from math import gcd
 
 import pandas as pd
@@ -109,10 +111,11 @@ def bank_health(txns: DataFrame, unit: str = "hour", probs: tuple[float, ...] =
     )
     latency_sum = F.sum(F.col("response_time_ms").cast("bigint") * F.col("rows"))
     percentiles = [
-        F.min(F.when(F.col("rank") >= F.ceil(F.col("known_rows") * p), F.col("response_time_ms"))).alias(
-            f"p{round(p * 100)}_response_time_ms"
+        F.min(F.when(F.col("rank") >= F.ceil(F.col("known_rows") * F.lit(p)), F.col("response_time_ms"))).alias(
+            f"p{p * 100:f}".rstrip("0").rstrip(".").replace(".", "_") + "_response_time_ms"
         )
-        for p in probs
+        # As decimals: the rank of a double such as 0.55 of 100 rows would be one too high.
+        for p in (Decimal(str(p)) for p in probs)
     ]
     out = ranked.groupBy("bank", f"{unit}_bucket").agg(
         F.sum("rows").alias("total_transactions"),

@@ -141,10 +141,11 @@ def overdue(
     as_of=None,
     skew: ReconSkew = NO_SKEW,
 ) -> DataFrame:
-    """Successful transactions older than the threshold that have no settlement."""
+    """Successful transactions older than the threshold without a settlement, and each pair whose settlement has no id."""
     t = successful(txns).filter(is_overdue(F.col("event_time"), cfg, as_of)).select(_KEY, "merchant_id", "amount_inr", *skew.txn_salt)
-    s = settlements.filter(F.col("settlement_id").isNotNull()).select(_KEY, *skew.settlement_salt)
-    return skew_join(t, s, _KEY, "left_anti", **skew.txns_left())
+    s = settlements.select(_KEY, "settlement_id", *skew.settlement_salt)
+    pairs = skew_join(t, s, _KEY, "left", **skew.txns_left())
+    return pairs.filter(F.col("settlement_id").isNull()).select(_KEY, "merchant_id", "amount_inr")
 
 
 def orphans(

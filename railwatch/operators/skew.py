@@ -29,15 +29,14 @@ def find_hot_keys(key: str, *tables: DataFrame, cfg: SkewConfig = SkewConfig())
     """For each table the keys with more rows than one task should take; null counts as a key.
 
     Runs one job over the key columns. The counts are estimates from a share of the rows; keys close to the limit may
-    go either way, which costs time at most. All lists together hold at most ``cfg.max_keys`` keys, the hottest,
-    however large the tables are.
+    go either way, which costs time at most. A table has no more hot keys than its rows over ``cfg.rows_per_task``.
     """
     share = min(1.0, cfg.seen_rows / cfg.rows_per_task)
     sampled = [
         df.select(F.col(key).alias("key"), F.lit(i).alias("table")).sample(share, seed=cfg.seed) for i, df in enumerate(tables)
     ]
     counted = reduce(DataFrame.unionByName, sampled).groupBy("table", "key").agg(F.count(F.lit(1)).alias("seen"))
-    hot = counted.filter(F.col("seen") > cfg.rows_per_task * share).orderBy(F.desc("seen")).limit(cfg.max_keys)
+    hot = counted.filter(F.col("seen") > cfg.rows_per_task * share)
     found: list[list[HotKey]] = [[] for _ in tables]
     for row in hot.collect():
         found[row["table"]].append(HotKey(row["key"], round(row["seen"] / share)))
@@ -61,8 +60,8 @@ def skew_join(
     Rows of a hot key get one of n salts on the side where the key is hot; the few rows of the other side are
     repeated once per salt. The salt is a hash of the row, or of the named salt columns, which the join drops; so a
     task that runs again gives the same one. A repeated row that meets no partner under its salt is dropped: its
-    key is on the other side and has partners under another salt. So ``left_hot`` and ``right_hot`` must have
-    been found in the very rows of ``left`` and ``right``.
+    key is on the other side and has partners under another salt. For outer joins that is made sure of first: a hot
+    key that the salted side does not hold is joined as any other, so a list found in other rows costs time at most.
     """
     if how not in ("inner", "left", "full", "left_semi", "left_anti"):
         raise ValueError(f"no such join here: {how}")
@@ -84,6 +83,9 @@ def skew_join(
             ]
         ),
     )
+    if how in ("left", "full"):
+        held = [_keys_held(df, spread, on, side) for side, df in (("left", left), ("right", right))]
+        spread = held[0].unionByName(held[1])
     salted_left = _salt(left, spread, on, "left", left_salt)
     salted_right = _salt(right, spread, on, "right", right_salt)
     kept_left = [c for c in left.columns if c not in left_salt]
@@ -116,6 +118,14 @@ def _spread(left_hot, right_hot, cfg: SkewConfig) -> list[tuple]:
     return [(key, label, -(-rows // cfg.rows_per_task)) for (key, _), (rows, label) in chosen.items()]
 
 
+def _keys_held(df: DataFrame, spread: DataFrame, on: str, me: str) -> DataFrame:
+    """The hot keys salted on this side that its rows do hold; a null key has no partners, so it stays."""
+    mine = spread.filter(F.col(_SIDE).isin(me, f"{me}-null"))
+    keys = df.select(F.col(on).alias("__found")).join(mine.select("__key"), F.col("__found") == F.col("__key"), "left_semi").distinct()
+    held = mine.join(keys, F.col("__key") == F.col("__found"), "left_semi")
+    return held.unionByName(mine.filter(F.col("__key").isNull()))
+
+
 def _salt(df: DataFrame, spread: DataFrame, on: str, me: str, salt_by: Sequence[str]) -> DataFrame:
     """Adds the salt: own rows of a key salted here get one, rows of a key salted on the other side get all."""
     row_hash = F.xxhash64(*(salt_by or df.columns))

@@ -96,9 +96,9 @@ def run_quality(spark: SparkSession, root: str, fmt: str = "parquet") -> tuple[D
     return results, quality.dlq_health(spark, {name: f"{root}/{name}" for name in DLQ_TABLES}, fmt)
 
 
-def export_marts(spark: SparkSession, root: str, out: str, fmt: str = "parquet") -> None:
+def export_marts(spark: SparkSession, root: str, out: str, fmt: str = "parquet", single_file: bool = False) -> None:
     for name in EXPORTED_MARTS:
-        export_csv(read_table(spark, f"{root}/{name}", fmt), f"{out}/{name}", single_file=True)
+        export_csv(read_table(spark, f"{root}/{name}", fmt), f"{out}/{name}", single_file=single_file)
 
 
 def register_payment_views(txns: DataFrame, settlements: DataFrame, cfg: ReconConfig = ReconConfig()) -> None:

@@ -285,7 +285,7 @@ ORACLES: dict[str, str] = {
     "top_discrepancy_merchants": f"""{_RECON_MART} select merchant_id, round(coalesce(sum(amount_discrepancy), 0), 2)
             as amount_discrepancy
         from mart group by merchant_id order by amount_discrepancy desc, merchant_id limit 15""",
-    "sql_path_scan": "select event_type, count(*) as n, max(event_id) as newest from events where value >= 1 group by 1",
+    "sql_path_scan": "select event_type, count(*) as n, max(event_id) as newest from events group by 1",
     "sql_views": f"""{_RECON} select payment_method, count(*) as payments,
           cast(count(*) filter (where delay_seconds > 180) as bigint) as delayed, count(settlement_id) as settlements
         from paid p left join settlement s on p.transaction_id = s.transaction_id group by payment_method""",
@@ -312,7 +312,7 @@ ORACLES: dict[str, str] = {
         from events where not {_IS_BAD}""",
     "stream_silver_windows": f"""with {_EVENT_TXN}, good as ({_WELL_FORMED}), {_sliding("good")}
         select * from silver where window_end <= (select max(event_time) - interval 60 second from good)""",
-    "stream_typed_rows": f"""with {_EVENT_TXN}, good as ({_WELL_FORMED} and event_date >= date '2024-01-16'),
+    "stream_typed_rows": f"""with {_EVENT_TXN}, good as ({_WELL_FORMED}),
         mart as ({_OPS_MART.format("good")}) {_ROUNDED_OPS}""",
     "stream_payout_mart": _PAYOUT_MART,
     "stream_recon_join": f"""with t as (

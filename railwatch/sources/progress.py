@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from railwatch.sources.tables import read_if_present
 
-# TOPIC PARTITION CURRENT-OFFSET LOG-END-OFFSET LAG of a consumer-group listing.
-LAG_LINE = r"^\s*\S+\s+\d+\s+\d+\s+\d+\s+(\d+)"
+# The columns of a consumer-group listing, parted by white space; all but the first are numbers.
+LISTING = ("TOPIC", "PARTITION", "CURRENT-OFFSET", "LOG-END-OFFSET", "LAG")
 UNKNOWN_LAG = -1
 
 
@@ -32,16 +32,19 @@ def checkpoint_times(spark: SparkSession, checkpoints: dict[str, str]) -> DataFr
 
 def lag_from_listing(lines: DataFrame) -> DataFrame:
     """``group_id, line`` to ``group_id, lag``: null for lines without a lag, -1 where no listing was had."""
-    text = F.regexp_extract("line", LAG_LINE, 1)
-    lag = F.when(F.col("line").isNull(), F.lit(str(UNKNOWN_LAG))).otherwise(F.nullif(text, F.lit("")))
-    return lines.select("group_id", lag.cast("bigint").alias("lag"))
+    fields = F.split(F.trim(F.regexp_replace("line", r"\s+", " ")), " ")
+    numbers = [F.get(fields, F.lit(i)).try_cast("bigint") for i in range(1, len(LISTING))]
+    lag = F.when(F.forall(F.array(*numbers), lambda n: n.isNotNull() & (n >= 0)), numbers[-1])
+    return lines.select("group_id", F.when(F.col("line").isNull(), F.lit(UNKNOWN_LAG)).otherwise(lag).alias("lag"))
 
 
 def lag_from_progress(progress: DataFrame) -> DataFrame:
     """``group_id, progress`` (JSON of a StreamingQueryProgress) to the lag of each topic partition.
 
-    Spark commits no offsets to consumer groups, so a Spark stream's lag is in its own progress.
+    Spark commits no offsets to consumer groups, so a Spark stream's lag is in its own progress. A stream without
+    progress has the lag -1.
     """
+    unknown = progress.filter(F.col("progress").isNull()).select("group_id", F.lit(UNKNOWN_LAG).cast("bigint").alias("lag"))
     schema = "sources array<struct<endOffset string, latestOffset string>>"
     offsets = "map<string, map<string, bigint>>"
     sources = progress.select("group_id", F.explode(F.from_json("progress", schema)["sources"]).alias("source"))
@@ -54,4 +57,4 @@ def lag_from_progress(progress: DataFrame) -> DataFrame:
         "group_id", F.try_element_at("read", F.col("topic")).alias("read"), F.explode("latest").alias("part", "end")
     )
     start = F.coalesce(F.try_element_at("read", F.col("part")), F.lit(0))
-    return partitions.select("group_id", (F.col("end") - start).alias("lag"))
+    return partitions.select("group_id", (F.col("end") - start).alias("lag")).unionByName(unknown)

@@ -6,8 +6,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-TOPICS = ("transactions", "settlements", "payouts")
-OFFSETS_PER_TRIGGER = 1000
 _FILE_LIMIT = "maxFilesPerTrigger"
 
 
@@ -19,13 +17,13 @@ def event_stream(
     bootstrap: str = "localhost:9092",
     path: str | None = None,
     schema: StructType | None = None,
-    max_per_trigger: int | None = OFFSETS_PER_TRIGGER,
+    max_per_trigger: int | None = None,
     **options: str,
 ) -> DataFrame:
     """A stream of ``key, value, kafka_timestamp``.
 
     ``kafka`` subscribes to the topic from its first record and reads at most ``max_per_trigger`` records per
-    batch; None takes all there are. Any other format reads files with the same three columns and limits files.
+    batch; by default all there are. Any other format reads files with the same three columns and limits files.
     """
     reader = spark.readStream.format(fmt)
     if fmt == "kafka":

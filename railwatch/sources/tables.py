@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.errors import AnalysisException
@@ -57,10 +56,10 @@ def register_views(tables: dict[str, DataFrame]) -> None:
 def write_mart(df: DataFrame, path: str, fmt: str = "parquet", partition_by: str | None = None) -> int:
     """Overwrites the table with its new schema and gives the rows written, counted during the write."""
     written = Observation()
-    writer = df.observe(written, F.count(F.lit(1)).alias("rows"))
-    if partition_by:
-        # AQE cuts a large date into several files and joins small ones.
-        writer = writer.hint("rebalance", partition_by)
+    # AQE cuts a large date into several files and joins small ones. Counted after that shuffle, in the tasks that
+    # write: a map task that runs again would count its rows twice.
+    writer = df.hint("rebalance", partition_by) if partition_by else df
+    writer = writer.observe(written, F.count(F.lit(1)).alias("rows"))
     out = writer.write.format(fmt).mode("overwrite").option("overwriteSchema", "true")
     if partition_by:
         out = out.partitionBy(partition_by)
@@ -94,10 +93,8 @@ def report_rows(spark: SparkSession, report: str, generated_at: str) -> DataFram
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path in the folder all executors share, as named by the session."""
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if base is None:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        base = tempfile.mkdtemp(prefix="railwatch-")
+    # The warehouse is shared, too.
+    base = base or spark.conf.get("spark.sql.warehouse.dir")
     return f"{base.rstrip('/')}/railwatch-{name}-{uuid.uuid4().hex}"
 
 

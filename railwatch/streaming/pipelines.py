@@ -82,30 +82,49 @@ def start_pipeline(
 
 
 def finish(queries: list[StreamingQuery]) -> None:
-    """Waits for queries that end by themselves (``once``); raises what any of them raised."""
-    for query in queries:
-        query.awaitTermination()
+    """Waits until all have ended, as those of ``once`` do by themselves. If one fails, the others are stopped and its
+    error is raised."""
+    try:
+        while active := [q for q in queries if q.isActive]:
+            active[0].awaitTermination(0.2)
+            for query in queries:
+                if error := query.exception():
+                    raise error
+        for query in queries:
+            query.awaitTermination()
+    except Exception:
+        for query in queries:
+            query.stop()
+        raise
 
 
 def progress_rows(spark: SparkSession, queries: list[StreamingQuery]) -> DataFrame:
     """The last progress of each query as ``group_id, progress``, the input of ``lag_from_progress``."""
-    rows = [(q.name, q.lastProgress.json) for q in queries if q.lastProgress]
+    rows = [(q.name, q.lastProgress.json if q.lastProgress else None) for q in queries]
     return spark.createDataFrame(rows, "group_id string, progress string")
 
 
+def untimed(events: DataFrame) -> DataFrame:
+    """Events without a time, for a table of their own beside ``reconcile_stream``."""
+    return events.filter(F.col("event_time").isNull())
+
+
 def reconcile_stream(
-    txns: DataFrame, settlements: DataFrame, *, watermark: str = "60 seconds", max_delay: str = "30 minutes"
+    txns: DataFrame, settlements: DataFrame, *, watermark: str = "60 seconds", max_delay: str = "30 minutes", early: str = "1 minute"
 ) -> DataFrame:
     """Successful transactions with their settlements as both arrive.
 
     A transaction whose settlement does not come within ``max_delay`` is given out with nulls once the watermarks
-    have passed that time. Both inputs need ``transaction_id`` and ``event_time``.
+    have passed that time. A settlement may be ``early`` by the clock of its sender. Both inputs need ``transaction_id``
+    and ``event_time``. No watermark ever passes a missing time, so rows without one take no part; ``untimed`` gives them.
     """
+    timed = F.col("event_time").isNotNull()
+    txns, settlements = txns.filter(timed), settlements.filter(timed)
     t = txns.filter(F.col("status") == "success").select(
         F.col("transaction_id").alias("txn_id"), "merchant_id", "amount_inr", F.col("event_time").alias("txn_time")
     )
     s = settlements.select("transaction_id", "settlement_id", "settled_amount_inr", F.col("event_time").alias("settled_time"))
-    in_time = (F.col("settled_time") >= F.col("txn_time")) & (
+    in_time = (F.col("settled_time") >= F.col("txn_time") - F.expr(f"INTERVAL {early}")) & (
         F.col("settled_time") <= F.col("txn_time") + F.expr(f"INTERVAL {max_delay}")
     )
     joined = t.withWatermark("txn_time", watermark).join(

@@ -140,3 +140,11 @@ def test_features_of_one_window(spark):
     )
     row = window_features(txns, tumbling=True).first()
     assert row[2:] == (50.0, 200.0, 0.0, 25.0, 50.0)
+
+
+def test_percentile_ranks_are_exact(spark):
+    txns = spark.range(100).selectExpr(
+        "'m' AS payment_method", "'success' AS status", "CAST(id + 1 AS int) AS response_time_ms", "timestamp'2024-01-01 10:00:00' AS event_time"
+    )
+    row = bank_health(txns, probs=(0.55, 0.995, 0.999)).first()
+    assert (row.p55_response_time_ms, row.p99_5_response_time_ms, row.p99_9_response_time_ms) == (55, 100, 100)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from railwatch.config import ReconConfig, SkewConfig
 from railwatch.operators import reconcile as rc
 from railwatch.operators.marts import mart_recon, mart_recon_from_rows
-from railwatch.operators.skew import find_hot_keys, skew_join
+from railwatch.operators.skew import HotKey, find_hot_keys, skew_join
 from railwatch.sources.tables import read_table
 from tests.helpers import at, rows, settlement, txn
 
@@ -203,3 +203,38 @@ def test_no_positions_are_read_without_hot_keys(spark, folder):
     txns, settlements, skew = rc.read_for_join(skewed(spark, folder))
     assert "row_position" not in txns.columns + settlements.columns
     assert not skew.txn_hot and not skew.settlement_hot
+
+
+@pytest.mark.parametrize("how", ["inner", "left", "full", "left_semi", "left_anti"])
+def test_stale_hot_list_loses_no_rows(spark, how):
+    """A list found in other rows: keys that one side, or both, no longer hold."""
+    left = spark.createDataFrame([("a", 1), ("a", 2), ("b", 3), (None, 4)], "id string, x int")
+    right = spark.createDataFrame([("b", 5), ("c", 6), ("c", 7), (None, 8)], "id string, y int")
+    hot = [HotKey(k, 100) for k in ("a", "b", "c", "gone", None)]
+    for left_hot, right_hot in ((hot, []), ([], hot), (hot, hot)):
+        got = skew_join(left, right, "id", how, left_hot=left_hot, right_hot=right_hot, cfg=SMALL)
+        assert rows(got) == rows(left.join(right, "id", how))
+
+
+def test_log_is_the_union_of_its_branches_with_null_ids(spark):
+    txns = txn(spark, dict(transaction_id="t"), dict(transaction_id="u"))
+    settlements = settlement(
+        spark,
+        dict(transaction_id="t", settlement_id="s1"),
+        dict(transaction_id="t"),
+        dict(transaction_id="t"),
+        dict(transaction_id="nobody", settlement_id="o"),
+    )
+    log = rc.mismatch_log(txns, settlements, as_of=AS_OF)
+    counts = {r.mismatch_type: r.mismatches for r in rc.mismatch_counts(log).collect()}
+    assert counts[rc.DELAYED] == rc.overdue(txns, settlements, as_of=AS_OF).count() == 3
+    assert counts[rc.ORPHAN] == rc.orphans(txns, settlements).count() == 1
+
+
+def test_amounts_are_told_exactly(spark):
+    from railwatch.functions import number_text
+
+    values = [0.1 + 0.2, 0.3, 1.0, 1e-11, 12345678.5, 0.00025, 123456789012345.6, None, -0.5, 2e16]
+    got = [r[0] for r in spark.createDataFrame([(v,) for v in values], "v double").select(number_text("v")).collect()]
+    assert [None if g == "None" else float(g) for g in got] == values
+    assert got[:5] == ["0.30000000000000004", "0.3", "1.0", "1.0E-11", "12345678.5"] and got[5] == "0.00025"
