@@ -87,12 +87,12 @@ def cut(keys: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
 
 def planes(values: np.ndarray) -> bytes:
     """Sorted integers byte by byte, which compresses well."""
-    return np.ascontiguousarray(values.view(np.uint8).reshape(len(values), -1).T).tobytes()
+    return np.ascontiguousarray(values.view(np.uint8).reshape(len(values), values.dtype.itemsize).T).tobytes()
 
 
 def unplanes(data: bytes, kind: type) -> np.ndarray:
     size = np.dtype(kind).itemsize
-    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(size, -1).T).view(kind).ravel()
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(size, len(data) // size).T).view(kind).ravel()
 
 
 def answer_batch(rows: pa.Table, payloads: list[bytes]) -> pa.RecordBatch:
