@@ -10,6 +10,7 @@ from __future__ import annotations
 import json
 import os
 import sys
+import tempfile
 import time
 from pathlib import Path
 
@@ -26,7 +27,13 @@ def main() -> None:
     spark = build_session(
         "railwatch-bench",
         master=f"local[{cpus}]",
-        **{"spark.ui.enabled": "false", "spark.sql.shuffle.partitions": cpus, "spark.driver.memory": "16g"},
+        **{
+            "spark.ui.enabled": "false",
+            "spark.sql.shuffle.partitions": cpus,
+            "spark.driver.memory": "16g",
+            # One machine: its temporary folder is shared by all there is.
+            "spark.checkpoint.dir": tempfile.mkdtemp(prefix="railwatch-bench-"),
+        },
     )
     spark.sparkContext.setLogLevel("ERROR")
     seconds = {}
