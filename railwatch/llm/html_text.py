@@ -8,8 +8,10 @@ is content with probability over a half is kept.
 The potentials are smoothed counts over a bounded sample of labelled pages (about ``SAMPLE_PAGES``, drawn by a hash
 of the id). Pages label themselves where they use landmarks: what stands in ``article`` or ``main`` is content, unless
 it also stands in a landmark of another purpose. The landmarks themselves get counts beforehand (``PRIOR``), so that
-ones the sample lacks are known too. The ordinary features of an element together may not outweigh an edge, and hardly speak against content (``CLIP``):
-a list in an article is no menu because the sample knows lists from menus.
+ones the sample lacks are known too. What an element looks like is judged where it stands: by its tag, its share of
+links and the kind of element around it. Only for places the sample lacks its tag, size and links count wherever they
+were seen, and then nothing without links speaks against content: a list in an article is no menu because the sample
+knows lists from menus, however long it is. Learned class words count in full.
 """
 
 from __future__ import annotations
@@ -27,7 +29,10 @@ from pyspark.sql import functions as F
 
 SAMPLE_PAGES = 600
 PRIOR = 2000.0
-CLIP = (-0.1, 1.5)
+# Bounds of what an element's looks may say: in a place the sample has, and elsewhere with links and without.
+CLIP = (-1.5, 1.5)
+CLIP_LINKED = (-0.1, 1.5)
+CLIP_LINKLESS = (0.0, 1.5)
 LANDMARK_CLIP = 12.0
 # Element names of the HTML standard.
 CONTENT_TAGS = frozenset("article main".split())
@@ -41,6 +46,7 @@ BLOCK_TAGS = frozenset(
 )
 # Closed by the start of another one of their kind.
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
+LIST_TAGS = frozenset("li ul ol dl dt dd".split())
 CLOSE_LIMITS = frozenset("ul ol dl table select body html article main section div".split())
 # Words in class, id and role that tell the purpose of an element.
 OTHER_WORDS = frozenset(
@@ -136,9 +142,18 @@ def features(tree: _Tree) -> list[list[str]]:
             words[tree.parent[i]] += words[i]
             linked[tree.parent[i]] += linked[i]
     out = []
+    share, around = ["-"] * n, ["-"] * n
     for i in range(n):
-        size = words[i]
-        seen = ["tag " + tree.tag[i], "size " + str(min(size.bit_length(), 7))]
+        p, tag, size = tree.parent[i], tree.tag[i], words[i]
+        if p >= 0:
+            # The nearest element around it that is neither part of a list nor inside a line.
+            passed = tree.tag[p] in LIST_TAGS or p > 0 and tree.tag[p] not in BLOCK_TAGS
+            around[i] = around[p] if passed else tree.tag[p]
+        if p >= 0 and tag not in BLOCK_TAGS:
+            share[i] = share[p]
+        elif size:
+            share[i] = str(4 * linked[i] // size)
+        seen = ["at " + " ".join((tag, share[i], around[i])), "tag " + tag, "size " + str(min(size.bit_length(), 7))]
         if size:
             seen.append("links " + str(4 * linked[i] // size))
         seen += ["word " + w for w in tree.words[i]]
@@ -186,8 +201,15 @@ class Model:
         self.edge = edge
 
     def node_odds(self, seen: list[str]) -> float:
-        ordinary = sum(self.odds.get(f, 0.0) for f in seen if _landmark(f) is None)
-        return min(max(ordinary, CLIP[0]), CLIP[1]) + sum(self.odds.get(f, 0.0) for f in seen if _landmark(f) is not None)
+        place, *rest = seen
+        if place in self.odds:
+            looks, (low, high) = self.odds[place], CLIP
+        else:
+            looks = sum(self.odds.get(f, 0.0) for f in rest if _landmark(f) is None and not f.startswith("word "))
+            low, high = CLIP_LINKLESS if place.split(" ")[2] in ("-", "0") else CLIP_LINKED
+        words = sum(self.odds.get(f, 0.0) for f in rest if _landmark(f) is None and f.startswith("word "))
+        landmarks = sum(self.odds.get(f, 0.0) for f in rest if _landmark(f) is not None)
+        return min(max(looks, low), high) + min(max(words, -LANDMARK_CLIP), CLIP[1]) + landmarks
 
 
 def train(pages: Iterator[str]) -> Counter:

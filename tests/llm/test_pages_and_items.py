@@ -44,6 +44,23 @@ def test_page_with_other_parts(model):
     assert out == "Title & more\n\nFirst bold text, a link.\n\nSecond line\n\none\n\ntwo\n\nquote <x>"
 
 
+@pytest.mark.parametrize("n", [30, 300])
+@pytest.mark.parametrize("kind", ["ul", "ol"])
+def test_long_list_in_an_article(model, n, kind):
+    items = [f"item {i} of some words" for i in range(n)]
+    listed = f"<{kind}>" + "".join(f"<li>{t}</li>" for t in items) + f"</{kind}>"
+    menu = "<ul>" + "<li><a href=x>Home</a></li>" * n + "</ul>"
+    page = f"<html><body><nav>{menu}</nav><article><h1>Head</h1><p>Some words of text.</p>{listed}</article></body></html>"
+    assert html_text.extract([page], model)[0] == "\n\n".join(["Head", "Some words of text.", *items])
+
+
+def test_learned_class_words_decide():
+    page = '<body><div class="zzbox"><p>Buy this</p></div><article><p>Some words.</p><p>More.</p></article></body>'
+    model = html_text.Model(html_text.train(iter([page] * 100)))
+    inside = '<body><article><p>Some words.</p><div class="zzbox">Buy this</div><p>More.</p></article></body>'
+    assert html_text.extract([inside], model)[0] == "Some words.\n\nMore."
+
+
 def test_odd_pages(spark, model):
     deep = "<div>" * 3000 + "x" + "</div>" * 3000
     rows = [(1, None), (2, ""), (3, "<p>"), (4, "</p><!-- x"), (5, "a < b & c"), (6, deep), (7, "<article>" + "<p>word word</p>" * 20_000), (7, "<script>x")]
