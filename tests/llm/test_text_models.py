@@ -197,6 +197,25 @@ def test_spelling_is_a_probability():
     assert likely > unlikely
 
 
+def test_no_context_shares_the_counts_of_another():
+    random = np.random.default_rng(2)
+    letters = random.integers(97, 123, (60_000, 6)).astype(np.uint8)
+    words = np.concatenate([letters, np.full((len(letters), 1), 0x20, np.uint8)], axis=1).ravel()
+    speller = context_mixing.Speller.fit(context_mixing.count_bits(words), words[:700])
+    unseen = np.frombuffer(b"QWERTYUIOPASDFGHJKLZXCVBNM ", np.uint8)
+    _, bases = context_mixing._events(unseen)
+    node = np.ones(len(unseen), np.int64)
+    for k in range(context_mixing.ORDERS):
+        found = speller.stretch[k][context_mixing._slots(bases[k], node)]
+        assert not found[k + 1 :].any()
+
+
+def test_weights_learn_from_all_words_of_a_slice():
+    words = np.frombuffer(" ".join(f"word{i}" for i in range(30_000)).encode() + b" ", np.uint8)
+    mixer = context_mixing.Mixer.new()
+    assert mixer.train(context_mixing.count_bits(words), words).sum() == 8 * len(words)
+
+
 def test_mixed_experts_are_a_probability():
     random = np.random.default_rng(3)
     p = random.dirichlet(np.ones(6), (3, 9))
