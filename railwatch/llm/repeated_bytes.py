@@ -3,7 +3,8 @@
 A string of ``LENGTH`` bytes that two documents share has in both the same minimizer, the smallest hash of its 16-byte
 pieces. So a document is cut into stretches of places with one minimizer, and stretches with the same minimizer meet in
 the same slice: each slice can find its repeats alone. A first pass learns which minimizers several documents have; the
-second sends the distinct stretches of only those. A slice builds Burrows-Wheeler transforms of shards of its stretches
+second sends the distinct stretches of only those. A minimizer with very many distinct stretches is hot: each of its
+places goes to a slice by a hash of all its ``LENGTH`` bytes, if a further pass has found it in several documents. A slice builds Burrows-Wheeler transforms of shards of its stretches
 and merges them (``bwt``); suffixes with a common prefix of ``LENGTH`` bytes form intervals, whose smallest document goes
 back to all blocks. The third pass removes what is covered. Of documents with the same whole text only the first takes
 part: the others are repeats from end to end.
@@ -32,6 +33,10 @@ _LAST = np.iinfo(np.int64).max
 BLOCK_BYTES = 4 << 20
 CHUNK_BYTES = 1 << 20
 SLICES_PER_BLOCK = 3
+# A minimizer with more distinct stretches than this is hot: its places go to slices by all their bytes.
+HOT_STRETCHES = 1 << 14
+# In a block only a minimizer with more stretches than this has its distinct ones counted.
+FEW_STRETCHES = 64
 
 
 def _smallest(h: np.ndarray, n: int) -> np.ndarray:
@@ -85,6 +90,35 @@ class _Stretches:
         # The smallest of many hashes is small: mixed once more, it is spread evenly over slices.
         self.least = T.mix(np.concatenate(least) + np.uint64(1)) if least else np.zeros(0, np.uint64)
 
+    def hashes(self, some: np.ndarray, seed: int) -> np.ndarray:
+        """A hash of each of some stretches, these in text order."""
+        first, after = self.first[some], self.first[some] + self.size[some]
+        out, start = np.zeros(len(first), np.uint64), 0
+        while start < len(first):
+            # Some at a time keep temporary arrays small.
+            end = max(start + 1, int(np.searchsorted(first, first[start] + CHUNK_BYTES, "right")))
+            a, b = int(first[start]), int(after[start:end].max())
+            out[start:end] = T.span_hashes(self.data[a:b], first[start:end] - a, after[start:end] - a, seed=seed)
+            start = end
+        return out
+
+    def take(self, some: np.ndarray) -> None:
+        self.row, self.first, self.size, self.least = self.row[some], self.first[some], self.size[some], self.least[some]
+
+    def split(self, hot: np.ndarray, length: int) -> np.ndarray:
+        """Makes each place of the hot stretches a stretch of its own, that a hash of all its bytes sends to its slice.
+        Gives which stretches are such places."""
+        places = np.where(hot, self.size - length + 1, 1)
+        old = np.repeat(np.arange(len(hot)), places)
+        step = np.arange(len(old)) - np.repeat(np.cumsum(places) - places, places)
+        self.take(old)
+        hot = hot[old]
+        self.first = self.first + step
+        self.size = np.where(hot, length, self.size)
+        at = np.flatnonzero(hot)
+        self.least[at] = T.mix(self.hashes(at, seed=5) + np.uint64(1))
+        return hot
+
     def cells(self, slices: int) -> np.ndarray:
         """Slice of the minimizer (upper half) and its low 32 bits."""
         return X.slice_of(self.least, slices).astype(np.uint64) << np.uint64(32) | self.least & np.uint64(0xFFFFFFFF)
@@ -101,56 +135,92 @@ def _copies(told: dict) -> set[int]:
 
 
 def _ask_minimizers(docs: pa.Table, told: dict, length: int, slices: int) -> Iterator[pa.RecordBatch]:
+    yield from _ask_cells(docs.column("block")[0].as_py(), _Stretches(docs, _copies(told), length), slices)
+
+
+def _ask_windows(docs: pa.Table, told: dict, length: int, slices: int) -> Iterator[pa.RecordBatch]:
+    """The same for the places of hot stretches."""
     s = _Stretches(docs, _copies(told), length)
+    s.take(np.flatnonzero(_hot(s, told, slices)))
+    s.split(np.ones(len(s.row), bool), length)
+    yield from _ask_cells(docs.column("block")[0].as_py(), s, slices)
+
+
+def _ask_cells(block: int, s: _Stretches, slices: int) -> Iterator[pa.RecordBatch]:
     cell, row = s.cells(slices), s.doc[s.row]
     order = np.argsort(cell, kind="stable")
     cell, row = cell[order], row[order]
     new = np.flatnonzero(np.diff(cell, prepend=cell[:1] + np.uint64(1)))
     several = np.maximum.reduceat(row, new) != np.minimum.reduceat(row, new) if len(new) else np.zeros(0, bool)
+    count = np.diff(np.append(new, len(cell)))
+    often = np.repeat(count > FEW_STRETCHES, count)
+    if often.any():
+        at = np.sort(order[often])
+        group = np.empty(len(order), np.int64)
+        group[order] = np.repeat(np.arange(len(new)), count)
+        pair = np.unique(np.stack([group[at].astype(np.uint64), s.hashes(at, seed=0)]), axis=1)
+        distinct = np.bincount(pair[0].astype(np.int64), minlength=len(new))
+        count = np.where(count > FEW_STRETCHES, distinct, count)
     cell = cell[new]
     slices_, at = _cell_cuts(cell)
     low = cell.astype(np.uint32)
     cuts = list(zip(at[:-1].tolist(), at[1:].tolist(), strict=True))
     yield pa.RecordBatch.from_arrays(
         [
-            pa.array([docs.column("block")[0].as_py()] * len(cuts), pa.int32()),
+            pa.array([block] * len(cuts), pa.int32()),
             pa.array(slices_, pa.int32()),
             pa.array([X.planes(low[a:b]) for a, b in cuts], pa.binary()),
             pa.array([np.packbits(several[a:b]).tobytes() for a, b in cuts], pa.binary()),
+            pa.array([X.planes(count[a:b].astype(np.uint32)) for a, b in cuts], pa.binary()),
         ],
-        ["block", "slice", "cells", "several"],
+        ["block", "slice", "cells", "several", "stretches"],
     )
 
 
-def _answer_minimizers(rows: pa.Table) -> Iterator[pa.RecordBatch]:
-    """Which minimizers stand in more than one document."""
+def _answer_minimizers(rows: pa.Table, hot_stretches: int) -> Iterator[pa.RecordBatch]:
+    """Which minimizers stand in more than one document, and which of these are hot."""
     cells = [X.unplanes(c, np.uint32) for c in rows.column("cells").to_pylist()]
     several = [np.unpackbits(np.frombuffer(b, np.uint8), count=len(c)) for b, c in zip(rows.column("several").to_pylist(), cells, strict=True)]
+    stretches = np.concatenate([X.unplanes(c, np.uint32) for c in rows.column("stretches").to_pylist()])
     distinct, number = np.unique(np.concatenate(cells), return_inverse=True)
     many = np.bincount(number, 1 + np.concatenate(several), len(distinct)) >= 2
+    hot = many & (np.bincount(number, stretches, len(distinct)) > hot_stretches)
     ends = np.cumsum([len(c) for c in cells])
-    yield X.answer_batch(rows, [np.packbits(many[number[e - len(c) : e]]).tobytes() for c, e in zip(cells, ends.tolist(), strict=True)])
+    out, some_hot = [], []
+    for c, e in zip(cells, ends.tolist(), strict=True):
+        mine = number[e - len(c) : e]
+        # Without hot ones nothing is said of them.
+        some_hot.append(bool(hot[mine].any()))
+        out.append(np.packbits(many[mine]).tobytes() + (np.packbits(hot[mine]).tobytes() if some_hot[-1] else b""))
+    yield X.answer_batch(rows, out).append_column("hot", pa.array(some_hot, pa.bool_()))
+
+
+def _hot(s: _Stretches, told: dict, slices: int) -> np.ndarray:
+    """Which stretches have a hot minimizer."""
+    distinct, number = np.unique(s.cells(slices), return_inverse=True)
+    slice_number, at = _cell_cuts(distinct)
+    said = {}
+    for k, a, b in zip(slice_number.tolist(), at[:-1].tolist(), at[1:].tolist(), strict=True):
+        size = (b - a + 7) // 8
+        said[k] = told["minimizers"][k][size:] or bytes(size)
+    return X.join_bits(said, slice_number, at)[number]
 
 
 class _Strings:
     """The distinct candidate stretches of a block, sorted by slice, each with its smallest document."""
 
-    def __init__(self, s: _Stretches, told: dict[int, bytes], slices: int):
+    def __init__(self, s: _Stretches, told: dict, length: int, slices: int):
+        shared = self._shared(s, told.get("minimizers", {}), slices)
+        if told.get("windows"):
+            hot = _hot(s, told, slices)
+            s.take(np.flatnonzero(shared))
+            window = s.split(hot[shared], length)
+            shared = np.ones(len(window), bool)
+            shared[window] = self._shared(s, told["windows"], slices, np.flatnonzero(window))
+        self.index = np.flatnonzero(shared)
         cell = s.cells(slices)
-        distinct, number = np.unique(cell, return_inverse=True)
-        slice_number, at = _cell_cuts(distinct)
-        self.index = np.flatnonzero(X.join_bits(told, slice_number, at)[number])
         first, after = s.first[self.index], s.first[self.index] + s.size[self.index]
-        one, two = (np.zeros(len(first), np.uint64) for _ in range(2))
-        start = 0
-        while start < len(first):
-            # Stretches are in text order; some at a time keep temporary arrays small.
-            end = max(start + 1, int(np.searchsorted(first, first[start] + CHUNK_BYTES, "right")))
-            a, b = int(first[start]), int(after[start:end].max())
-            part = slice(start, end)
-            one[part] = T.span_hashes(s.data[a:b], first[part] - a, after[part] - a)
-            two[part] = T.span_hashes(s.data[a:b], first[part] - a, after[part] - a, seed=77)
-            start = end
+        one, two = s.hashes(self.index, seed=0), s.hashes(self.index, seed=77)
         cell, doc = cell[self.index], s.doc[s.row[self.index]]
         order = np.lexsort((doc, two, one, cell))
         new = np.ones(len(order), bool)
@@ -162,10 +232,16 @@ class _Strings:
         self.one, self.two, self.doc = one[self.lead], two[self.lead], doc[self.lead]
         self.slices, self.slice_at = _cell_cuts(cell[self.lead])
 
+    @staticmethod
+    def _shared(s: _Stretches, told: dict[int, bytes], slices: int, some: np.ndarray | slice = slice(None)) -> np.ndarray:
+        distinct, number = np.unique(s.cells(slices)[some], return_inverse=True)
+        slice_number, at = _cell_cuts(distinct)
+        return X.join_bits(told, slice_number, at)[number]
+
 
 def _ask_strings(docs: pa.Table, told: dict, length: int, slices: int) -> Iterator[pa.RecordBatch]:
     s = _Stretches(docs, _copies(told), length)
-    x = _Strings(s, told.get("minimizers", {}), slices)
+    x = _Strings(s, told, length, slices)
     block = docs.column("block")[0].as_py()
     for number, a, b in zip(x.slices.tolist(), x.slice_at[:-1].tolist(), x.slice_at[1:].tolist(), strict=True):
         data, at = T.gather(s.data, x.first[a:b], x.after[a:b])
@@ -220,7 +296,7 @@ def _answer_strings(rows: pa.Table, length: int, shard_bytes: int) -> Iterator[p
 
 def _remove(docs: pa.Table, told: dict, length: int, slices: int, full: bool) -> Iterator[pa.RecordBatch]:
     s = _Stretches(docs, _copies(told), length)
-    x = _Strings(s, told.get("minimizers", {}), slices)
+    x = _Strings(s, told, length, slices)
     answers = told.get("strings", {})
     least = np.frombuffer(b"".join(answers[n] for n in x.slices.tolist()), np.int64)
     places = np.concatenate([[0], np.cumsum(x.after - x.first - length + 1)])
@@ -279,11 +355,15 @@ def remove_repeats(
     # A slice holds its transforms in memory, at about a hundred bytes for each of its strings' bytes.
     slices = SLICES_PER_BLOCK * n
     ask = {"length": length, "slices": slices}
-    schema = "block int, slice int, cells binary, several binary"
+    answer = partial(_answer_minimizers, hot_stretches=HOT_STRETCHES)
+    schema = "block int, slice int, cells binary, several binary, stretches binary"
     asked = X.in_blocks(blocked, n, partial(_ask_minimizers, **ask), schema, copies=copies)
-    minimizers = store(X.in_slices(asked, slices, _answer_minimizers), "minimizers")
+    learned = {"minimizers": store(X.in_slices(asked, slices, answer, X.ANSWER + ", hot boolean"), "minimizers")}
+    if not learned["minimizers"].where("hot").isEmpty():
+        asked = X.in_blocks(blocked, n, partial(_ask_windows, **ask), schema, copies=copies, **learned)
+        learned["windows"] = store(X.in_slices(asked, slices, answer, X.ANSWER + ", hot boolean"), "windows")
     schema = "block int, slice int, data binary, size binary, one binary, two binary, doc binary"
-    asked = X.in_blocks(blocked, n, partial(_ask_strings, **ask), schema, copies=copies, minimizers=minimizers)
+    asked = X.in_blocks(blocked, n, partial(_ask_strings, **ask), schema, copies=copies, **learned)
     strings = store(X.in_slices(asked, slices, partial(_answer_strings, length=length, shard_bytes=shard_bytes)), "strings")
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * full
-    return X.in_blocks(blocked, n, partial(_remove, full=full, **ask), schema, copies=copies, minimizers=minimizers, strings=strings)
+    return X.in_blocks(blocked, n, partial(_remove, full=full, **ask), schema, copies=copies, **learned, strings=strings)

@@ -1,6 +1,8 @@
 from __future__ import annotations
 
 import duckdb
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from railwatch.llm import chosen_path, exact_dedup, repeated_bytes, repeated_windows
@@ -85,6 +87,26 @@ def test_bytes_of_odd_rows(odd_docs, odd_rows):
     assert got(repeated_bytes.remove_repeats(odd_docs), *BYTES) == expected(brute.repeated_bytes(odd_rows, 50))
 
 
+def test_bytes_with_hot_minimizers(odd_docs, odd_rows, monkeypatch):
+    monkeypatch.setattr(repeated_bytes, "HOT_STRETCHES", 1)
+    df = repeated_bytes.remove_repeats(odd_docs, block_bytes=3000, shard_bytes=700)
+    assert got(df, *BYTES) == expected(brute.repeated_bytes(odd_rows, 50))
+
+
+def test_hot_stretches_are_spread_over_slices():
+    random = np.random.default_rng(1)
+    phrase = b"a phrase that they all have."
+    own = random.integers(97, 123, (500, 2, 30)).astype(np.uint8)
+    docs = pa.table({"doc_id": list(range(500)), "text": [(a.tobytes() + phrase + b.tobytes()).decode() for a, b in own]})
+    s = repeated_bytes._Stretches(docs, set(), 50)
+    cell, count = np.unique(s.cells(16), return_counts=True)
+    hot = s.cells(16) == cell[count.argmax()]
+    assert hot.sum() >= 100
+    window = s.split(hot, 50)
+    places = np.bincount((s.cells(16)[window] >> np.uint64(32)).astype(int), minlength=16)
+    assert places.max() < 2 * places.mean()
+
+
 def test_bytes_query(spark, given):
     assert got(QUERIES["op7_suffix_array_dedup"](spark, SF), *BYTES) == expected(brute.repeated_bytes(given, 50))
 
