@@ -35,8 +35,8 @@ LEVELS = 4
 SMALL = 4096
 CHUNK = 128
 SKETCH_CHUNK = 512
-# Sketches of a pair at the threshold agree in fewer places about once in 10^9 pairs.
-SKETCH_AGREES = 28
+# Sketches of a pair at the threshold agree in fewer places than asked for about once in this many pairs.
+SKETCH_MISSES = 10**10
 _ORDERS = np.random.default_rng(11).integers(1, 1 << 63, PLACES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
@@ -90,6 +90,16 @@ def runs_needed(similarity: float = SIMILARITY, levels: int = LEVELS, recall: fl
     return math.ceil(math.log(1 - recall) / math.log(1 - met))
 
 
+def sketch_agrees(similarity: float = SIMILARITY) -> int:
+    """In how many places sketches of a pair at the similarity agree, but for one in ``SKETCH_MISSES`` pairs."""
+    below = 0.0
+    for k in range(PLACES):
+        below += math.comb(PLACES, k) * similarity**k * (1 - similarity) ** (PLACES - k)
+        if below > 1 / SKETCH_MISSES:
+            return k
+    return PLACES
+
+
 def next_paths(path: np.ndarray, sketches: np.ndarray, similarity: float) -> tuple[np.ndarray, np.ndarray]:
     """Places in the arrays and child paths: the path alone chooses where it looks, the sketch where it leads."""
     rows, out = [], []
@@ -175,9 +185,9 @@ def _tree(linked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return some, label[some]
 
 
-def _compare_sketches(cell: pa.Table, side: np.ndarray | None) -> Iterator[pa.RecordBatch]:
+def _compare_sketches(cell: pa.Table, side: np.ndarray | None, agrees: int) -> Iterator[pa.RecordBatch]:
     s = _sketch_matrix(cell.column("sketch").combine_chunks())
-    linked = np.stack([(s == row).sum(axis=1) >= SKETCH_AGREES for row in s])
+    linked = np.stack([(s == row).sum(axis=1) >= agrees for row in s])
     np.fill_diagonal(linked, False)
     if side is not None:
         linked &= side[:, None] != side[None, :]
@@ -238,8 +248,11 @@ def similar_documents(docs: DataFrame, similarity: float = SIMILARITY, words: in
 
     The set of a document is its runs of ``words`` words, all its words together if it has fewer; a text without words
     (empty or null) has no links, not even to another one. A missing doc_id comes after all others; repeated rows count
-    as copies. An empty table gives no rows.
+    as copies. An empty table gives no rows. The similarity is over a half, as a path chooses at most two places, and
+    under 1.
     """
+    if not 0.5 < similarity < 1:
+        raise ValueError("a similarity over 0.5 and under 1")
     # Written once: ids of rows, sets and sketches are then the same for all jobs.
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.monotonically_increasing_id().alias("row"), F.xxhash64("text").alias("text_hash"))
     schema = "doc_id long, row long, text_hash long, one long, two long, size long, sketch binary"
@@ -268,7 +281,7 @@ def similar_documents(docs: DataFrame, similarity: float = SIMILARITY, words: in
         last = level == LEVELS - 1 or sizes.where(F.col("members") > SMALL).isEmpty()
         ready = sizes if last else sizes.where(F.col("members") <= SMALL)
         members = buckets.join(ready, "path").join(leads, "node")
-        found = in_cells(members, "path", F.col("members"), _compare_sketches, "a long, b long", SKETCH_CHUNK)
+        found = in_cells(members, "path", F.col("members"), partial(_compare_sketches, agrees=sketch_agrees(similarity)), "a long, b long", SKETCH_CHUNK)
         proposed = proposed.unionAll(store(found, "proposed"))
         if last:
             break

@@ -167,6 +167,17 @@ def test_join_of_a_large_group(spark, monkeypatch):
     assert got(df, *LINKS) == expected(brute.similar(rows))
 
 
+def test_sketch_bound_follows_the_similarity(docs):
+    assert chosen_path.sketch_agrees(0.8) >= 28 > chosen_path.sketch_agrees(0.6)
+    for similarity in (0.55, 0.8, 0.95):
+        bound = chosen_path.sketch_agrees(similarity)
+        found = np.random.default_rng(0).binomial(chosen_path.PLACES, similarity, 100_000)
+        assert (found >= bound).all()
+    for similarity in (0.0, 0.5, 1.0):
+        with pytest.raises(ValueError):
+            chosen_path.similar_documents(docs, similarity)
+
+
 def test_runs_reach_the_recall():
     assert chosen_path.runs_needed(recall=0.9999) > chosen_path.runs_needed(recall=0.9)
     assert chosen_path.runs_needed(levels=1) < chosen_path.runs_needed(levels=4) < 30
