@@ -33,6 +33,8 @@ _LAST = np.iinfo(np.int64).max
 BLOCK_BYTES = 4 << 20
 CHUNK_BYTES = 1 << 20
 SLICES_PER_BLOCK = 3
+# Hex digits of a text's digest that tell copies among rows of one doc_id.
+DIGEST = 32
 # A minimizer with more distinct stretches than this is hot: its places go to slices by all their bytes.
 HOT_STRETCHES = 1 << 14
 # In a block only a minimizer with more stretches than this has its distinct ones counted.
@@ -52,11 +54,14 @@ def _smallest(h: np.ndarray, n: int) -> np.ndarray:
 class _Stretches:
     """The stretches of a block's documents: row, first byte, bytes, minimizer; copies left out."""
 
-    def __init__(self, docs: pa.Table, copies: set[int], length: int):
+    def __init__(self, docs: pa.Table, copies: dict[int, set[str]], length: int):
         self.data, self.at = T.utf8(docs.column("text"))
         ids = docs.column("doc_id").combine_chunks()
         self.doc = ids.fill_null(_LAST).to_numpy()
         self.is_copy = np.isin(self.doc, np.fromiter(copies, np.int64, len(copies))) & ids.is_valid().to_numpy(zero_copy_only=False)
+        for r in np.flatnonzero(self.is_copy).tolist():
+            # Rows that share an id may have other texts.
+            self.is_copy[r] = _digest(self.data[self.at[r] : self.at[r + 1]]) in copies[int(self.doc[r])]
         rows, first, size, least = [], [], [], []
         start, n = 0, len(self.doc)
         while start < n:
@@ -130,8 +135,18 @@ def _cell_cuts(cell: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return number[found], np.append(found, len(number))
 
 
-def _copies(told: dict) -> set[int]:
-    return {int(i) for payload in told.get("copies", {}).values() for i in payload.split()}
+def _digest(text: np.ndarray) -> str:
+    return hashlib.sha256(text.tobytes()).hexdigest()[:DIGEST]
+
+
+def _copies(told: dict) -> dict[int, set[str]]:
+    """Digests of the texts that are copies, by doc_id."""
+    out: dict[int, set[str]] = {}
+    for payload in told.get("copies", {}).values():
+        for pair in payload.decode().split():
+            doc, digest = pair.split(":")
+            out.setdefault(int(doc), set()).add(digest)
+    return out
 
 
 def _ask_minimizers(docs: pa.Table, told: dict, length: int, slices: int) -> Iterator[pa.RecordBatch]:
@@ -349,8 +364,8 @@ def remove_repeats(
     blocked = X.blocks(docs, n)
     ids = blocked.where(F.octet_length("text") >= length).select("block", "doc_id", F.sha2("text", 256).alias("digest"))
     firsts = ids.groupBy("digest").agg(F.min("doc_id").alias("first"))
-    later = ids.join(firsts, "digest").where("doc_id > first").groupBy("block").agg(F.collect_set("doc_id").alias("ids"))
-    later = later.select("block", F.lit(0).alias("slice"), F.concat_ws(" ", F.col("ids").cast("array<string>")).cast("binary").alias("payload"))
+    later = ids.join(firsts, "digest").where("doc_id > first").groupBy("block").agg(F.collect_set(F.concat_ws(":", F.col("doc_id").cast("string"), F.substring("digest", 1, DIGEST))).alias("ids"))
+    later = later.select("block", F.lit(0).alias("slice"), F.concat_ws(" ", "ids").cast("binary").alias("payload"))
     copies = store(later, "copies")
     # A slice holds its transforms in memory, at about a hundred bytes for each of its strings' bytes.
     slices = SLICES_PER_BLOCK * n

@@ -93,12 +93,22 @@ def test_bytes_with_hot_minimizers(odd_docs, odd_rows, monkeypatch):
     assert got(df, *BYTES) == expected(brute.repeated_bytes(odd_rows, 50))
 
 
+def test_copies_by_id_and_text(spark):
+    a, b = ("some words of the first text " * 4).strip(), ("other parts in a second piece " * 4).strip()
+    docs = spark.createDataFrame([(3, a), (7, a), (7, b)], "doc_id long, text string")
+    found = repeated_bytes.remove_repeats(docs.coalesce(1), block_bytes=1 << 20)
+    blocked = pa.table({"doc_id": [7, 7], "text": [a, b]})
+    copies = {7: {repeated_bytes._digest(np.frombuffer(a.encode(), np.uint8))}}
+    assert repeated_bytes._Stretches(blocked, copies, 50).is_copy.tolist() == [True, False]
+    assert got(found, "doc_id", "n_removed") == expected([(3, 0), (7, len(a)), (7, 0)])
+
+
 def test_hot_stretches_are_spread_over_slices():
     random = np.random.default_rng(1)
     phrase = b"a phrase that they all have."
     own = random.integers(97, 123, (500, 2, 30)).astype(np.uint8)
     docs = pa.table({"doc_id": list(range(500)), "text": [(a.tobytes() + phrase + b.tobytes()).decode() for a, b in own]})
-    s = repeated_bytes._Stretches(docs, set(), 50)
+    s = repeated_bytes._Stretches(docs, {}, 50)
     cell, count = np.unique(s.cells(16), return_counts=True)
     hot = s.cells(16) == cell[count.argmax()]
     assert hot.sum() >= 100
