@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from railwatch.llm import bpe, chosen_path, context_mixing, decontaminate, exact_dedup, html_text, langid, quality, repeated_bytes
-from railwatch.llm import repeated_windows
+from railwatch.llm import fill_in_middle, repeated_windows
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -104,3 +104,38 @@ def op4_context_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     scored = context_mixing.score_documents(docs, learn=~held_out(10, 0), group=F.col("lang"))
     return scored.withColumn("held_out", held_out(10, 0))
+
+
+@query
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fill_in_middle.fill_in_middle(table(spark, sf_dir, "documents"))
+    digests = [F.sha2(F.col(c).cast("binary"), 256).alias(f"{c}_sha256") for c in ("output", "restored")]
+    return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars", *digests)
+
+
+ORACLES["op12_fill_in_middle"] = r"""
+WITH t AS (
+  SELECT doc_id, coalesce(text, '') AS text, sha256('1:' || doc_id) AS h,
+    regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS u
+  FROM documents
+), c AS (
+  SELECT *, len(u)::BIGINT AS n,
+    [('0x' || substr(h, 1 + 8 * i, 8))::BIGINT FOR i IN [0, 1, 2, 3]] AS x
+  FROM t
+), p AS (
+  SELECT *, least(x[1] % (n + 1), x[2] % (n + 1)) AS a, greatest(x[1] % (n + 1), x[2] % (n + 1)) AS b,
+    CASE WHEN n = 0 OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR x[3] % 100 >= 90
+      THEN 'plain' WHEN x[4] % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+  FROM c
+), s AS (
+  SELECT *, array_to_string(u[1:a], '') AS prefix, array_to_string(u[a + 1:b], '') AS middle, array_to_string(u[b + 1:n], '') AS suffix
+  FROM p
+)
+SELECT doc_id, n, form,
+  CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+    ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+  sha256(text) AS restored_sha256
+FROM s
+"""
