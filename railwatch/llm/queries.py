@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from railwatch.llm import bpe, chosen_path, context_mixing, decontaminate, exact_dedup, html_text, langid, quality, repeated_bytes
-from railwatch.llm import fill_in_middle, repeated_windows
+from railwatch.llm import fill_in_middle, licenses, repeated_windows
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -139,3 +139,8 @@ SELECT doc_id, n, form,
   sha256(text) AS restored_sha256
 FROM s
 """
+
+
+@query
+def op11_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.summary(licenses.scan_licenses(table(spark, sf_dir, "documents")))
