@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from railwatch.llm import bpe, chosen_path, context_mixing, decontaminate, exact_dedup, html_text, langid, quality, repeated_bytes
-from railwatch.llm import fill_in_middle, licenses, repeated_windows
+from railwatch.llm import fill_in_middle, licenses, phrases, repeated_windows
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -144,3 +144,50 @@ FROM s
 @query
 def op11_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.summary(licenses.scan_licenses(table(spark, sf_dir, "documents")))
+
+
+@query
+def op13_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op13_phrase_collocations"] = r"""
+WITH piece AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents
+), word AS (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM piece
+), size AS (
+  SELECT lang, w, unnest(range(1, 5)) AS k FROM word
+), place AS (
+  SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM size WHERE len(w) >= k
+), f AS (
+  SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase, count(*) AS f FROM place GROUP BY ALL HAVING count(*) >= 30
+), total AS (
+  SELECT lang, sum(len(w))::BIGINT AS n FROM word GROUP BY lang
+), cand AS (
+  SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS w FROM f WHERE k > 1
+), cut AS (
+  SELECT lang, phrase, k, a, w, unnest(range(1, k)) AS c FROM cand
+), scored AS (
+  SELECT x.lang, x.phrase, x.a, x.c, p.f AS l, q.f AS r, ((2000000::HUGEINT * x.a) // (p.f + q.f))::BIGINT AS score
+  FROM cut x
+  JOIN f p ON p.lang = x.lang AND p.phrase = array_to_string(x.w[1:x.c], ' ')
+  JOIN f q ON q.lang = x.lang AND q.phrase = array_to_string(x.w[x.c + 1:x.k], ' ')
+), best AS (
+  SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, c) = 1
+), part AS (
+  SELECT lang, a, w, k, unnest(range(2, k)) AS m FROM cand
+), inner_place AS (
+  SELECT lang, a, w, m, unnest(range(1, k - m + 2)) AS i FROM part
+), longer AS (
+  SELECT lang, array_to_string(w[i:i + m - 1], ' ') AS phrase, max(a) AS longer FROM inner_place GROUP BY ALL
+), ranked AS (
+  SELECT b.*, row_number() OVER (PARTITION BY b.lang ORDER BY score DESC, a DESC, b.phrase) AS rank
+  FROM best b LEFT JOIN longer g ON g.lang = b.lang AND g.phrase = b.phrase
+  WHERE g.longer IS NULL OR 100 * g.longer < 80 * b.a
+)
+SELECT r.lang, r.rank, r.phrase, r.a, r.l, r.r, t.n, r.score
+FROM ranked r JOIN total t ON t.lang = r.lang WHERE r.rank <= 2000
+"""

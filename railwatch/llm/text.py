@@ -76,10 +76,11 @@ def lower(data: np.ndarray) -> np.ndarray:
     return _LOWER[data]
 
 
-def tokens(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Words ``[^\\x20\\x09-\\x0D]+``: first byte, byte after the last, and row, in text order."""
+def tokens(data: np.ndarray, at: np.ndarray, is_space: np.ndarray = _IS_SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Words ``[^\\x20\\x09-\\x0D]+``, or runs of other bytes than ``is_space`` marks: first byte, byte after the last,
+    and row, in text order."""
     inside = np.zeros(len(data) + 2, bool)
-    np.logical_not(_IS_SPACE[data], out=inside[1:-1])
+    np.logical_not(is_space[data], out=inside[1:-1])
     starts = inside[1:-1] & ~inside[:-2]
     ends = inside[1:-1] & ~inside[2:]
     # A word ends where its row ends.
