@@ -47,23 +47,34 @@ class _Grams:
         self.lang = T.span_hashes(lang, lang_at[:-1], lang_at[1:], seed=1)
         self.breaks = np.zeros(len(self.first), np.int64)
         if len(self.first) > 1:
-            marks = np.zeros(len(self.data) + 1, np.int32)
-            np.cumsum(_PARTS_PIECES[self.data], out=marks[1:])
-            apart = (np.diff(marks[self.first]) != 0) | (np.diff(self.row) != 0)
-            np.cumsum(apart, out=self.breaks[1:])
+            # Marks before each word; no word holds one.
+            marks = np.searchsorted(np.flatnonzero(_PARTS_PIECES[self.data]), self.first)
+            np.cumsum((np.diff(marks) != 0) | (np.diff(self.row) != 0), out=self.breaks[1:])
         self.starts = [self._starts(n) for n in range(1, longest + 1)]
-        key = [self._keys(n, start) for n, start in enumerate(self.starts, 1)]
-        self.key = np.concatenate(key) if key else np.zeros(0, np.uint64)
-        number = X.slice_of(self.key, slices).astype(np.uint64)
-        self.cell = number << np.uint64(CELL_BITS) | self.key & np.uint64((1 << CELL_BITS) - 1)
-        ordered = np.sort(self.cell)
-        new = np.flatnonzero(np.diff(ordered, prepend=ordered[:1] + np.uint64(1)))
-        self.distinct = ordered[new]
-        self.times = np.diff(np.append(new, len(ordered)))
-        number = (self.distinct >> np.uint64(CELL_BITS)).astype(np.int64)
+        self.mask, self.of = np.uint64((1 << CELL_BITS) - 1), np.uint64(slices)
+        # Only the sorted cells are kept for all lengths at once; keys are made again when they are needed.
+        ordered = np.empty(sum(map(len, self.starts)), np.uint64)
+        end = 0
+        for n, start in enumerate(self.starts, 1):
+            ordered[end : end + len(start)] = self.cells(self.keys(n, start))
+            end += len(start)
+        ordered.sort()
+        new = np.ones(len(ordered), bool)
+        np.not_equal(ordered[1:], ordered[:-1], out=new[1:])
+        new = np.flatnonzero(new)
+        self.distinct, total = ordered[new], len(ordered)
+        del ordered
+        self.times = np.diff(new, append=total)
+        number = (self.distinct >> np.uint64(CELL_BITS)).astype(np.int32)
         found = np.flatnonzero(np.diff(number, prepend=-1))
         self.slices, self.slice_at = number[found], np.append(found, len(number))
 
+    def cells(self, key: np.ndarray) -> np.ndarray:
+        """Hash partition and cell in it."""
+        part = (key >> np.uint64(32)) * self.of >> np.uint64(32)
+        part <<= np.uint64(CELL_BITS)
+        return part | key & self.mask
+
     def _word_hashes(self) -> np.ndarray:
         """Hashes of the words, some megabytes of text at a time."""
         out, start = [np.zeros(0, np.uint64)], 0
@@ -80,7 +91,7 @@ class _Grams:
             return np.zeros(0, np.int64)
         return np.flatnonzero(self.breaks[: len(self.breaks) - n + 1] == self.breaks[n - 1 :])
 
-    def _keys(self, n: int, start: np.ndarray) -> np.ndarray:
+    def keys(self, n: int, start: np.ndarray) -> np.ndarray:
         runs = T.run_hashes(self.words, n)[start] if len(start) else np.zeros(0, np.uint64)
         return T.mix(runs + self.lang[self.row[start]] * np.uint64(2 * n + 1))
 
@@ -107,7 +118,7 @@ class _Grams:
 def _tell(docs: pa.Table, told: dict, threshold: int, longest: int, slices: int) -> Iterator[pa.RecordBatch]:
     """The summary of a block for each hash partition. It evicts nothing, so its error is none."""
     g = _Grams(docs, longest, slices)
-    cells = (g.distinct & np.uint64((1 << CELL_BITS) - 1)).astype(np.int64)
+    cells = (g.distinct & g.mask).astype(np.int32)
     # A block that has a cell often enough settles it; more makes no difference.
     times = np.minimum(g.times, min(threshold, 255)).astype(np.uint8)
     cuts = list(zip(g.slice_at[:-1].tolist(), g.slice_at[1:].tolist(), strict=True))
@@ -115,7 +126,7 @@ def _tell(docs: pa.Table, told: dict, threshold: int, longest: int, slices: int)
         [
             pa.array([docs.column("block")[0].as_py()] * len(cuts), pa.int32()),
             pa.array(g.slices, pa.int32()),
-            pa.array([X.planes(np.diff(cells[a:b], prepend=0).astype(np.uint32)) for a, b in cuts], pa.binary()),
+            pa.array([X.planes(np.diff(cells[a:b], prepend=np.int32(0)).view(np.uint32)) for a, b in cuts], pa.binary()),
             pa.array([times[a:b].tobytes() for a, b in cuts], pa.binary()),
         ],
         ["block", "slice", "steps", "times"],
@@ -151,13 +162,11 @@ def _count(docs: pa.Table, told: dict, longest: int, slices: int) -> Iterator[pa
     yield _rows(words.column("lang").combine_chunks(), pa.array([""] * words.num_rows), 0, words.column("f_sum").combine_chunks())
     frequent = g.distinct[X.join_bits(told.get("frequent", {}), g.slices, g.slice_at)] if len(g.distinct) else g.distinct
     maybe = np.zeros(1 << CELL_BITS, bool)
-    mask = np.uint64((1 << CELL_BITS) - 1)
-    maybe[(frequent & mask).astype(np.int64)] = True
-    base = 0
+    maybe[(frequent & g.mask).astype(np.int64)] = True
     for n, start in enumerate(g.starts, 1):
-        cell, key = g.cell[base : base + len(start)], g.key[base : base + len(start)]
-        base += len(start)
-        some = np.flatnonzero(maybe[(cell & mask).astype(np.int64)])
+        key = g.keys(n, start)
+        cell = g.cells(key)
+        some = np.flatnonzero(maybe[(cell & g.mask).astype(np.int64)])
         place = np.searchsorted(frequent, cell[some])
         some = some[(place < len(frequent)) & (frequent[np.minimum(place, max(len(frequent) - 1, 0))] == cell[some])] if len(some) else some
         if not len(some):
