@@ -199,16 +199,36 @@ def piece_starts(points: np.ndarray, first: np.ndarray) -> np.ndarray:
 
 
 class Encoder:
-    """Encodes many texts at once. The tokens of at most ``room`` pieces are remembered by the hash of the piece, which
-    bounds memory and changes no result."""
+    """Encodes many texts at once. Tokens of pieces are remembered by the hash of the piece, in arrays of ``room`` bytes
+    in all at most, which changes no result; the pieces of one call may take more, and are forgotten with the next."""
 
-    def __init__(self, v: Vocabulary, room: int = 1_000_000, together: int = 16):
+    def __init__(self, v: Vocabulary, room: int = 32 << 20, together: int = 16):
         self.v, self.room, self.together = v, room, together
-        self._forget()
+        self.forget()
 
-    def _forget(self) -> None:
-        self.slot: dict[int, int] = {}
+    def forget(self) -> None:
+        # Pieces in the order of their hashes, and the slot of each; tokens by slot.
+        self.hashes, self.slots = np.zeros(0, np.uint64), np.zeros(0, np.int64)
         self.token, self.at = np.zeros(1 << 16, np.uint32), np.zeros(1 << 16, np.int64)
+        self.used, self._new = 0, []
+
+    def remembered(self) -> int:
+        """Bytes in use."""
+        return self.hashes.nbytes + self.slots.nbytes + self.token.nbytes + self.at.nbytes
+
+    def _find(self, hashes: np.ndarray) -> np.ndarray:
+        """Slots of pieces, -1 for those not remembered."""
+        if not len(self.hashes):
+            return np.full(len(hashes), -1)
+        place = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
+        return np.where(self.hashes[place] == hashes, self.slots[place], -1)
+
+    def _settle(self) -> None:
+        """Sorts in the pieces that were appended."""
+        hashes = np.concatenate([self.hashes, *self._new])
+        slots = np.concatenate([self.slots, np.arange(len(self.hashes), len(hashes))])
+        order = np.argsort(hashes)
+        self.hashes, self.slots, self._new = hashes[order], slots[order], []
 
     def _learn(self, hashes: np.ndarray, data: np.ndarray, first: np.ndarray, size: np.ndarray) -> None:
         """Merges new pieces, those of like length together."""
@@ -227,15 +247,15 @@ class Encoder:
                 self._append(hashes[some], token, at)
 
     def _append(self, hashes: np.ndarray, token: np.ndarray, at: np.ndarray) -> None:
-        slot = len(self.slot)
-        used = int(self.at[slot])
-        while len(self.token) < used + len(token):
+        slot, self.used = self.used, self.used + len(hashes)
+        end = int(self.at[slot])
+        while len(self.token) < end + len(token):
             self.token = np.concatenate([self.token, np.zeros_like(self.token)])
         while len(self.at) < slot + len(at):
             self.at = np.concatenate([self.at, np.zeros_like(self.at)])
-        self.token[used : used + len(token)] = token
-        self.at[slot : slot + len(at)] = used + at
-        self.slot.update(zip(hashes.tolist(), range(slot, slot + len(hashes)), strict=True))
+        self.token[end : end + len(token)] = token
+        self.at[slot : slot + len(at)] = end + at
+        self._new.append(hashes)
 
     def _specials(self, raw: bytes, at: np.ndarray) -> list[tuple[int, int, int]]:
         """First byte, byte after the last and token of each special token in the texts, in order."""
@@ -267,21 +287,19 @@ class Encoder:
             first = first[~inside[first]]
         after = np.append(first[1:], len(data))
         hashes, where, number = np.unique(T.span_hashes(data, first, after), return_index=True, return_inverse=True)
-        if len(self.slot) + len(hashes) > self.room:
-            self._forget()
-        known = self.slot.get
-        slot = np.array([known(h, -1) for h in hashes.tolist()], np.int64)
-        new = np.flatnonzero(slot < 0)
-        if len(new):
-            at_new = where[new]
+        if self.remembered() > self.room:
+            self.forget()
+        slot = self._find(hashes)
+        new = slot < 0
+        if new.any():
             for a, _, token in specials:
                 i = int(number[np.searchsorted(first, a)])
-                if slot[i] < 0 and int(hashes[i]) not in self.slot:
+                if new[i]:
                     self._append(hashes[i : i + 1], np.array([token]), np.array([0, 1]))
-            plain = np.array([int(h) not in self.slot for h in hashes[new].tolist()])
-            new, at_new = new[plain], at_new[plain]
-            self._learn(hashes[new], data, first[at_new], (after - first)[at_new])
-            slot = np.array([self.slot[h] for h in hashes.tolist()], np.int64)
+                    new[i] = False
+            self._learn(hashes[new], data, first[where[new]], (after - first)[where[new]])
+            self._settle()
+            slot = self._find(hashes)
         slot = slot[number]
         token, offsets = T.gather(self.token, self.at[slot], self.at[slot + 1])
         return token, offsets[np.searchsorted(first, at)]
@@ -317,6 +335,8 @@ def _encode_batches(batches: Iterator[pa.RecordBatch], path: str, keep: list[str
             out["ids_sha256"] = pa.array([hashlib.sha256(x).hexdigest() for x in of_ids], pa.string())
             out["decoded_sha256"] = pa.array([hashlib.sha256(d).hexdigest() for d in decoded], pa.string())
             yield pa.RecordBatch.from_arrays(list(out.values()), list(out))
+    # The worker may serve other stages next.
+    enc.forget()
 
 
 def encode_documents(docs: DataFrame, path: str, keep: tuple[str, ...] = ("doc_id",), full: bool = False) -> DataFrame:

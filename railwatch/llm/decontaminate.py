@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from railwatch.llm import text as T
+from railwatch.llm.shared import share
 
 K1, B = 1.2, 0.75
 GRAM = 3
@@ -269,7 +270,7 @@ def contaminated(
     work = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     found = None
     for index in _indexes(items, index_bytes):
-        shared = docs.sparkSession.sparkContext.broadcast(index)
+        shared = share(docs.sparkSession, index)
         hits = work.mapInArrow(
             partial(_search_batches, shared=shared, threshold=threshold, overlap=overlap),
             "doc_id long, item_id long, score double, question_overlap double, answer_overlap double",
@@ -291,6 +292,6 @@ def drop_contaminated(
 ) -> DataFrame:
     """The rows of ``docs`` that hold no test item, with all their columns."""
     for index in _indexes(items, index_bytes):
-        shared = docs.sparkSession.sparkContext.broadcast(index)
+        shared = share(docs.sparkSession, index)
         docs = docs.mapInArrow(partial(_clean_batches, shared=shared, threshold=threshold, overlap=overlap), docs.schema)
     return docs

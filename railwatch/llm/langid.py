@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from railwatch.llm import text as T
+from railwatch.llm.shared import share
 
 SAMPLE_ROWS = 1000
 SAMPLE_WINDOWS = 4
@@ -182,7 +183,7 @@ def _predict_batches(batches: Iterator[pa.RecordBatch], shared, keep: list[str])
 def identify(docs: DataFrame, net: Network, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """The columns ``keep`` of every row, ``lang_pred`` and ``score``. A null text, one without a letter, and any text
     if the network knows no language give ``und`` and 0. Whole texts are read; repeated rows each get a row."""
-    shared = docs.sparkSession.sparkContext.broadcast(net)
+    shared = share(docs.sparkSession, net)
     work = docs.select(*[F.col(f"`{c}`") for c in dict.fromkeys((*keep, "text"))])
     types = {f.name: f.dataType.simpleString() for f in work.schema.fields}
     schema = ", ".join(f"`{c}` {types[c]}" for c in keep) + ", lang_pred string, score double"

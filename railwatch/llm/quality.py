@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from railwatch.llm import text as T
+from railwatch.llm.shared import share
 
 SAMPLE_ROWS = 4000
 SAMPLE_FEATURES = 192
@@ -156,7 +157,7 @@ def _score_batches(batches: Iterator[pa.RecordBatch], shared, offset: float, kee
 def score_documents(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """The columns ``keep`` of every row and ``score``, the probability that the quality is good. An empty or null text
     scores as the offset alone says; repeated rows each get their (same) score."""
-    shared = docs.sparkSession.sparkContext.broadcast(model.bucket_logits().astype(np.float32))
+    shared = share(docs.sparkSession, model.bucket_logits().astype(np.float32))
     work = docs.select(*[F.col(f"`{c}`") for c in dict.fromkeys((*keep, "text"))])
     types = {f.name: f.dataType.simpleString() for f in work.schema.fields}
     schema = ", ".join(f"`{c}` {types[c]}" for c in keep) + ", score double"
@@ -171,5 +172,5 @@ def _keep_batches(batches: Iterator[pa.RecordBatch], shared, offset: float, leas
 
 def keep_good(docs: DataFrame, model: Model, least: float = 0.3) -> DataFrame:
     """The rows of ``docs`` whose score is ``least`` or more, with all their columns."""
-    shared = docs.sparkSession.sparkContext.broadcast(model.bucket_logits().astype(np.float32))
+    shared = share(docs.sparkSession, model.bucket_logits().astype(np.float32))
     return docs.mapInArrow(partial(_keep_batches, shared=shared, offset=model.offset, least=least), docs.schema)

@@ -64,7 +64,7 @@ def test_bpe_forms_agree():
 
 
 def test_bpe_forgets_without_harm(library):
-    enc = bpe.Encoder(bpe.vocabulary(tokenizer_path()), room=50)
+    enc = bpe.Encoder(bpe.vocabulary(tokenizer_path()), room=0)
     for n in range(5):
         texts = [f"some {n} words {i} <|endoftext|> of {'z' * i}" for i in range(30)]
         ids, at = enc.encode(*T.utf8(pa.array(texts)))
