@@ -83,8 +83,7 @@ def dlq_status(dlq: DataFrame | None, table: str, spark: SparkSession) -> DataFr
     return counted.select(F.lit(table).alias("table"), "malformed", status.alias("status"))
 
 
-def dlq_health(spark: SparkSession, paths: dict[str, str], fmt: str = "parquet") -> DataFrame:
-    """The status of each dead-letter table of the list."""
-    return reduce(
-        DataFrame.unionByName, [dlq_status(read_if_present(spark, path, fmt), name, spark) for name, path in paths.items()]
-    )
+def dlq_health(spark: SparkSession, tables: dict[str, str | DataFrame | None], fmt: str = "parquet") -> DataFrame:
+    """The status of each dead-letter table of the list, given by its path or its rows."""
+    found = {name: read_if_present(spark, t, fmt) if isinstance(t, str) else t for name, t in tables.items()}
+    return reduce(DataFrame.unionByName, [dlq_status(dlq, name, spark) for name, dlq in found.items()])

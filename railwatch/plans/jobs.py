@@ -10,6 +10,7 @@ from railwatch.operators import attribution, marts, quality
 from railwatch.operators.health import bank_health, latest_snapshot
 from railwatch.operators.parse import TRANSACTIONS, parse_topic, staged_transactions
 from railwatch.operators.reconcile import enrich_payments, mismatch_log, read_for_join
+from railwatch.plans.stream_tables import topic_table, topic_table_if_present
 from railwatch.sources.tables import (
     append_log,
     export_csv,
@@ -37,8 +38,8 @@ def type_transactions(spark: SparkSession, root: str, fmt: str = "parquet") -> i
 def _payments(spark: SparkSession, root: str, fmt: str, cfg: SkewConfig):
     return read_for_join(
         lambda position: (
-            read_table(spark, f"{root}/typed_transactions", fmt, row_position=position),
-            read_table(spark, f"{root}/silver_settlements", fmt, row_position=position),
+            topic_table(spark, root, "typed_transactions", fmt, row_position=position),
+            topic_table(spark, root, "silver_settlements", fmt, row_position=position),
         ),
         cfg,
     )
@@ -56,7 +57,7 @@ def build_marts(
     events = read_if_present(spark, f"{root}/gold_correlation_events", fmt)
     if events is not None:
         found["mart_correlation_summary"] = marts.mart_correlation(events)
-    payouts = read_if_present(spark, f"{root}/silver_payouts", fmt)
+    payouts = topic_table_if_present(spark, root, "silver_payouts", fmt)
     if payouts is not None:
         found["mart_payout_health"] = marts.mart_payout(payouts)
     return {name: write_mart(df, f"{root}/{name}", fmt) for name, df in found.items()}
@@ -93,7 +94,9 @@ def run_quality(spark: SparkSession, root: str, fmt: str = "parquet") -> tuple[D
     results = quality.run_checks(ops, "mart_ops_dashboard_metrics", quality.ops_mart_checks()).unionByName(
         quality.run_checks(recon, "mart_settlement_reconciliation", quality.recon_mart_checks())
     )
-    return results, quality.dlq_health(spark, {name: f"{root}/{name}" for name in DLQ_TABLES}, fmt)
+    return results, quality.dlq_health(
+        spark, {name: topic_table_if_present(spark, root, name, fmt) for name in DLQ_TABLES}, fmt
+    )
 
 
 def export_marts(spark: SparkSession, root: str, out: str, fmt: str = "parquet", single_file: bool = False) -> None:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from railwatch.plans.queries import STREAM_DELAY_DAYS
+from railwatch.plans.queries import HOT_ORDER, STREAM_DELAY_DAYS
 
 _METHOD_OF_EVENT = """case event_type when 'click' then 'upi_hdfc' when 'error' then 'upi_axis'
   when 'purchase' then 'upi_sbi' when 'signup' then 'upi_icici' when 'view' then 'card_visa' end"""
@@ -174,6 +174,21 @@ _PIVOT_DAYS = ", ".join(
     for d in range(1, 31)
 )
 
+# All fields of the transaction events, and their JSON.
+_FULL_TXN = """full_txn as (
+  select *, 'user_' || (event_id % 1000) as user_id, 'INR' as currency,
+    case when status = 'success' then '00' else 'U' || (event_id % 90 + 10) end as bank_response_code,
+    event_id % 7 = 0 as is_international, case event_id % 3 when 0 then 'ios' when 1 then 'android' end as device_type,
+    'city_' || (event_id % 12) as city, strftime(event_time, '%Y-%m-%dT%H:%M:%S.%f+00:00') as "timestamp"
+  from etxn)"""
+_TXN_JSON = """'{"transaction_id":"' || transaction_id || '","merchant_id":"' || merchant_id || '","merchant_category":"'
+    || merchant_category || '","payment_method":"' || payment_method || '","amount_inr":' || amount_inr || ',"status":"'
+    || status || '","response_time_ms":' || response_time_ms || ',"user_id":"' || user_id || '","currency":"INR","bank_response_code":"'
+    || bank_response_code || '","is_international":' || is_international || coalesce(',"device_type":"' || device_type || '"', '')
+    || ',"city":"' || city || '","timestamp":"' || "timestamp" || '"}'"""
+
+_SETTLEMENT_JSON_BAD = "(l_orderkey + l_linenumber) % 23"
+
 _WELL_FORMED = "select * from etxn where event_id % 17 not in (0, 1, 2)"
 
 _WINDOW_FEATURES = f"""with {_EVENT_TXN},
@@ -205,7 +220,7 @@ _PAYOUT_MART = """select cast(l_shipdate as date) as event_date, l_returnflag as
         from lineitem group by 1, 2, 3"""
 
 ORACLES: dict[str, str] = {
-    "json_parse_typed": f"with {_EVENT_TXN} select * exclude (event_id) from ({_WELL_FORMED})",
+    "json_parse_typed": f"with {_EVENT_TXN}, {_FULL_TXN} select * exclude (event_id) from full_txn where not {_IS_BAD}",
     "dlq_split": f"""select case when {_IS_BAD} then 'dlq' else 'valid' end as route,
         case when not {_IS_BAD} then cast(regexp_extract(props, '[0-9]+') as integer) end as k,
         case when {_IS_BAD} then {_BAD_JSON} end as json_value, ts as kafka_timestamp from events""",
@@ -306,7 +321,19 @@ ORACLES: dict[str, str] = {
     "window_features": _WINDOW_FEATURES,
     "window_sample": f"""select * from ({_WINDOW_FEATURES})
         order by md5(cast(window_start as varchar) || ':42'), window_start limit 1000""",
-    "stream_bronze": "select cast(event_id as varchar) as key, ts as kafka_timestamp from events",
+    "stream_bronze": f"""with {_EVENT_TXN}, {_FULL_TXN}, json as (select *, {_TXN_JSON} as body from full_txn)
+        select transaction_id as key, event_time as kafka_timestamp, case event_id % 17 when 0 then left(body, length(body) - 1)
+          when 1 then '{{}}' when 2 then '[1]' else body end as value from json""",
+    "stream_settlements": f"""select 'valid' as route, l_orderkey || '-' || l_linenumber || '-' || l_partkey || '-' || l_suppkey
+          as settlement_id, cast(l_orderkey as varchar) as transaction_id, 'merchant_' || (l_suppkey % 100) as merchant_id,
+          case when l_linenumber % 5 = 0 then 0.0::double else l_extendedprice end as settled_amount_inr,
+          case when l_linenumber % 5 = 0 then 'failed' else 'settled' end as settlement_status,
+          'ref' || l_partkey as bank_reference_number, cast(floor(l_quantity * 10) as integer) as delay_seconds,
+          l_shipdate as event_time, cast(l_shipdate as date) as event_date, null::varchar as json_value
+        from lineitem where {_SETTLEMENT_JSON_BAD} > 1
+        union all select 'dlq', null, null, null, null, null, null, null, null, null,
+          case {_SETTLEMENT_JSON_BAD} when 0 then '[' || l_orderkey || ']' else '{{' end
+        from lineitem where {_SETTLEMENT_JSON_BAD} <= 1""",
     "stream_dlq": f"select {_BAD_JSON} as json_value, ts as kafka_timestamp from events where {_IS_BAD}",
     "stream_silver_rows": f"""select cast(regexp_extract(props, '[0-9]+') as integer) as k, ts as kafka_timestamp
         from events where not {_IS_BAD}""",
@@ -317,16 +344,32 @@ ORACLES: dict[str, str] = {
     "stream_payout_mart": _PAYOUT_MART,
     "stream_recon_join": f"""with t as (
           select cast(o_orderkey as varchar) as transaction_id, 'merchant_' || (o_custkey % 100) as merchant_id,
-            o_totalprice as amount_inr, o_orderdate as txn_time from orders where o_orderstatus = 'O'),
+            o_totalprice as amount_inr, case when o_orderkey % 101 <> 0 then o_orderdate end as txn_time
+          from orders where o_orderstatus = 'O'),
         s as (
           select l_orderkey || '-' || l_linenumber || '-' || l_partkey || '-' || l_suppkey as settlement_id,
-            cast(l_orderkey as varchar) as transaction_id, l_extendedprice as settled_amount_inr, l_shipdate as settled_time
+            case when l_suppkey % 10 = 0 then '{HOT_ORDER}' when l_partkey % 89 <> 0 then cast(l_orderkey as varchar) end as transaction_id,
+            l_extendedprice as settled_amount_inr, case when l_partkey % 97 <> 0 then l_shipdate end as settled_time
           from lineitem),
-        watermark as (select least((select max(txn_time) from t), (select max(settled_time) from s)) - interval 60 second as w)
-        select t.transaction_id, merchant_id, amount_inr, txn_time, settlement_id, settled_amount_inr, settled_time
-        from t left join s on s.transaction_id = t.transaction_id
-          and settled_time between txn_time and txn_time + interval {STREAM_DELAY_DAYS} day
-        where settlement_id is not null or txn_time + interval {STREAM_DELAY_DAYS} day < (select w from watermark)""",
+        watermark as (select least((select max(txn_time) from t), (select max(settled_time) from s)) - interval 60 second as w),
+        pair as (
+          select t.transaction_id, merchant_id, amount_inr, txn_time, settlement_id, settled_amount_inr, settled_time
+          from t join s on s.transaction_id = t.transaction_id
+            and settled_time between txn_time - interval 1 minute and txn_time + interval {STREAM_DELAY_DAYS} day)
+        select 'MATCHED' as kind, * from pair
+        union all
+        select 'OVERDUE', transaction_id, merchant_id, amount_inr, txn_time, null, null, null from t
+        where txn_time + interval {STREAM_DELAY_DAYS} day < (select w from watermark)
+          and not exists (select 1 from pair where pair.transaction_id = t.transaction_id)
+        union all
+        select 'ORPHAN', transaction_id, null, null, null, settlement_id, settled_amount_inr, settled_time from s
+        where settled_time + interval 1 minute < (select w from watermark)
+          and not exists (select 1 from t where t.transaction_id = s.transaction_id
+            and settled_time between txn_time - interval 1 minute and txn_time + interval {STREAM_DELAY_DAYS} day)
+        union all
+        select 'UNTIMED', transaction_id, merchant_id, amount_inr, null, null, null, null from t where txn_time is null
+        union all
+        select 'UNTIMED', transaction_id, null, null, null, settlement_id, settled_amount_inr, null from s where settled_time is null""",
     "csv_export_roundtrip": f"{_OPS} {_ROUNDED_OPS}",
     "append_log_roundtrip": f"""{_HISTORY} select classification, affected_banks, detected_at, null::varchar as severity from history
         union all select classification, affected_banks, detected_at,

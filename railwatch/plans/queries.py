@@ -10,9 +10,10 @@ from pyspark.sql import functions as F
 from railwatch import schemas
 from railwatch.config import BANK_METHODS, ForestConfig, MonitorConfig, WindowConfig
 from railwatch.operators import anomaly, attribution, health, marts, monitor, quality, readside, reconcile
-from railwatch.operators.parse import PAYOUTS, TRANSACTIONS, EventSpec, parse_events, parse_topic, staged_transactions
+from railwatch.operators.parse import PAYOUTS, SETTLEMENTS, TRANSACTIONS, EventSpec, parse_events, parse_topic, staged_transactions
 from railwatch.plans import tables
 from railwatch.plans.jobs import register_payment_views
+from railwatch.plans.stream_tables import topic_table
 from railwatch.sources import progress
 from railwatch.sources.streams import decode_envelope
 from railwatch.sources.tables import (
@@ -27,16 +28,7 @@ from railwatch.sources.tables import (
     store,
     write_mart,
 )
-from railwatch.streaming.pipelines import (
-    ROWS,
-    WINDOWS_AND_ROWS,
-    Output,
-    Sink,
-    finish,
-    reconcile_stream,
-    silver_windows,
-    start_pipeline,
-)
+from railwatch.streaming.pipelines import ROWS, WINDOWS, Sink, finish, reconcile_stream, settle_salts, start_pipeline, untimed
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -45,6 +37,7 @@ AS_OF = "2024-02-01 00:00:00"
 HOURLY = WindowConfig(length="1 hour", slide="15 minutes")
 PROPS = EventSpec("events", "k INT", "k", None)
 STREAM_DELAY_DAYS = 365
+HOT_ORDER = "2"
 
 
 def query(fn: Query) -> Query:
@@ -87,18 +80,8 @@ def _recon_inputs(spark: SparkSession, sf_dir: str):
 def json_parse_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw transaction JSON to staged typed rows; malformed records are gone."""
     bronze = decode_envelope(tables.raw_transactions(tables.table(spark, sf_dir, "events")))
-    staged = staged_transactions(parse_topic(bronze, TRANSACTIONS).valid)
-    return staged.select(
-        "transaction_id",
-        "merchant_id",
-        "merchant_category",
-        "payment_method",
-        "amount_inr",
-        "status",
-        "response_time_ms",
-        _plain("event_time"),
-        "event_date",
-    )
+    valid = parse_topic(bronze, TRANSACTIONS).valid
+    return valid.drop("kafka_timestamp").withColumn("event_time", _plain("event_time"))
 
 
 @query
@@ -478,46 +461,62 @@ def iforest_evaluate(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- streams -------------------------------------------------------------------------------------------------
 
 
-def _run_stream(spark: SparkSession, name: str, raw: DataFrame, spec: EventSpec, outputs=ROWS) -> str:
+def _sink(spark: SparkSession, name: str) -> Sink:
     root = scratch_path(spark, name)
-    finish(start_pipeline(raw, spec, Sink(f"{root}/tables", f"{root}/checkpoints", once=True), outputs))
-    return f"{root}/tables"
+    return Sink(f"{root}/tables", f"{root}/checkpoints", once=True)
+
+
+def _run_stream(spark: SparkSession, name: str, raw: DataFrame, spec: EventSpec, outputs=ROWS) -> str:
+    sink = _sink(spark, name)
+    finish(start_pipeline(raw, spec, sink, outputs))
+    return sink.tables
+
+
+def _raw_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decode_envelope(tables.raw_transactions(tables.table_stream(spark, sf_dir, "events")))
 
 
 @query
 def stream_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = decode_envelope(tables.raw_transactions(tables.table_stream(spark, sf_dir, "events")))
-    out = _run_stream(spark, "bronze", raw, TRANSACTIONS)
-    return read_table(spark, f"{out}/bronze_transactions").select("key", _plain("kafka_timestamp"))
+    out = _run_stream(spark, "bronze", _raw_transactions(spark, sf_dir), TRANSACTIONS)
+    return topic_table(spark, out, "bronze_transactions").select("key", "value", _plain("kafka_timestamp"))
 
 
 @query
 def stream_dlq(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = tables.raw_props(tables.table_stream(spark, sf_dir, "events"))
     out = _run_stream(spark, "dlq", raw, PROPS)
-    return read_table(spark, f"{out}/dlq_events").select("json_value", _plain("kafka_timestamp"))
+    return topic_table(spark, out, "dlq_events", spec=PROPS).select("json_value", _plain("kafka_timestamp"))
 
 
 @query
 def stream_silver_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = tables.raw_props(tables.table_stream(spark, sf_dir, "events"))
     out = _run_stream(spark, "silver", raw, PROPS)
-    return read_table(spark, f"{out}/silver_events").select("k", _plain("kafka_timestamp"))
+    return topic_table(spark, out, "silver_events", spec=PROPS).select("k", _plain("kafka_timestamp"))
 
 
 @query
 def stream_silver_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = decode_envelope(tables.raw_transactions(tables.table_stream(spark, sf_dir, "events")))
-    out = _run_stream(spark, "windows", raw, TRANSACTIONS, {"silver": Output(silver_windows)})
+    out = _run_stream(spark, "windows", _raw_transactions(spark, sf_dir), TRANSACTIONS, WINDOWS)
     return _flat(read_table(spark, f"{out}/silver_transactions"))
 
 
 @query
 def stream_typed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Typed transactions by date, written by the stream; the ops mart over all days."""
-    raw = decode_envelope(tables.raw_transactions(tables.table_stream(spark, sf_dir, "events")))
-    out = _run_stream(spark, "typed", raw, TRANSACTIONS, {"typed": WINDOWS_AND_ROWS["typed"]})
-    return _rounded(marts.mart_ops(read_table(spark, f"{out}/typed_transactions")), 2, "total_volume_inr")
+    out = _run_stream(spark, "typed", _raw_transactions(spark, sf_dir), TRANSACTIONS)
+    return _rounded(marts.mart_ops(topic_table(spark, out, "typed_transactions")), 2, "total_volume_inr")
+
+
+@query
+def stream_settlements(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The settlement topic: staged rows by route, dead letters with their text."""
+    raw = tables.raw_settlements(tables.table_stream(spark, sf_dir, "lineitem"))
+    out = _run_stream(spark, "settlements", raw, SETTLEMENTS)
+    staged = topic_table(spark, out, "typed_settlements").withColumn("route", F.lit("valid")).withColumn("event_time", _plain("event_time"))
+    dlq = topic_table(spark, out, "dlq_settlements").select(F.lit("dlq").alias("route"), "json_value")
+    return staged.unionByName(dlq, allowMissingColumns=True)
 
 
 @query
@@ -525,29 +524,34 @@ def stream_payout_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The payout mart from the table its stream writes."""
     raw = tables.raw_payouts(tables.table_stream(spark, sf_dir, "lineitem"))
     out = _run_stream(spark, "payouts", raw, PAYOUTS)
-    return _rounded(marts.mart_payout(read_table(spark, f"{out}/silver_payouts")), 2, "total_payout_volume_inr")
+    return _rounded(marts.mart_payout(topic_table(spark, out, "silver_payouts")), 2, "total_payout_volume_inr")
 
 
 @query
 def stream_recon_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders and line items as both arrive. A tenth of the line items settles one and the same order, some of either have
+    no time or no id."""
+    order_time = F.when(F.col("o_orderkey") % 101 != 0, F.col("o_orderdate").cast("timestamp"))
     orders = tables.table_stream(spark, sf_dir, "orders").select(
         F.col("o_orderkey").cast("string").alias("transaction_id"),
         F.concat(F.lit("merchant_"), (F.col("o_custkey") % 100).cast("string")).alias("merchant_id"),
         F.col("o_totalprice").alias("amount_inr"),
         F.when(F.col("o_orderstatus") == "O", "success").otherwise("failed").alias("status"),
-        F.col("o_orderdate").cast("timestamp").alias("event_time"),
+        order_time.alias("event_time"),
     )
+    order_id = F.when(F.col("l_suppkey") % 10 == 0, F.lit(HOT_ORDER)).when(F.col("l_partkey") % 89 != 0, F.col("l_orderkey").cast("string"))
     lines = tables.table_stream(spark, sf_dir, "lineitem").select(
         F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("settlement_id"),
-        F.col("l_orderkey").cast("string").alias("transaction_id"),
+        order_id.alias("transaction_id"),
         F.col("l_extendedprice").alias("settled_amount_inr"),
-        F.col("l_shipdate").cast("timestamp").alias("event_time"),
+        F.when(F.col("l_partkey") % 97 != 0, F.col("l_shipdate").cast("timestamp")).alias("event_time"),
     )
-    joined = reconcile_stream(orders, lines, max_delay=f"{STREAM_DELAY_DAYS} days", early="0 seconds")
-    root = scratch_path(spark, "recon")
-    finish([Sink(f"{root}/tables", f"{root}/checkpoints", once=True).start(joined, "reconciled")])
-    out = read_table(spark, f"{root}/tables/reconciled")
-    return out.withColumns({"txn_time": _plain("txn_time"), "settled_time": _plain("settled_time")})
+    joined = reconcile_stream(orders, lines, max_delay=f"{STREAM_DELAY_DAYS} days", hot=[HOT_ORDER])
+    sink = _sink(spark, "recon")
+    finish([sink.start(joined, "reconciled"), sink.start(untimed(orders, lines), "untimed")])
+    out = settle_salts(read_table(spark, f"{sink.tables}/reconciled"))
+    untimed_rows = read_table(spark, f"{sink.tables}/untimed").select(*out.columns)
+    return out.unionByName(untimed_rows).withColumns({"txn_time": _plain("txn_time"), "settled_time": _plain("settled_time")})
 
 
 # --- sinks ---------------------------------------------------------------------------------------------------

@@ -114,12 +114,27 @@ def lineitem_payouts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _iso_time(column: Column | str) -> Column:
+    return F.date_format(column, "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx")
+
+
 def raw_transactions(events: DataFrame) -> DataFrame:
     """Events as broker records of transaction JSON, some of them malformed: cut off, without id, or no object."""
-    txn = as_transactions(events).withColumn("timestamp", F.date_format("event_time", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx"))
+    number = F.col("transaction_id").cast("bigint")
+    txn = as_transactions(events).withColumns(
+        {
+            "user_id": F.concat(F.lit("user_"), (number % 1000).cast("string")),
+            "currency": F.lit("INR"),
+            "bank_response_code": F.when(F.col("status") == "success", "00").otherwise(F.concat(F.lit("U"), (number % 90 + 10).cast("string"))),
+            "is_international": number % 7 == 0,
+            "device_type": F.when(number % 3 == 0, "ios").when(number % 3 == 1, "android"),
+            "city": F.concat(F.lit("city_"), (number % 12).cast("string")),
+            "timestamp": _iso_time("event_time"),
+        }
+    )
     fields = [c for c in txn.columns if c not in ("event_time", "event_date")]
     body = F.to_json(F.struct(*fields))
-    kind = F.col("transaction_id").cast("bigint") % 17
+    kind = number % 17
     cut_off = F.substring(body, F.lit(1), F.length(body) - 1)
     value = F.when(kind == 0, cut_off).when(kind == 1, "{}").when(kind == 2, "[1]").otherwise(body)
     return txn.select(
@@ -129,6 +144,29 @@ def raw_transactions(events: DataFrame) -> DataFrame:
     )
 
 
+def raw_settlements(lines: DataFrame) -> DataFrame:
+    """Line items as raw settlement JSON, some of them malformed."""
+    failed = F.col("l_linenumber") % 5 == 0
+    event = F.struct(
+        F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("settlement_id"),
+        F.col("l_orderkey").cast("string").alias("transaction_id"),
+        F.concat(F.lit("merchant_"), (F.col("l_suppkey") % 100).cast("string")).alias("merchant_id"),
+        F.when(failed, F.lit(0.0)).otherwise(F.col("l_extendedprice")).alias("settled_amount_inr"),
+        F.when(failed, "failed").otherwise("settled").alias("settlement_status"),
+        F.concat(F.lit("ref"), "l_partkey").alias("bank_reference_number"),
+        _iso_time("l_shipdate").alias("settlement_timestamp"),
+        _iso_time(F.col("l_shipdate") - F.expr("INTERVAL 1 DAY")).alias("expected_settlement_time"),
+        F.when(~failed, _iso_time("l_shipdate")).alias("actual_settlement_time"),
+        (F.col("l_quantity") * 10).cast("int").alias("delay_seconds"),
+    )
+    body = F.to_json(event)
+    kind = (F.col("l_orderkey") + F.col("l_linenumber")) % 23
+    value = F.when(kind == 0, F.concat(F.lit("["), F.col("l_orderkey"), F.lit("]"))).when(kind == 1, F.lit("{")).otherwise(body)
+    return lines.select(
+        event["settlement_id"].alias("key"), value.alias("value"), F.col("l_shipdate").cast("timestamp").alias("kafka_timestamp")
+    )
+
+
 def raw_props(events: DataFrame) -> DataFrame:
     """The events' own JSON as raw records, some of them malformed."""
     kind = F.col("event_id") % 17
@@ -147,7 +185,7 @@ def raw_props(events: DataFrame) -> DataFrame:
 
 def raw_payouts(lines: DataFrame) -> DataFrame:
     """Line items as raw payout JSON."""
-    time = F.date_format("l_shipdate", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx")
+    time = _iso_time("l_shipdate")
     event = F.struct(
         F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("payout_id"),
         F.col("l_returnflag").alias("platform"),

@@ -11,15 +11,19 @@ from pyspark.sql.types import StructType
 
 _ABSENT = {"PATH_NOT_FOUND", "TABLE_OR_VIEW_NOT_FOUND"}
 ROW_POSITION = "row_position"
+FILE_FORMATS = ("parquet", "orc", "json", "csv", "text", "avro")
 
 
-def read_table(spark: SparkSession, path: str, fmt: str = "parquet", row_position: bool = False, **options) -> DataFrame:
+def read_table(
+    spark: SparkSession, path: str, fmt: str = "parquet", row_position: bool = False, schema: StructType | None = None, **options
+) -> DataFrame:
     """A table by path.
 
     ``row_position`` adds a hash of file and row number. It is the same in every attempt of a task and differs
     between copies of a row, so joins can spread copies by it.
     """
-    df = spark.read.format(fmt).options(**options).load(path)
+    reader = spark.read.format(fmt).options(**options)
+    df = (reader.schema(schema) if schema else reader).load(path)
     if row_position:
         position = F.xxhash64(F.col("_metadata.file_path"), F.col("_metadata.row_index"))
         df = df.select("*", position.alias(ROW_POSITION))
@@ -43,6 +47,16 @@ def read_if_present(spark: SparkSession, path: str, fmt: str = "parquet") -> Dat
         raise
 
 
+def landed_name(topic: str) -> str:
+    return f"landed_{topic}"
+
+
+def ensure_folder(spark: SparkSession, path: str) -> None:
+    """Makes a folder of the file system that the path names."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(folder)
+
+
 def sql_table(path: str, fmt: str = "parquet") -> str:
     """The name by which SQL text reads a table by path."""
     return f"{fmt}.`{path}`"

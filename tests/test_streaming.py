@@ -1,9 +1,12 @@
 from __future__ import annotations
 
 import json
+import time
 from datetime import timedelta
+from pathlib import Path
 
 import pytest
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from railwatch import schemas
@@ -13,8 +16,18 @@ from railwatch.operators.monitor import lag_severity, stream_staleness
 from railwatch.operators.parse import EVENT_SPECS, PAYOUTS, SETTLEMENTS, TRANSACTIONS, parse_topic, staged_transactions
 from railwatch.sources.progress import checkpoint_times, lag_from_progress
 from railwatch.sources.streams import event_stream
+from railwatch.plans.stream_tables import topic_table
 from railwatch.sources.tables import read_table
-from railwatch.streaming.pipelines import WINDOWS_AND_ROWS, Sink, finish, progress_rows, reconcile_stream, start_pipeline
+from railwatch.streaming.pipelines import (
+    WINDOWS,
+    Sink,
+    finish,
+    progress_rows,
+    reconcile_stream,
+    settle_salts,
+    start_pipeline,
+    untimed,
+)
 from tests.helpers import at, rows
 
 
@@ -44,14 +57,14 @@ def run(spark, folder, spec=TRANSACTIONS, *outputs):
 
 
 def table(spark, folder, name):
-    return read_table(spark, f"{folder}/out/{name}")
+    return topic_table(spark, f"{folder}/out", name)
 
 
 def test_one_source_feeds_bronze_dead_letters_and_windows(spark, folder):
     good = [transaction(i, at("10:00:00") + timedelta(seconds=13 * i)) for i in range(60)]
     bad = ["{", "[1]", None, "{}"]
     drop(spark, folder, good + bad + [transaction(99, None)])
-    run(spark, folder, TRANSACTIONS, WINDOWS_AND_ROWS)
+    run(spark, folder, TRANSACTIONS, WINDOWS)
 
     assert table(spark, folder, "bronze_transactions").count() == 65
     assert table(spark, folder, "dlq_transactions").count() == 4
@@ -98,7 +111,7 @@ def test_late_events(spark, folder):
     ]
     for batch in batches:
         drop(spark, folder, [transaction(1, at(t), payment_method=m) for m, t in batch])
-        run(spark, folder, TRANSACTIONS, WINDOWS_AND_ROWS)
+        run(spark, folder, TRANSACTIONS, WINDOWS)
     silver = table(spark, folder, "silver_transactions")
     got = silver.groupBy("payment_method").agg(F.count("*").alias("windows"), F.max("total_transactions").alias("n"))
     assert rows(got) == [("a", 5, 1), ("b", 5, 1), ("c", 5, 1), ("d", 5, 1)]
@@ -107,7 +120,7 @@ def test_late_events(spark, folder):
 def test_checkpoints_and_progress_tell_the_health_of_streams(spark, folder):
     drop(spark, folder, [transaction(1, at("10:00:00"))])
     queries = run(spark, folder)
-    checkpoints = {"bronze": f"{folder}/checkpoints/bronze_transactions", "absent": f"{folder}/checkpoints/absent"}
+    checkpoints = {"bronze": f"{folder}/checkpoints/landed_transactions", "absent": f"{folder}/checkpoints/absent"}
     times = checkpoint_times(spark, checkpoints)
     assert times.count() >= 1 and {r.stream_name for r in times.collect()} == {"bronze"}
     streams = spark.createDataFrame([(n,) for n in checkpoints], "stream_name string")
@@ -115,29 +128,127 @@ def test_checkpoints_and_progress_tell_the_health_of_streams(spark, folder):
     assert states == {"bronze": "HEALTHY", "absent": "NO_CHECKPOINT_FOUND"}
     # A file source reports no topic offsets, so there is nothing to lag behind.
     progress = progress_rows(spark, queries)
-    assert progress.count() == 3 and lag_severity(lag_from_progress(progress)).count() == 0
+    assert progress.count() == 1 and lag_severity(lag_from_progress(progress)).count() == 0
 
 
-def test_stream_join_gives_matches_and_overdue_transactions(spark, folder):
-    txns = [
-        ("t1", "m", 10.0, "success", at("10:00:00")),
-        ("t2", "m", 20.0, "success", at("10:00:00")),
-        ("t3", "m", 5.0, "failed", at("10:00:00")),
-        ("t4", "m", 7.0, "success", at("11:59:00")),
-    ]
-    settled = [
-        ("s1", "t1", 10.0, at("10:20:00")),
-        ("s2", "t2", 20.0, at("10:31:00")),
-        ("s3", "t3", 5.0, at("10:01:00")),
-        ("s9", "t9", 1.0, at("12:00:00")),
-    ]
-    t_schema = "transaction_id string, merchant_id string, amount_inr double, status string, event_time timestamp"
-    s_schema = "settlement_id string, transaction_id string, settled_amount_inr double, event_time timestamp"
-    spark.createDataFrame(txns, t_schema).write.parquet(f"{folder}/t")
-    spark.createDataFrame(settled, s_schema).write.parquet(f"{folder}/s")
-    joined = reconcile_stream(
-        spark.readStream.schema(t_schema).parquet(f"{folder}/t"), spark.readStream.schema(s_schema).parquet(f"{folder}/s")
+def test_source_rows_are_read_once_for_all_tables(spark, folder):
+    """Four tables, two runs: as many rows come from the source as there are."""
+    good = [transaction(i, at("10:00:00") + timedelta(seconds=13 * i)) for i in range(60)]
+    drop(spark, folder, [*good, "{", "[1]"])
+    read = []
+    for more in ([], [transaction(70, at("10:40:00")), "{}"]):
+        if more:
+            drop(spark, folder, more)
+        queries = run(spark, folder, TRANSACTIONS, WINDOWS)
+        read.append([sum(p["numInputRows"] for p in q.recentProgress) for q in queries])
+    assert read == [[62, 60], [2, 1]]
+    # The windows read only the columns they need.
+    plan = queries[1]._jsq.explainInternal(False)
+    assert "kafka_timestamp" not in plan and "merchant_id" not in plan and "value" not in plan.replace("plan_value", "")
+
+
+def test_failure_in_mid_batch_repeats_nothing(spark, folder):
+    """A file of the batch cannot be read: what other tasks wrote is no part of any table, then or after the restart."""
+    drop(spark, folder, [transaction(i, at("10:00:00")) for i in range(40)] + ["{"])
+    broken = Path(folder) / "in" / "part-broken.parquet"
+    broken.write_bytes(b"PAR1 this is no table PAR1")
+
+    def start():
+        raw = event_stream(spark, "transactions", "parquet", path=f"{folder}/in", schema=schemas.BRONZE)
+        return start_pipeline(raw, TRANSACTIONS, Sink(f"{folder}/out", f"{folder}/checkpoints", once=True), {})
+
+    with pytest.raises(StreamingQueryException):
+        finish(start())
+    whole = spark.createDataFrame([("w", transaction(50, at("10:01:00")), at("10:00:00"))], schemas.BRONZE).toPandas()
+    whole.to_parquet(broken, coerce_timestamps="us")
+    finish(start())
+    assert sorted(r.transaction_id for r in table(spark, folder, "typed_transactions").collect()) == sorted([f"t{i}" for i in range(40)] + ["t50"])
+    assert table(spark, folder, "bronze_transactions").count() == 42
+    assert table(spark, folder, "dlq_transactions").count() == 1
+
+
+def test_windows_start_before_the_first_batch(spark, folder):
+    """Without ``once`` all queries run side by side."""
+    drop(spark, folder, [transaction(i, at("10:00:00") + timedelta(seconds=30 * i)) for i in range(60)])
+    raw = event_stream(spark, "transactions", "parquet", path=f"{folder}/in", schema=schemas.BRONZE)
+    queries = start_pipeline(raw, TRANSACTIONS, Sink(f"{folder}/out", f"{folder}/checkpoints", interval="1 second"), WINDOWS)
+    try:
+        for _ in range(120):
+            time.sleep(0.5)
+            if any(p["sink"]["numOutputRows"] > 0 for p in queries[1].recentProgress):
+                break
+            assert all(q.exception() is None for q in queries)
+    finally:
+        for q in queries:
+            q.stop()
+    assert read_table(spark, f"{folder}/out/silver_transactions").count() > 0
+
+
+T_SCHEMA = "transaction_id string, merchant_id string, amount_inr double, status string, event_time timestamp"
+S_SCHEMA = "settlement_id string, transaction_id string, settled_amount_inr double, event_time timestamp"
+
+
+def reconciled(spark, folder, txns, settled, **options):
+    spark.createDataFrame(txns, T_SCHEMA).write.parquet(f"{folder}/t")
+    spark.createDataFrame(settled, S_SCHEMA).write.parquet(f"{folder}/s")
+    t = spark.readStream.schema(T_SCHEMA).parquet(f"{folder}/t")
+    s = spark.readStream.schema(S_SCHEMA).parquet(f"{folder}/s")
+    sink = Sink(f"{folder}/out", f"{folder}/checkpoints", once=True)
+    finish([sink.start(reconcile_stream(t, s, **options), "joined"), sink.start(untimed(t, s), "untimed")])
+    return [read_table(spark, f"{folder}/out/{name}") for name in ("joined", "untimed")]
+
+
+TXNS = [
+    ("t1", "m", 10.0, "success", at("10:00:00")),
+    ("t2", "m", 20.0, "success", at("10:00:00")),
+    ("t3", "m", 5.0, "failed", at("10:00:00")),
+    ("t4", "m", 7.0, "success", at("11:59:00")),
+    ("t5", "m", 8.0, "success", at("10:05:00")),
+    ("t6", "m", 8.0, "success", None),
+    (None, "m", 9.0, "success", at("10:00:00")),
+]
+SETTLED = [
+    ("s1", "t1", 10.0, at("10:20:00")),
+    ("s2", "t2", 20.0, at("10:31:00")),
+    ("s3", "t3", 5.0, at("10:01:00")),
+    ("s5", "t5", 8.0, at("10:04:10")),
+    ("s6", "t6", 8.0, None),
+    ("s7", None, 9.0, at("10:00:00")),
+    ("s9", "t9", 1.0, at("12:00:00")),
+]
+
+
+@pytest.mark.parametrize("hot", [(), ("t1", "t2", "t9")])
+def test_stream_join_gives_all_kinds(spark, folder, hot):
+    joined, no_time = reconciled(spark, folder, TXNS, SETTLED, hot=hot, salts=4)
+    got = sorted(((r.kind, r.transaction_id, r.settlement_id) for r in settle_salts(joined).collect()), key=repr)
+    # t4 and s9 can still find partners; s2 came a minute late; s5 came early, by less than the tolerance.
+    assert got == sorted(
+        [
+            ("MATCHED", "t1", "s1"),
+            ("MATCHED", "t5", "s5"),
+            ("OVERDUE", "t2", None),
+            ("OVERDUE", None, None),
+            ("ORPHAN", "t2", "s2"),
+            ("ORPHAN", "t3", "s3"),
+            ("ORPHAN", None, "s7"),
+        ],
+        key=repr,
     )
-    finish([Sink(f"{folder}/out", f"{folder}/checkpoints", once=True).start(joined, "joined")])
-    got = {(r.transaction_id, r.settlement_id) for r in table(spark, folder, "joined").collect()}
-    assert got == {("t1", "s1"), ("t2", None)}
+    assert sorted((r.kind, r.transaction_id, r.settlement_id) for r in no_time.fillna("-").collect()) == [
+        ("UNTIMED", "t6", "-"),
+        ("UNTIMED", "t6", "s6"),
+    ]
+
+
+def test_hot_id_is_kept_in_several_state_partitions(spark, folder):
+    txns = [("h", "m", 1.0, "success", at("10:00:00"))] * 2 + [("late", "m", 1.0, "success", at("10:00:00"))] * 2 + [("end", "m", 1.0, "failed", at("13:00:00"))]
+    settled = [(f"s{i}", "h", 1.0, at("10:00:00") + timedelta(seconds=i % 900)) for i in range(2000)]
+    settled += [("x", "late", 1.0, at("13:00:00"))]
+    txns += [("z", "m", 1.0, "success", at("13:00:00"))]
+    joined, _ = reconciled(spark, folder, txns, settled, hot=["h", "late"], salts=8)
+    per_salt = {r.salt: r["count"] for r in joined.filter("kind = 'MATCHED'").groupBy("salt").count().collect()}
+    assert len(per_salt) == 8 and sum(per_salt.values()) == 4000 and max(per_salt.values()) < 700
+    kinds = {(r.kind, r.transaction_id): r["count"] for r in settle_salts(joined).groupBy("kind", "transaction_id").count().collect()}
+    # Both copies of the unsettled transaction are overdue, once each.
+    assert kinds == {("MATCHED", "h"): 4000, ("OVERDUE", "late"): 2}
