@@ -31,10 +31,14 @@ def checkpoint_times(spark: SparkSession, checkpoints: dict[str, str]) -> DataFr
 
 
 def lag_from_listing(lines: DataFrame) -> DataFrame:
-    """``group_id, line`` to ``group_id, lag``: null for lines without a lag, -1 where no listing was had."""
-    fields = F.split(F.trim(F.regexp_replace("line", r"\s+", " ")), " ")
-    numbers = [F.get(fields, F.lit(i)).try_cast("bigint") for i in range(1, len(LISTING))]
-    lag = F.when(F.forall(F.array(*numbers), lambda n: n.isNotNull() & (n >= 0)), numbers[-1])
+    """``group_id, line`` to ``group_id, lag``: null for lines without a lag, -1 where no listing was had.
+
+    A line has a lag if a word and as many numbers as the listing has stand at its beginning; more columns may follow.
+    """
+    # One look at each line. Possessive parts cannot be tried again, so it takes one step per character.
+    numbers = len(LISTING) - 2
+    pattern = r"^\s*+\S++(?:\s++[0-9]++){%d}\s++([0-9]++)(?:\s|$)" % numbers
+    lag = F.regexp_extract("line", pattern, 1).try_cast("bigint")
     return lines.select("group_id", F.when(F.col("line").isNull(), F.lit(UNKNOWN_LAG)).otherwise(lag).alias("lag"))
 
 
