@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from railwatch.operators.health import FEATURES
 from railwatch.plans.queries import HOT_ORDER, STREAM_DELAY_DAYS
 
 _METHOD_OF_EVENT = """case event_type when 'click' then 'upi_hdfc' when 'error' then 'upi_axis'
@@ -219,6 +220,110 @@ _PAYOUT_MART = """select cast(l_shipdate as date) as event_date, l_returnflag as
           avg(cast(floor(l_quantity * 10) as integer)) as avg_delay_minutes
         from lineitem group by 1, 2, 3"""
 
+# --- the anomaly model -----------------------------------------------------------------------------------------------
+
+_TREES, _SAMPLE, _DEEPEST, _SEED, _CONTAMINATION = 200, 256, 8, 42, 0.03
+_PRIME, _RANGE = 2**52 - 47, float(2**52)
+_FEATURE_LIST = "[" + ", ".join(f"cast({f} as double)" for f in FEATURES) + "]"
+
+
+def _hash_number(text: str, part: int = 0) -> str:
+    return f"('0x' || substr(md5({text}), {1 + 13 * part}, 13))::bigint"
+
+
+def _forest(train: str) -> str:
+    """Samples and nodes of the forest over a relation of key and x (a list of features), level by level."""
+    out = [
+        f"""need as (select least({_SAMPLE}, count(distinct key)) as need from {train}),
+samples as materialized (
+  select t, x, draw, key from (
+    select *, row_number() over (partition by t order by draw, key) as place from (
+      select t, x, key, (a + t * b) % {_PRIME} as draw
+      from (select *, {_hash_number(f"key || ':{_SEED}'")} % {_PRIME} as a, {_hash_number(f"key || ':{_SEED}'", 1)} % {_PRIME} as b
+            from {train}), range(0, {_TREES}) as r(t)))
+  where place <= (select need from need)),
+level0 as (select t, x, 1::bigint as node, true as open from samples)"""
+    ]
+    lows = ", ".join(f"min(x[{i}]) over w" for i in range(1, len(FEATURES) + 1))
+    highs = ", ".join(f"max(x[{i}]) over w" for i in range(1, len(FEATURES) + 1))
+    places = list(range(1, len(FEATURES) + 1))
+    text = f"'{_SEED}:' || t || ':' || node"
+    for d in range(_DEEPEST + 1):
+        is_leaf = "true" if d == _DEEPEST else "len(usable) = 0"
+        out.append(
+            f"""seen{d} as (
+  select *, count(*) over w as n, [{lows}] as low, [{highs}] as high from level{d} window w as (partition by t, node)),
+chosen{d} as (
+  select *, case when {is_leaf} then -1
+      else usable[1 + cast(floor({_hash_number(text)} / {_RANGE} * len(usable)) as bigint)] - 1 end as feature
+  from (select *, list_filter({places}, lambda i: high[i] > low[i]) as usable from seen{d})),
+cut{d} as materialized (
+  select t, x, node, open, n, feature, case when feature = -1 then 0.0 when between_ <= low[feature + 1] then high[feature + 1]
+      else between_ end as split
+  from (select *, high[feature + 1] - {_hash_number(text, 1)} / {_RANGE} * (high[feature + 1] - low[feature + 1]) as between_
+        from chosen{d})),
+nodes{d} as (select distinct t, node, feature, split, n, {d} as depth from cut{d} where open),
+level{d + 1} as (
+  select t, x, case when feature = -1 then node else 2 * node + cast(x[feature + 1] >= split as bigint) end as node,
+    open and feature <> -1 as open from cut{d})"""
+        )
+    out.append("nodes as materialized (" + " union all ".join(f"select * from nodes{d}" for d in range(_DEEPEST + 1)) + ")")
+    return ",\n".join(out)
+
+
+def _mean_path(n: str) -> str:
+    return f"case when {n} > 2 then 2 * (ln({n} - 1) + 0.5772156649015329) - 2 * ({n} - 1) / {n} when {n} = 2 then 1.0 else 0.0 end"
+
+
+def _forest_scores(rows: str, name: str) -> str:
+    """Relation ``name``: the relation with its score, every row walked through the nodes of all trees."""
+    out = [
+        f"{name}_in as materialized (select row_number() over () as id, * from {rows})",
+        f"{name}_0 as (select id, x, t, 1::bigint as node from {name}_in, range(0, {_TREES}) as r(t))",
+    ]
+    for d in range(_DEEPEST):
+        out.append(
+            f"""{name}_{d + 1} as materialized (
+  select w.id, w.x, w.t, case when feature = -1 then w.node else 2 * w.node + cast(w.x[feature + 1] >= split as bigint) end as node
+  from {name}_{d} w join nodes on nodes.t = w.t and nodes.node = w.node)"""
+        )
+    out.append(
+        f"""{name}_sums as (
+  select id, sum(cast(round((depth + {_mean_path("n")}) / 1e-9) as bigint)) as total
+  from {name}_{_DEEPEST} w join nodes on nodes.t = w.t and nodes.node = w.node group by id),
+{name} as materialized (
+  select i.*, round(pow(2.0, -(cast(total as double) / {_TREES} * 1e-9) / (select {_mean_path("need")} from need)), 6) as score
+  from {name}_in i join {name}_sums using (id))"""
+    )
+    return ",\n".join(out)
+
+
+_THRESHOLD = f"""threshold as (
+  select min(score) as threshold from (
+    select score, row_number() over (order by score) as place, count(*) over () as n from scored)
+  where place >= n * (1.0::double - {_CONTAMINATION}::double))"""
+
+_MODEL_FEATURES = f"""features as materialized (
+  select cast(window_start as varchar) as key, {_FEATURE_LIST} as x, * from (
+    select window_start, window_end, {", ".join(f"round({f}, 4) as {f}" for f in FEATURES)} from ({_WINDOW_FEATURES})))"""
+_SCORED = f"""with {_MODEL_FEATURES}, {_forest("features")}, {_forest_scores("features", "scored")}, {_THRESHOLD}"""
+
+_PLANTED = """[success_rate_pct * 0.5, avg_response_time_ms * 5, volume_zscore, timeout_rate_pct + 40, 100.0]"""
+_EVALUATED = f"""with {_MODEL_FEATURES},
+parts as (select *, {_hash_number(f"key || ':{_SEED}'")} / {_RANGE} >= 0.2 as is_train from features),
+train as materialized (select * from parts where is_train),
+labelled as materialized (
+  select x, 0 as label from parts where not is_train union all select {_PLANTED}, 1 from parts where not is_train),
+{_forest("train")}, {_forest_scores("train", "scored")}, {_THRESHOLD}, {_forest_scores("labelled", "judged")},
+flags as (select label, score > (select threshold from threshold) as flagged from judged),
+counts as (
+  select count(*) filter (where flagged and label = 1) as tp, count(*) filter (where flagged and label = 0) as fp,
+    count(*) filter (where not flagged and label = 1) as fn from flags)
+select tp, fp, fn, case when tp + fp > 0 then tp / (tp + fp) else 0.0 end as "precision",
+  case when tp + fn > 0 then tp / (tp + fn) else 0.0 end as recall,
+  case when 2 * tp + fp + fn > 0 then 2 * tp / (2 * tp + fp + fn) else 0.0 end as f1 from counts"""
+
+
 ORACLES: dict[str, str] = {
     "json_parse_typed": f"with {_EVENT_TXN}, {_FULL_TXN} select * exclude (event_id) from full_txn where not {_IS_BAD}",
     "dlq_split": f"""select case when {_IS_BAD} then 'dlq' else 'valid' end as route,
@@ -321,6 +426,17 @@ ORACLES: dict[str, str] = {
     "window_features": _WINDOW_FEATURES,
     "window_sample": f"""select * from ({_WINDOW_FEATURES})
         order by md5(cast(window_start as varchar) || ':42'), window_start limit 1000""",
+    "iforest_fit": f"""with {_MODEL_FEATURES}, {_forest("features")}
+        select cast(t as integer) as tree_id, cast(node as integer) as node_id, cast(feature as integer) as feature,
+          round(split, 6) as split, cast(n as integer) as "rows", depth from nodes""",
+    "iforest_score": f"""{_SCORED}
+        select window_start, window_end, {", ".join(FEATURES)}, score,
+          case when score > (select threshold from threshold) then 1 else 0 end as is_anomaly from scored""",
+    "iforest_saved": f"""{_SCORED}
+        select 'older' as version, window_start, score,
+          case when score > (select threshold from threshold) then 1 else 0 end as is_anomaly from scored
+        union all select 'newest', window_start, score, 1 from scored""",
+    "iforest_evaluate": _EVALUATED,
     "stream_bronze": f"""with {_EVENT_TXN}, {_FULL_TXN}, json as (select *, {_TXN_JSON} as body from full_txn)
         select transaction_id as key, event_time as kafka_timestamp, case event_id % 17 when 0 then left(body, length(body) - 1)
           when 1 then '{{}}' when 2 then '[1]' else body end as value from json""",

@@ -66,7 +66,7 @@ def test_scores_equal_a_walk_through_the_nodes(windows, model):
             node = 1
             while nodes[tree, node].feature >= 0:
                 n = nodes[tree, node]
-                node = 2 * node + (row[FEATURES[n.feature]] > n.split)
+                node = 2 * node + (row[FEATURES[n.feature]] >= n.split)
             total += nodes[tree, node].depth + expected_path(nodes[tree, node].rows)
         assert row.score == pytest.approx(2 ** (-total / len(trees) / expected_path(256)), abs=1e-6)
 
@@ -120,9 +120,19 @@ def test_no_rows_is_an_error(spark):
 
 
 def test_save_and_load(spark, windows, model, folder):
-    anomaly.save_iforest(model, folder)
+    with pytest.raises(ValueError, match="no model"):
+        anomaly.load_iforest(spark, folder)
+    first = anomaly.save_iforest(model, folder)
+    # A writer that ends before its version is in the log leaves nothing that a reader sees.
+    model.nodes.limit(3).write.parquet(f"{folder}/nodes-unfinished")
     loaded = anomaly.load_iforest(spark, folder)
     assert loaded[1:] == model[1:]
+    second = anomaly.save_iforest(model._replace(threshold=0.25), folder)
+    assert anomaly.load_iforest(spark, folder).threshold == 0.25
+    assert anomaly.load_iforest(spark, folder, first)[1:] == model[1:]
+    assert {r.version for r in anomaly.model_versions(spark, folder).collect()} == {first, second}
+    with pytest.raises(ValueError, match="no version"):
+        anomaly.load_iforest(spark, folder, "unfinished")
     some = windows.limit(50)
     score = lambda m: {r.id: r.score for r in anomaly.anomaly_scores(some, m).collect()}
     assert score(loaded) == score(model)
