@@ -6,7 +6,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from railwatch.config import MonitorConfig
-from railwatch.functions import age_minutes, as_of_time, iso_text
+from railwatch.functions import age_minutes, as_of_time, iso_text, number_text
+
+# Texts of the alerts.
+CRITICAL_LAG_TEXT = ":rotating_light: CRITICAL Kafka lag on `%s`: %d messages. Restarting `%s` with increased parallelism."
+ELEVATED_LAG_TEXT = ":warning: Elevated Kafka lag on `%s`: %d messages."
+STALE_TEXT = ":rotating_light: Streaming job `%s` appears %s (last checkpoint %s min ago). Attempting automatic restart."
 
 
 def lag_severity(lags: DataFrame, cfg: MonitorConfig = MonitorConfig()) -> DataFrame:
@@ -24,11 +29,31 @@ def lag_severity(lags: DataFrame, cfg: MonitorConfig = MonitorConfig()) -> DataF
 
 
 def lag_alerts(severities: DataFrame) -> DataFrame:
-    urgency = F.when(F.col("severity") == "CRITICAL", "CRITICAL").otherwise("Elevated")
-    message = F.format_string("%s lag on %s: %d messages", urgency, "group_id", "total_lag")
+    """The text of each alert. ``stream_name``, where there is one, names the stream that reads for the group."""
+    stream = "stream_name" if "stream_name" in severities.columns else "group_id"
+    message = F.when(F.col("severity") == "CRITICAL", F.format_string(CRITICAL_LAG_TEXT, "group_id", "total_lag", stream)).when(
+        F.col("severity") == "ALERT", F.format_string(ELEVATED_LAG_TEXT, "group_id", "total_lag")
+    )
     return severities.filter(F.col("severity").isin("ALERT", "CRITICAL")).withColumn("message", message)
 
 
+def stream_lag(streams: DataFrame, lags: DataFrame, cfg: MonitorConfig = MonitorConfig()) -> DataFrame:
+    """One row per monitored stream from the lags of its partitions; one that reports nothing is UNKNOWN."""
+    known = lag_severity(lags, cfg).withColumnRenamed("group_id", "stream_name")
+    rows = streams.join(known, "stream_name", "left")
+    return rows.select(
+        "stream_name",
+        F.coalesce("total_lag", F.lit(-1)).cast("bigint").alias("total_lag"),
+        F.coalesce("severity", F.lit("UNKNOWN")).alias("severity"),
+    )
+
+
+def staleness_alerts(states: DataFrame) -> DataFrame:
+    """The text of each stream that is stale or was never seen."""
+    text = F.format_string(STALE_TEXT, "stream_name", "status", number_text("age_minutes"))
+    return states.filter(F.col("status") != "HEALTHY").withColumn("message", text)
+
+
 def stream_staleness(streams: DataFrame, progress: DataFrame, *, as_of=None, cfg: MonitorConfig = MonitorConfig()) -> DataFrame:
     """The state of each monitored stream.
 

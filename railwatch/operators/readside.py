@@ -13,6 +13,7 @@ from railwatch.functions import band, display_or_none, rate_pct, safe_rate_pct
 OPS_TEXT = "Total transactions: %d, success rate: %s%%, total volume: ₹%s"
 SETTLEMENT_TEXT = "Total settled: %d, delayed: %d (%s%%), amount discrepancy: ₹%s"
 EVENT_TEXT = "%s: %s (banks: %s)"
+NO_EVENTS_TEXT = "No correlation events recorded."
 
 
 def _total(c: str) -> Column:
@@ -107,3 +108,18 @@ def event_lines(events: DataFrame) -> DataFrame:
     """One line of text per classification event."""
     line = F.format_string(EVENT_TEXT, "detected_at", "classification", display_or_none("affected_banks"))
     return events.select("detected_at", line.alias("line"))
+
+
+def events_text(events: DataFrame, n: int = 5) -> DataFrame:
+    """One row: the lines of the newest ``n`` events, newest first, or a text that says there are none."""
+    newest = event_lines(recent(events, n=n, ties=("classification", "affected_banks")))
+    newest_first = lambda a, b: F.when(a["detected_at"] > b["detected_at"], -1).when(a["detected_at"] < b["detected_at"], 1).when(
+        a["line"] < b["line"], -1
+    ).when(a["line"] > b["line"], 1).otherwise(0)
+    lines = F.array_sort(F.collect_list(F.struct("detected_at", "line")), newest_first)
+    text = F.array_join(F.transform(lines, lambda r: r["line"]), "\n")
+    return newest.agg(F.coalesce(F.nullif(text, F.lit("")), F.lit(NO_EVENTS_TEXT)).alias("text"))
+
+
+def latest_report(reports: DataFrame) -> DataFrame:
+    return recent(reports, "generated_at", 1, ("report",))

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from railwatch.operators.health import FEATURES
-from railwatch.plans.queries import HOT_ORDER, STREAM_DELAY_DAYS
+from railwatch.plans.queries import FILES_OF_RUN, HOT_ORDER, LATE_BEFORE, STREAM_DELAY_DAYS
 
 _METHOD_OF_EVENT = """case event_type when 'click' then 'upi_hdfc' when 'error' then 'upi_axis'
   when 'purchase' then 'upi_sbi' when 'signup' then 'upi_icici' when 'view' then 'card_visa' end"""
@@ -361,6 +361,12 @@ ORACLES: dict[str, str] = {
         from history order by detected_at desc, classification, affected_banks limit 5""",
     "latest_record": f"""{_HISTORY} select classification, affected_banks, detected_at from history
         order by detected_at desc, classification, affected_banks limit 1""",
+    "events_text": f"""{_HISTORY}, newest as (
+          select * from history order by detected_at desc, classification, affected_banks limit 5)
+        select 'all events' as "of", string_agg(detected_at || ': ' || classification || ' (banks: '
+          || case when affected_banks = '' then 'none' else affected_banks end || ')', chr(10)
+          order by detected_at desc, classification, affected_banks) as "text" from newest
+        union all select 'no events', 'No correlation events recorded.'""",
     "classification_history": f"""{_HISTORY} select classification, affected_banks, detected_at from history
         order by detected_at desc, classification, affected_banks""",
     "payment_enriched": f"""{_RECON} select p.transaction_id, p.merchant_id, payment_method, amount_inr, status,
@@ -409,6 +415,10 @@ ORACLES: dict[str, str] = {
     "sql_views": f"""{_RECON} select payment_method, count(*) as payments,
           cast(count(*) filter (where delay_seconds > 180) as bigint) as delayed, count(settlement_id) as settlements
         from paid p left join settlement s on p.transaction_id = s.transaction_id group by payment_method""",
+    "latest_report": f"""{_RECON_MART} select 'Total settled: ' || sum(total_settled_transactions) || ', delayed: '
+          || sum(delayed_count) || ' (' || format('{{:.1f}}', sum(delayed_count) / sum(total_settled_transactions) * 100)
+          || '%), amount discrepancy: ₹' || format('{{:,}}', cast(round(sum(amount_discrepancy)) as bigint)) as report,
+          '2024-02-01 00:00:00' as generated_at from mart""",
     "dq_ops_mart": f"{_OPS} {_CHECKS_OPS}",
     "dq_recon_mart": f"{_RECON_MART} {_CHECKS_RECON.format('mart')}",
     "dq_summary": f"""{_RECON_MART}, recon as (select * from mart), ops as ({_OPS_MART.format('otxn')})
@@ -419,9 +429,18 @@ ORACLES: dict[str, str] = {
         union all select 'dlq_settlements', null, 'SKIP'""",
     "missing_table_read": f"{_EVENT_OPS} {_ROUNDED_OPS}",
     "lag_severity": f"with {_LAG} select * from severities",
-    "lag_alerts": f"""with {_LAG} select *, case severity when 'CRITICAL' then 'CRITICAL lag on ' else 'Elevated lag on ' end
-          || group_id || ': ' || total_lag || ' messages' as message
+    "lag_alerts": f"""with {_LAG} select *, case severity
+          when 'CRITICAL' then ':rotating_light: CRITICAL Kafka lag on `' || group_id || '`: ' || total_lag
+            || ' messages. Restarting `' || group_id || '` with increased parallelism.'
+          else ':warning: Elevated Kafka lag on `' || group_id || '`: ' || total_lag || ' messages.' end as message
         from severities where severity in ('ALERT', 'CRITICAL')""",
+    "staleness_alerts": f"""select *, ':rotating_light: Streaming job `' || stream_name || '` appears ' || status || ' (last checkpoint '
+          || coalesce(cast(age_minutes as varchar), 'None') || ' min ago). Attempting automatic restart.' as message
+        from ({_STALE}) where status <> 'HEALTHY'""",
+    "stream_health": """select 'landed_events' as stream_name, 'HEALTHY' as status, 0::bigint as total_lag, 'OK' as severity,
+          null::varchar as message, 1::bigint as batches
+        union all select 'landed_nothing', 'NO_CHECKPOINT_FOUND', -1, 'UNKNOWN', ':rotating_light: Streaming job `landed_nothing` appears'
+          || ' NO_CHECKPOINT_FOUND (last checkpoint None min ago). Attempting automatic restart.', null""",
     "checkpoint_staleness": _STALE,
     "window_features": _WINDOW_FEATURES,
     "window_sample": f"""select * from ({_WINDOW_FEATURES})
@@ -457,6 +476,15 @@ ORACLES: dict[str, str] = {
         select * from silver where window_end <= (select max(event_time) - interval 60 second from good)""",
     "stream_typed_rows": f"""with {_EVENT_TXN}, good as ({_WELL_FORMED}),
         mart as ({_OPS_MART.format("good")}) {_ROUNDED_OPS}""",
+    "stream_restart": f"""with {_EVENT_TXN}, good as ({_WELL_FORMED})
+        select 'typed' as "table", cast(event_date as varchar) as part, count(*) as n from good group by event_date
+        union all select 'bronze', 'all', count(*) from events
+        union all select 'dlq', 'all', count(*) from events where {_IS_BAD}
+        union all select 'batches', 'run ' || i, {list(FILES_OF_RUN)}[i + 1] from range(0, {len(FILES_OF_RUN)}) as r(i)""",
+    "stream_late": f"""with {_EVENT_TXN},
+        good as (select * from ({_WELL_FORMED}) where not (event_time < timestamp '{LATE_BEFORE}' and event_id % 50 = 7)),
+        {_sliding("good")}
+        select * from silver where window_end <= (select max(event_time) - interval 60 second from good)""",
     "stream_payout_mart": _PAYOUT_MART,
     "stream_recon_join": f"""with t as (
           select cast(o_orderkey as varchar) as transaction_id, 'merchant_' || (o_custkey % 100) as merchant_id,

@@ -15,7 +15,7 @@ from railwatch.plans import tables
 from railwatch.plans.jobs import register_payment_views
 from railwatch.plans.stream_tables import topic_table
 from railwatch.sources import progress
-from railwatch.sources.streams import decode_envelope
+from railwatch.sources.streams import decode_envelope, event_stream
 from railwatch.sources.tables import (
     append_json_log,
     append_log,
@@ -38,6 +38,8 @@ HOURLY = WindowConfig(length="1 hour", slide="15 minutes")
 PROPS = EventSpec("events", "k INT", "k", None)
 STREAM_DELAY_DAYS = 365
 HOT_ORDER = "2"
+LATE_BEFORE, LAST_FROM = "2024-01-11", "2024-01-21"
+FILES_OF_RUN = (2, 1, 3)
 
 
 def query(fn: Query) -> Query:
@@ -172,6 +174,14 @@ def latest_record(spark: SparkSession, sf_dir: str) -> DataFrame:
     return newest.select("classification", "affected_banks", "detected_at")
 
 
+@query
+def events_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The newest events as one text, and the text where there are none."""
+    history = _history(spark, sf_dir)
+    some = readside.events_text(history).withColumn("of", F.lit("all events"))
+    return some.unionByName(readside.events_text(history.filter("classification IS NULL")).withColumn("of", F.lit("no events")))
+
+
 @query
 def classification_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Newest first over the whole history."""
@@ -412,6 +422,20 @@ def checkpoint_staleness(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(_staleness(spark, sf_dir), 3, "age_minutes")
 
 
+@query
+def staleness_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return monitor.staleness_alerts(checkpoint_staleness(spark, sf_dir))
+
+
+@query
+def latest_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two reports are logged, the newest is shown."""
+    path = scratch_path(spark, "reports")
+    for made, time in ((ops_summary_text(spark, sf_dir), "2024-01-31T08:00:00"), (settlement_summary_text(spark, sf_dir), AS_OF)):
+        append_log(made.select(F.col("summary").alias("report"), F.lit(time).alias("generated_at")), path)
+    return readside.latest_report(read_or_empty(spark, path, schemas.REPORT))
+
+
 # --- anomaly model -------------------------------------------------------------------------------------------
 
 
@@ -546,6 +570,63 @@ def stream_settlements(spark: SparkSession, sf_dir: str) -> DataFrame:
     return staged.unionByName(dlq, allowMissingColumns=True)
 
 
+def _replay(spark: SparkSession, sf_dir: str, name: str, outputs=ROWS) -> tuple[Sink, list[int]]:
+    """Events of January in three runs of one pipeline, each a restart from the checkpoint with more files in the source, read
+    one file at a time; and the batches of each run. Some of the first days come in the last run only."""
+    events = tables.table(spark, sf_dir, "events")
+    run = F.when((F.col("ts") < LATE_BEFORE) & (F.col("event_id") % 50 != 7), 0).when(F.col("ts") < LATE_BEFORE, 2)
+    run = run.when(F.col("ts") < LAST_FROM, 1).otherwise(2)
+    raw, sink, batches = scratch_path(spark, f"{name}-source"), _sink(spark, name), []
+    for number, files in enumerate(FILES_OF_RUN):
+        part = decode_envelope(tables.raw_transactions(events.filter(run == number)))
+        part.repartition(files).write.mode("append").parquet(raw)
+        source = event_stream(spark, "transactions", "parquet", path=raw, schema=schemas.BRONZE, max_per_trigger=1)
+        queries = start_pipeline(source, TRANSACTIONS, sink, outputs)
+        finish(queries)
+        batches.append(sum(p["numInputRows"] > 0 for p in queries[0].recentProgress))
+    return sink, batches
+
+
+@query
+def stream_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of each table after three runs, late ones too, by date; and the batches of each run."""
+    sink, batches = _replay(spark, sf_dir, "restart")
+    typed = topic_table(spark, sink.tables, "typed_transactions").groupBy("event_date").agg(F.count(F.lit(1)).alias("n"))
+    counts = typed.select(F.lit("typed").alias("table"), F.col("event_date").cast("string").alias("part"), "n")
+    for name in ("bronze", "dlq"):
+        found = topic_table(spark, sink.tables, f"{name}_transactions").agg(F.count(F.lit(1)).alias("n"))
+        counts = counts.unionByName(found.select(F.lit(name).alias("table"), F.lit("all").alias("part"), "n"))
+    runs = [(f"run {i}", n) for i, n in enumerate(batches)]
+    return counts.unionByName(spark.createDataFrame(runs, "part string, n long").withColumn("table", F.lit("batches")))
+
+
+@query
+def stream_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Windows after three runs. What comes after the watermark has passed its windows is in none."""
+    sink, _ = _replay(spark, sf_dir, "late", WINDOWS)
+    return _flat(read_table(spark, f"{sink.tables}/silver_transactions"))
+
+
+@query
+def stream_health(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stream that has just run and one that never did, judged by their checkpoints and by a log of their progress."""
+    raw = tables.raw_props(tables.table_stream(spark, sf_dir, "events"))
+    sink = _sink(spark, "health")
+    queries = start_pipeline(raw, PROPS, sink)
+    finish(queries)
+    names = ("landed_events", "landed_nothing")
+    streams = spark.createDataFrame([(n,) for n in names], "stream_name string")
+    times = progress.checkpoint_times(spark, {n: f"{sink.checkpoints}/{n}" for n in names})
+    log = f"{sink.tables}/progress"
+    progress.append_progress(spark, queries, log)
+    lag = monitor.stream_lag(streams, progress.lag_from_progress(progress.latest_progress(read_log(spark, log))))
+    states = monitor.stream_staleness(streams, times)
+    alerts = monitor.staleness_alerts(states).select("stream_name", "message")
+    batches = times.groupBy("stream_name").agg(F.count(F.lit(1)).alias("batches"))
+    found = states.select("stream_name", "status").join(lag, "stream_name").join(alerts, "stream_name", "left")
+    return found.join(batches, "stream_name", "left")
+
+
 @query
 def stream_payout_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The payout mart from the table its stream writes."""

@@ -6,8 +6,9 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
-from railwatch.sources.tables import read_if_present
+from railwatch.sources.tables import append_log, read_if_present
 
 # The columns of a consumer-group listing, parted by white space; all but the first are numbers.
 LISTING = ("TOPIC", "PARTITION", "CURRENT-OFFSET", "LOG-END-OFFSET", "LAG")
@@ -42,23 +43,37 @@ def lag_from_listing(lines: DataFrame) -> DataFrame:
     return lines.select("group_id", F.when(F.col("line").isNull(), F.lit(UNKNOWN_LAG)).otherwise(lag).alias("lag"))
 
 
+def append_progress(spark: SparkSession, queries: list[StreamingQuery], path: str) -> None:
+    """Adds what each query last reported to a log, for monitors in other applications; a few rows, asked of the driver."""
+    rows = [(q.name, q.lastProgress.json) for q in queries if q.lastProgress]
+    append_log(spark.createDataFrame(rows, "group_id string, progress string"), path)
+
+
+def latest_progress(log: DataFrame) -> DataFrame:
+    """The newest record of each stream of a log of progress."""
+    time = F.get_json_object("progress", "$.timestamp").try_cast("timestamp")
+    return log.groupBy("group_id").agg(F.max_by("progress", F.struct(time, "progress")).alias("progress"))
+
+
 def lag_from_progress(progress: DataFrame) -> DataFrame:
     """``group_id, progress`` (JSON of a StreamingQueryProgress) to the lag of each topic partition.
 
     Spark commits no offsets to consumer groups, so a Spark stream's lag is in its own progress. A stream without
-    progress has the lag -1.
+    progress has the lag -1; one whose source has no partitions has nothing to lag behind: one row, without a lag.
     """
     unknown = progress.filter(F.col("progress").isNull()).select("group_id", F.lit(UNKNOWN_LAG).cast("bigint").alias("lag"))
     schema = "sources array<struct<endOffset string, latestOffset string>>"
     offsets = "map<string, map<string, bigint>>"
-    sources = progress.select("group_id", F.explode(F.from_json("progress", schema)["sources"]).alias("source"))
+    sources = progress.filter(F.col("progress").isNotNull()).select(
+        "group_id", F.explode_outer(F.from_json("progress", schema)["sources"]).alias("source")
+    )
     topics = sources.select(
         "group_id",
         F.from_json("source.endOffset", offsets).alias("read"),
-        F.explode(F.from_json("source.latestOffset", offsets)).alias("topic", "latest"),
+        F.explode_outer(F.from_json("source.latestOffset", offsets)).alias("topic", "latest"),
     )
     partitions = topics.select(
-        "group_id", F.try_element_at("read", F.col("topic")).alias("read"), F.explode("latest").alias("part", "end")
+        "group_id", F.try_element_at("read", F.col("topic")).alias("read"), F.explode_outer("latest").alias("part", "end")
     )
     start = F.coalesce(F.try_element_at("read", F.col("part")), F.lit(0))
     return partitions.select("group_id", (F.col("end") - start).alias("lag")).unionByName(unknown)

@@ -86,7 +86,9 @@ def test_lag_listing(spark):
         ("g6", 0, "OK"),
         ("g7", 0, "OK"),
     ]
-    assert [r.message for r in monitor.lag_alerts(severities).orderBy("group_id").collect()][2] == "CRITICAL lag on g4: 20001 messages"
+    assert [r.message for r in monitor.lag_alerts(severities).orderBy("group_id").collect()][2] == (
+        ":rotating_light: CRITICAL Kafka lag on `g4`: 20001 messages. Restarting `g4` with increased parallelism."
+    )
 
 
 def test_lag_from_query_progress(spark):
