@@ -52,25 +52,31 @@ class ReconSkew:
 NO_SKEW = ReconSkew()
 
 
-def measure_skew(txns: DataFrame, settlements: DataFrame, cfg: SkewConfig = SkewConfig()) -> ReconSkew:
-    """Looks for hot ids of successful transactions and of settlements, in one job over the two columns.
+def measure_skew(
+    txns: DataFrame, settlements: DataFrame, cfg: SkewConfig = SkewConfig(), keys: tuple[DataFrame, DataFrame] | None = None
+) -> ReconSkew:
+    """Looks for hot ids of successful transactions and of settlements, in one job over the two columns, or over ``keys``.
 
     Tables read with ``row_position`` are spread by it, so that copies of one row part too.
     """
     salt = lambda df: (ROW_POSITION,) if ROW_POSITION in df.columns else ()
-    txn_hot, settlement_hot = find_hot_keys(_KEY, successful(txns), settlements, cfg=cfg)
+    txn_hot, settlement_hot = find_hot_keys(_KEY, *(keys or (successful(txns), settlements)), cfg=cfg)
     return ReconSkew(txn_hot, settlement_hot, salt(txns), salt(settlements), cfg)
 
 
 def read_for_join(
-    read: Callable[[bool], tuple[DataFrame, DataFrame]], cfg: SkewConfig = SkewConfig()
+    read: Callable[[bool], tuple[DataFrame, DataFrame]],
+    cfg: SkewConfig = SkewConfig(),
+    keys: tuple[DataFrame, DataFrame] | None = None,
 ) -> tuple[DataFrame, DataFrame, ReconSkew]:
     """Transactions, settlements and their skew.
 
-    ``read`` gets whether to add row positions; they are read only when there are hot ids to spread by them.
+    ``read`` gets whether to add row positions; they are read only when there are hot ids to spread by them. ``keys``,
+    where the tables come out of joins, has the transaction ids of successful transactions and of settlements as they
+    are stored, so that the search for hot ids runs no join.
     """
     txns, settlements = read(False)
-    skew = measure_skew(txns, settlements, cfg)
+    skew = measure_skew(txns, settlements, cfg, keys)
     if not (skew.txn_hot or skew.settlement_hot):
         return txns, settlements, skew
     txns, settlements = read(True)

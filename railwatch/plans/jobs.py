@@ -9,9 +9,10 @@ from railwatch.config import BANK_METHODS, AttributionConfig, ReconConfig, SkewC
 from railwatch.operators import attribution, marts, quality
 from railwatch.operators.health import bank_health, latest_snapshot
 from railwatch.operators.parse import TRANSACTIONS, parse_topic, staged_transactions
-from railwatch.operators.reconcile import enrich_payments, mismatch_log, read_for_join
+from railwatch.operators.reconcile import NO_SKEW, ReconSkew, enrich_payments, mismatch_log, read_for_join
 from railwatch.plans.stream_tables import topic_table, topic_table_if_present
 from railwatch.sources.tables import (
+    ROW_POSITION,
     append_log,
     export_csv,
     read_if_present,
@@ -104,14 +105,17 @@ def export_marts(spark: SparkSession, root: str, out: str, fmt: str = "parquet",
         export_csv(read_table(spark, f"{root}/{name}", fmt), f"{out}/{name}", single_file=single_file)
 
 
-def register_payment_views(txns: DataFrame, settlements: DataFrame, cfg: ReconConfig = ReconConfig()) -> None:
-    """Temporary views for SQL users; Catalyst inlines them into the query that names them."""
+def register_payment_views(
+    txns: DataFrame, settlements: DataFrame, cfg: ReconConfig = ReconConfig(), *, skew: ReconSkew = NO_SKEW
+) -> None:
+    """Temporary views for SQL users; Catalyst inlines them into the query that names them. Hot ids are spread in them, too."""
+    plain, settled = txns.drop(ROW_POSITION), settlements.drop(ROW_POSITION)
     register_views(
         {
-            "staged_transactions": txns,
-            "staged_settlements": settlements,
-            "bank_health_hourly": bank_health(txns),
-            "payment_enriched": enrich_payments(txns, settlements, cfg),
-            "bank_transactions": txns.filter(txns["payment_method"].isin(*BANK_METHODS)),
+            "staged_transactions": plain,
+            "staged_settlements": settled,
+            "bank_health_hourly": bank_health(plain),
+            "payment_enriched": enrich_payments(txns, settlements, cfg, skew=skew),
+            "bank_transactions": plain.filter(plain["payment_method"].isin(*BANK_METHODS)),
         }
     )

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -38,6 +39,7 @@ HOURLY = WindowConfig(length="1 hour", slide="15 minutes")
 PROPS = EventSpec("events", "k INT", "k", None)
 STREAM_DELAY_DAYS = 365
 HOT_ORDER = "2"
+REPORT_DAYS = [date(2024, 1, d) for d in range(1, 31)]
 LATE_BEFORE, LAST_FROM = "2024-01-11", "2024-01-21"
 FILES_OF_RUN = (2, 1, 3)
 
@@ -71,7 +73,8 @@ def _recon_inputs(spark: SparkSession, sf_dir: str):
         lambda position: (
             tables.order_transactions(spark, sf_dir, position),
             tables.lineitem_settlements(spark, sf_dir, position),
-        )
+        ),
+        keys=tables.stored_ids(spark, sf_dir),
     )
 
 
@@ -301,7 +304,8 @@ def volume_by_category(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def bank_health_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return readside.health_pivot(marts.mart_ops(tables.event_transactions(spark, sf_dir)))
+    """The days a report asks for."""
+    return readside.health_pivot(marts.mart_ops(tables.event_transactions(spark, sf_dir)), REPORT_DAYS)
 
 
 @query
@@ -333,7 +337,8 @@ def sql_path_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def sql_views(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SQL over the registered views."""
-    register_payment_views(tables.order_transactions(spark, sf_dir), tables.lineitem_settlements(spark, sf_dir))
+    txns, settlements, skew = _recon_inputs(spark, sf_dir)
+    register_payment_views(txns, settlements, skew=skew)
     return spark.sql(
         """
         SELECT payment_method, count(*) AS payments, count_if(is_delayed) AS delayed,

@@ -65,6 +65,13 @@ def order_transactions(spark: SparkSession, sf_dir: str, row_position: bool = Fa
     return _as_orders(table(spark, sf_dir, "orders", row_position), [ROW_POSITION] if row_position else [])
 
 
+def stored_ids(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """The transaction ids of successful orders and of line items, without the join that settlements take."""
+    orders = table(spark, sf_dir, "orders").filter(_lookup("o_orderstatus", ORDER_STATUS) == "success")
+    ids = lambda df, column: df.select(F.col(column).cast("string").alias("transaction_id"))
+    return ids(orders, "o_orderkey"), ids(table(spark, sf_dir, "lineitem"), "l_orderkey")
+
+
 def categorised_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as transactions, with the customer's segment as merchant category."""
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")

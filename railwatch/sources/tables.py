@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from urllib.parse import urlparse
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -20,12 +21,14 @@ def read_table(
     """A table by path.
 
     ``row_position`` adds a hash of file and row number. It is the same in every attempt of a task and differs
-    between copies of a row, so joins can spread copies by it.
+    between copies of a row, so joins can spread copies by it. Formats that do not number their rows get the number
+    within the task instead, which the split of the file makes the same in every attempt.
     """
     reader = spark.read.format(fmt).options(**options)
     df = (reader.schema(schema) if schema else reader).load(path)
     if row_position:
-        position = F.xxhash64(F.col("_metadata.file_path"), F.col("_metadata.row_index"))
+        number = F.col("_metadata.row_index") if fmt == "parquet" else F.monotonically_increasing_id()
+        position = F.xxhash64(F.col("_metadata.file_path"), F.col("_metadata.file_block_start"), number)
         df = df.select("*", position.alias(ROW_POSITION))
     return df
 
@@ -105,10 +108,17 @@ def report_rows(spark: SparkSession, report: str, generated_at: str) -> DataFram
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new path in the folder all executors share, as named by the session."""
+    """A new path in the folder all executors share, as named by the session.
+
+    Without ``spark.checkpoint.dir`` that is the warehouse, if it is shared: a folder of the driver's own disk is refused
+    unless everything runs on one machine.
+    """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    # The warehouse is shared, too.
-    base = base or spark.conf.get("spark.sql.warehouse.dir")
+    if not base:
+        base = spark.conf.get("spark.sql.warehouse.dir")
+        local = spark.sparkContext.master.startswith("local")
+        if not local and (urlparse(base).scheme or "file") == "file":
+            raise ValueError(f"set spark.checkpoint.dir to a folder that all executors share; {base} is on one machine")
     return f"{base.rstrip('/')}/railwatch-{name}-{uuid.uuid4().hex}"
 
 
