@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from railwatch import schemas
 from railwatch.config import BANK_METHODS, AttributionConfig, ReconConfig, SkewConfig
 from railwatch.operators import attribution, marts, quality
-from railwatch.operators.health import bank_health, latest_snapshot
+from railwatch.operators.health import bank_health, newest_windows
 from railwatch.operators.parse import TRANSACTIONS, parse_topic, staged_transactions
 from railwatch.operators.reconcile import NO_SKEW, ReconSkew, enrich_payments, mismatch_log, read_for_join
 from railwatch.plans.stream_tables import topic_table, topic_table_if_present
@@ -68,8 +68,8 @@ def run_attribution(
     spark: SparkSession, root: str, cfg: AttributionConfig = AttributionConfig(), *, as_of=None, fmt: str = "parquet"
 ) -> None:
     """Appends the classification of the newest windows to the log; without windows it appends no row."""
-    silver = read_table(spark, f"{root}/silver_transactions", fmt)
-    result = attribution.attribute_failures(latest_snapshot(silver, cfg.banks), cfg, as_of=as_of)
+    newest = newest_windows(spark, f"{root}/silver_transactions", cfg.banks, fmt)
+    result = attribution.attribute_failures(newest, cfg, as_of=as_of)
     append_log(result, f"{root}/gold_correlation_events", fmt)
 
 

@@ -340,6 +340,12 @@ ORACLES: dict[str, str] = {
           quantile_disc(response_time_ms, 0.5) as p50_response_time_ms,
           quantile_disc(response_time_ms, 0.95) as p95_response_time_ms
         from etxn group by 1, 2""",
+    "bank_health_daily": f"""with {_EVENT_TXN}
+        select payment_method as bank, date_trunc('day', event_time) as bucket, count(*) as total_transactions,
+          cast(count(*) filter (where status = 'success') as bigint) as success_count,
+          count(*) filter (where status = 'success') / count(*) * 100 as success_rate_pct,
+          avg(response_time_ms) as avg_response_time_ms, true as p50_within, true as p95_within
+        from etxn group by 1, 2""",
     "latest_window_per_method": f"""with {_EVENT_TXN}, {_SLIDING}, {_LATEST}
         select window_start, window_end, payment_method, total_transactions, success_rate_pct, avg_response_time_ms,
           timeout_rate_pct from latest""",
@@ -474,6 +480,12 @@ ORACLES: dict[str, str] = {
         from events where not {_IS_BAD}""",
     "stream_silver_windows": f"""with {_EVENT_TXN}, good as ({_WELL_FORMED}), {_sliding("good")}
         select * from silver where window_end <= (select max(event_time) - interval 60 second from good)""",
+    "stream_newest_windows": f"""with {_EVENT_TXN}, good as ({_WELL_FORMED}), {_sliding("good")},
+        closed as (select * from silver where window_end <= (select max(event_time) - interval 60 second from good))
+        select s.window_start, s.window_end, s.payment_method, total_transactions, success_rate_pct, avg_response_time_ms,
+          timeout_rate_pct from closed s
+        join (select payment_method, max(window_end) as newest from closed where payment_method like 'upi%' group by 1) m
+          on s.payment_method = m.payment_method and s.window_end = m.newest""",
     "stream_typed_rows": f"""with {_EVENT_TXN}, good as ({_WELL_FORMED}),
         mart as ({_OPS_MART.format("good")}) {_ROUNDED_OPS}""",
     "stream_restart": f"""with {_EVENT_TXN}, good as ({_WELL_FORMED})

@@ -29,7 +29,17 @@ from railwatch.sources.tables import (
     store,
     write_mart,
 )
-from railwatch.streaming.pipelines import ROWS, WINDOWS, Sink, finish, reconcile_stream, settle_salts, start_pipeline, untimed
+from railwatch.streaming.pipelines import (
+    ROWS,
+    WINDOWS,
+    WINDOWS_BY_DATE,
+    Sink,
+    finish,
+    reconcile_stream,
+    settle_salts,
+    start_pipeline,
+    untimed,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -127,6 +137,26 @@ def bank_health_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
     return health.bank_health(tables.event_transactions(spark, sf_dir)).withColumn("hour_bucket", _plain("hour_bucket"))
 
 
+@query
+def bank_health_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Days put together from hourly sketches, and whether the ranks of their percentiles are within twice the error that 99 of
+    100 sketches keep."""
+    txns = tables.event_transactions(spark, sf_dir)
+    hourly = store(health.latency_sketches(txns), "sketches")
+    daily = health.health_of_sketches(health.merge_sketches(hourly))
+    rows = txns.select(F.col("payment_method").alias("bank"), F.date_trunc("day", "event_time").alias("bucket"), "response_time_ms")
+    ranks, within = [], []
+    for p, name in ((0.5, "p50"), (0.95, "p95")):
+        estimate = F.col(f"{name}_response_time_ms")
+        ranks += [F.avg((F.col("response_time_ms") < estimate).cast("int")).alias(f"{name}_from")]
+        ranks += [F.avg((F.col("response_time_ms") <= estimate).cast("int")).alias(f"{name}_to")]
+        slack = 2 * health.SKETCH_RANK_ERROR
+        within += [((F.col(f"{name}_from") <= p + slack) & (F.col(f"{name}_to") >= p - slack)).alias(f"{name}_within")]
+    found = daily.join(rows, ["bank", "bucket"]).groupBy("bank", "bucket").agg(*ranks)
+    counts = daily.select("bank", "bucket", "total_transactions", "success_count", "success_rate_pct", "avg_response_time_ms")
+    return counts.join(found.select("bank", "bucket", *within), ["bank", "bucket"]).withColumn("bucket", _plain("bucket"))
+
+
 @query
 def latest_window_per_method(spark: SparkSession, sf_dir: str) -> DataFrame:
     silver = health.window_health(tables.event_transactions(spark, sf_dir))
@@ -558,6 +588,13 @@ def stream_silver_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _flat(read_table(spark, f"{out}/silver_transactions"))
 
 
+@query
+def stream_newest_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The newest window of each bank in the table of the stream, of which only the last date is read."""
+    out = _run_stream(spark, "newest", _raw_transactions(spark, sf_dir), TRANSACTIONS, WINDOWS_BY_DATE)
+    return _flat(health.newest_windows(spark, f"{out}/silver_transactions"))
+
+
 @query
 def stream_typed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Typed transactions by date, written by the stream; the ops mart over all days."""

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from railwatch.config import WindowConfig
-from railwatch.operators.health import window_health
+from railwatch.operators.health import WINDOW_DATE, dated_windows, window_health
 from railwatch.operators.parse import EventSpec, landed_events, landed_schema, valid_events
 from railwatch.sources.tables import FILE_FORMATS, ensure_folder, landed_name
 
@@ -47,6 +47,10 @@ def silver_windows(valid: DataFrame, cfg: WindowConfig = WindowConfig()) -> Data
     return window_health(watermarked(valid, cfg), cfg)
 
 
+def silver_windows_by_date(valid: DataFrame, cfg: WindowConfig = WindowConfig()) -> DataFrame:
+    return dated_windows(silver_windows(valid, cfg))
+
+
 class Output(NamedTuple):
     """A table made of the typed rows."""
 
@@ -58,6 +62,8 @@ class Output(NamedTuple):
 ROWS: dict[str, Output] = {}
 #: Windows for the health of methods as well.
 WINDOWS = {"silver": Output(silver_windows)}
+#: The same in a table parted by date, of which the newest windows can be had without the history.
+WINDOWS_BY_DATE = {"silver": Output(silver_windows_by_date, WINDOW_DATE)}
 
 
 def start_pipeline(

@@ -1,13 +1,25 @@
 from __future__ import annotations
 
+import re
 import statistics
 from datetime import timedelta
 
 import pytest
 from pyspark.sql import functions as F
 
-from railwatch.config import WindowConfig
-from railwatch.operators.health import bank_health, closed_windows, latest_snapshot, window_features, window_health
+from railwatch.config import BANK_METHODS, WindowConfig
+from railwatch.operators.health import (
+    bank_health,
+    closed_windows,
+    dated_windows,
+    health_of_sketches,
+    latency_sketches,
+    latest_snapshot,
+    merge_sketches,
+    newest_windows,
+    window_features,
+    window_health,
+)
 from tests.helpers import SILVER, at, rows, txn
 
 
@@ -148,3 +160,38 @@ def test_percentile_ranks_are_exact(spark):
     )
     row = bank_health(txns, probs=(0.55, 0.995, 0.999)).first()
     assert (row.p55_response_time_ms, row.p99_5_response_time_ms, row.p99_9_response_time_ms) == (55, 100, 100)
+
+
+def test_newest_windows_of_a_dated_table_read_one_date(spark, folder):
+    days = ("2024-01-01", "2024-01-02", "2024-01-03")
+    moments = [(m, f"{d} 10:00:00") for d in days for m in BANK_METHODS]
+    data = txn(spark, *[dict(payment_method=m, event_time=at(t)) for m, t in moments])
+    silver = window_health(data)
+    dated_windows(silver).write.partitionBy("window_date").parquet(f"{folder}/all")
+    got = newest_windows(spark, f"{folder}/all")
+    assert rows(got) == rows(latest_snapshot(silver))
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Scan parquet") == len(re.findall(r"PartitionFilters: \[[^\]]*window_date#\d+ = 2024-01-03", plan)) > 0
+    # A bank that was silent on the last day comes from the days before.
+    some = silver.filter("NOT (payment_method = 'upi_sbi' AND window.end > '2024-01-02')")
+    dated_windows(some).write.partitionBy("window_date").parquet(f"{folder}/some")
+    assert rows(newest_windows(spark, f"{folder}/some")) == rows(latest_snapshot(some))
+    # A table without dates is read whole.
+    some.write.parquet(f"{folder}/plain")
+    assert rows(newest_windows(spark, f"{folder}/plain")) == rows(latest_snapshot(some))
+    assert newest_windows(spark, f"{folder}/some", ("nobody",)).count() == 0
+
+
+def test_sketches_merge_into_days(spark):
+    """Ranks of days put together from hours; a bucket without latencies has no percentiles."""
+    data = spark.range(24_000).selectExpr(
+        "'upi_hdfc' AS payment_method", "timestamp'2024-01-01' + make_interval(0, 0, 0, 0, 0, 0, id * 3.6) AS event_time",
+        "IF(id % 4 = 0, 'failed', 'success') AS status", "CAST(id * 7919 % 24000 AS int) AS response_time_ms",
+    )
+    silent = txn(spark, dict(payment_method="upi_axis", response_time_ms=None))
+    data = data.unionByName(silent.select(*data.columns))
+    daily = {r.bank: r for r in health_of_sketches(merge_sketches(latency_sketches(data))).collect()}
+    day = daily["upi_hdfc"]
+    assert (day.total_transactions, day.success_rate_pct, day.avg_response_time_ms) == (24_000, 75.0, 11_999.5)
+    assert abs(day.p50_response_time_ms - 12_000) < 600 and abs(day.p95_response_time_ms - 22_800) < 600
+    assert (daily["upi_axis"].p50_response_time_ms, daily["upi_axis"].avg_response_time_ms) == (None, None)
