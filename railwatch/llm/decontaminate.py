@@ -15,6 +15,7 @@ import re
 from bisect import bisect_left
 from collections.abc import Iterator
 from functools import partial
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -23,6 +24,7 @@ from pyspark.sql import functions as F
 
 from railwatch.llm import text as T
 from railwatch.llm.shared import share
+from railwatch.sources.tables import store
 
 K1, B = 1.2, 0.75
 GRAM = 3
@@ -67,26 +69,58 @@ def grams(hashes: np.ndarray) -> np.ndarray:
     return np.unique(T.run_hashes(hashes, n, n)) if n else hashes
 
 
+def _distinct_pairs(h: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """The distinct words of each text, text by text."""
+    text = np.repeat(np.arange(len(at) - 1), np.diff(at))
+    order = np.lexsort((h, text))
+    text, h = text[order], h[order]
+    new = np.ones(len(h), bool)
+    new[1:] = (text[1:] != text[:-1]) | (h[1:] != h[:-1])
+    return h[new]
+
+
+def _statistics(h: np.ndarray, at: np.ndarray) -> Statistics:
+    length = np.diff(at)
+    terms, frequency = np.unique(_distinct_pairs(h, at), return_counts=True)
+    return Statistics(len(length), float(length.mean()) if len(length) else 0.0, int(length.max(initial=0)), terms, frequency)
+
+
+class Statistics(NamedTuple):
+    """What the weights of an item depend on beside itself: all items, whichever index they are in."""
+
+    items: int
+    mean_words: float
+    most_words: int
+    #: Words, in order, and the items each stands in.
+    terms: np.ndarray
+    frequency: np.ndarray
+
+
 class Index:
-    """Items by word, with weights, blocks of items and their largest weights."""
+    """Items by word, with weights, blocks of items and their largest weights. Without ``stats`` they are all items."""
 
-    def __init__(self, ids: list[int], texts: list[str], block: int = 4, frequent: float = 0.1):
-        order = np.argsort(ids, kind="stable")
+    def __init__(
+        self, ids: list[int | None], texts: list[str], stats: Statistics | None = None, block: int = 4, frequent: float = 0.1
+    ):
+        # Items without an id come last.
+        order = sorted(range(len(ids)), key=lambda i: (ids[i] is None, ids[i] or 0))
         texts = [texts[i] or "" for i in order]
         h, at = _text_words(texts)
         good = np.flatnonzero(np.diff(at))
-        self.ids = np.asarray(ids, np.int64)[order][good]
+        self.ids = [ids[order[i]] for i in good]
         texts = [texts[i] for i in good]
         h, at = _text_words(texts)
         n, length = len(texts), np.diff(at)
-        self.stride = int(max(LEAST_PASSAGE, length.max(initial=0)))
+        if stats is None:
+            stats = _statistics(h, at)
+        self.stride = int(max(LEAST_PASSAGE, stats.most_words))
         self.block = block
         self.terms, term = np.unique(h, return_inverse=True)
         pair, count = np.unique(np.stack([term, np.repeat(np.arange(n), length)]), axis=1, return_counts=True)
         term, item = pair
-        frequency = np.bincount(term, minlength=len(self.terms))
-        idf = np.log(1 + (n - frequency + 0.5) / (frequency + 0.5))
-        norm = K1 * (1 - B + B * length[item] / max(length.mean(), 1)) if n else np.zeros(0)
+        frequency = stats.frequency[np.searchsorted(stats.terms, self.terms)]
+        idf = np.log(1 + (stats.items - frequency + 0.5) / (frequency + 0.5))
+        norm = K1 * (1 - B + B * length[item] / max(stats.mean_words, 1)) if n else np.zeros(0)
         weight = idf[term] * count * (K1 + 1) / (count + norm)
         weight /= np.bincount(item, weight, n)[item]
         self.at = np.searchsorted(term, np.arange(len(self.terms) + 1))
@@ -100,7 +134,7 @@ class Index:
         self.block_at = np.searchsorted(blocks[0], np.arange(len(self.terms) + 1))
         self.lists = [x.tolist() for x in (item, weight, self.block_number, self.block_most)]
         # Frequent words stand in more than this share of items; what they can add to an item is known beforehand.
-        self.rare = frequency <= max(1, frequent * n)
+        self.rare = frequency <= max(1, frequent * stats.items)
         self.blocks = -(-n // block)
         added = np.bincount(item, np.where(self.rare[term], 0, weight), n)
         self.frequent_most = np.zeros(self.blocks)
@@ -195,7 +229,7 @@ def possible(index: Index, term: np.ndarray, word_at: np.ndarray, count: np.ndar
 
 def search_texts(index: Index, data: np.ndarray, at: np.ndarray, threshold: float, overlap: float) -> list[tuple]:
     """Rows (document, item id, score, question share, answer share) of verified hits, the best passage of each pair."""
-    if not len(index.ids):
+    if not index.ids:
         return []
     h, word_at = words(data, at)
     term = index.find_terms(h)
@@ -211,8 +245,7 @@ def search_texts(index: Index, data: np.ndarray, at: np.ndarray, threshold: floa
         here: dict[int, np.ndarray] = {}
         for item, score in index.search(some[some >= 0].tolist(), threshold):
             shares = [_share(part, h[start:end], here) for part in (index.question[item], index.answer[item])]
-            key = (doc, int(index.ids[item]))
-            row = (*key, score, *shares)
+            key, row = (doc, item), (doc, index.ids[item], score, *shares)
             if min(shares) >= overlap and (key not in best or row[2:] > best[key][2:]):
                 best[key] = row
     return [best[k] for k in sorted(best)]
@@ -248,13 +281,38 @@ def _search_batches(batches: Iterator[pa.RecordBatch], shared, threshold: float,
             )
 
 
+def _term_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row per distinct word of each text, and one per text with words that has their number instead."""
+    for batch in batches:
+        h, at = words(*T.utf8(batch.column("text")))
+        term, length = _distinct_pairs(h, at).view(np.int64), np.diff(at)
+        length = length[length > 0]
+        yield pa.RecordBatch.from_arrays([pa.array(term), pa.nulls(len(term), pa.int64())], ["term", "words"])
+        yield pa.RecordBatch.from_arrays([pa.nulls(len(length), pa.int64()), pa.array(length)], ["term", "words"])
+
+
 def _indexes(items: DataFrame, index_bytes: int) -> Iterator[Index]:
     items = items.where(F.length(F.trim("text")) > 0).select(F.col("item_id").cast("long").alias("item_id"), "text")
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     shards = -(-total // index_bytes) or 1
+    if shards == 1:
+        found = items.collect()
+        yield Index([r.item_id for r in found], [r.text for r in found])
+        return
+    # Weights come from all items, so that hits do not depend on the number of indexes.
+    rows = items.select("text").mapInArrow(_term_rows, "term long, words long")
+    known = store(rows.where("term IS NOT NULL").groupBy("term").agg(F.count(F.lit(1)).alias("n")), "terms")
+    count, all_words, most = rows.agg(F.count("words"), F.sum("words"), F.max("words")).first()
     for shard in range(shards):
-        part = items.where(F.pmod(F.xxhash64("text"), F.lit(shards)) == shard).collect()
-        yield Index([r.item_id for r in part], [r.text for r in part])
+        part = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(shards)) == shard)
+        of_part = part.select("text").mapInArrow(_term_rows, "term long, words long").where("term IS NOT NULL").select("term")
+        # As many words as an index of this size has.
+        got = known.join(of_part.distinct(), "term", "left_semi").toArrow()
+        terms = got.column("term").to_numpy().view(np.uint64)
+        order = np.argsort(terms)
+        stats = Statistics(count, all_words / max(count, 1), most or 0, terms[order], got.column("n").to_numpy()[order])
+        found = part.collect()
+        yield Index([r.item_id for r in found], [r.text for r in found], stats)
 
 
 def contaminated(
@@ -263,8 +321,8 @@ def contaminated(
     """Pairs of a document and a test item it holds: doc_id, item_id, score, question_overlap, answer_overlap.
 
     Every passage of every document is searched. The index is sent to all executors, so it is built over about
-    ``index_bytes`` of items; more items make more indexes, each searched by all passages. Null and empty texts on either
-    side match nothing, an empty table gives no rows; items with the same text are each reported; other columns are
+    ``index_bytes`` of items; more items make more indexes, each searched by all passages, with the weights of one. Each
+    item is reported by itself, also those that share an id or have none. Null and empty texts on either side match nothing, an empty table gives no rows; items with the same text are each reported; other columns are
     ignored. A document that is there twice is reported twice.
     """
     work = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")

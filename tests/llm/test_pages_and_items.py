@@ -158,3 +158,35 @@ def test_items_and_passages(spark):
         assert sorted(r.doc_id for r in clean.collect()) == [3, 4, 5, 6] and clean.columns == docs.columns
     assert decontaminate.contaminated(docs, items.limit(0)).count() == 0
     assert decontaminate.contaminated(docs.limit(0), items).count() == 0
+
+
+def test_hits_do_not_depend_on_the_number_of_indexes(spark):
+    """Words that are rare in one index and common in all: scores and hits are those of a single one."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    items = spark.read.parquet(f"{SF}/benchmark.parquet").select("item_id", "text")
+    tail = "and what was written there in the common words of all the others was read again by nobody"
+    common = [(10_000 + i, f"{'north' if i % 2 else 'south'} gate {i} {tail}") for i in range(24)]
+    passage = [(900_001, f"x y z {common[3][1]} z y x"), (900_002, f"gate 5 {tail}"), (900_003, f"south {tail}")]
+    items = items.unionByName(spark.createDataFrame(common, items.schema))
+    docs = docs.select("doc_id", "text").unionByName(spark.createDataFrame(passage, "doc_id long, text string"))
+    total = items.selectExpr("sum(octet_length(text))").first()[0]
+    found = []
+    for shards in (1, 2, 7):
+        size = -(-total // shards)
+        assert len(list(decontaminate._indexes(items, size))) == shards
+        rows = decontaminate.contaminated(docs, items, index_bytes=size).collect()
+        found.append(sorted((r.doc_id, r.item_id, round(r.score, 9), r.question_overlap, r.answer_overlap) for r in rows))
+    assert found[0] == found[1] == found[2]
+    assert any(d == 900_001 and i == 10_003 for d, i, *_ in found[0])
+
+
+@pytest.mark.parametrize("index_bytes", [32 << 20, 60])
+def test_items_without_an_id_and_with_the_same(spark, index_bytes):
+    text = "The bridge over the lower river was closed for repairs in the spring of that year. By whom? The council."
+    other = "No lamp on the northern shore was ever lit again after the great storm had passed. Why? There was no oil."
+    items = spark.createDataFrame([(None, text), (None, other), (4, text), (4, other), (3, text)], "item_id long, text string")
+    docs = spark.createDataFrame([(1, f"a b {text} c"), (2, f"{text} {other}"), (3, "a b c")], "doc_id long, text string")
+    got = decontaminate.contaminated(docs, items, index_bytes=index_bytes).collect()
+    ids = sorted(((r.doc_id, r.item_id) for r in got), key=repr)
+    assert ids == sorted([(1, None), (1, 3), (1, 4), (2, None), (2, None), (2, 3), (2, 4), (2, 4)], key=repr)
+    assert [r.doc_id for r in decontaminate.drop_contaminated(docs, items, index_bytes=index_bytes).collect()] == [3]
