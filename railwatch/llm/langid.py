@@ -2,8 +2,8 @@
 
 Texts are cut into windows of a fixed number of bytes. Filters of several widths run over each window, every filter's
 largest response in the window is kept, and a softmax layer turns them into languages; a document's languages are the
-softmax of its windows' mean outputs. numpy trains the network on a bounded sample of labelled rows
-(``SAMPLE_ROWS`` per language, drawn by a hash of the id; ``SAMPLE_WINDOWS`` windows of each, from its whole text).
+softmax of its windows' mean outputs. numpy trains the network on all windows of the whole texts of a bounded sample of
+labelled rows (about ``SAMPLE_ROWS`` per language, drawn by a hash of the id).
 A filter over bytes is a table per place, so tables over pairs of bytes answer two places at once when scoring.
 """
 
@@ -20,8 +20,7 @@ from pyspark.sql import functions as F
 
 from railwatch.llm import text as T
 
-SAMPLE_ROWS = 1000
-SAMPLE_WINDOWS = 4
+SAMPLE_ROWS = 400
 WINDOW = 128
 WIDTHS = (2, 3, 4)
 FILTERS = 8
@@ -121,13 +120,8 @@ def _sample_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
     for whole in batches:
         for batch in T.pieces(whole):
             w, at = windows(*T.utf8(batch.column("text")))
-            row, index = [], []
-            for r, (a, b) in enumerate(zip(at[:-1].tolist(), at[1:].tolist(), strict=True)):
-                take = min(b - a, SAMPLE_WINDOWS)
-                index += [a + k * (b - a) // take for k in range(take)]
-                row += [r] * take
-            out = pa.array([w[i].tobytes() for i in index], pa.binary())
-            yield pa.RecordBatch.from_arrays([batch.column("lang").take(pa.array(row, pa.int64())), out], ["lang", "window"])
+            lang = batch.column("lang").take(pa.array(np.repeat(np.arange(len(at) - 1), np.diff(at))))
+            yield pa.RecordBatch.from_arrays([lang, pa.array([x.tobytes() for x in w], pa.binary())], ["lang", "window"])
 
 
 def fit(docs: DataFrame, usable: Column, rows: int = SAMPLE_ROWS) -> Network:
@@ -181,7 +175,10 @@ def _predict_batches(batches: Iterator[pa.RecordBatch], shared, keep: list[str])
 
 def identify(docs: DataFrame, net: Network, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """The columns ``keep`` of every row, ``lang_pred`` and ``score``. A null text, one without a letter, and any text
-    if the network knows no language give ``und`` and 0. Whole texts are read; repeated rows each get a row."""
+    if the network knows no language give ``und`` and 0. Of languages with the same score the first by name is taken.
+    Whole texts are read, in windows, however long they are; repeated rows each get a row, a table without rows gives
+    none. Kept columns of the names ``lang_pred`` and ``score`` give way to the results."""
+    keep = tuple(c for c in dict.fromkeys(keep) if c not in ("lang_pred", "score"))
     shared = docs.sparkSession.sparkContext.broadcast(net)
     work = docs.select(*[F.col(f"`{c}`") for c in dict.fromkeys((*keep, "text"))])
     types = {f.name: f.dataType.simpleString() for f in work.schema.fields}

@@ -3,9 +3,10 @@
 A document is four bags of hashed features: words, differences of neighbouring words (a repeated word always gives the
 same one), and byte n-grams of two lengths. Each bucket has a learned vector; a bag is the mean of its vectors, a
 document the mean of its bags, and a softmax layer gives the classes. numpy trains it by stochastic gradient descent on
-a bounded sample of labelled rows (``SAMPLE_ROWS``, the first ones by a hash of the id); each of them sends at most
-``SAMPLE_FEATURES`` features per bag, drawn by hash from its whole text. Scoring reads whole texts: as mean and softmax
-input are linear, it adds up one number per bucket, the product of its vector with the output weights.
+the whole texts of a bounded sample of labelled rows (``SAMPLE_ROWS``, the first ones by a hash of the id). Each of them
+sends its distinct buckets with their weights, so at most two megabytes however long its text is. Scoring reads whole
+texts, too: as mean and softmax input are linear, it adds up one number per bucket, the product of its vector with the
+output weights.
 """
 
 from __future__ import annotations
@@ -22,7 +23,6 @@ from railwatch.llm import text as T
 from railwatch.llm.shared import share
 
 SAMPLE_ROWS = 4000
-SAMPLE_FEATURES = 192
 BUCKETS = 1 << 16
 SIZE = 12
 GRAMS = (3, 5)
@@ -51,20 +51,29 @@ def bags(data: np.ndarray, at: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]
     return [(b.astype(np.int64) + k * BUCKETS, o) for k, (b, o) in enumerate(out)]
 
 
-def _sample_features(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[pa.RecordBatch]:
+def weighted_features(data: np.ndarray, at: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Per document: its distinct buckets in order and their shares; each bag that has any adds up to the same share."""
+    out: list[list[tuple[np.ndarray, np.ndarray]]] = [[] for _ in range(len(at) - 1)]
+    for bucket, o in bags(data, at):
+        for i in np.flatnonzero(np.diff(o)).tolist():
+            ids, count = np.unique(bucket[o[i] : o[i + 1]], return_counts=True)
+            out[i].append((ids, count / count.sum()))
+    nothing = np.zeros(0, np.int64), np.zeros(0)
+    joined = [tuple(map(np.concatenate, zip(*(kinds or [nothing]), strict=True))) for kinds in out]
+    return [(ids, weight / max(1, len(kinds))) for (ids, weight), kinds in zip(joined, out, strict=True)]
+
+
+def _sample_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for whole in batches:
         for batch in T.pieces(whole):
-            rows: list[list[np.ndarray]] = [[] for _ in range(batch.num_rows)]
-            for bucket, at in bags(*T.utf8(batch.column("text"))):
-                for r, (a, b) in enumerate(zip(at[:-1], at[1:], strict=True)):
-                    got = bucket[a:b]
-                    if len(got) > limit:
-                        # Evenly over the whole text, from a place that depends on the text.
-                        got = got[(np.arange(limit) * len(got) + int(got[0]) % len(got)) // limit % len(got)]
-                    rows[r].append(got)
+            found = weighted_features(*T.utf8(batch.column("text")))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("label"), pa.array([np.concatenate(r).astype(np.int32) for r in rows], pa.list_(pa.int32()))],
-                ["label", "features"],
+                [
+                    *(batch.column(c) for c in ("doc_id", "label", "text_hash")),
+                    pa.array([f.astype(np.int32) for f, _ in found], pa.list_(pa.int32())),
+                    pa.array([w.astype(np.float32) for _, w in found], pa.list_(pa.float32())),
+                ],
+                ["doc_id", "label", "text_hash", "features", "weights"],
             )
 
 
@@ -77,36 +86,31 @@ class Model:
         self.output = np.zeros((SIZE, 2), np.float32)
         self.bias = np.zeros(2, np.float32)
 
-    def fit(self, features: list[np.ndarray], labels: np.ndarray, epochs: int = 12, rate: float = 0.4, batch: int = 32) -> Model:
+    def fit(
+        self, features: list[np.ndarray], weights: list[np.ndarray], labels: np.ndarray, epochs: int = 12, rate: float = 0.4, batch: int = 32
+    ) -> Model:
+        """Descent on documents given by their distinct buckets and the shares of these."""
         if not len(labels):
             return self
         random = np.random.default_rng(1)
         self.bias[:] = np.log((np.bincount(labels, minlength=2) + 1) / (len(labels) + 2))
-        # Each feature weighs the same within its bag, each bag the same within its document.
-        weights = []
-        for f in features:
-            count = np.bincount(f // BUCKETS, minlength=BAGS)
-            weights.append((1 / (count[f // BUCKETS] * max(1, np.count_nonzero(count)))).astype(np.float32))
         steps, done = epochs * -(-len(labels) // batch), 0
         for _ in range(epochs):
             order = random.permutation(len(labels))
             for some in np.array_split(order, -(-len(order) // batch)):
                 lr = rate * (1 - done / steps)
                 done += 1
-                ids = np.concatenate([features[i] for i in some])
-                weight = np.concatenate([weights[i] for i in some])
-                doc = np.repeat(np.arange(len(some)), [len(features[i]) for i in some])
-                mean = np.zeros((len(some), SIZE), np.float32)
-                np.add.at(mean, doc, self.vectors[ids] * weight[:, None])
+                mean = np.stack([weights[i] @ self.vectors[features[i]] for i in some])
                 logits = mean @ self.output + self.bias
                 p = np.exp(logits - logits.max(axis=1, keepdims=True))
                 p /= p.sum(axis=1, keepdims=True)
                 p[np.arange(len(some)), labels[some]] -= 1
-                back = p @ self.output.T
+                # The mean spreads a document's gradient over its features; the factor makes up for that.
+                back = (lr * 8 * (p @ self.output.T)).astype(np.float32)
                 self.output -= lr * mean.T @ p
                 self.bias -= 0.05 * lr * p.sum(axis=0)
-                # The mean spreads a document's gradient over its features; the factor makes up for that.
-                np.add.at(self.vectors, ids, -lr * 8 * weight[:, None] * back[doc])
+                for i, b in zip(some, back, strict=True):
+                    self.vectors[features[i]] -= weights[i][:, None] * b
         return self
 
     def bucket_logits(self) -> np.ndarray:
@@ -129,21 +133,22 @@ def scores(data: np.ndarray, at: np.ndarray, logits: np.ndarray, offset: float)
 
 
 def fit(docs: DataFrame, labels: DataFrame, usable: Column, rows: int = SAMPLE_ROWS) -> Model:
-    """A model from the documents with a label of 0 or 1 for which ``usable`` (over doc_id) holds. Without any, it
-    gives even odds."""
-    sample = labels.where(usable & F.col("quality").isin(0, 1)).select("doc_id", F.col("quality").alias("label"))
-    sample = sample.orderBy(F.xxhash64("doc_id"), "doc_id", "label").limit(rows)
+    """A model from at most ``rows`` documents with a label of 0 or 1 for which ``usable`` (over doc_id) holds. Without
+    any, it gives even odds. Of documents that share an id, the one with the least hash of its text teaches; an id with
+    both labels teaches both."""
+    sample = labels.where(usable & F.col("quality").isin(0, 1)).select("doc_id", F.col("quality").cast("int").alias("label"))
+    sample = sample.orderBy(F.xxhash64("doc_id"), "doc_id", "label").limit(rows).distinct()
     # At most ``rows`` rows of two numbers.
-    chosen = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")
-    got = chosen.select("label", "text").mapInArrow(
-        partial(_sample_features, limit=SAMPLE_FEATURES), "label int, features array<int>"
-    )
-    # Documents may repeat an id; the bound holds for what is learned from, too.
-    got = got.limit(2 * rows).toArrow()
-    features = [f.values.to_numpy() for f in got.column("features")]
-    order = sorted(range(len(features)), key=lambda i: (features[i].tobytes(), got.column("label")[i].as_py()))
-    labels_found = got.column("label").to_numpy().astype(np.int64)
-    return Model().fit([features[i].astype(np.int64) for i in order], labels_found[order])
+    chosen = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash")).join(F.broadcast(sample), "doc_id")
+    id_type = chosen.schema["doc_id"].dataType.simpleString()
+    schema = f"doc_id {id_type}, label int, text_hash long, features array<int>, weights array<float>"
+    one = chosen.select("doc_id", "label", "text_hash", "text").mapInArrow(_sample_features, schema)
+    one = one.groupBy("doc_id", "label").agg(F.min_by(F.struct("features", "weights"), "text_hash").alias("f"))
+    got = one.select("label", "f.features", "f.weights").toArrow()
+    features, weights = ([a.values.to_numpy() for a in got.column(c)] for c in ("features", "weights"))
+    found = got.column("label").to_numpy().astype(np.int64)
+    order = sorted(range(len(found)), key=lambda i: (features[i].tobytes(), weights[i].tobytes(), found[i]))
+    return Model().fit([features[i] for i in order], [weights[i] for i in order], found[order])
 
 
 def _score_batches(batches: Iterator[pa.RecordBatch], shared, offset: float, keep: list[str]) -> Iterator[pa.RecordBatch]:
@@ -156,7 +161,9 @@ def _score_batches(batches: Iterator[pa.RecordBatch], shared, offset: float, kee
 
 def score_documents(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """The columns ``keep`` of every row and ``score``, the probability that the quality is good. An empty or null text
-    scores as the offset alone says; repeated rows each get their (same) score."""
+    scores as the offset alone says; repeated rows each get their (same) score, a table without rows gives none. A kept
+    column of the name ``score`` gives way to the score. Very long texts are read whole, one batch after the other."""
+    keep = tuple(c for c in dict.fromkeys(keep) if c != "score")
     shared = docs.sparkSession.sparkContext.broadcast(model.bucket_logits().astype(np.float32))
     work = docs.select(*[F.col(f"`{c}`") for c in dict.fromkeys((*keep, "text"))])
     types = {f.name: f.dataType.simpleString() for f in work.schema.fields}

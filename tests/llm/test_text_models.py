@@ -127,6 +127,44 @@ def test_quality_of_odd_rows(spark, odd_docs, odd_rows):
     assert quality.keep_good(odd_docs, model, 0.0).count() == len(odd_rows)
 
 
+def test_training_features_are_the_whole_text():
+    texts = ["some words and some more words", "", "x", "a word " * 40_000 + "the end"]
+    data, at = T.utf8(pa.array(texts))
+    kinds = quality.bags(data, at)
+    for i, (ids, weight) in enumerate(quality.weighted_features(data, at)):
+        some = [b[o[i] : o[i + 1]] for b, o in kinds if o[i + 1] > o[i]]
+        plain: dict[int, float] = {}
+        for bag in some:
+            for bucket in bag.tolist():
+                plain[bucket] = plain.get(bucket, 0) + 1 / len(bag) / len(some)
+        assert dict(zip(ids.tolist(), weight.tolist(), strict=True)) == pytest.approx(plain)
+
+
+def test_quality_learns_alike_from_any_partitions(spark):
+    # Ids repeat, with the same text and with others; one text of each teaches.
+    rows = [(i % 40, f"{'good' if i % 2 else 'bad'} text {i % 60} of some words") for i in range(200)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)] * 2, "doc_id long, quality int")
+    some = spark.createDataFrame(rows, "doc_id long, text string")
+    models = [quality.fit(some.repartition(n), labels, F.lit(True)) for n in (1, 7)]
+    assert np.array_equal(models[0].bucket_logits(), models[1].bucket_logits()) and models[0].offset == models[1].offset
+
+
+def test_clashing_names_give_way(spark):
+    some = spark.createDataFrame([(1, "some words", "x", 2.5)], "doc_id long, text string, lang_pred string, score double")
+    keep = ("doc_id", "lang_pred", "score", "doc_id")
+    assert langid.identify(some, langid.Network([], [], np.zeros(0), np.zeros(0)), keep).columns == ["doc_id", "lang_pred", "score"]
+    assert quality.score_documents(some, quality.Model(), keep).first().asDict() == {"doc_id": 1, "lang_pred": "x", "score": 0.5}
+
+
+def test_language_sample_has_every_window():
+    text = "some words of a text " * 500
+    batch = pa.RecordBatch.from_arrays([pa.array(["en", "de"]), pa.array([text, "kurz"])], ["lang", "text"])
+    out = pa.Table.from_batches(langid._sample_windows(iter([batch])))
+    assert out.column("lang").to_pylist() == ["en"] * -(-len(text) // langid.WINDOW) + ["de"]
+    whole = b"".join(w[: langid.WINDOW] for w in out.column("window").to_pylist()[:-1])
+    assert whole.rstrip(b"\0").decode() == text
+
+
 def test_quality_without_labels(spark, docs, no_docs):
     labels = spark.createDataFrame([], "doc_id long, quality int")
     assert {r.score for r in quality.score_documents(docs, quality.fit(docs, labels, F.lit(True))).collect()} == {0.5}
