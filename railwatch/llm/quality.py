@@ -4,7 +4,7 @@ A document is four bags of hashed features: words, differences of neighbouring w
 same one), and byte n-grams of two lengths. Each bucket has a learned vector; a bag is the mean of its vectors, a
 document the mean of its bags, and a softmax layer gives the classes. numpy trains it by stochastic gradient descent on
 the whole texts of a bounded sample of labelled rows (``SAMPLE_ROWS``, the first ones by a hash of the id). Each of them
-sends its distinct buckets with their weights, so at most two megabytes however long its text is. Scoring reads whole
+sends its distinct buckets and how often it has them, so at most two megabytes however long its text is. Scoring reads whole
 texts, too: as mean and softmax input are linear, it adds up one number per bucket, the product of its vector with the
 output weights.
 """
@@ -51,30 +51,35 @@ def bags(data: np.ndarray, at: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]
     return [(b.astype(np.int64) + k * BUCKETS, o) for k, (b, o) in enumerate(out)]
 
 
-def weighted_features(data: np.ndarray, at: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Per document: its distinct buckets in order and their shares; each bag that has any adds up to the same share."""
-    out: list[list[tuple[np.ndarray, np.ndarray]]] = [[] for _ in range(len(at) - 1)]
-    for bucket, o in bags(data, at):
+def pack_features(data: np.ndarray, at: np.ndarray) -> list[bytes]:
+    """Per document: the number of its distinct buckets in each bag, how often it has each, and the buckets."""
+    out = [(np.zeros(BAGS, np.uint32), [], []) for _ in range(len(at) - 1)]
+    for k, (bucket, o) in enumerate(bags(data, at)):
         for i in np.flatnonzero(np.diff(o)).tolist():
             ids, count = np.unique(bucket[o[i] : o[i + 1]], return_counts=True)
-            out[i].append((ids, count / count.sum()))
-    nothing = np.zeros(0, np.int64), np.zeros(0)
-    joined = [tuple(map(np.concatenate, zip(*(kinds or [nothing]), strict=True))) for kinds in out]
-    return [(ids, weight / max(1, len(kinds))) for (ids, weight), kinds in zip(joined, out, strict=True)]
+            out[i][0][k] = len(ids)
+            out[i][1].append(count.astype(np.uint32).tobytes())
+            out[i][2].append((ids - k * BUCKETS).astype(np.uint16).tobytes())
+    return [b"".join([sizes.tobytes(), *counts, *ids]) for sizes, counts, ids in out]
+
+
+def unpack_features(packed: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Buckets of a document and their shares; each bag that has any adds up to the same share."""
+    sizes = np.frombuffer(packed, np.uint32, BAGS).astype(np.int64)
+    n = int(sizes.sum())
+    count = np.frombuffer(packed, np.uint32, n, 4 * BAGS)
+    bag = np.repeat(np.arange(BAGS), sizes)
+    ids = np.frombuffer(packed, np.uint16, n, 4 * (BAGS + n)).astype(np.int32) + (bag * BUCKETS).astype(np.int32)
+    total = np.bincount(bag, count, BAGS)
+    return ids, (count / (total[bag] * max(1, np.count_nonzero(sizes)))).astype(np.float32)
 
 
 def _sample_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for whole in batches:
         for batch in T.pieces(whole):
-            found = weighted_features(*T.utf8(batch.column("text")))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    *(batch.column(c) for c in ("doc_id", "label", "text_hash")),
-                    pa.array([f.astype(np.int32) for f, _ in found], pa.list_(pa.int32())),
-                    pa.array([w.astype(np.float32) for _, w in found], pa.list_(pa.float32())),
-                ],
-                ["doc_id", "label", "text_hash", "features", "weights"],
-            )
+            found = pa.array(pack_features(*T.utf8(batch.column("text"))), pa.binary())
+            names = ["doc_id", "label", "text_hash"]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), found], [*names, "features"])
 
 
 class Model:
@@ -141,14 +146,13 @@ def fit(docs: DataFrame, labels: DataFrame, usable: Column, rows: int = SAMPLE_R
     # At most ``rows`` rows of two numbers.
     chosen = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash")).join(F.broadcast(sample), "doc_id")
     id_type = chosen.schema["doc_id"].dataType.simpleString()
-    schema = f"doc_id {id_type}, label int, text_hash long, features array<int>, weights array<float>"
+    schema = f"doc_id {id_type}, label int, text_hash long, features binary"
     one = chosen.select("doc_id", "label", "text_hash", "text").mapInArrow(_sample_features, schema)
-    one = one.groupBy("doc_id", "label").agg(F.min_by(F.struct("features", "weights"), "text_hash").alias("f"))
-    got = one.select("label", "f.features", "f.weights").toArrow()
-    features, weights = ([a.values.to_numpy() for a in got.column(c)] for c in ("features", "weights"))
-    found = got.column("label").to_numpy().astype(np.int64)
-    order = sorted(range(len(found)), key=lambda i: (features[i].tobytes(), weights[i].tobytes(), found[i]))
-    return Model().fit([features[i] for i in order], [weights[i] for i in order], found[order])
+    one = one.groupBy("doc_id", "label").agg(F.min_by("features", "text_hash").alias("features"))
+    got = one.select("label", "features").toArrow()
+    rows_found = sorted(zip(got.column("features").to_pylist(), got.column("label").to_pylist(), strict=True))
+    features, weights = zip(*(unpack_features(f) for f, _ in rows_found), strict=True) if rows_found else ((), ())
+    return Model().fit(list(features), list(weights), np.array([k for _, k in rows_found], np.int64))
 
 
 def _score_batches(batches: Iterator[pa.RecordBatch], shared, offset: float, keep: list[str]) -> Iterator[pa.RecordBatch]:
