@@ -91,10 +91,8 @@ class Model:
         self.output = np.zeros((SIZE, 2), np.float32)
         self.bias = np.zeros(2, np.float32)
 
-    def fit(
-        self, features: list[np.ndarray], weights: list[np.ndarray], labels: np.ndarray, epochs: int = 12, rate: float = 0.4, batch: int = 32
-    ) -> Model:
-        """Descent on documents given by their distinct buckets and the shares of these."""
+    def fit(self, packed: list[bytes], labels: np.ndarray, epochs: int = 12, rate: float = 0.4, batch: int = 32) -> Model:
+        """Descent on packed documents; only those of a step are unpacked."""
         if not len(labels):
             return self
         random = np.random.default_rng(1)
@@ -105,7 +103,8 @@ class Model:
             for some in np.array_split(order, -(-len(order) // batch)):
                 lr = rate * (1 - done / steps)
                 done += 1
-                mean = np.stack([weights[i] @ self.vectors[features[i]] for i in some])
+                found = [unpack_features(packed[i]) for i in some]
+                mean = np.stack([weight @ self.vectors[ids] for ids, weight in found])
                 logits = mean @ self.output + self.bias
                 p = np.exp(logits - logits.max(axis=1, keepdims=True))
                 p /= p.sum(axis=1, keepdims=True)
@@ -114,8 +113,8 @@ class Model:
                 back = (lr * 8 * (p @ self.output.T)).astype(np.float32)
                 self.output -= lr * mean.T @ p
                 self.bias -= 0.05 * lr * p.sum(axis=0)
-                for i, b in zip(some, back, strict=True):
-                    self.vectors[features[i]] -= weights[i][:, None] * b
+                for (ids, weight), b in zip(found, back, strict=True):
+                    self.vectors[ids] -= weight[:, None] * b
         return self
 
     def bucket_logits(self) -> np.ndarray:
@@ -151,8 +150,8 @@ def fit(docs: DataFrame, labels: DataFrame, usable: Column, rows: int = SAMPLE_R
     one = one.groupBy("doc_id", "label").agg(F.min_by("features", "text_hash").alias("features"))
     got = one.select("label", "features").toArrow()
     rows_found = sorted(zip(got.column("features").to_pylist(), got.column("label").to_pylist(), strict=True))
-    features, weights = zip(*(unpack_features(f) for f, _ in rows_found), strict=True) if rows_found else ((), ())
-    return Model().fit(list(features), list(weights), np.array([k for _, k in rows_found], np.int64))
+    del got
+    return Model().fit([f for f, _ in rows_found], np.array([k for _, k in rows_found], np.int64))
 
 
 def _score_batches(batches: Iterator[pa.RecordBatch], shared, offset: float, keep: list[str]) -> Iterator[pa.RecordBatch]:
