@@ -104,17 +104,21 @@ class Model:
                 lr = rate * (1 - done / steps)
                 done += 1
                 found = [unpack_features(packed[i]) for i in some]
-                mean = np.stack([weight @ self.vectors[ids] for ids, weight in found])
+                mean = np.stack([weight @ self.vectors.take(ids, axis=0) for ids, weight in found])
                 logits = mean @ self.output + self.bias
                 p = np.exp(logits - logits.max(axis=1, keepdims=True))
                 p /= p.sum(axis=1, keepdims=True)
                 p[np.arange(len(some)), labels[some]] -= 1
-                # The mean spreads a document's gradient over its features; the factor makes up for that.
-                back = (lr * 8 * (p @ self.output.T)).astype(np.float32)
+                # Both classes' errors are one number and its negative, so all of a step's gradients lie along one line:
+                # one number per bucket, added up over the documents, tells how far its vector moves.
+                line = self.output[:, 1] - self.output[:, 0]
+                far = np.concatenate([weight * error for (_, weight), error in zip(found, p[:, 1], strict=True)])
+                move = np.bincount(np.concatenate([ids for ids, _ in found]), far, len(self.vectors)).astype(np.float32)
+                moved = np.flatnonzero(move)
                 self.output -= lr * mean.T @ p
                 self.bias -= 0.05 * lr * p.sum(axis=0)
-                for (ids, weight), b in zip(found, back, strict=True):
-                    self.vectors[ids] -= weight[:, None] * b
+                # The mean spreads a document's gradient over its features; the factor makes up for that.
+                self.vectors[moved] = self.vectors.take(moved, axis=0) - move[moved, None] * (np.float32(lr * 8) * line)
         return self
 
     def bucket_logits(self) -> np.ndarray:

@@ -166,6 +166,36 @@ def test_language_sample_has_every_window():
     assert whole.rstrip(b"\0").decode() == text
 
 
+def test_quality_steps_against_plain_descent():
+    texts = ["good words here", "bad bad bad words", "", "words", "good again, again good"] * 3
+    labels = np.array([1, 0, 1, 0, 1] * 3)
+    data, at = T.utf8(pa.array(texts))
+    packed = quality.pack_features(data, at)
+    found = quality.Model().fit(packed, labels, epochs=3, batch=4)
+    plain = quality.Model()
+    plain.bias[:] = np.log((np.bincount(labels) + 1) / (len(labels) + 2))
+    random, done, steps = np.random.default_rng(1), 0, 3 * 4
+    for _ in range(3):
+        for some in np.array_split(random.permutation(len(labels)), 4):
+            rate = 0.4 * (1 - done / steps)
+            done += 1
+            docs = [quality.unpack_features(packed[i]) for i in some]
+            means = [sum((w * plain.vectors[b] for b, w in zip(*doc, strict=True)), np.zeros(quality.SIZE)) for doc in docs]
+            errors = []
+            for mean, label in zip(means, labels[some], strict=True):
+                e = np.exp(mean @ plain.output + plain.bias)
+                errors.append(e / e.sum() - np.eye(2)[label])
+            back = [rate * 8 * plain.output @ error for error in errors]
+            for mean, error in zip(means, errors, strict=True):
+                plain.output -= rate * np.outer(mean, error)
+                plain.bias -= 0.05 * rate * error
+            for doc, b in zip(docs, back, strict=True):
+                for bucket, w in zip(*doc, strict=True):
+                    plain.vectors[bucket] -= w * b
+    assert np.abs(found.output - plain.output).max() < 1e-4 and np.abs(found.output).max() > 0
+    assert np.abs(found.vectors - plain.vectors).max() < 1e-4 and np.abs(found.bias - plain.bias).max() < 1e-4
+
+
 def test_quality_without_labels(spark, docs, no_docs):
     labels = spark.createDataFrame([], "doc_id long, quality int")
     assert {r.score for r in quality.score_documents(docs, quality.fit(docs, labels, F.lit(True))).collect()} == {0.5}
