@@ -254,3 +254,19 @@ def test_hot_id_is_kept_in_several_state_partitions(spark, folder):
     kinds = {(r.kind, r.transaction_id): r["count"] for r in settle_salts(joined).groupBy("kind", "transaction_id").count().collect()}
     # Both copies of the unsettled transaction are overdue, once each.
     assert kinds == {("MATCHED", "h"): 4000, ("OVERDUE", "late"): 2}
+
+
+def test_parted_streams_do_not_sort_their_rows(spark, folder):
+    """Without the setting a task of the landing query sorts all its rows by route."""
+    setting = "spark.sql.maxConcurrentOutputFileWriters"
+    spark.conf.set(setting, 0)
+    try:
+        drop(spark, folder, [transaction(i, at("10:00:00")) for i in range(4)])
+        raw = event_stream(spark, "transactions", "parquet", path=f"{folder}/in", schema=schemas.BRONZE)
+        finish(start_pipeline(raw, TRANSACTIONS, Sink(f"{folder}/out", f"{folder}/checkpoints", once=True)))
+        assert int(spark.conf.get(setting)) >= 2
+        spark.conf.set(setting, 7)
+        finish(start_pipeline(raw, TRANSACTIONS, Sink(f"{folder}/out", f"{folder}/checkpoints", once=True)))
+        assert int(spark.conf.get(setting)) == 7
+    finally:
+        spark.conf.unset(setting)
