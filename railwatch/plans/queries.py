@@ -52,6 +52,8 @@ HOT_ORDER = "2"
 REPORT_DAYS = [date(2024, 1, d) for d in range(1, 31)]
 LATE_BEFORE, LAST_FROM = "2024-01-11", "2024-01-21"
 FILES_OF_RUN = (2, 1, 3)
+#: More rows of a batch than that come in several files.
+ROWS_OF_FILE = 1_000_000
 
 
 def query(fn: Query) -> Query:
@@ -614,15 +616,20 @@ def stream_settlements(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _replay(spark: SparkSession, sf_dir: str, name: str, outputs=ROWS) -> tuple[Sink, list[int]]:
     """Events of January in three runs of one pipeline, each a restart from the checkpoint with more files in the source, read
-    one file at a time; and the batches of each run. Some of the first days come in the last run only."""
+    one file at a time, or as many as hold one file's share of large tables; and the batches of each run. Some of the first
+    days come in the last run only."""
     events = tables.table(spark, sf_dir, "events")
     run = F.when((F.col("ts") < LATE_BEFORE) & (F.col("event_id") % 50 != 7), 0).when(F.col("ts") < LATE_BEFORE, 2)
     run = run.when(F.col("ts") < LAST_FROM, 1).otherwise(2)
     raw, sink, batches = scratch_path(spark, f"{name}-source"), _sink(spark, name), []
-    for number, files in enumerate(FILES_OF_RUN):
+    rows = dict(events.groupBy(run.alias("run")).count().collect())
+    for number, count in enumerate(FILES_OF_RUN):
         part = decode_envelope(tables.raw_transactions(events.filter(run == number)))
-        part.repartition(files).write.mode("append").parquet(raw)
-        source = event_stream(spark, "transactions", "parquet", path=raw, schema=schemas.BRONZE, max_per_trigger=1)
+        at_once = max(1, -(-rows.get(number, 0) // (count * ROWS_OF_FILE)))
+        files = count * at_once
+        # Row by row to one file after the other; without a key, Spark would first sort all rows of a task.
+        part.repartitionById(files, F.pmod(F.monotonically_increasing_id(), F.lit(files)).cast("int")).write.mode("append").parquet(raw)
+        source = event_stream(spark, "transactions", "parquet", path=raw, schema=schemas.BRONZE, max_per_trigger=at_once)
         queries = start_pipeline(source, TRANSACTIONS, sink, outputs)
         finish(queries)
         batches.append(sum(p["numInputRows"] > 0 for p in queries[0].recentProgress))

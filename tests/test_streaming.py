@@ -270,3 +270,24 @@ def test_parted_streams_do_not_sort_their_rows(spark, folder):
         assert int(spark.conf.get(setting)) == 7
     finally:
         spark.conf.unset(setting)
+
+
+def test_replay_deals_large_batches_over_files(spark, folder, monkeypatch):
+    """Files of the source hold a bounded number of rows; batches and rows stay the same."""
+    from railwatch.plans import queries
+
+    day = F.timestamp_seconds(F.lit(1704067200) + F.col("id") * 8600)
+    events = spark.range(300).select(
+        F.col("id").alias("event_id"), day.alias("ts"), (F.col("id") % 9).alias("user_id"), F.lit("click").alias("event_type"),
+        F.lit(1.5).alias("value"), F.lit("{}").alias("props"),
+    )
+    events.write.parquet(f"{folder}/events.parquet")
+    found, dealt = [], []
+    for most in (1_000_000, 20):
+        monkeypatch.setattr(queries, "ROWS_OF_FILE", most)
+        monkeypatch.setattr(queries, "scratch_path", lambda spark, name, most=most: f"{folder}/{most}-{name}")
+        found.append(sorted(map(tuple, queries.stream_restart(spark, folder).collect())))
+        dealt.append(len(list(Path(f"{folder}/{most}-restart-source").glob("*.parquet"))))
+    assert found[0] == found[1]
+    assert {part: n for table, part, n in found[0] if table == "batches"} == {"run 0": 2, "run 1": 1, "run 2": 3}
+    assert dealt[0] == 6 and dealt[1] > 12
