@@ -152,9 +152,8 @@ def fit(docs: DataFrame, labels: DataFrame, usable: Column, rows: int = SAMPLE_R
     schema = f"doc_id {id_type}, label int, text_hash long, features binary"
     one = chosen.select("doc_id", "label", "text_hash", "text").mapInArrow(_sample_features, schema)
     one = one.groupBy("doc_id", "label").agg(F.min_by("features", "text_hash").alias("features"))
-    got = one.select("label", "features").toArrow()
-    rows_found = sorted(zip(got.column("features").to_pylist(), got.column("label").to_pylist(), strict=True))
-    del got
+    # One partition after the other: neither the JVM of the driver nor Python ever holds the sample twice.
+    rows_found = sorted((bytes(f), k) for k, f in one.select("label", "features").toLocalIterator())
     return Model().fit([f for f, _ in rows_found], np.array([k for _, k in rows_found], np.int64))
 
 

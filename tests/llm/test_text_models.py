@@ -298,3 +298,15 @@ def test_mixed_experts_are_a_probability():
             changed[:, t] = np.log(p[:, t, w])
             total += np.exp(context_mixing.mix_experts(changed, at, np.array([0.7, 0.2, 0.1]))[t])
         assert total == pytest.approx(1)
+
+
+def test_quality_sample_comes_to_the_driver_by_partition(spark, docs, monkeypatch):
+    """All of it at once stood in the driver three times: as task results, as Arrow and as values."""
+    labels = spark.createDataFrame([(i, i % 2) for i in range(100)], "doc_id long, quality int")
+
+    def whole(*_):
+        raise AssertionError("the sample was collected whole")
+
+    for name in ("toArrow", "collect", "toPandas"):
+        monkeypatch.setattr(type(docs), name, whole)
+    assert quality.fit(docs, labels, F.lit(True)).bucket_logits().any()
