@@ -310,3 +310,54 @@ def test_quality_sample_comes_to_the_driver_by_partition(spark, docs, monkeypatc
     for name in ("toArrow", "collect", "toPandas"):
         monkeypatch.setattr(type(docs), name, whole)
     assert quality.fit(docs, labels, F.lit(True)).bucket_logits().any()
+
+
+def test_contexts_against_brute_force():
+    texts = ["a b a b c", "", "a b", "b", "a b a b c", "c c c"]
+    learn = np.array([True, True, False, True, True, True])
+    t = context_mixing._Tokens(pa.table({"text": texts}))
+    lists = [[*x.split(), ""] for x in texts]
+    steps = [[(("", *w)[i], w[i], (("", *w)[i - 1], *w[i - 1 : i]) if i else None) for i in range(len(w))] for w in lists]
+    pair, triple, two = context_mixing._phrases(t)
+    flat = [s for some in steps for s in some]
+    assert len({*pair.tolist()}) == len({s[:2] for s in flat}) and [s[2] is not None for s in flat] == two.tolist()
+    seen, came, known, times = [], [], [], []
+    for mine, some in enumerate(steps):
+        others = [s for i, them in enumerate(steps) if learn[i] and i != mine for s in them]
+        every = [s for i, them in enumerate(steps) if learn[i] for s in them]
+        for before, word, context in some:
+            seen.append([sum(o[0] == before for o in others), sum(context is not None and o[2] == context for o in others)])
+            came.append([sum(o[:2] == (before, word) for o in others), sum(context is not None and o[1:] == (word, context) for o in others)])
+            known.append(sum(o[1] == word for o in every))
+            times.append([sum(o[:2] == (before, word) for o in every), sum(context is not None and o[1:] == (word, context) for o in every)])
+    found = context_mixing.foretold(t, learn, np.array(known), int(learn.sum()), np.array(times).T)
+    assert found[0].T.tolist() == seen and found[1].T.tolist() == came
+
+
+def test_gated_mix_is_a_probability():
+    random = np.random.default_rng(4)
+    p, prior = random.dirichlet(np.ones(6), (5, 9)), np.array([0.7, 0.2, 0.1])
+    seen = np.array([[0, 3, 1, 0, 2, 40, 5, 0, 1], [0, 1, 0, 0, 2, 20, 0, 0, 1]])
+    _, first = context_mixing.gates(seen, prior)
+    assert first.sum(axis=0) == pytest.approx(1) and not first[3:, 0].any()
+    logs = np.log(p[:, np.arange(9), random.integers(0, 6, 9)])
+    for t in range(9):
+        total = 0.0
+        for w in range(6):
+            changed = logs.copy()
+            changed[:, t] = np.log(p[:, t, w])
+            total += np.exp(context_mixing.mix_experts(changed, np.array([0, 4, 4, 9]), first)[t])
+        assert total == pytest.approx(1)
+
+
+def test_word_order_and_copies_tell(spark):
+    """The order of the words counts, and a training document's own words do not foretell it, but those of its copy do."""
+    random = np.random.default_rng(5)
+    words = [f"word{i}" for i in range(60)]
+    line = [" ".join(random.permutation(words)) for _ in range(40)]
+    rows = [(i, x) for i, x in enumerate(line)] + [(100, line[0]), (200, line[1]), (201, " ".join(line[1].split()[::-1]))]
+    some = spark.createDataFrame(rows, "doc_id long, text string")
+    out = {r.doc_id: r for r in context_mixing.score_documents(some, F.col("doc_id") < 200).collect()}
+    assert out[200].base_score == pytest.approx(out[201].base_score)
+    assert out[200].score > out[201].score + 10
+    assert out[0].score == pytest.approx(out[100].score) and out[0].score > max(out[i].score for i in range(2, 40)) + 10
