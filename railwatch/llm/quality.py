@@ -4,7 +4,8 @@ A document is four bags of hashed features: words, differences of neighbouring w
 same one), and byte n-grams of two lengths. Each bucket has a learned vector; a bag is the mean of its vectors, a
 document the mean of its bags, and a softmax layer gives the classes. numpy trains it by stochastic gradient descent on
 the whole texts of a bounded sample of labelled rows (``SAMPLE_ROWS``, the first ones by a hash of the id). Each of them
-sends its distinct buckets and how often it has them, so at most two megabytes however long its text is. Scoring reads whole
+sends its distinct buckets and how often it has them, so at most two megabytes however long its text is. One task trains on
+them; only what scoring needs, a number per bucket, comes to the driver. Scoring reads whole
 texts, too: as mean and softmax input are linear, it adds up one number per bucket, the product of its vector with the
 output weights.
 """
@@ -12,6 +13,7 @@ output weights.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 from functools import partial
 
 import numpy as np
@@ -130,6 +132,26 @@ class Model:
         return float(self.bias[1] - self.bias[0])
 
 
+@dataclass
+class Trained:
+    """What scoring needs of a model."""
+
+    logits: np.ndarray
+    offset: float
+
+    def bucket_logits(self) -> np.ndarray:
+        return self.logits
+
+
+def _train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    found: list[tuple[bytes, int]] = []
+    for batch in batches:
+        found += zip(batch.column("features").to_pylist(), batch.column("label").to_pylist(), strict=True)
+    found.sort()
+    model = Model().fit([f for f, _ in found], np.array([k for _, k in found], np.int64))
+    yield pa.RecordBatch.from_arrays([pa.array([model.bucket_logits().tobytes()], pa.binary()), pa.array([model.offset])], ["logits", "offset"])
+
+
 def scores(data: np.ndarray, at: np.ndarray, logits: np.ndarray, offset: float) -> np.ndarray:
     """Probability of class 1 per document."""
     total, kinds = np.zeros(len(at) - 1), np.zeros(len(at) - 1)
@@ -140,7 +162,7 @@ def scores(data: np.ndarray, at: np.ndarray, logits: np.ndarray, offset: float)
     return 1 / (1 + np.exp(-np.clip(offset + total / np.maximum(kinds, 1), -30, 30)))
 
 
-def fit(docs: DataFrame, labels: DataFrame, usable: Column, rows: int = SAMPLE_ROWS) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, usable: Column, rows: int = SAMPLE_ROWS) -> Model | Trained:
     """A model from at most ``rows`` documents with a label of 0 or 1 for which ``usable`` (over doc_id) holds. Without
     any, it gives even odds. Of documents that share an id, the one with the least hash of its text teaches; an id with
     both labels teaches both."""
@@ -152,9 +174,11 @@ def fit(docs: DataFrame, labels: DataFrame, usable: Column, rows: int = SAMPLE_R
     schema = f"doc_id {id_type}, label int, text_hash long, features binary"
     one = chosen.select("doc_id", "label", "text_hash", "text").mapInArrow(_sample_features, schema)
     one = one.groupBy("doc_id", "label").agg(F.min_by("features", "text_hash").alias("features"))
-    # One partition after the other: neither the JVM of the driver nor Python ever holds the sample twice.
-    rows_found = sorted((bytes(f), k) for k, f in one.select("label", "features").toLocalIterator())
-    return Model().fit([f for f, _ in rows_found], np.array([k for _, k in rows_found], np.int64))
+    # The sample is bounded, so one task holds it; the driver, which runs many jobs, gets a megabyte of it.
+    trained = one.select("label", "features").coalesce(1).mapInArrow(_train, "logits binary, offset double")
+    for row in trained.toLocalIterator():
+        return Trained(np.frombuffer(row.logits, np.float32), row.offset)
+    return Model()
 
 
 def _score_batches(batches: Iterator[pa.RecordBatch], shared, offset: float, keep: list[str]) -> Iterator[pa.RecordBatch]:
@@ -165,7 +189,7 @@ def _score_batches(batches: Iterator[pa.RecordBatch], shared, offset: float, kee
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), pa.array(score)], [*keep, "score"])
 
 
-def score_documents(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+def score_documents(docs: DataFrame, model: Model | Trained, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """The columns ``keep`` of every row and ``score``, the probability that the quality is good. An empty or null text
     scores as the offset alone says; repeated rows each get their (same) score, a table without rows gives none. A kept
     column of the name ``score`` gives way to the score. Very long texts are read whole, one batch after the other."""
@@ -183,7 +207,7 @@ def _keep_batches(batches: Iterator[pa.RecordBatch], shared, offset: float, leas
             yield batch.filter(pa.array(scores(*T.utf8(batch.column("text")), shared.value, offset) >= least))
 
 
-def keep_good(docs: DataFrame, model: Model, least: float = 0.3) -> DataFrame:
+def keep_good(docs: DataFrame, model: Model | Trained, least: float = 0.3) -> DataFrame:
     """The rows of ``docs`` whose score is ``least`` or more, with all their columns."""
     shared = share(docs.sparkSession, model.bucket_logits().astype(np.float32))
     return docs.mapInArrow(partial(_keep_batches, shared=shared, offset=model.offset, least=least), docs.schema)

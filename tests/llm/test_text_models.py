@@ -361,3 +361,14 @@ def test_word_order_and_copies_tell(spark):
     assert out[200].base_score == pytest.approx(out[201].base_score)
     assert out[200].score > out[201].score + 10
     assert out[0].score == pytest.approx(out[100].score) and out[0].score > max(out[i].score for i in range(2, 40)) + 10
+
+
+def test_quality_trains_in_a_task(spark, docs, monkeypatch):
+    """The driver held the features of the whole sample while it trained."""
+    labels = spark.createDataFrame([(i, i % 2) for i in range(100)], "doc_id long, quality int")
+
+    def here(*_):
+        raise AssertionError("the driver trained")
+
+    monkeypatch.setattr(quality.Model, "fit", here)
+    assert quality.fit(docs, labels, F.lit(True)).bucket_logits().any()
