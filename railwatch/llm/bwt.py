@@ -16,6 +16,8 @@ from dataclasses import dataclass
 
 import numpy as np
 
+from railwatch.llm import text as T
+
 UNIT = 5
 _BITS = np.uint64(9)
 
@@ -63,21 +65,21 @@ def transform(data: np.ndarray, at: np.ndarray, first_string: int, depth: int) -
     def further(units: int) -> np.ndarray:
         return np.where(left > units * UNIT, every + np.int32(units * UNIT), np.int32(-1))
 
-    def classes(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        order = np.argsort(keys)
+    def classes(keys: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+        order, ascending = T.order(keys, bits)
         out = np.empty(len(keys), np.int32)
-        out[order] = _number(keys[order])
+        out[order] = _number(ascending)
         return out, order
 
     n = np.int64(len(data) + 2)
-    of, order = {}, np.zeros(0, np.int64)
-    of[1], order = classes(symbols)
+    of, order, bits = {}, np.zeros(0, np.int64), 2 * (len(data) + 2).bit_length()
+    of[1], order = classes(symbols, UNIT * int(_BITS))
     parts = _units(depth)
     while (k := max(of)) < parts[0]:
-        of[2 * k], order = classes(of[k] * n + _beyond(further(k), of[k]))
+        of[2 * k], order = classes(of[k] * n + _beyond(further(k), of[k]), bits)
     same, done = of[parts[0]], parts[0]
     for k in parts[1:]:
-        same, order = classes(same * n + _beyond(further(done), of[k]))
+        same, order = classes(same * n + _beyond(further(done), of[k]), bits)
         done += k
     rank = np.empty(len(data), np.int32)
     rank[order] = every

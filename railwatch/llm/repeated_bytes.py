@@ -31,7 +31,8 @@ PIECE = 16
 _LAST = np.iinfo(np.int64).max
 # Places hold several 64-bit numbers each while a block is worked on.
 BLOCK_BYTES = 4 << 20
-CHUNK_BYTES = 1 << 20
+# Arrays of a chunk stay in a core's cache.
+CHUNK_BYTES = 1 << 17
 SLICES_PER_BLOCK = 3
 # Hex digits of a text's digest that tell copies among rows of one doc_id.
 DIGEST = 32
@@ -51,6 +52,21 @@ def _smallest(h: np.ndarray, n: int) -> np.ndarray:
     return np.minimum(h[: len(h) - rest], h[rest:]) if rest else h
 
 
+def _piece_hashes(data: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of the ``PIECE`` bytes from each place on."""
+    two = data[:-1] | data[1:].astype(np.uint16) << np.uint16(8)
+    four = two[:-2] | two[2:].astype(np.uint32) << np.uint32(16)
+    eight = four[:-4] | four[4:].astype(np.uint64) << np.uint64(32)
+    h = eight[: len(data) - PIECE + 1] * np.uint64(0xBF58476D1CE4E5B9)
+    h ^= h >> np.uint64(31)
+    h += eight[PIECE - 8 :]
+    h *= np.uint64(0x94D049BB133111EB)
+    h ^= h >> np.uint64(32)
+    h *= np.uint64(0xD6E8FEB86659FD93)
+    h ^= h >> np.uint64(29)
+    return h
+
+
 class _Stretches:
     """The stretches of a block's documents: row, first byte, bytes, minimizer; copies left out."""
 
@@ -68,23 +84,20 @@ class _Stretches:
             end = max(start + 1, int(np.searchsorted(self.at, self.at[start] + CHUNK_BYTES, "right")) - 1)
             a, b = int(self.at[start]), int(self.at[end])
             if b - a >= length:
-                at = np.arange(b - a - PIECE + 1)
-                smallest = _smallest(T.span_hashes(self.data[a:b], at, at + PIECE), length - PIECE + 1)
-                ok = np.zeros(len(smallest) + 1, np.int64)
+                smallest = _smallest(_piece_hashes(self.data[a:b]), length - PIECE + 1)
+                ok = np.zeros(len(smallest), bool)
                 for r in range(start, end):
-                    s, e = int(self.at[r]) - a, int(self.at[r + 1]) - a - length + 1
-                    if e > s and not self.is_copy[r]:
-                        ok[s] += 1
-                        ok[e] -= 1
-                ok = np.cumsum(ok)[:-1] > 0
+                    if not self.is_copy[r]:
+                        s = int(self.at[r]) - a
+                        ok[s : max(s, int(self.at[r + 1]) - a - length + 1)] = True
                 change = np.ones(len(smallest), bool)
                 change[1:] = (smallest[1:] != smallest[:-1]) | ~ok[:-1]
                 starts = self.at[start:end] - a
                 change[starts[starts < len(smallest)]] = True
-                begin = np.flatnonzero(change & ok)
                 # A stretch ends before the next one, or where its document has no more places.
-                stop = np.flatnonzero((change | ~ok))
-                stop = np.append(stop, len(smallest))[np.searchsorted(stop, begin, "right")]
+                stop = np.flatnonzero(change | ~ok)
+                begins = ok[stop]
+                begin, stop = stop[begins], np.append(stop[1:], len(smallest))[begins]
                 first.append(begin + a)
                 size.append(stop - begin + length - 1)
                 least.append(smallest[begin])
@@ -163,8 +176,8 @@ def _ask_windows(docs: pa.Table, told: dict, length: int, slices: int) -> Iterat
 
 def _ask_cells(block: int, s: _Stretches, slices: int) -> Iterator[pa.RecordBatch]:
     cell, row = s.cells(slices), s.doc[s.row]
-    order = np.argsort(cell, kind="stable")
-    cell, row = cell[order], row[order]
+    order, cell = T.order(cell, 32 + slices.bit_length())
+    row = row[order]
     new = np.flatnonzero(np.diff(cell, prepend=cell[:1] + np.uint64(1)))
     several = np.maximum.reduceat(row, new) != np.minimum.reduceat(row, new) if len(new) else np.zeros(0, bool)
     count = np.diff(np.append(new, len(cell)))
@@ -197,7 +210,7 @@ def _answer_minimizers(rows: pa.Table, hot_stretches: int) -> Iterator[pa.Record
     cells = [X.unplanes(c, np.uint32) for c in rows.column("cells").to_pylist()]
     several = [np.unpackbits(np.frombuffer(b, np.uint8), count=len(c)) for b, c in zip(rows.column("several").to_pylist(), cells, strict=True)]
     stretches = np.concatenate([X.unplanes(c, np.uint32) for c in rows.column("stretches").to_pylist()])
-    distinct, number = np.unique(np.concatenate(cells), return_inverse=True)
+    distinct, number = T.numbered(np.concatenate(cells), 32)
     many = np.bincount(number, 1 + np.concatenate(several), len(distinct)) >= 2
     hot = many & (np.bincount(number, stretches, len(distinct)) > hot_stretches)
     ends = np.cumsum([len(c) for c in cells])
@@ -212,7 +225,7 @@ def _answer_minimizers(rows: pa.Table, hot_stretches: int) -> Iterator[pa.Record
 
 def _hot(s: _Stretches, told: dict, slices: int) -> np.ndarray:
     """Which stretches have a hot minimizer."""
-    distinct, number = np.unique(s.cells(slices), return_inverse=True)
+    distinct, number = T.numbered(s.cells(slices), 32 + slices.bit_length())
     slice_number, at = _cell_cuts(distinct)
     said = {}
     for k, a, b in zip(slice_number.tolist(), at[:-1].tolist(), at[1:].tolist(), strict=True):
@@ -249,7 +262,7 @@ class _Strings:
 
     @staticmethod
     def _shared(s: _Stretches, told: dict[int, bytes], slices: int, some: np.ndarray | slice = slice(None)) -> np.ndarray:
-        distinct, number = np.unique(s.cells(slices)[some], return_inverse=True)
+        distinct, number = T.numbered(s.cells(slices)[some], 32 + slices.bit_length())
         slice_number, at = _cell_cuts(distinct)
         return X.join_bits(told, slice_number, at)[number]
 
@@ -361,7 +374,7 @@ def remove_repeats(
     if length < 2 * PIECE:
         raise ValueError(f"at least {2 * PIECE} bytes")
     n = X.number_of_blocks(docs, block_bytes)
-    blocked = X.blocks(docs, n)
+    blocked = X.by_block(X.blocks(docs, n), n)
     ids = blocked.where(F.octet_length("text") >= length).select("block", "doc_id", F.sha2("text", 256).alias("digest"))
     firsts = ids.groupBy("digest").agg(F.min("doc_id").alias("first"))
     later = ids.join(firsts, "digest").where("doc_id > first").groupBy("block").agg(F.collect_set(F.concat_ws(":", F.col("doc_id").cast("string"), F.substring("digest", 1, DIGEST))).alias("ids"))
@@ -372,13 +385,13 @@ def remove_repeats(
     ask = {"length": length, "slices": slices}
     answer = partial(_answer_minimizers, hot_stretches=HOT_STRETCHES)
     schema = "block int, slice int, cells binary, several binary, stretches binary"
-    asked = X.in_blocks(blocked, n, partial(_ask_minimizers, **ask), schema, copies=copies)
+    asked = X.in_stored_blocks(blocked, partial(_ask_minimizers, **ask), schema, copies=copies)
     learned = {"minimizers": store(X.in_slices(asked, slices, answer, X.ANSWER + ", hot boolean"), "minimizers")}
     if not learned["minimizers"].where("hot").isEmpty():
-        asked = X.in_blocks(blocked, n, partial(_ask_windows, **ask), schema, copies=copies, **learned)
+        asked = X.in_stored_blocks(blocked, partial(_ask_windows, **ask), schema, copies=copies, **learned)
         learned["windows"] = store(X.in_slices(asked, slices, answer, X.ANSWER + ", hot boolean"), "windows")
     schema = "block int, slice int, data binary, size binary, one binary, two binary, doc binary"
-    asked = X.in_blocks(blocked, n, partial(_ask_strings, **ask), schema, copies=copies, **learned)
+    asked = X.in_stored_blocks(blocked, partial(_ask_strings, **ask), schema, copies=copies, **learned)
     strings = store(X.in_slices(asked, slices, partial(_answer_strings, length=length, shard_bytes=shard_bytes)), "strings")
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * full
-    return X.in_blocks(blocked, n, partial(_remove, full=full, **ask), schema, copies=copies, **learned, strings=strings)
+    return X.in_stored_blocks(blocked, partial(_remove, full=full, **ask), schema, copies=copies, **learned, strings=strings)

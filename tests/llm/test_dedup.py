@@ -6,6 +6,7 @@ import pyarrow as pa
 import pytest
 
 from railwatch.llm import chosen_path, exact_dedup, repeated_bytes, repeated_windows
+from railwatch.llm import text as T
 from railwatch.llm.queries import ORACLES, QUERIES
 from tests.llm import brute
 from tests.llm.conftest import SF
@@ -201,3 +202,25 @@ def test_empty_tables(no_docs):
         chosen_path.similar_documents(no_docs),
     ):
         assert df.count() == 0
+
+
+def test_texts_are_shuffled_once(docs, capsys):
+    """Each pass dealt all texts into blocks again."""
+    repeated_bytes.remove_repeats(docs).explain()
+    plan = capsys.readouterr().out
+    assert "Bucketed: true" in plan
+    moved = [line for line in plan.splitlines() if "Exchange" in line]
+    assert len(moved) == 1 and "text" not in plan[plan.index("Exchange") :]
+
+
+def test_orders_of_packed_numbers():
+    random = np.random.default_rng(2)
+    # 63 bits leave no room for the place beside the number.
+    for bits in (1, 20, 40, 63):
+        for n in (0, 1, 2, 1000):
+            keys = random.integers(0, 1 << min(bits, 62), n).astype(np.uint64) // np.uint64(3)
+            order, ascending = T.order(keys, bits)
+            assert order.tolist() == np.argsort(keys, kind="stable").tolist()
+            assert ascending.tolist() == sorted(keys.tolist())
+            distinct, number = T.numbered(keys, bits)
+            assert distinct.tolist() == sorted(set(keys.tolist())) and np.array_equal(distinct[number], keys)
