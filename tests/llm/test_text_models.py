@@ -372,3 +372,11 @@ def test_quality_trains_in_a_task(spark, docs, monkeypatch):
 
     monkeypatch.setattr(quality.Model, "fit", here)
     assert quality.fit(docs, labels, F.lit(True)).bucket_logits().any()
+
+
+def test_mixing_shuffles_texts_once(spark, docs, capsys):
+    """The scoring pass dealt all texts into blocks again."""
+    context_mixing.score_documents(docs, F.lit(True)).explain()
+    plan = capsys.readouterr().out
+    assert "Bucketed: true" in plan
+    assert len([line for line in plan.splitlines() if "Exchange" in line]) == 1
