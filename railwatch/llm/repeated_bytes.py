@@ -374,7 +374,7 @@ def remove_repeats(
     if length < 2 * PIECE:
         raise ValueError(f"at least {2 * PIECE} bytes")
     n = X.number_of_blocks(docs, block_bytes)
-    blocked = X.by_block(X.blocks(docs, n), n)
+    blocked = X.stored_blocks(docs.select("doc_id", "text"), n, block_bytes)
     ids = blocked.where(F.octet_length("text") >= length).select("block", "doc_id", F.sha2("text", 256).alias("digest"))
     firsts = ids.groupBy("digest").agg(F.min("doc_id").alias("first"))
     later = ids.join(firsts, "digest").where("doc_id > first").groupBy("block").agg(F.collect_set(F.concat_ws(":", F.col("doc_id").cast("string"), F.substring("digest", 1, DIGEST))).alias("ids"))

@@ -145,7 +145,7 @@ def _ask_exact(docs: pa.Table, told: dict, window: int, slices: int) -> Iterator
         [
             pa.array([block] * len(cuts), pa.int32()),
             pa.array(e.slices, pa.int32()),
-            *(pa.array([x[a:b].tobytes() for a, b in cuts], pa.binary()) for x in (e.key, e.second, e.doc)),
+            *(pa.array([X.planes(x[a:b]) for a, b in cuts], pa.binary()) for x in (e.key, e.second, e.doc)),
         ],
         ["block", "slice", "key", "second", "doc"],
     )
@@ -154,7 +154,8 @@ def _ask_exact(docs: pa.Table, told: dict, window: int, slices: int) -> Iterator
 def _answer_exact(rows: pa.Table) -> Iterator[pa.RecordBatch]:
     """For each key of each block, whether a block has it with a smaller document."""
     key, second, doc = (
-        np.frombuffer(b"".join(rows.column(c).to_pylist()), kind) for c, kind in (("key", np.uint64), ("second", np.uint64), ("doc", np.int64))
+        np.concatenate([X.unplanes(x, kind) for x in rows.column(c).to_pylist()])
+        for c, kind in (("key", np.uint64), ("second", np.uint64), ("doc", np.int64))
     )
     size = np.array([len(k) // 8 for k in rows.column("key").to_pylist()])
     order = np.lexsort((doc, second, key))
@@ -205,11 +206,12 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, full: bool = False, bl
     an empty table gives no rows. Answers are written to the shared folder between the passes.
     """
     n = X.number_of_blocks(docs, block_bytes)
-    blocked = X.blocks(docs, n)
+    blocked = X.stored_blocks(docs.select("doc_id", "text"), n, block_bytes)
     ask = {"window": window, "slices": n}
-    asked = X.in_blocks(blocked, n, partial(_ask_sketch, **ask), "block int, slice int, cells binary, counts binary")
+    asked = X.in_stored_blocks(blocked, partial(_ask_sketch, **ask), "block int, slice int, cells binary, counts binary")
     sketch = store(X.in_slices(asked, n, _merge_sketches), "sketch")
-    asked = X.in_blocks(blocked, n, partial(_ask_exact, **ask), "block int, slice int, key binary, second binary, doc binary", sketch=sketch)
+    schema = "block int, slice int, key binary, second binary, doc binary"
+    asked = X.in_stored_blocks(blocked, partial(_ask_exact, **ask), schema, sketch=sketch)
     exact = store(X.in_slices(asked, n, _answer_exact), "windows")
     schema = "doc_id long, n_words long, n_removed long, kept_sha256 string" + ", kept string" * full
-    return X.in_blocks(blocked, n, partial(_remove, full=full, **ask), schema, sketch=sketch, exact=exact)
+    return X.in_stored_blocks(blocked, partial(_remove, full=full, **ask), schema, sketch=sketch, exact=exact)

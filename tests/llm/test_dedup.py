@@ -6,6 +6,7 @@ import pyarrow as pa
 import pytest
 
 from railwatch.llm import chosen_path, exact_dedup, repeated_bytes, repeated_windows
+from railwatch.llm import exchange as X
 from railwatch.llm import text as T
 from railwatch.llm.queries import ORACLES, QUERIES
 from tests.llm import brute
@@ -66,6 +67,21 @@ def test_windows_query(spark, given):
     assert got(QUERIES["op6_substring_dedup"](spark, SF), *WORDS) == expected(brute.repeated_words(given, 20))
 
 
+def test_windows_shuffle_no_texts(docs):
+    plan = repeated_windows.remove_repeats(docs, block_bytes=2000)._jdf.queryExecution().executedPlan().toString()
+    above, found, _ = plan.partition("railwatch_blocks")
+    assert found and "Exchange" not in above
+
+
+def test_blocks_are_dealt_as_they_come(docs, rows):
+    limit = 2000
+    stored = X.stored_blocks(docs.select("doc_id", "text"), 5, limit)
+    assert got(stored, "doc_id", "text") == expected(rows)
+    longest = max(len((t or "").encode()) for _, t in rows)
+    sizes = [r.n for r in stored.selectExpr("block", "octet_length(text) n").groupBy("block").agg({"n": "sum"}).toDF("block", "n").collect()]
+    assert len(sizes) > 5 and max(n or 0 for n in sizes) < limit + longest
+
+
 def test_sketch_never_estimates_too_low():
     import numpy as np
 
