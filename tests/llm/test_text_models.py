@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from railwatch.llm import bpe, context_mixing, langid, quality
+from railwatch.llm import bpe, context_mixing, exchange, langid, quality
 from railwatch.llm import text as T
 from railwatch.llm.queries import QUERIES, held_out, tokenizer_path
 from tests.llm import brute
@@ -380,3 +380,20 @@ def test_mixing_shuffles_texts_once(spark, docs, capsys):
     plan = capsys.readouterr().out
     assert "Bucketed: true" in plan
     assert len([line for line in plan.splitlines() if "Exchange" in line]) == 1
+
+
+def test_phrases_are_sent_packed():
+    words = np.random.default_rng(1).integers(0, 100_000, 60_000)
+    texts = [" ".join(f"w{x}" for x in words), None]
+    docs = pa.table({"block": pa.array([0, 0], pa.int32()), "doc_id": [1, 2], "text": texts, "part": pa.array([0, None], pa.int32())})
+    sent = [p for b in context_mixing._ask_words(docs, {}, 2) for p in b.column("phrases").to_pylist() if p]
+    phrases = np.concatenate([exchange.unpack_ascending(p, np.uint64) for p in sent])
+    assert (phrases[1:] > phrases[:-1]).all() and len(phrases) > 110_000
+    assert sum(map(len, sent)) < 5.5 * len(phrases)
+
+
+def test_lookups_in_order_of_the_keys():
+    wanted = np.random.default_rng(2).integers(0, 50, 200).astype(np.uint64)
+    keys = context_mixing._distinct(wanted[:100])
+    assert (keys == np.unique(wanted[:100])).all()
+    assert (context_mixing._find(keys, wanted) == np.searchsorted(keys, wanted)).all()
