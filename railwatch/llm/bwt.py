@@ -48,7 +48,15 @@ def _number(keys: np.ndarray) -> np.ndarray:
 
 def _beyond(rank: np.ndarray, classes: np.ndarray) -> np.ndarray:
     """Classes of suffixes by rank, 0 for what is past the end, others from 1 on."""
-    return np.where(rank < 0, np.int32(0), classes[rank] + np.int32(1))
+    more = np.zeros(len(classes) + 1, np.int32)
+    np.add(classes, np.int32(1), out=more[:-1])
+    # A rank of -1 reads the last.
+    return more[rank]
+
+
+def _on(rank: np.ndarray, steps: np.ndarray) -> np.ndarray:
+    """``steps`` by rank, -1 for what is past the end."""
+    return np.append(steps, np.int32(-1))[rank]
 
 
 def transform(data: np.ndarray, at: np.ndarray, first_string: int, depth: int) -> Transform:
@@ -86,7 +94,7 @@ def transform(data: np.ndarray, at: np.ndarray, first_string: int, depth: int) -
     on = further(1)[order]
     place = every - at[:-1].astype(np.int32)[string]
     return Transform(
-        symbols[order], np.where(on < 0, np.int32(-1), rank[on]), string[order] + np.int32(first_string), place[order], same[order]
+        symbols[order], _on(on, rank), string[order] + np.int32(first_string), place[order], same[order]
     )
 
 
@@ -107,31 +115,26 @@ def merge(a: Transform, b: Transform, depth: int) -> Transform:
         number = _number(keys)
         return at_a, at_b, number[at_a], number[at_b]
 
-    def on(t: Transform, steps: np.ndarray) -> np.ndarray:
-        """Applies twice as many steps."""
-        return np.where(steps < 0, np.int32(-1), steps[steps])
-
     at_a, at_b, ca, cb = interleave(a.symbols, b.symbols)
     of, step = {1: (ca, cb)}, {1: (a.further, b.further)}
     parts = _units(depth)
     while (k := max(of)) < parts[0]:
         (ca, cb), (sa, sb) = of[k], step[k]
         at_a, at_b, ca, cb = interleave(ca * n + _beyond(sa, ca), cb * n + _beyond(sb, cb))
-        of[2 * k], step[2 * k] = (ca, cb), (on(a, sa), on(b, sb))
+        of[2 * k], step[2 * k] = (ca, cb), (_on(sa, sa), _on(sb, sb))
     ca, cb = of[parts[0]]
     sa, sb = step[parts[0]]
     for k in parts[1:]:
         at_a, at_b, ca, cb = interleave(ca * n + _beyond(sa, of[k][0]), cb * n + _beyond(sb, of[k][1]))
         ka, kb = step[k]
-        sa, sb = np.where(sa < 0, np.int32(-1), ka[sa]), np.where(sb < 0, np.int32(-1), kb[sb])
+        sa, sb = _on(sa, ka), _on(sb, kb)
 
     def woven(x: np.ndarray, y: np.ndarray) -> np.ndarray:
         out = np.empty(na + nb, x.dtype)
         out[at_a], out[at_b] = x, y
         return out
 
-    none = np.int32(-1)
-    further = woven(np.where(a.further < 0, none, at_a[a.further]), np.where(b.further < 0, none, at_b[b.further]))
+    further = woven(_on(a.further, at_a), _on(b.further, at_b))
     return Transform(
         woven(a.symbols, b.symbols), further, woven(a.string, b.string), woven(a.place, b.place), woven(ca, cb)
     )
