@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import hashlib
+import pickle
 
 import numpy as np
 import pyarrow as pa
@@ -397,3 +398,71 @@ def test_lookups_in_order_of_the_keys():
     keys = context_mixing._distinct(wanted[:100])
     assert (keys == np.unique(wanted[:100])).all()
     assert (context_mixing._find(keys, wanted) == np.searchsorted(keys, wanted)).all()
+
+
+def test_scoring_makes_phrases_once(monkeypatch):
+    """They were made three times, and sorted again for each document's own part."""
+    docs = pa.table({"block": pa.array([0, 0, 0], pa.int32()), "doc_id": [1, 2, 3], "text": ["a b a", None, "b a b c"], "part": pa.array([0, 0, None], pa.int32())})
+    t = context_mixing._Tokens(docs)
+    pair, triple, two = context_mixing._phrases(t)
+    n, m = len(np.unique(t.key)), len(np.unique(np.concatenate([pair, triple[two]])))
+    spelling = np.full(n, -9, np.float32).tobytes()
+    words = pickle.dumps((bytes([0]), [exchange.pack(np.full(n, 2, np.uint32))], spelling))
+    told = {"words": {0: words}, "phrases": {0: exchange.pack(np.full(m, 2, np.uint32))}}
+    n_tokens = np.zeros(context_mixing.GROUPS, np.int64)
+    n_tokens[0] = 8
+
+    class Shared:
+        value = context_mixing.Model(context_mixing.Mixer.new(), n_tokens, n, 0)
+
+    made, phrases = [], context_mixing._phrases
+    monkeypatch.setattr(context_mixing, "_phrases", lambda t: made.append(t) or phrases(t))
+    out = pa.Table.from_batches(context_mixing._score(docs, told, 1, Shared))
+    assert len(made) == 1
+    assert out.column("n_tokens").to_pylist() == [4, 1, 5] and all(x < 0 for x in out.column("score").to_pylist())
+
+
+def test_places_by_key_and_row():
+    random = np.random.default_rng(6)
+    key = random.integers(0, 9, 200).astype(np.uint64) << np.uint64(60)
+    row = np.sort(random.integers(0, 12, 200))
+    x = context_mixing._InRows(key, row)
+    known, learned = random.integers(50, 99, len(x.keys)), random.random(12) < 0.5
+    pairs = list(zip(key.tolist(), row.tolist(), strict=True))
+    assert x.keys.tolist() == sorted({k for k, _ in pairs})
+    assert x.at_places(x.times).tolist() == [pairs.count(p) for p in pairs]
+    assert x.at_places(x.before).tolist() == [pairs[:i].count(p) for i, p in enumerate(pairs)]
+    of = dict(zip(x.keys.tolist(), known.tolist(), strict=True))
+    assert x.of_others(known, learned).tolist() == [of[k] - learned[r] * pairs.count((k, r)) for k, r in pairs]
+
+
+def test_hashes_are_ordered_without_argsort(monkeypatch):
+    """64-bit keys leave no room for the place beside them, and ``argsort`` took several times as long."""
+    random = np.random.default_rng(7)
+    spread = random.integers(0, 1 << 63, 3000, dtype=np.uint64)
+    close = random.integers(0, 50, 3000).astype(np.uint64) | np.uint64(1 << 63)
+    for keys in (np.concatenate([spread, close]), spread[:1], spread[:0]):
+        order, ascending = T.order(keys, 64)
+        assert order.tolist() == np.argsort(keys, kind="stable").tolist() and ascending.tolist() == sorted(keys.tolist())
+
+    def slow(*_, **__):
+        raise AssertionError("keys were sorted by argsort")
+
+    monkeypatch.setattr(np, "argsort", slow)
+    T.order(spread, 64)
+
+
+def test_odds_against_brute_force():
+    words = np.frombuffer(b"abc abd ab b bcd abc zz ", np.uint8)
+    counts = context_mixing.count_bits(words)
+    for own in (False, True):
+        odds = counts.odds(own)
+        for i, key in enumerate(counts.keys.tolist()):
+            for b in range(8):
+                of = [0, 0]
+                for other, n in zip(counts.keys.tolist(), counts.n.tolist(), strict=True):
+                    if other >> b + 1 == key >> b + 1:
+                        of[other >> b & 1] += n
+                if own:
+                    of[key >> b & 1] = max(of[key >> b & 1] - 1, 0)
+                assert odds[i, b] == pytest.approx(np.log((of[1] + context_mixing._DELTA) / (of[0] + context_mixing._DELTA)))
