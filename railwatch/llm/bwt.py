@@ -43,7 +43,9 @@ def _number(keys: np.ndarray) -> np.ndarray:
     """Class numbers from 0 on of ascending keys."""
     new = np.ones(len(keys), bool)
     new[1:] = keys[1:] != keys[:-1]
-    return np.cumsum(new, dtype=np.int32) - np.int32(1)
+    number = new.astype(np.int32)
+    number[:1] = 0
+    return np.cumsum(number, out=number)
 
 
 def _beyond(rank: np.ndarray, classes: np.ndarray) -> np.ndarray:
@@ -59,40 +61,68 @@ def _on(rank: np.ndarray, steps: np.ndarray) -> np.ndarray:
     return np.append(steps, np.int32(-1))[rank]
 
 
+def _symbols(data: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """The ``UNIT`` symbols from each place on as one number; past the end of a string they are 0."""
+    # By widths that double, over the ends of strings; what is past them goes after.
+    one = np.concatenate([data.astype(np.uint64) + np.uint64(1), np.zeros(UNIT, np.uint64)])
+    packed, width = one, 1
+    while 2 * width <= UNIT:
+        packed = packed[:-width] << np.uint64(width) * _BITS | packed[width:]
+        width *= 2
+    for k in range(width, UNIT):
+        packed = packed[: len(data) + UNIT - k] << _BITS | one[k:]
+    packed = packed[: len(data)]
+    for left in range(1, UNIT):
+        last = at[1:] - left
+        last = last[last >= at[:-1]]
+        packed[last] &= ~((np.uint64(1) << np.uint64(UNIT - left) * _BITS) - np.uint64(1))
+    return packed
+
+
 def transform(data: np.ndarray, at: np.ndarray, first_string: int, depth: int) -> Transform:
     """Of the strings that the offsets cut the bytes into; they are numbered from ``first_string`` on."""
     size = np.diff(at)
     string = np.repeat(np.arange(len(size), dtype=np.int32), size)
     every = np.arange(len(data), dtype=np.int32)
-    left = at[1:].astype(np.int32)[string] - every
-    padded = np.concatenate([data.astype(np.uint64) + np.uint64(1), np.zeros(UNIT, np.uint64)])
-    symbols = np.zeros(len(data), np.uint64)
-    for k in range(UNIT):
-        symbols = symbols << _BITS | np.where(k < left, padded[k : k + len(data)], 0)
+    left = np.repeat(at[1:].astype(np.int32), size) - every
+    symbols = _symbols(data, at)
 
     def further(units: int) -> np.ndarray:
         return np.where(left > units * UNIT, every + np.int32(units * UNIT), np.int32(-1))
 
+    def beyond(units: int, classes: np.ndarray) -> np.ndarray:
+        """Classes of the places so many units on, 0 for what is past the end, others from 1 on."""
+        out = np.zeros(len(classes), np.int32)
+        np.add(classes[units * UNIT :], np.int32(1), out=out[: len(classes[units * UNIT :])])
+        out *= left > units * UNIT
+        return out
+
+    def both(first: np.ndarray, then: np.ndarray) -> np.ndarray:
+        keys = first.astype(np.uint64)
+        keys <<= half
+        keys |= then.view(np.uint32)
+        return keys
+
     def classes(keys: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
         order, ascending = T.order(keys, bits)
         out = np.empty(len(keys), np.int32)
         out[order] = _number(ascending)
         return out, order
 
-    n = np.int64(len(data) + 2)
-    of, order, bits = {}, np.zeros(0, np.int64), 2 * (len(data) + 2).bit_length()
+    half = np.uint64((len(data) + 2).bit_length())
+    of, order, bits = {}, np.zeros(0, np.int64), 2 * int(half)
     of[1], order = classes(symbols, UNIT * int(_BITS))
     parts = _units(depth)
     while (k := max(of)) < parts[0]:
-        of[2 * k], order = classes(of[k] * n + _beyond(further(k), of[k]), bits)
+        of[2 * k], order = classes(both(of[k], beyond(k, of[k])), bits)
     same, done = of[parts[0]], parts[0]
     for k in parts[1:]:
-        same, order = classes(same * n + _beyond(further(done), of[k]), bits)
+        same, order = classes(both(same, beyond(done, of[k])), bits)
         done += k
     rank = np.empty(len(data), np.int32)
     rank[order] = every
     on = further(1)[order]
-    place = every - at[:-1].astype(np.int32)[string]
+    place = every - np.repeat(at[:-1].astype(np.int32), size)
     return Transform(
         symbols[order], _on(on, rank), string[order] + np.int32(first_string), place[order], same[order]
     )

@@ -54,16 +54,16 @@ def _smallest(h: np.ndarray, n: int) -> np.ndarray:
 
 def _piece_hashes(data: np.ndarray) -> np.ndarray:
     """A 64-bit hash of the ``PIECE`` bytes from each place on."""
-    two = data[:-1] | data[1:].astype(np.uint16) << np.uint16(8)
-    four = two[:-2] | two[2:].astype(np.uint32) << np.uint32(16)
-    eight = four[:-4] | four[4:].astype(np.uint64) << np.uint64(32)
+    # Eight bytes from each place on, as one number.
+    eight = np.ndarray((len(data) - 7,), "<u8", np.ascontiguousarray(data), strides=(1,)).copy()
     h = eight[: len(data) - PIECE + 1] * np.uint64(0xBF58476D1CE4E5B9)
-    h ^= h >> np.uint64(31)
+    high = np.empty_like(h)
+    h ^= np.right_shift(h, np.uint64(31), out=high)
     h += eight[PIECE - 8 :]
     h *= np.uint64(0x94D049BB133111EB)
-    h ^= h >> np.uint64(32)
+    h ^= np.right_shift(h, np.uint64(32), out=high)
     h *= np.uint64(0xD6E8FEB86659FD93)
-    h ^= h >> np.uint64(29)
+    h ^= np.right_shift(h, np.uint64(29), out=high)
     return h
 
 
@@ -234,6 +234,22 @@ def _hot(s: _Stretches, told: dict, slices: int) -> np.ndarray:
     return X.join_bits(said, slice_number, at)[number]
 
 
+def _same(hashes: np.ndarray, size: np.ndarray, slice_number: np.ndarray | None = None, slices: int = 1) -> tuple[np.ndarray, np.ndarray]:
+    """An order of strings by slice, in which the same ones are neighbours, and where another begins. A second sum over the
+    same powers would follow from the first and the size, so these two tell as much."""
+    bits = np.uint64((slices - 1).bit_length())
+    key = hashes if not bits else slice_number.astype(np.uint64) << np.uint64(64) - bits | hashes >> bits
+    order, _ = T.order(key, 64)
+    one, size = hashes[order], size[order]
+    new = np.ones(len(order), bool)
+    # Of hashes that differ in what the slice leaves out alone, copies may be parted: that is one string more.
+    new[1:] = (one[1:] != one[:-1]) | (size[1:] != size[:-1])
+    if slice_number is not None:
+        number = slice_number[order]
+        new[1:] |= number[1:] != number[:-1]
+    return order, new
+
+
 class _Strings:
     """The distinct candidate stretches of a block, sorted by slice, each with its smallest document."""
 
@@ -246,19 +262,17 @@ class _Strings:
             shared = np.ones(len(window), bool)
             shared[window] = self._shared(s, told["windows"], slices, np.flatnonzero(window))
         self.index = np.flatnonzero(shared)
-        cell = s.cells(slices)
-        first, after = s.first[self.index], s.first[self.index] + s.size[self.index]
-        one, two = s.hashes(self.index, seed=0), s.hashes(self.index, seed=77)
-        cell, doc = cell[self.index], s.doc[s.row[self.index]]
-        order = np.lexsort((doc, two, one, cell))
-        new = np.ones(len(order), bool)
-        new[1:] = (np.diff(cell[order]) != 0) | (np.diff(one[order]) != 0) | (np.diff(two[order]) != 0)
+        number, doc = X.slice_of(s.least[self.index], slices), s.doc[s.row[self.index]]
+        first, size = s.first[self.index], s.size[self.index]
+        order, new = _same(s.hashes(self.index, seed=0), size, number, slices)
         self.lead = order[new]
         self.number = np.empty(len(order), np.int64)
         self.number[order] = np.cumsum(new) - 1
-        self.first, self.after = first[self.lead], after[self.lead]
-        self.one, self.two, self.doc = one[self.lead], two[self.lead], doc[self.lead]
-        self.slices, self.slice_at = _cell_cuts(cell[self.lead])
+        self.first, self.after = first[self.lead], first[self.lead] + size[self.lead]
+        self.doc = np.minimum.reduceat(doc[order], np.flatnonzero(new)) if len(order) else doc
+        number = number[self.lead]
+        found = np.flatnonzero(np.diff(number, prepend=-1))
+        self.slices, self.slice_at = number[found], np.append(found, len(number))
 
     @staticmethod
     def _shared(s: _Stretches, told: dict[int, bytes], slices: int, some: np.ndarray | slice = slice(None)) -> np.ndarray:
@@ -273,13 +287,10 @@ def _ask_strings(docs: pa.Table, told: dict, length: int, slices: int) -> Iterat
     block = docs.column("block")[0].as_py()
     for number, a, b in zip(x.slices.tolist(), x.slice_at[:-1].tolist(), x.slice_at[1:].tolist(), strict=True):
         data, at = T.gather(s.data, x.first[a:b], x.after[a:b])
+        packed = np.concatenate([np.frombuffer(X.planes(v), np.uint8) for v in (np.diff(at), x.doc[a:b])] + [data])
         yield pa.RecordBatch.from_arrays(
-            [
-                pa.array([block], pa.int32()),
-                pa.array([number], pa.int32()),
-                *(pa.array([v.tobytes()], pa.binary()) for v in (data, np.diff(at), x.one[a:b], x.two[a:b], x.doc[a:b])),
-            ],
-            ["block", "slice", "data", "size", "one", "two", "doc"],
+            [*(pa.array([v], pa.int32()) for v in (block, number, b - a)), pa.array([X.pack(packed)], pa.binary())],
+            ["block", "slice", "n", "strings"],
         )
 
 
@@ -298,35 +309,60 @@ def least_documents(data: np.ndarray, at: np.ndarray, doc: np.ndarray, length: i
     return out, places
 
 
+def _pack_runs(values: np.ndarray) -> bytes:
+    """Numbers of which neighbours are mostly the same: each run's, then how long it is."""
+    first = np.flatnonzero(np.diff(values, prepend=values[:1] + 1))
+    return values[first].tobytes() + np.diff(np.append(first, len(values))).astype(np.int32).tobytes()
+
+
+def _unpack_runs(raw: bytes) -> np.ndarray:
+    n = len(raw) // 12
+    return np.repeat(np.frombuffer(raw, np.int64, n), np.frombuffer(raw, np.int32, n, 8 * n))
+
+
 def _answer_strings(rows: pa.Table, length: int, shard_bytes: int) -> Iterator[pa.RecordBatch]:
-    size, one, two, doc = (
-        np.frombuffer(b"".join(rows.column(c).to_pylist()), k) for c, k in (("size", np.int64), ("one", np.uint64), ("two", np.uint64), ("doc", np.int64))
-    )
-    data = np.frombuffer(b"".join(rows.column("data").to_pylist()), np.uint8)
+    sizes, docs, texts = [], [], []
+    for n, raw in zip(rows.column("n").to_pylist(), rows.column("strings").to_pylist(), strict=True):
+        sent = X.unpack(raw, np.uint8)
+        sizes.append(X.unplanes(sent[: 8 * n], np.int64))
+        docs.append(X.unplanes(sent[8 * n : 16 * n], np.int64))
+        texts.append(sent[16 * n :])
+    # Hashed by message, which stays in a core's cache.
+    ends = [np.cumsum(s) for s in sizes]
+    hashes = np.concatenate([T.span_hashes(t, e - s, e) for t, s, e in zip(texts, sizes, ends, strict=True)])
+    size, doc, data = map(np.concatenate, (sizes, docs, texts))
     at = np.concatenate([[0], np.cumsum(size)])
     # The same stretch from several blocks is one string.
-    order = np.lexsort((doc, two, one))
-    new = np.ones(len(order), bool)
-    new[1:] = (np.diff(one[order]) != 0) | (np.diff(two[order]) != 0)
+    order, new = _same(hashes, size)
     lead = order[new]
     number = np.empty(len(order), np.int64)
     number[order] = np.cumsum(new) - 1
+    doc = np.minimum.reduceat(doc[order], np.flatnonzero(new))
     distinct, distinct_at = T.gather(data, at[lead], at[lead + 1])
-    least, places = least_documents(distinct, distinct_at, doc[lead], length, shard_bytes)
-    ends = np.cumsum([len(s) // 8 for s in rows.column("size").to_pylist()])
+    least, places = least_documents(distinct, distinct_at, doc, length, shard_bytes)
+    ends = np.cumsum([len(s) for s in sizes])
     out, start = [], 0
     for end in ends.tolist():
         mine = number[start:end]
-        out.append(T.gather(least, places[mine], places[mine + 1])[0].tobytes())
+        out.append(_pack_runs(T.gather(least, places[mine], places[mine + 1])[0]))
         start = end
     yield X.answer_batch(rows, out)
 
 
+def _runs(begin: np.ndarray, length: int, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Maximal runs of bytes that strings of ``length`` cover, which begin at ascending places; the offsets part texts."""
+    row = np.searchsorted(at, begin, "right")
+    new = np.ones(len(begin), bool)
+    new[1:] = (begin[1:] > begin[:-1] + length) | (row[1:] != row[:-1])
+    first = np.flatnonzero(new)
+    return begin[first], begin[np.append(first[1:], len(begin))[: len(first)] - 1] + length
+
+
 def _remove(docs: pa.Table, told: dict, length: int, slices: int, full: bool) -> Iterator[pa.RecordBatch]:
     s = _Stretches(docs, _copies(told), length)
     x = _Strings(s, told, length, slices)
     answers = told.get("strings", {})
-    least = np.frombuffer(b"".join(answers[n] for n in x.slices.tolist()), np.int64)
+    least = np.concatenate([np.zeros(0, np.int64), *(_unpack_runs(answers[n]) for n in x.slices.tolist())])
     places = np.concatenate([[0], np.cumsum(x.after - x.first - length + 1)])
     # Back from distinct strings to all stretches of the block.
     mine = x.number
@@ -334,26 +370,27 @@ def _remove(docs: pa.Table, told: dict, length: int, slices: int, full: bool) ->
     stretch = np.repeat(np.arange(len(mine)), np.diff(at))
     begin = s.first[x.index][stretch] + np.arange(len(values)) - at[:-1][stretch]
     begin = begin[values < s.doc[s.row[x.index]][stretch]]
-    edge = np.zeros(len(s.data) + 1, np.int32)
-    np.add.at(edge, begin, 1)
-    np.subtract.at(edge, begin + length, 1)
+    first, after = _runs(begin, length, s.at)
     size = np.diff(s.at)
+    # Copies have no stretches.
     gone = s.is_copy & (size >= length)
-    edge[s.at[:-1][gone]] += 1
-    np.subtract.at(edge, s.at[1:][gone], 1)
-    removed = np.cumsum(edge, dtype=np.int32)[:-1] > 0
-    lead = removed.copy()
-    lead[1:] &= ~removed[:-1]
-    heads = s.at[:-1][size > 0]
-    lead[heads] = removed[heads]
-    kept_at = np.concatenate([[0], np.cumsum(~removed)])[s.at]
-    raw = s.data[~removed].tobytes()
+    first, after = np.concatenate([first, s.at[:-1][gone]]), np.concatenate([after, s.at[1:][gone]])
+    order = np.argsort(first)
+    first, after = first[order], after[order]
+    row = np.searchsorted(s.at, first, "right") - 1
+    spans = np.bincount(row, minlength=len(size))
+    n_removed = np.bincount(row, after - first, len(size)).astype(np.int64)
+    # Stretches of what stays and what goes take turns.
+    turns = np.diff(np.concatenate([[0], np.stack([first, after], axis=1).ravel(), [len(s.data)]]))
+    stays = np.repeat(np.arange(len(turns)) % 2 == 0, turns)
+    kept_at = s.at - np.concatenate([[0], np.cumsum(n_removed)])
+    raw = s.data[stays].tobytes()
     texts = [raw[a:b] for a, b in zip(kept_at[:-1].tolist(), kept_at[1:].tolist(), strict=True)]
     out = {
         "doc_id": docs.column("doc_id").combine_chunks(),
         "n_bytes": pa.array(size),
-        "n_removed": pa.array(size - np.diff(kept_at)),
-        "n_spans": pa.array(T.group_sums(lead, s.at)),
+        "n_removed": pa.array(n_removed),
+        "n_spans": pa.array(spans),
         "kept_sha256": pa.array([hashlib.sha256(t).hexdigest() for t in texts], pa.string()),
     }
     if full:
@@ -390,7 +427,7 @@ def remove_repeats(
     if not learned["minimizers"].where("hot").isEmpty():
         asked = X.in_stored_blocks(blocked, partial(_ask_windows, **ask), schema, copies=copies, **learned)
         learned["windows"] = store(X.in_slices(asked, slices, answer, X.ANSWER + ", hot boolean"), "windows")
-    schema = "block int, slice int, data binary, size binary, one binary, two binary, doc binary"
+    schema = "block int, slice int, n int, strings binary"
     asked = X.in_stored_blocks(blocked, partial(_ask_strings, **ask), schema, copies=copies, **learned)
     strings = store(X.in_slices(asked, slices, partial(_answer_strings, length=length, shard_bytes=shard_bytes)), "strings")
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * full

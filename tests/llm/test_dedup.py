@@ -5,7 +5,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from railwatch.llm import chosen_path, exact_dedup, repeated_bytes, repeated_windows
+from railwatch.llm import bwt, chosen_path, exact_dedup, repeated_bytes, repeated_windows
 from railwatch.llm import exchange as X
 from railwatch.llm import text as T
 from railwatch.llm.queries import ORACLES, QUERIES
@@ -240,3 +240,49 @@ def test_orders_of_packed_numbers():
             assert ascending.tolist() == sorted(keys.tolist())
             distinct, number = T.numbered(keys, bits)
             assert distinct.tolist() == sorted(set(keys.tolist())) and np.array_equal(distinct[number], keys)
+
+
+def test_strings_are_sent_packed_and_without_hashes():
+    """Each stretch had two hashes, which do not compress, the second of which followed from the first and the size."""
+    import random
+
+    random.seed(3)
+    text = " ".join(random.choice("the of and to in is that for it was on are as with".split()) for _ in range(30_000))
+    docs = pa.table({"block": pa.array([0, 0], pa.int32()), "doc_id": [1, 2], "text": [text, text[:-1]]})
+    asked = pa.Table.from_batches(repeated_bytes._ask_minimizers(docs, {}, 50, 2))
+    said = pa.Table.from_batches(b for k in range(2) for b in repeated_bytes._answer_minimizers(asked.slice(k, 1).combine_chunks(), 1 << 14))
+    told = {"minimizers": dict(zip(said.column("slice").to_pylist(), said.column("payload").to_pylist(), strict=True))}
+    sent = pa.Table.from_batches(repeated_bytes._ask_strings(docs, told, 50, 2))
+    strings = sum(sent.column("n").to_pylist())
+    raw = sum(len(v) for c in sent.column_names[3:] for v in sent.column(c).to_pylist())
+    assert strings > 5000 and raw < 24 * strings
+
+
+def test_answers_are_sent_by_runs():
+    values = np.repeat(np.array([7, 3, repeated_bytes._LAST, 3]), [5, 1, 400, 2])
+    raw = repeated_bytes._pack_runs(values)
+    assert len(raw) == 4 * 12 and repeated_bytes._unpack_runs(raw).tolist() == values.tolist()
+    assert repeated_bytes._unpack_runs(repeated_bytes._pack_runs(values[:0])).tolist() == []
+
+
+def test_runs_of_bytes_against_brute_force():
+    random = np.random.default_rng(8)
+    at = np.array([0, 0, 90, 90, 200, 260])
+    for _ in range(50):
+        places = np.concatenate([np.arange(a, b - 9) for a, b in zip(at[:-1], at[1:], strict=True)])
+        begin = np.sort(random.choice(places, random.integers(0, 12), replace=False))
+        gone = np.zeros(260, bool)
+        for b in begin:
+            gone[b : b + 10] = True
+        first, after = repeated_bytes._runs(begin, 10, at)
+        expected_first = [i for i in range(260) if gone[i] and (i in at or not gone[i - 1])]
+        expected_after = [i + 1 for i in range(260) if gone[i] and (i + 1 in at or not gone[i + 1])]
+        assert first.tolist() == expected_first and after.tolist() == expected_after
+
+
+def test_symbols_end_with_their_string():
+    strings = [b"abcdefg", b"", b"xy", b"\x00\xff\x00", b"q"]
+    at = np.cumsum([0, *map(len, strings)])
+    found = bwt._symbols(np.frombuffer(b"".join(strings), np.uint8), at)
+    expected = [sum((s[p + k] + 1) << 9 * (bwt.UNIT - 1 - k) for k in range(bwt.UNIT) if p + k < len(s)) for s in strings for p in range(len(s))]
+    assert found.tolist() == expected
