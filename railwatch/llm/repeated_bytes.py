@@ -327,11 +327,15 @@ def _answer_strings(rows: pa.Table, length: int, shard_bytes: int) -> Iterator[p
         sizes.append(X.unplanes(sent[: 8 * n], np.int64))
         docs.append(X.unplanes(sent[8 * n : 16 * n], np.int64))
         texts.append(sent[16 * n :])
-    # Hashed by message, which stays in a core's cache.
-    ends = [np.cumsum(s) for s in sizes]
-    hashes = np.concatenate([T.span_hashes(t, e - s, e) for t, s, e in zip(texts, sizes, ends, strict=True)])
     size, doc, data = map(np.concatenate, (sizes, docs, texts))
     at = np.concatenate([[0], np.cumsum(size)])
+    hashes, start = np.empty(len(size), np.uint64), 0
+    while start < len(size):
+        # Some at a time keep temporary arrays small.
+        end = max(start + 1, int(np.searchsorted(at, at[start] + CHUNK_BYTES, "right")) - 1)
+        some = at[start : end + 1] - at[start]
+        hashes[start:end] = T.span_hashes(data[at[start] : at[end]], some[:-1], some[1:])
+        start = end
     # The same stretch from several blocks is one string.
     order, new = _same(hashes, size)
     lead = order[new]
