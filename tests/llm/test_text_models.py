@@ -5,6 +5,7 @@ import pickle
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -466,3 +467,68 @@ def test_odds_against_brute_force():
                 if own:
                     of[key >> b & 1] = max(of[key >> b & 1] - 1, 0)
                 assert odds[i, b] == pytest.approx(np.log((of[1] + context_mixing._DELTA) / (of[0] + context_mixing._DELTA)))
+
+
+def test_running_text_and_its_grams():
+    texts = ["  Ab c\t\nd ", "", None, "x", " ", "abcdefg h"]
+    t = context_mixing._Tokens(pa.table({"text": texts}))
+    running = ["".join(w + " " for w in (x or "").lower().split()) + " " for x in texts]
+    text, at = context_mixing._running(t.data, t.text_at)
+    assert [text[a:b].tobytes().decode() for a, b in zip(at[:-1], at[1:], strict=True)] == running
+    learned = np.array([True, True, False, False, True, True])
+    grams, spelled = context_mixing._RunningGrams(t), {}
+    for x, counts in zip(running, learned, strict=True):
+        wide = " " * 5 + x
+        for i in range(len(x)):
+            spelled[wide[i : i + 6]] = spelled.get(wide[i : i + 6], 0) + int(counts)
+    found = [int(g).to_bytes(6, "big").decode() for g in context_mixing._gathered(grams.distinct)]
+    assert dict(zip(found, grams.times(learned).tolist(), strict=True)) == spelled
+    assert grams.by_token(np.ones(len(found))).tolist() == [len(w) + 1 for x in running for w in x[:-1].split(" ")]
+
+
+def trained(texts, learned, slices):
+    """What slices have met when they train on the texts, and the running text to learn from."""
+    n = len(texts)
+    docs = pa.table({"block": pa.array([0] * n, pa.int32()), "doc_id": list(range(n)), "text": texts, "part": pa.array([0 if k else None for k in learned], pa.int32())})
+
+    def by_slice(batches, work):
+        rows = pa.Table.from_batches(batches)
+        return [b for s in sorted(set(rows.column("slice").to_pylist())) for b in work(rows.filter(pa.compute.equal(rows.column("slice"), s)).combine_chunks())]
+
+    sliced = by_slice(context_mixing._ask_words(docs, {}, slices), context_mixing._add_up)
+    rows = pa.Table.from_batches(sliced)
+    lists = rows.filter(rows.column("grams").is_valid())
+    told = pa.Table.from_batches(by_slice(context_mixing._ask_contexts(lists.to_batches(), slices), context_mixing._add_contexts))
+    met = 0
+    for row in lists.to_pylist():
+        mine = told.filter(pa.compute.equal(told.column("block"), row["slice"])).select(["payload"])
+        one = pa.table({"grams": [row["grams"]], "counts": [row["counts"]], "payload": pa.array([None], pa.binary())})
+        both = pa.concat_tables([one, mine], promote_options="default")
+        out = next(context_mixing._train(both, pickle.dumps(context_mixing.Mixer.new()))).to_pydict()
+        met += sum(n for place, n in zip(out["place"], out["n"], strict=True) if place >= context_mixing.Mixer.new().weights.size)
+    text = "".join(" ".join((*(x or "").lower().split(), "", "")) if (x or "").split() else " " for x, k in zip(texts, learned, strict=True) if k)
+    return met, text
+
+
+@pytest.mark.parametrize("slices", [1, 3])
+def test_training_meets_every_byte_of_the_running_text(slices):
+    """Each distinct word was trained on once, however often it was there."""
+    met, text = trained(["the cat and the dog", None, "the the the the", "unseen words", "the cat"], [True, True, True, False, True], slices)
+    assert met == 8 * len(text)
+
+
+def test_bits_are_foretold_across_words():
+    """Contexts ended at the word."""
+    random = np.random.default_rng(8)
+    text = " ".join(random.choice(["ax bm", "cy dn"]) for _ in range(400)).encode() + b" "
+    words = np.frombuffer(text, np.uint8)
+    speller = context_mixing.Speller.fit(context_mixing.count_bits(words), words)
+    after_x, after_y = (speller.log_probability(np.frombuffer(x, np.uint8))[1] for x in (b"ax bm ", b"cy bm "))
+    assert after_x > after_y + 1
+
+
+def test_repeated_text_weighs_as_often_as_it_is_there():
+    words = np.frombuffer(b"ab ab ab ab ac ", np.uint8)
+    speller = context_mixing.Speller.fit(context_mixing.count_bits(words), words)
+    often, once = (speller.log_probability(np.frombuffer(b"ab " + x, np.uint8))[1] for x in (b"ab ", b"ac "))
+    assert often > once
