@@ -256,6 +256,27 @@ def test_hot_id_is_kept_in_several_state_partitions(spark, folder):
     assert kinds == {("MATCHED", "h"): 4000, ("OVERDUE", "late"): 2}
 
 
+def test_reconciliation_keeps_its_state_on_disk(spark, folder):
+    """Spark's own state store holds all rows of both sides on the executors' heaps."""
+    from railwatch.streaming import pipelines
+
+    before = {key: spark.conf.get(key, "") for key in pipelines.STATE_ON_DISK}
+    provider = next(iter(before))
+    try:
+        for key in before:
+            spark.conf.unset(key)
+        reconciled(spark, folder, TXNS, SETTLED)
+        assert spark.conf.get(provider) == pipelines.STATE_ON_DISK[provider]
+        kept = [x.suffix for x in Path(f"{folder}/checkpoints/joined/state").rglob("*.*")]
+        assert ".changelog" in kept and ".delta" not in kept
+        spark.conf.set(provider, "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider")
+        pipelines.keep_state_on_disk(spark)
+        assert spark.conf.get(provider).endswith("HDFSBackedStateStoreProvider")
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value) if value else spark.conf.unset(key)
+
+
 def test_parted_streams_do_not_sort_their_rows(spark, folder):
     """Without the setting a task of the landing query sorts all its rows by route."""
     setting = "spark.sql.maxConcurrentOutputFileWriters"
