@@ -4,8 +4,9 @@ A string of ``LENGTH`` bytes that two documents share has in both the same minim
 pieces. So a document is cut into stretches of places with one minimizer, and stretches with the same minimizer meet in
 the same slice: each slice can find its repeats alone. A first pass learns which minimizers several documents have; the
 second sends the distinct stretches of only those. A minimizer with very many distinct stretches is hot: each of its
-places goes to a slice by a hash of all its ``LENGTH`` bytes, if a further pass has found it in several documents. A slice builds Burrows-Wheeler transforms of shards of its stretches
-and merges them (``bwt``); suffixes with a common prefix of ``LENGTH`` bytes form intervals, whose smallest document goes
+places goes to a slice by a hash of all its ``LENGTH`` bytes, if a further pass has found it in several documents. A slice
+hashes the ``LENGTH`` bytes from each place on, which leaves it the runs of places that other documents may have, too. It builds
+Burrows-Wheeler transforms of shards of these runs and merges them (``bwt``); suffixes with a common prefix of ``LENGTH`` bytes form intervals, whose smallest document goes
 back to all blocks. The third pass removes what is covered. Of documents with the same whole text only the first takes
 part: the others are repeats from end to end.
 """
@@ -29,11 +30,12 @@ from railwatch.sources.tables import store
 LENGTH = 50
 PIECE = 16
 _LAST = np.iinfo(np.int64).max
-# Places hold several 64-bit numbers each while a block is worked on.
-BLOCK_BYTES = 4 << 20
+# Every block sends to every slice, so few large ones make few messages; places hold several 64-bit numbers each while a block
+# is worked on.
+BLOCK_BYTES = 8 << 20
 # Arrays of a chunk stay in a core's cache.
 CHUNK_BYTES = 1 << 17
-SLICES_PER_BLOCK = 3
+SLICES_PER_BLOCK = 2
 # Hex digits of a text's digest that tell copies among rows of one doc_id.
 DIGEST = 32
 # A minimizer with more distinct stretches than this is hot: its places go to slices by all their bytes.
@@ -294,21 +296,92 @@ def _ask_strings(docs: pa.Table, told: dict, length: int, slices: int) -> Iterat
         )
 
 
+def _chunks(at: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Some strings at a time, which keeps temporary arrays small."""
+    start = 0
+    while start < len(at) - 1:
+        end = max(start + 1, int(np.searchsorted(at, at[start] + CHUNK_BYTES, "right")) - 1)
+        yield start, end
+        start = end
+
+
+def _string_hashes(data: np.ndarray, at: np.ndarray) -> np.ndarray:
+    out = np.empty(len(at) - 1, np.uint64)
+    for start, end in _chunks(at):
+        some = at[start : end + 1] - at[start]
+        out[start:end] = T.span_hashes(data[at[start] : at[end]], some[:-1], some[1:])
+    return out
+
+
+def _repeated(data: np.ndarray, at: np.ndarray, places: np.ndarray, doc: np.ndarray, length: int) -> np.ndarray:
+    """The places of strings whose ``length`` bytes may also start in a string of another document: all that do, and what
+    shares their hash."""
+    hashes = np.empty(places[-1], np.uint64)
+    for start, end in _chunks(at):
+        a, p, q = at[start], places[start], places[end]
+        first = np.repeat(at[start:end] - a - places[start:end] + p, np.diff(places[start : end + 1])) + np.arange(q - p)
+        hashes[p:q] = T.span_hashes(data[a : at[end]], first, first + length)
+    shift = np.uint64(len(hashes).bit_length())
+    hashes = hashes >> shift << shift
+    hashes |= np.arange(len(hashes), dtype=np.uint64)
+    hashes.sort()
+    found = (hashes & ((np.uint64(1) << shift) - np.uint64(1))).view(np.int64)
+    hashes >>= shift
+    new = np.ones(len(hashes) + 1, bool)
+    new[1:-1] = hashes[1:] != hashes[:-1]
+    several = ~(new[:-1] & new[1:])
+    found, lead = found[several], np.flatnonzero(new[:-1][several])
+    if not len(found):
+        return found
+    of = doc[np.searchsorted(places, found, "right") - 1]
+    other = np.minimum.reduceat(of, lead) != np.maximum.reduceat(of, lead)
+    return np.sort(found[np.repeat(other, np.diff(np.append(lead, len(found))))])
+
+
 def least_documents(data: np.ndarray, at: np.ndarray, doc: np.ndarray, length: int, shard_bytes: int) -> tuple[np.ndarray, np.ndarray]:
     """For each place of each string where ``length`` bytes start: the smallest document of a string that has the same
     bytes anywhere. And the offsets of strings."""
-    places = np.concatenate([[0], np.cumsum(np.maximum(np.diff(at) - length + 1, 0))])
+    n = np.maximum(np.diff(at) - length + 1, 0)
+    places = np.concatenate([[0], np.cumsum(n)])
+    out = np.repeat(doc, n)
+    # Most strings share a minimizer but no ``length`` bytes: transforms are made of the runs of places that may.
+    found = _repeated(data, at, places, doc, length)
+    if not len(found):
+        return out, places
+    string = np.searchsorted(places, found, "right") - 1
+    new = np.ones(len(found), bool)
+    new[1:] = (found[1:] != found[:-1] + 1) | (string[1:] != string[:-1])
+    lead = np.flatnonzero(new)
+    first = at[string[lead]] + found[lead] - places[string[lead]]
+    run, run_at = T.gather(data, first, first + np.diff(np.append(lead, len(found))) + length - 1)
+    run, run_at, least, number = _distinct(run, run_at, doc[string[lead]])
+    values, run_places = _least_of(run, run_at, least, length, shard_bytes)
+    out[found] = T.gather(values, run_places[number], run_places[number + 1])[0]
+    return out, places
+
+
+def _least_of(data: np.ndarray, at: np.ndarray, doc: np.ndarray, length: int, shard_bytes: int) -> tuple[np.ndarray, np.ndarray]:
+    """The same of strings that all have ``length`` bytes, by their merged transforms."""
+    places = np.concatenate([[0], np.cumsum(np.diff(at) - length + 1)])
     out = np.zeros(places[-1], np.int64)
     t = bwt.merge_all(data, at, length, shard_bytes)
     whole = t.place < np.diff(at)[t.string] - length + 1
     string, place, same = t.string[whole], t.place[whole], t.same[whole]
-    if len(same):
-        interval = np.flatnonzero(np.diff(same, prepend=same[0] - 1))
-        least = np.minimum.reduceat(doc[string], interval)
-        out[places[string] + place] = np.repeat(least, np.diff(np.append(interval, len(same))))
+    interval = np.flatnonzero(np.diff(same, prepend=same[0] - 1))
+    least = np.minimum.reduceat(doc[string], interval)
+    out[places[string] + place] = np.repeat(least, np.diff(np.append(interval, len(same))))
     return out, places
 
 
+def _distinct(data: np.ndarray, at: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct strings, their offsets and smallest documents, and which of them each string is."""
+    order, new = _same(_string_hashes(data, at), np.diff(at))
+    lead = order[new]
+    number = np.empty(len(order), np.int64)
+    number[order] = np.cumsum(new) - 1
+    return *T.gather(data, at[lead], at[lead + 1]), np.minimum.reduceat(doc[order], np.flatnonzero(new)), number
+
+
 def _pack_runs(values: np.ndarray) -> bytes:
     """Numbers of which neighbours are mostly the same: each run's, then how long it is."""
     first = np.flatnonzero(np.diff(values, prepend=values[:1] + 1))
@@ -329,20 +402,8 @@ def _answer_strings(rows: pa.Table, length: int, shard_bytes: int) -> Iterator[p
         texts.append(sent[16 * n :])
     size, doc, data = map(np.concatenate, (sizes, docs, texts))
     at = np.concatenate([[0], np.cumsum(size)])
-    hashes, start = np.empty(len(size), np.uint64), 0
-    while start < len(size):
-        # Some at a time keep temporary arrays small.
-        end = max(start + 1, int(np.searchsorted(at, at[start] + CHUNK_BYTES, "right")) - 1)
-        some = at[start : end + 1] - at[start]
-        hashes[start:end] = T.span_hashes(data[at[start] : at[end]], some[:-1], some[1:])
-        start = end
     # The same stretch from several blocks is one string.
-    order, new = _same(hashes, size)
-    lead = order[new]
-    number = np.empty(len(order), np.int64)
-    number[order] = np.cumsum(new) - 1
-    doc = np.minimum.reduceat(doc[order], np.flatnonzero(new))
-    distinct, distinct_at = T.gather(data, at[lead], at[lead + 1])
+    distinct, distinct_at, doc, number = _distinct(data, at, doc)
     least, places = least_documents(distinct, distinct_at, doc, length, shard_bytes)
     ends = np.cumsum([len(s) for s in sizes])
     out, start = [], 0
@@ -421,7 +482,7 @@ def remove_repeats(
     later = ids.join(firsts, "digest").where("doc_id > first").groupBy("block").agg(F.collect_set(F.concat_ws(":", F.col("doc_id").cast("string"), F.substring("digest", 1, DIGEST))).alias("ids"))
     later = later.select("block", F.lit(0).alias("slice"), F.concat_ws(" ", "ids").cast("binary").alias("payload"))
     copies = store(later, "copies")
-    # A slice holds its transforms in memory, at about a hundred bytes for each of its strings' bytes.
+    # A slice holds its transforms in memory, at about a hundred bytes for each byte of its repeated runs.
     slices = SLICES_PER_BLOCK * n
     ask = {"length": length, "slices": slices}
     answer = partial(_answer_minimizers, hot_stretches=HOT_STRETCHES)

@@ -286,3 +286,21 @@ def test_symbols_end_with_their_string():
     found = bwt._symbols(np.frombuffer(b"".join(strings), np.uint8), at)
     expected = [sum((s[p + k] + 1) << 9 * (bwt.UNIT - 1 - k) for k in range(bwt.UNIT) if p + k < len(s)) for s in strings for p in range(len(s))]
     assert found.tolist() == expected
+
+
+def test_only_repeated_runs_are_transformed(monkeypatch):
+    """All strings that share a minimizer were, most of which share no ``length`` bytes."""
+    random = np.random.default_rng(11)
+    letters = lambda n: random.integers(97, 123, n, dtype=np.uint8)
+    shared, twice, phrase = letters(80), letters(60), letters(16)
+    texts = [np.concatenate([letters(30), phrase, letters(30)]) for _ in range(40)]
+    texts += [np.concatenate([letters(9), shared, letters(9)]), shared[10:70], np.concatenate([twice, letters(5), twice])]
+    doc = random.permutation(len(texts)) + 5
+    at = np.cumsum([0, *map(len, texts)])
+    seen, merge_all = [], bwt.merge_all
+    monkeypatch.setattr(bwt, "merge_all", lambda data, *rest: seen.append(len(data)) or merge_all(data, *rest))
+    least, places = repeated_bytes.least_documents(np.concatenate(texts), at, doc, 50, 300)
+    raw = [x.tobytes() for x in texts]
+    wanted = [min(d for d, y in zip(doc.tolist(), raw, strict=True) if x[i : i + 50] in y) for x in raw for i in range(len(x) - 49)]
+    assert least.tolist() == wanted and places[-1] == len(wanted)
+    assert seen == [60]
