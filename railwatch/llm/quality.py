@@ -95,33 +95,7 @@ class Model:
 
     def fit(self, packed: list[bytes], labels: np.ndarray, epochs: int = 12, rate: float = 0.4, batch: int = 32) -> Model:
         """Descent on packed documents; only those of a step are unpacked."""
-        if not len(labels):
-            return self
-        random = np.random.default_rng(1)
-        self.bias[:] = np.log((np.bincount(labels, minlength=2) + 1) / (len(labels) + 2))
-        steps, done = epochs * -(-len(labels) // batch), 0
-        for _ in range(epochs):
-            order = random.permutation(len(labels))
-            for some in np.array_split(order, -(-len(order) // batch)):
-                lr = rate * (1 - done / steps)
-                done += 1
-                found = [unpack_features(packed[i]) for i in some]
-                mean = np.stack([weight @ self.vectors.take(ids, axis=0) for ids, weight in found])
-                logits = mean @ self.output + self.bias
-                p = np.exp(logits - logits.max(axis=1, keepdims=True))
-                p /= p.sum(axis=1, keepdims=True)
-                p[np.arange(len(some)), labels[some]] -= 1
-                # Both classes' errors are one number and its negative, so all of a step's gradients lie along one line:
-                # one number per bucket, added up over the documents, tells how far its vector moves.
-                line = self.output[:, 1] - self.output[:, 0]
-                far = np.concatenate([weight * error for (_, weight), error in zip(found, p[:, 1], strict=True)])
-                move = np.bincount(np.concatenate([ids for ids, _ in found]), far, len(self.vectors)).astype(np.float32)
-                moved = np.flatnonzero(move)
-                self.output -= lr * mean.T @ p
-                self.bias -= 0.05 * lr * p.sum(axis=0)
-                # The mean spreads a document's gradient over its features; the factor makes up for that.
-                self.vectors[moved] = self.vectors.take(moved, axis=0) - move[moved, None] * (np.float32(lr * 8) * line)
-        return self
+        return _descend(self, packed, labels, epochs, rate, batch)
 
     def bucket_logits(self) -> np.ndarray:
         """What each feature adds to the log odds of class 1."""
@@ -132,6 +106,36 @@ class Model:
         return float(self.bias[1] - self.bias[0])
 
 
+def _descend(model: Model, packed: list[bytes], labels: np.ndarray, epochs: int = 12, rate: float = 0.4, batch: int = 32) -> Model:
+    if not len(labels):
+        return model
+    random = np.random.default_rng(1)
+    model.bias[:] = np.log((np.bincount(labels, minlength=2) + 1) / (len(labels) + 2))
+    steps, done = epochs * -(-len(labels) // batch), 0
+    for _ in range(epochs):
+        order = random.permutation(len(labels))
+        for some in np.array_split(order, -(-len(order) // batch)):
+            lr = rate * (1 - done / steps)
+            done += 1
+            found = [unpack_features(packed[i]) for i in some]
+            mean = np.stack([weight @ model.vectors.take(ids, axis=0) for ids, weight in found])
+            logits = mean @ model.output + model.bias
+            p = np.exp(logits - logits.max(axis=1, keepdims=True))
+            p /= p.sum(axis=1, keepdims=True)
+            p[np.arange(len(some)), labels[some]] -= 1
+            # Both classes' errors are one number and its negative, so all of a step's gradients lie along one line:
+            # one number per bucket, added up over the documents, tells how far its vector moves.
+            line = model.output[:, 1] - model.output[:, 0]
+            far = np.concatenate([weight * error for (_, weight), error in zip(found, p[:, 1], strict=True)])
+            move = np.bincount(np.concatenate([ids for ids, _ in found]), far, len(model.vectors)).astype(np.float32)
+            moved = np.flatnonzero(move)
+            model.output -= lr * mean.T @ p
+            model.bias -= 0.05 * lr * p.sum(axis=0)
+            # The mean spreads a document's gradient over its features; the factor makes up for that.
+            model.vectors[moved] = model.vectors.take(moved, axis=0) - move[moved, None] * (np.float32(lr * 8) * line)
+    return model
+
+
 @dataclass
 class Trained:
     """What scoring needs of a model."""
@@ -148,7 +152,8 @@ def _train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         found += zip(batch.column("features").to_pylist(), batch.column("label").to_pylist(), strict=True)
     found.sort()
-    model = Model().fit([f for f, _ in found], np.array([k for _, k in found], np.int64))
+    # By the function: a task may carry the driver's class.
+    model = _descend(Model(), [f for f, _ in found], np.array([k for _, k in found], np.int64))
     yield pa.RecordBatch.from_arrays([pa.array([model.bucket_logits().tobytes()], pa.binary()), pa.array([model.offset])], ["logits", "offset"])
 
 
